@@ -148,6 +148,252 @@ WHERE pct_change IS NOT NULL AND (
 """, SPIKED)
 
 
+# ---------------------------------------------------------------- ingest side
+
+ENV = """
+env AS (
+  SELECT CASE WHEN v = 0 THEN substring(body, 1, 40)
+              WHEN v = 14 THEN '{"schema_version":1,"ingest_interval_sec":360}'
+              WHEN v = 15 THEN '' ELSE body END AS raw_payload,
+         'prices' AS kafka_topic, kafka_partition, kafka_offset,
+         event_ts + INTERVAL 2 SECOND AS kafka_timestamp, eid
+  FROM (
+    SELECT *, '{' || concat_ws(',',
+        CASE WHEN v = 13 THEN NULL WHEN v = 11 THEN '"schema_version":2' ELSE '"schema_version":1' END,
+        CASE WHEN v = 1 THEN NULL ELSE '"event_id":"' || event_id || '"' END,
+        CASE WHEN v = 2 THEN NULL ELSE '"commodity":"' || commodity || '"' END,
+        CASE WHEN v = 3 THEN NULL ELSE '"symbol":"' || symbol || '"' END,
+        CASE WHEN v = 4 THEN NULL ELSE '"price":' ||
+             CASE WHEN v = 8 THEN '"' || printf('%.8f', price) || '"'
+                  WHEN v = 9 THEN printf('%.8f', -price)
+                  WHEN v = 10 THEN printf('%.8f', price * 1000)
+                  ELSE printf('%.8f', price) END END,
+        CASE WHEN v = 5 THEN NULL ELSE '"currency":"USD"' END,
+        CASE WHEN v = 7 THEN NULL ELSE '"timestamp":"' ||
+             CASE WHEN v = 12 THEN strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%fZ')
+                  ELSE strftime(event_ts, '%Y-%m-%dT%H:%M:%SZ') END || '"' END,
+        CASE WHEN v = 6 THEN NULL ELSE '"source":"rest_api"' END,
+        '"ingest_interval_sec":360') || '}' AS body
+    FROM (SELECT *, eid % 23 AS v FROM ticks) t
+  ) b
+)
+"""
+
+REPLAYED = """
+replayed AS (
+  SELECT raw_payload, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp, eid FROM env
+  UNION ALL
+  SELECT raw_payload, kafka_topic, kafka_partition, kafka_offset + 10000000, kafka_timestamp, eid
+  FROM env WHERE eid % 10 = 0
+)
+"""
+
+
+def validated_cte(name: str, src: str) -> str:
+    return f"""
+{name} AS (
+  SELECT *,
+    CASE WHEN event_id IS NULL AND commodity IS NULL AND symbol IS NULL AND price IS NULL
+              THEN 'JSON_PARSE_ERROR_OR_EMPTY'
+         WHEN event_id IS NULL THEN 'MISSING_FIELD:event_id'
+         WHEN commodity IS NULL THEN 'MISSING_FIELD:commodity'
+         WHEN symbol IS NULL THEN 'MISSING_FIELD:symbol'
+         WHEN price IS NULL THEN 'MISSING_FIELD:price'
+         WHEN currency IS NULL THEN 'MISSING_FIELD:currency'
+         WHEN source IS NULL THEN 'MISSING_FIELD:source'
+         WHEN event_ts IS NULL THEN 'INVALID_FIELD:event_ts'
+         WHEN price <= 0 THEN 'INVALID_FIELD:price<=0'
+         WHEN schema_version IS DISTINCT FROM 1 THEN 'UNSUPPORTED_SCHEMA_VERSION'
+         WHEN symbol = 'XAU/USD' AND (price < 500 OR price > 15000) THEN 'INVALID_FIELD:price_out_of_range'
+         WHEN symbol = 'BTC/USD' AND (price < 100 OR price > 1000000) THEN 'INVALID_FIELD:price_out_of_range'
+         WHEN symbol = 'EUR/USD' AND (price < 0.5 OR price > 2.0) THEN 'INVALID_FIELD:price_out_of_range'
+    END AS error_reason
+  FROM (
+    SELECT raw_payload, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp,
+      CASE WHEN json_type(j, '$.schema_version') IN ('UBIGINT', 'BIGINT')
+           THEN CAST(json_extract(j, '$.schema_version') AS INTEGER) END AS schema_version,
+      json_extract_string(j, '$.event_id') AS event_id,
+      json_extract_string(j, '$.commodity') AS commodity,
+      json_extract_string(j, '$.symbol') AS symbol,
+      CASE WHEN json_type(j, '$.price') IN ('DOUBLE', 'UBIGINT', 'BIGINT')
+           THEN CAST(json_extract(j, '$.price') AS DOUBLE) END AS price,
+      json_extract_string(j, '$.currency') AS currency,
+      try_strptime(json_extract_string(j, '$.timestamp'), '%Y-%m-%dT%H:%M:%SZ') AS event_ts,
+      json_extract_string(j, '$.source') AS source,
+      CASE WHEN json_type(j, '$.ingest_interval_sec') IN ('UBIGINT', 'BIGINT')
+           THEN CAST(json_extract(j, '$.ingest_interval_sec') AS INTEGER) END AS ingest_interval_sec
+    FROM (
+      SELECT *, CASE WHEN raw_payload <> '' AND json_valid(raw_payload)
+                          AND json_type(raw_payload) = 'OBJECT' THEN raw_payload END AS j
+      FROM {src}
+    ) p
+  ) t
+)
+"""
+
+
+VALIDATE_TICKS = q("""
+SELECT kafka_partition, kafka_offset, event_id, commodity, symbol, price, currency, event_ts,
+       source, schema_version, ingest_interval_sec, error_reason
+FROM validated
+""", ENV, validated_cte("validated", "env"))
+
+DLQ_ROWS = q("""
+SELECT stream_instance_id, batch_id, topic, kafka_partition, kafka_offset, error_reason,
+       raw_payload, ts_utc
+FROM (
+  SELECT 'stream1' AS stream_instance_id, CAST(floor(kafka_offset / 500) AS BIGINT) AS batch_id,
+         kafka_topic AS topic, kafka_partition, kafka_offset, error_reason, raw_payload,
+         kafka_timestamp AS ts_utc
+  FROM validated WHERE error_reason IS NOT NULL
+) d
+QUALIFY row_number() OVER (PARTITION BY stream_instance_id, batch_id, kafka_partition, kafka_offset
+                           ORDER BY ts_utc) = 1
+""", ENV, REPLAYED, validated_cte("validated", "replayed"))
+
+BATCH_COUNTS = q("""
+SELECT CAST(floor(kafka_offset / 500) AS BIGINT) AS batch_id,
+       count(*) FILTER (WHERE error_reason IS NULL) AS good_rows,
+       count(*) FILTER (WHERE error_reason IS NOT NULL) AS bad_rows
+FROM validated GROUP BY 1
+""", ENV, REPLAYED, validated_cte("validated", "replayed"))
+
+ERROR_REASON_COUNTS = q("""
+SELECT w.window_name, v.error_reason, count(*) AS n
+FROM validated v
+JOIN (VALUES ('15m', INTERVAL 15 MINUTE), ('1h', INTERVAL 1 HOUR), ('24h', INTERVAL 24 HOUR),
+             ('7d', INTERVAL 7 DAY)) w(window_name, span)
+  ON v.kafka_timestamp >= (SELECT t FROM as_of) - w.span
+WHERE v.error_reason IS NOT NULL AND v.kafka_timestamp <= (SELECT t FROM as_of)
+GROUP BY 1, 2
+""", ENV, validated_cte("validated", "env"))
+
+FX_CLOSED_SQL = """((dayofweek({t}) = 5 AND hour({t}) >= 22) OR dayofweek({t}) = 6
+                 OR (dayofweek({t}) = 0 AND hour({t}) < 22))"""
+
+FX_GATE = q(f"""
+SELECT event_id, symbol, event_ts, {FX_CLOSED_SQL.format(t='event_ts')} AS fx_closed,
+       NOT (symbol IN ('EUR/USD', 'XAU/USD') AND {FX_CLOSED_SQL.format(t='event_ts')}) AS publish
+FROM ticks
+""")
+
+INSTANTS = """
+instants AS (SELECT DISTINCT date_trunc('hour', event_ts) AS instant FROM ticks),
+instruments AS (SELECT * FROM (VALUES ('gold', 'XAU/USD'), ('bitcoin', 'BTC/USD'),
+                                      ('eurusd', 'EUR/USD')) v(commodity, symbol))
+"""
+
+MARKET_STATUS = q(f"""
+SELECT instant, symbol AS instrument,
+       CASE WHEN symbol IN ('EUR/USD', 'XAU/USD') AND {FX_CLOSED_SQL.format(t='instant')}
+            THEN '● CLOSED' ELSE '● OPEN' END AS status
+FROM instants CROSS JOIN instruments
+""", INSTANTS)
+
+ACTIVE_SYMBOLS = q(f"""
+SELECT instant, commodity, symbol
+FROM instants CROSS JOIN instruments
+WHERE NOT (symbol IN ('EUR/USD', 'XAU/USD') AND {FX_CLOSED_SQL.format(t='instant')})
+""", INSTANTS)
+
+WITHIN_BOUNDS = q("""
+SELECT event_id, symbol, price_checked,
+       CASE symbol WHEN 'XAU/USD' THEN price_checked BETWEEN 500 AND 15000
+                   WHEN 'BTC/USD' THEN price_checked BETWEEN 100 AND 1000000
+                   WHEN 'EUR/USD' THEN price_checked BETWEEN 0.5 AND 2.0
+                   ELSE TRUE END AS within_bounds
+FROM (SELECT event_id, symbol,
+             price * CASE eid % 5 WHEN 0 THEN 1000 WHEN 1 THEN 0.001e0 ELSE 1 END AS price_checked
+      FROM ticks) t
+""")
+
+EVENT_UUID5 = q("""
+SELECT event_id, name,
+       substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' ||
+       lower(printf('%x', ((('0x' || substr(h, 17, 1))::INTEGER) & 3) | 8)) || substr(h, 18, 3)
+       || '-' || substr(h, 21, 12) AS uuid
+FROM (
+  SELECT event_id, name, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(name)) AS h
+  FROM (SELECT event_id, commodity || ':' || strftime(event_ts, '%Y-%m-%dT%H:%M:%SZ') AS name
+        FROM ticks) n
+) x
+""")
+
+API_RAW = """
+api_raw AS (
+  SELECT eid AS call_id, event_ts AS ts_utc,
+         CASE WHEN w IN (2, 3, 6) THEN 'BTC/USD,XAU/USD,EUR/USD'
+              WHEN w IN (7, 8) THEN 'BTC/USD,XAU/USD'
+              WHEN w = 9 THEN 'BTC/USD' ELSE symbol END AS symbols,
+         CAST(CASE WHEN eid % 20 = 7 THEN 429 WHEN eid % 20 = 13 THEN 503 ELSE 200 END AS INTEGER)
+           AS http_status,
+         CAST(floor(value * 10) AS INTEGER) AS latency_ms,
+         CASE w
+           WHEN 0 THEN '{"symbol":"' || symbol || '","price":"' || p || '"}'
+           WHEN 1 THEN '{"price":"' || p || '"}'
+           WHEN 2 THEN '{"BTC/USD":{"price":"' || p || '"},"XAU/USD":{"price":"' || p2
+                       || '"},"EUR/USD":{"price":"' || p3 || '"}}'
+           WHEN 3 THEN '{"BTC/USD":{"price":"' || p || '"},"EUR/USD":{"price":"' || p3 || '"}}'
+           WHEN 4 THEN '{"symbol":"' || symbol || '","price":"n/a"}'
+           WHEN 5 THEN '{}'
+           WHEN 6 THEN '{"status":"error","code":400,"message":"quota exceeded ' || eid || '"}'
+           WHEN 7 THEN '{"BTC/USD":{"price":"' || p || '"},"XAU/USD":{"price":"n/a"}}'
+           WHEN 8 THEN '{"price":"' || p || '"}'
+           ELSE '{"symbol":"XAG/USD","price":"' || p || '"}' END AS body
+  FROM (SELECT t.*, e.value, eid % 10 AS w, printf('%.8f', price) AS p,
+               printf('%.5f', 2000.0e0 + e.value / 8) AS p2,
+               printf('%.7f', 1.08e0 + e.value / 50000) AS p3
+        FROM ticks t JOIN events e ON e.event_id = t.eid) x
+),
+api_parsed AS (
+  SELECT call_id, http_status, body, symbols,
+         list_filter(
+           CASE
+             WHEN NOT json_valid(body) OR json_type(body) <> 'OBJECT' THEN []
+             WHEN json_exists(body, '$.symbol') AND json_exists(body, '$.price')
+               THEN [{'symbol': json_extract_string(body, '$.symbol'),
+                      'price': TRY_CAST(json_extract_string(body, '$.price') AS DOUBLE)}]
+             WHEN json_exists(body, '$.price') AND len(string_split(symbols, ',')) = 1
+               THEN [{'symbol': symbols,
+                      'price': TRY_CAST(json_extract_string(body, '$.price') AS DOUBLE)}]
+             ELSE list_transform(string_split(symbols, ','), lambda s: {'symbol': s,
+                      'price': TRY_CAST(json_extract_string(json_extract(body, '$."' || s || '"'), '$.price') AS DOUBLE)})
+           END, lambda x: x.price IS NOT NULL AND x.symbol IS NOT NULL) AS prices
+  FROM api_raw
+)
+"""
+
+PRICE_RESPONSES = q("""
+SELECT call_id, u.p.symbol AS symbol, u.p.price AS price
+FROM (SELECT call_id, unnest(prices) AS p FROM api_parsed
+      WHERE http_status < 400
+        AND coalesce(json_extract_string(body, '$.status') <> 'error', TRUE)) u
+""", API_RAW)
+
+API_CALL_CLASSES = q("""
+SELECT call_id, ts_utc, symbols,
+       CASE WHEN http_status >= 400 AND http_status <> 429 AND NOT http_status BETWEEN 500 AND 599
+            THEN NULL ELSE http_status END AS http_status,
+       latency_ms, error_type IS NULL AS ok, error_type,
+       CASE WHEN http_status >= 400 THEN
+              CASE WHEN http_status <> 429 AND NOT http_status BETWEEN 500 AND 599
+                   THEN 'HTTP ' || http_status END
+            WHEN td_error THEN json_extract_string(body, '$.message')
+            WHEN len(prices) = 0 THEN substring(body, 1, 500) END AS error_msg
+FROM (
+  SELECT r.*, a.prices, td_error,
+         CASE WHEN r.http_status = 429 THEN 'RATE_LIMIT_429'
+              WHEN r.http_status BETWEEN 500 AND 599 THEN 'SERVER_' || r.http_status
+              WHEN r.http_status >= 400 THEN 'EXCEPTION'
+              WHEN td_error THEN 'TD_ERROR'
+              WHEN len(a.prices) = 0 THEN 'EMPTY_PARSE' END AS error_type
+  FROM (SELECT *, coalesce(json_extract_string(body, '$.status') = 'error', FALSE) AS td_error
+        FROM api_raw) r
+  JOIN api_parsed a USING (call_id)
+) c
+""", API_RAW)
+
+
 def all_sql() -> dict[str, str]:
     return {
         "stg_ticks": STG_TICKS,
@@ -157,4 +403,15 @@ def all_sql() -> dict[str, str]:
         "latest_prices_single_pass": LATEST_PRICES,
         "price_events": PRICE_EVENTS,
         "price_jumps": PRICE_JUMPS,
+        "validate_ticks": VALIDATE_TICKS,
+        "dlq_rows": DLQ_ROWS,
+        "batch_counts": BATCH_COUNTS,
+        "error_reason_counts": ERROR_REASON_COUNTS,
+        "fx_gate": FX_GATE,
+        "market_status": MARKET_STATUS,
+        "active_symbols": ACTIVE_SYMBOLS,
+        "within_bounds": WITHIN_BOUNDS,
+        "event_uuid5": EVENT_UUID5,
+        "price_responses": PRICE_RESPONSES,
+        "api_call_classes": API_CALL_CLASSES,
     }

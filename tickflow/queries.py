@@ -12,7 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickflow import session as tsession
 from tickflow.functions.timeutil import default_as_of
-from tickflow.operators import marts, quality
+from pyspark.sql import functions as F
+
+from tickflow.functions import calendar, ids
+from tickflow.functions.timeutil import minus, trunc, ts_lit
+from tickflow.operators import ingest, marts, quality, validate
+from tickflow.plans import sinks
 from tickflow.sources import fixtures as fx
 
 
@@ -57,6 +62,79 @@ def q_price_jumps(spark, sf_dir):
     return quality.price_jumps(marts.minute_last_price(_stg(spark, sf_dir, fx.ticks_spiked)))
 
 
+# ---------------------------------------------------------------- ingest side
+
+def _validated(spark, sf_dir, payloads=fx.raw_payloads) -> DataFrame:
+    env = payloads(_events(spark, sf_dir))
+    typed = ingest.parse_and_type(env, ingest_ts=F.col("kafka_timestamp"))
+    return validate.with_error_reason(typed)
+
+
+def q_validate_ticks(spark, sf_dir):
+    return _validated(spark, sf_dir).select(
+        "kafka_partition", "kafka_offset", "event_id", "commodity", "symbol", "price", "currency",
+        "event_ts", "source", "schema_version", "ingest_interval_sec", "error_reason")
+
+
+def q_dlq_rows(spark, sf_dir):
+    v = _validated(spark, sf_dir, fx.replayed_payloads)
+    _, bad = validate.split(v, fx.STREAM_INSTANCE, fx.micro_batch_id())
+    return sinks.dedupe_dlq(bad)
+
+
+def q_batch_counts(spark, sf_dir):
+    v = _validated(spark, sf_dir, fx.replayed_payloads).withColumn("batch_id", fx.micro_batch_id())
+    return validate.batch_counts(v, ["batch_id"])
+
+
+def q_error_reason_counts(spark, sf_dir):
+    from tickflow.operators import monitor
+    v = _validated(spark, sf_dir)
+    _, bad = validate.split(v, fx.STREAM_INSTANCE, fx.micro_batch_id())
+    return monitor.dlq_by_reason(bad, _as_of(spark, sf_dir))
+
+
+def q_fx_gate(spark, sf_dir):
+    t = _stg(spark, sf_dir)
+    return t.select("event_id", "symbol", "event_ts",
+                    calendar.fx_closed("event_ts").alias("fx_closed"),
+                    calendar.should_publish("symbol", "event_ts").alias("publish"))
+
+
+def _instants(spark, sf_dir) -> DataFrame:
+    return _stg(spark, sf_dir).select(trunc("hour", "event_ts").alias("instant")).distinct()
+
+
+def q_market_status(spark, sf_dir):
+    return calendar.market_status(_instants(spark, sf_dir))
+
+
+def q_active_symbols(spark, sf_dir):
+    return calendar.active_symbols(_instants(spark, sf_dir))
+
+
+def q_within_bounds(spark, sf_dir):
+    t = _stg(spark, sf_dir)
+    scale = (F.when(F.col("event_id").cast("bigint") % 5 == 0, F.lit(1000.0))
+             .when(F.col("event_id").cast("bigint") % 5 == 1, F.lit(0.001)).otherwise(F.lit(1.0)))
+    x = t.select("event_id", "symbol", (F.col("price") * scale).alias("price_checked"))
+    return x.withColumn("within_bounds", validate.within_bounds("symbol", "price_checked"))
+
+
+def q_event_uuid5(spark, sf_dir):
+    t = _stg(spark, sf_dir)
+    name = F.concat(F.col("commodity"), F.lit(":"), ids.iso_seconds("event_ts"))
+    return t.select("event_id", name.alias("name"), ids.uuid5(name).alias("uuid"))
+
+
+def q_price_responses(spark, sf_dir):
+    return ingest.flatten_price_responses(fx.api_calls_raw(_events(spark, sf_dir)))
+
+
+def q_api_call_classes(spark, sf_dir):
+    return ingest.classify_api_calls(fx.api_calls_raw(_events(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_ticks": q_stg_ticks,
     "price_volatility_1h": q_price_volatility_1h,
@@ -65,4 +143,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_prices_single_pass": q_latest_prices_single_pass,
     "price_events": q_price_events,
     "price_jumps": q_price_jumps,
+    "validate_ticks": q_validate_ticks,
+    "dlq_rows": q_dlq_rows,
+    "batch_counts": q_batch_counts,
+    "error_reason_counts": q_error_reason_counts,
+    "fx_gate": q_fx_gate,
+    "market_status": q_market_status,
+    "active_symbols": q_active_symbols,
+    "within_bounds": q_within_bounds,
+    "event_uuid5": q_event_uuid5,
+    "price_responses": q_price_responses,
+    "api_call_classes": q_api_call_classes,
 }

@@ -154,6 +154,7 @@ def raw_payloads(events: DataFrame) -> DataFrame:
         F.lit(TOPIC).alias("kafka_topic"),
         (eid % 3).cast("int").alias("kafka_partition"),
         F.floor(eid / 3).cast("bigint").alias("kafka_offset"),
+        (F.col("ts") + F.expr("INTERVAL 2 SECONDS")).alias("kafka_timestamp"),
     )
 
 
@@ -164,3 +165,63 @@ def replayed_payloads(events: DataFrame) -> DataFrame:
     again = (raw_payloads(events.filter(F.col("event_id") % 10 == 0))
              .withColumn("kafka_offset", F.col("kafka_offset") + 10_000_000))
     return base.unionByName(again)
+
+
+def micro_batch_id(offset_col: str = "kafka_offset") -> Column:
+    """Simulated micro-batch number of an envelope row (500 offsets per batch)."""
+    return F.floor(F.col(offset_col) / 500).cast("bigint")
+
+
+# --------------------------------------------------------------------------
+# Stored API calls (status, requested symbols, response body)
+# --------------------------------------------------------------------------
+
+ALL3 = "BTC/USD,XAU/USD,EUR/USD"
+
+
+def api_calls_raw(events: DataFrame) -> DataFrame:
+    """One API call per event: call_id, ts_utc, symbols, http_status, latency_ms, body.
+
+    Body shape by ``event_id % 10``: 0 {symbol,price}; 1 {price}; 2 all three
+    symbols nested; 3 partial nested; 4 unparseable price; 5 {}; 6 status=error;
+    7 nested with one bad price; 8 {price} for two symbols; 9 {symbol,price}
+    for an unrequested symbol.  HTTP status by ``event_id % 20``: 7 -> 429,
+    13 -> 503, else 200.
+    """
+    eid = F.col("event_id")
+    w = eid % 10
+    sym = _symbol()
+    p = F.format_string("%.8f", _price())
+    p2 = F.format_string("%.5f", F.lit(2000.0) + F.col("value") / 8)
+    p3 = F.format_string("%.7f", F.lit(1.08) + F.col("value") / 50000)
+
+    def nested(s, val):
+        return F.concat(F.lit(f'"{s}":{{"price":"'), val, F.lit('"}'))
+
+    body = (F.when(w == 0, F.concat(F.lit('{"symbol":"'), sym, F.lit('","price":"'), p, F.lit('"}')))
+            .when(w == 1, F.concat(F.lit('{"price":"'), p, F.lit('"}')))
+            .when(w == 2, F.concat(F.lit("{"), nested("BTC/USD", p), F.lit(","),
+                                   nested("XAU/USD", p2), F.lit(","), nested("EUR/USD", p3), F.lit("}")))
+            .when(w == 3, F.concat(F.lit("{"), nested("BTC/USD", p), F.lit(","),
+                                   nested("EUR/USD", p3), F.lit("}")))
+            .when(w == 4, F.concat(F.lit('{"symbol":"'), sym, F.lit('","price":"n/a"}')))
+            .when(w == 5, F.lit("{}"))
+            .when(w == 6, F.concat(F.lit('{"status":"error","code":400,"message":"quota exceeded '),
+                                   eid.cast("string"), F.lit('"}')))
+            .when(w == 7, F.concat(F.lit("{"), nested("BTC/USD", p), F.lit(","),
+                                   nested("XAU/USD", F.lit("n/a")), F.lit("}")))
+            .when(w == 8, F.concat(F.lit('{"price":"'), p, F.lit('"}')))
+            .otherwise(F.concat(F.lit('{"symbol":"XAG/USD","price":"'), p, F.lit('"}'))))
+    symbols = (F.when(w.isin(2, 3, 6), F.lit(ALL3))
+               .when(w.isin(7, 8), F.lit("BTC/USD,XAU/USD"))
+               .when(w == 9, F.lit("BTC/USD"))
+               .otherwise(sym))
+    status = F.when(eid % 20 == 7, 429).when(eid % 20 == 13, 503).otherwise(200)
+    return events.select(
+        eid.alias("call_id"),
+        F.col("ts").alias("ts_utc"),
+        symbols.alias("symbols"),
+        status.cast("int").alias("http_status"),
+        F.floor(F.col("value") * 10).cast("int").alias("latency_ms"),
+        body.alias("body"),
+    )
