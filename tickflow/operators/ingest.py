@@ -88,10 +88,6 @@ def to_kafka_rows(events: DataFrame) -> DataFrame:
 _MAP = T.MapType(T.StringType(), T.StringType())
 
 
-def _price_of(text: Column) -> Column:
-    return F.try_cast(text, "double") if hasattr(F, "try_cast") else text.try_cast("double")
-
-
 def parsed_prices(body: Column, requested: Column) -> Column:
     """array<struct<symbol, price>> parsed from one API response body.
 
@@ -154,3 +150,59 @@ def classify_api_calls(calls: DataFrame) -> DataFrame:
         etype.alias("error_type"),
         msg.alias("error_msg"),
     )
+
+
+# ------------------------------------------------------------------ alert payloads
+
+_ALERT_TOP = T.StructType([
+    T.StructField("orgId", T.IntegerType()),
+    T.StructField("panelId", T.IntegerType()),
+    T.StructField("state", T.StringType()),
+    T.StructField("alerts", T.ArrayType(T.StringType())),
+])
+_ALERT = T.StructType([
+    T.StructField("status", T.StringType()),
+    T.StructField("state", T.StringType()),
+    T.StructField("fingerprint", T.StringType()),
+    T.StructField("ruleUid", T.StringType()),
+    T.StructField("uid", T.StringType()),
+    T.StructField("title", T.StringType()),
+    T.StructField("labels", T.StructType([T.StructField("severity", T.StringType())])),
+    T.StructField("annotations", T.StructType([T.StructField("summary", T.StringType()),
+                                               T.StructField("title", T.StringType())])),
+])
+
+
+def flatten_alerts(payloads: DataFrame, body_col: str = "body", source: str = "alerting") -> DataFrame:
+    """One row per alert object of each webhook payload (L3).
+
+    Bodies that are not JSON objects are rejected.  ``alerts`` is read as
+    ``array<string>`` so one non-object element cannot null the whole array;
+    only object elements are kept, and a payload without any yields a single
+    row with NULL alert fields.  Integer ids that are not JSON integers
+    become NULL.
+    """
+    b = F.col(body_col)
+    is_obj = F.coalesce(F.get_json_object(b, "$").isNotNull() & F.trim(b).startswith("{"),
+                        F.lit(False))
+    p = payloads.filter(is_obj).withColumn("_p", F.from_json(b, _ALERT_TOP))
+    objs = F.filter(F.coalesce(F.col("_p.alerts"), F.array().cast("array<string>")),
+                    lambda e: F.ltrim(e).startswith("{"))
+    x = p.select("*", F.explode_outer(objs).alias("_a_txt"))
+    x = x.withColumn("_a", F.from_json("_a_txt", _ALERT))
+    # JSON paths are case-sensitive; struct field resolution is not.
+    new_uid, old_uid = F.get_json_object(b, "$.dashboardUID"), F.get_json_object(b, "$.dashboardUid")
+    dash = F.when(F.length(new_uid) > 0, new_uid).otherwise(old_uid)
+    keep = [c for c in payloads.columns if c != body_col]
+    return x.select(
+        *keep,
+        F.lit(source).alias("source"),
+        F.col("_a.labels.severity").alias("severity"),
+        F.coalesce("_a.fingerprint", "_a.ruleUid", "_a.uid").alias("alert_uid"),
+        F.coalesce("_a.annotations.summary", "_a.annotations.title", "_a.title").alias("alert_title"),
+        F.coalesce("_a.status", "_a.state", "_p.state").alias("state"),
+        dash.alias("dashboard_uid"),
+        F.col("_p.panelId").alias("panel_id"),
+        F.col("_p.orgId").alias("org_id"),
+        b.alias("raw_payload"),
+    )

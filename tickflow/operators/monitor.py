@@ -165,3 +165,113 @@ def throughput(raw: DataFrame, cycle: str = "6 minutes") -> DataFrame:
         F.count(F.lit(1)).alias("rows"),
         F.round(F.avg(seconds_between("ingest_ts", "event_ts")), 6).alias("avg_latency_s"))
     return g.select(F.col("w.start").cast("timestamp_ntz").alias("cycle_start"), "rows", "avg_latency_s")
+
+
+# ------------------------------------------------------------------ alert rules (L1)
+
+# Alert rules (uid, metric, comparison, threshold, severity,
+# no-data state, pending period in seconds).
+RULES = [
+    ("stale_ingest_13m", "time_since_last_ingest_seconds", "gt", 780.0, "critical", "Alerting", 120),
+    ("btc_events_last_20m_low", "btc_events_last_20m", "lt", 2.0, "warning", "Alerting", 120),
+    ("api_errors_18m_ge_1", "errors_18m", "gt", 0.0, "warning", "Alerting", 120),
+    ("api_errors_18m_ge_3", "errors_18m", "gt", 2.0, "critical", "Alerting", 120),
+    ("dlq_events_last_15m_gt_0", "dlq_events_last_15m", "gt", 0.0, "warning", "OK", 120),
+    ("kafka_lag_warn_gt_50", "total_lag", "gt", 50.0, "warning", "OK", 120),
+    ("kafka_lag_crit_gt_500", "total_lag", "gt", 500.0, "critical", "OK", 120),
+    ("dbt_test_failures_35m", "test_failures_35m", "gt", 0.0, "warning", "Alerting", 120),
+    ("kafka_partition_lag_warn_gt_30", "max_partition_lag", "gt", 30.0, "warning", "OK", 120),
+    ("backup_stale_25h", "backup_age_seconds", "gt", 90000.0, "warning", "Alerting", 120),
+    ("mart_latest_prices_stale_20m", "latest_prices_age_seconds", "gt", 1200.0, "warning",
+     "Alerting", 120),
+]
+RULE_SCHEMA = ("rule_uid string, metric string, op string, threshold double, severity string, "
+               "no_data_state string, for_seconds int")
+
+
+def rules_df(spark: SparkSession) -> DataFrame:
+    return F.broadcast(spark.createDataFrame(RULES, RULE_SCHEMA))
+
+
+def _one(df: DataFrame, metric: str, value_col: str) -> DataFrame:
+    return df.select(F.lit(metric).alias("metric"), F.col(value_col).cast("double").alias("value"))
+
+
+def metric_snapshot(as_of, raw: DataFrame, calls: DataFrame, dlq: DataFrame, lag_log: DataFrame,
+                    runs: DataFrame, backups: DataFrame, latest: DataFrame,
+                    group_id: str, topic: str) -> DataFrame:
+    """Long (metric, value) frame of every rule's scalar query at ``as_of``."""
+    pm = pipeline_metrics(raw, as_of).select(
+        F.coalesce(F.col("time_since_last_ingest_seconds"), F.lit(EMPTY_FRESHNESS))
+        .alias("time_since_last_ingest_seconds"),
+        F.coalesce(F.col("btc_events_last_20m"), F.lit(0)).alias("btc_events_last_20m"))
+    am = api_metrics(calls, as_of, 18)
+    dl = dlq.filter(F.col("ts_utc") >= minus(as_of, "15 minutes")).agg(
+        F.count(F.lit(1)).alias("v"))
+    lag = lag_latest(lag_log.filter(F.col("ts_utc") <= ts_lit(as_of))) \
+        .filter((F.col("group_id") == group_id) & (F.col("topic") == topic))
+    from tickflow.operators.quality import failed_runs
+    fr = failed_runs(runs, as_of, 35).agg(F.count(F.lit(1)).alias("v"))
+    bk = freshness_seconds(backups.filter(F.col("status") == "OK"), "backup_ts", as_of)
+    lp = freshness_seconds(latest, "last_timestamp", as_of)
+    parts = [
+        _one(pm, "time_since_last_ingest_seconds", "time_since_last_ingest_seconds"),
+        _one(pm, "btc_events_last_20m", "btc_events_last_20m"),
+        _one(am, "errors_18m", "errors_18m"),
+        _one(dl, "dlq_events_last_15m", "v"),
+        _one(lag, "total_lag", "total_lag"),
+        _one(lag, "max_partition_lag", "max_partition_lag"),
+        _one(fr, "test_failures_35m", "v"),
+        _one(bk, "backup_age_seconds", "seconds"),
+        _one(lp, "latest_prices_age_seconds", "seconds"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _breach(value, op, threshold) -> F.Column:
+    return (F.when(op == "gt", value > threshold).when(op == "lt", value < threshold)
+            .when(op == "ge", value >= threshold).when(op == "le", value <= threshold)
+            .when(op == "eq", value == threshold))
+
+
+def evaluate_rules(metrics: DataFrame, rules: DataFrame) -> DataFrame:
+    """(rule_uid, metric, value, breached, severity); a metric with no row is
+    'no data' and resolves by the rule's no-data state."""
+    j = rules.join(metrics, "metric", "left")
+    breached = F.when(F.col("value").isNull(), F.col("no_data_state") == "Alerting") \
+        .otherwise(_breach(F.col("value"), F.col("op"), F.col("threshold")))
+    return j.select("rule_uid", "metric", "value", breached.alias("breached"), "severity")
+
+
+# ------------------------------------------------------------------ alert timeline
+
+def alert_timeline(samples: DataFrame, rules: DataFrame, bucket="day") -> DataFrame:
+    """State per evaluation: normal / pending / firing / resolved.
+
+    A rule fires once its condition has held for ``for_seconds`` since the
+    first breached sample of the current run of breached samples (gaps and
+    islands).  Run starts come from ``lag`` and the run start of each row
+    from a running max, both via the bucketed plan in ``plans.sequential``.
+    """
+    from tickflow.plans import sequential
+    r = samples.join(F.broadcast(rules.select("rule_uid", "op", "threshold", "no_data_state",
+                                              "for_seconds")), "rule_uid")
+    breached = F.when(F.col("value").isNull(), F.col("no_data_state") == "Alerting") \
+        .otherwise(_breach(F.col("value"), F.col("op"), F.col("threshold")))
+    s = r.select("rule_uid", "ts", "value", "for_seconds", breached.alias("breached"))
+    lagged = sequential.with_lag(s, ["rule_uid"], ["ts"], ["breached", "ts"], bucket=bucket)
+    starts = lagged.withColumn(
+        "start_ts", F.when(F.col("breached") & ~F.coalesce(F.col("prev_breached"), F.lit(False)),
+                           F.col("ts")))
+    runs = sequential.with_running_max(starts, ["rule_uid"], ["ts"], "start_ts", "island_start",
+                                       bucket=bucket)
+    held = seconds_between("ts", "island_start") >= F.col("for_seconds")
+    prev_held = seconds_between("prev_ts", "island_start") >= F.col("for_seconds")
+    state = (F.when(F.col("breached") & held, "firing")
+             .when(F.col("breached"), "pending")
+             .when(F.coalesce(F.col("prev_breached"), F.lit(False)) & prev_held, "resolved")
+             .otherwise("normal"))
+    return runs.select("rule_uid", "ts", "value", "breached", state.alias("state"))

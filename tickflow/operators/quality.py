@@ -35,3 +35,175 @@ def price_jumps(minute: DataFrame, bucket="day") -> DataFrame:
             .filter(F.col("pct_change").isNotNull() & limit)
             .select("commodity", "symbol", "minute_bucket", "last_price",
                     F.col("prev_last_price").alias("prev_price"), "pct_change"))
+
+
+# ------------------------------------------------------------------ check specs (Q1-Q5)
+
+@dataclass(frozen=True)
+class Check:
+    kind: str            # not_null | unique | accepted_values | expression
+    columns: tuple = ()  # one column, or the key columns of a uniqueness check
+    values: tuple = ()   # accepted values
+    expr: str = ""       # SQL boolean expression; NULL result passes
+
+    @property
+    def name(self) -> str:
+        if self.kind == "expression":
+            return f"expression_is_true:{self.expr}"
+        if self.kind == "accepted_values":
+            return f"accepted_values:{self.columns[0]}"
+        return f"{self.kind}:{'+'.join(self.columns)}"
+
+
+def not_null(col: str) -> Check:
+    return Check("not_null", (col,))
+
+
+def unique(*cols: str) -> Check:
+    return Check("unique", tuple(cols))
+
+
+def accepted(col: str, values) -> Check:
+    return Check("accepted_values", (col,), tuple(values))
+
+
+def expression(sql: str) -> Check:
+    return Check("expression", (), (), sql)
+
+
+def _row_failure(c: Check) -> Column:
+    if c.kind == "not_null":
+        return F.count_if(F.col(c.columns[0]).isNull())
+    if c.kind == "accepted_values":
+        col = F.col(c.columns[0])
+        return F.count_if(col.isNotNull() & ~col.isin(*c.values))
+    if c.kind == "expression":
+        return F.count_if(F.coalesce(~F.expr(c.expr), F.lit(False)))
+    raise ValueError(c.kind)
+
+
+def duplicates(df: DataFrame, keys) -> DataFrame:
+    """Key values occurring more than once; rows with a NULL key are ignored."""
+    keys = list(keys)
+    nn = df
+    for k in keys:
+        nn = nn.filter(F.col(k).isNotNull())
+    return nn.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
+def run_checks(tables: dict[str, DataFrame], specs: dict[str, list[Check]]) -> DataFrame:
+    """All checks -> (table_name, check_name, failures, status) (Q7).
+
+    Row-level checks of one table are fused into a single aggregate (one scan);
+    each uniqueness check is one grouped aggregate with map-side combine.
+    """
+    parts = []
+    for table, checks in specs.items():
+        df = tables[table]
+        row_checks = [c for c in checks if c.kind != "unique"]
+        if row_checks:
+            agg = df.agg(*[_row_failure(c).alias(f"c{i}") for i, c in enumerate(row_checks)])
+            parts.append(agg.select(F.explode(F.array(*[
+                F.struct(F.lit(table).alias("table_name"), F.lit(c.name).alias("check_name"),
+                         F.col(f"c{i}").cast("bigint").alias("failures"))
+                for i, c in enumerate(row_checks)])).alias("r")).select("r.*"))
+        for c in checks:
+            if c.kind == "unique":
+                dup = duplicates(df, c.columns)
+                parts.append(dup.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("failures"))
+                             .select(F.lit(table).alias("table_name"), F.lit(c.name).alias("check_name"),
+                                     "failures"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+
+
+COMMODITIES = ("gold", "bitcoin", "eurusd")
+CURRENCIES = ("USD",)
+MOVE_TYPES = ("MEDIUM_MOVE", "LARGE_MOVE", "EXTREME_MOVE")
+
+
+def default_specs() -> dict[str, list[Check]]:
+    """The staging and mart checks of the original project."""
+    return {
+        "stg_raw_prices": [
+            expression("event_ts <= ingest_ts + INTERVAL 1 MINUTE"),
+            expression("event_ts >= ingest_ts - INTERVAL 24 HOURS"),
+            not_null("event_id"), unique("event_id"),
+            not_null("commodity"), accepted("commodity", COMMODITIES),
+            not_null("symbol"), not_null("price"),
+            not_null("currency"), accepted("currency", CURRENCIES),
+            not_null("event_ts"), not_null("ingest_ts"), not_null("source"),
+        ],
+        "mart_latest_prices": [
+            unique("commodity", "symbol"), expression("last_price > 0"),
+            not_null("commodity"), accepted("commodity", COMMODITIES),
+            not_null("symbol"), not_null("last_timestamp"), not_null("last_price"),
+            not_null("currency"), accepted("currency", CURRENCIES), not_null("source"),
+        ],
+        "mart_minute_last_price": [
+            unique("commodity", "symbol", "minute_bucket"),
+            expression("min_price <= max_price"), expression("last_price > 0"),
+            expression("min_price > 0"), expression("max_price > 0"), expression("n >= 1"),
+            not_null("commodity"), accepted("commodity", COMMODITIES),
+            not_null("symbol"), not_null("minute_bucket"), not_null("last_price"),
+            not_null("n"), not_null("min_price"), not_null("max_price"),
+        ],
+        "mart_price_events": [
+            unique("commodity", "symbol", "event_ts"),
+            expression("price_change_pct is not null"),
+            not_null("commodity"), accepted("commodity", COMMODITIES),
+            *[not_null(c) for c in ("symbol", "prev_event_ts", "event_ts", "time_gap_seconds",
+                                    "current_price", "prev_price", "price_change_pct",
+                                    "event_type")],
+            accepted("event_type", MOVE_TYPES),
+        ],
+        "mart_price_volatility_1h": [
+            unique("commodity", "symbol", "hour_bucket"),
+            expression("observations_count >= 1"), expression("min_price <= max_price"),
+            not_null("commodity"), accepted("commodity", COMMODITIES),
+            *[not_null(c) for c in ("symbol", "hour_bucket", "observations_count", "avg_price",
+                                    "min_price", "max_price", "price_stddev", "price_range",
+                                    "range_pct")],
+        ],
+    }
+
+
+# ------------------------------------------------------------------ test runs
+
+def read_test_results(spark: SparkSession, path: str) -> DataFrame:
+    """A run-results JSON document -> one row per result."""
+    doc = spark.read.option("multiLine", True).json(path)
+    return doc.select(F.explode("results").alias("r")).select("r.*")
+
+
+def summarise(results: DataFrame, run_col: str = "run_ts_utc", environment: str = "dev") -> DataFrame:
+    """Per run: pass/warn/error/fail/skipped/total and the run status (A16):
+    any error or fail -> FAIL, else any warn -> WARN, else PASS."""
+    s = F.col("status")
+    g = results.groupBy(run_col).agg(
+        F.count(F.lit(1)).cast("int").alias("total"),
+        F.count_if(s == "pass").cast("int").alias("pass"),
+        F.count_if(s == "warn").cast("int").alias("warn"),
+        F.count_if(s == "error").cast("int").alias("error"),
+        F.count_if(s == "fail").cast("int").alias("fail"),
+        F.count_if(s == "skipped").cast("int").alias("skipped"))
+    status = (F.when((F.col("error") > 0) | (F.col("fail") > 0), "FAIL")
+              .when(F.col("warn") > 0, "WARN").otherwise("PASS"))
+    return g.select(run_col, F.lit(environment).alias("environment"), status.alias("status"),
+                    "total", "pass", "warn", "error", "fail", "skipped")
+
+
+def failed_runs(runs: DataFrame, as_of, minutes: int = 35) -> DataFrame:
+    """FAIL runs in the trailing window."""
+    return runs.filter((F.col("run_ts_utc") >= minus(as_of, f"{minutes} minutes"))
+                       & (F.col("status") == "FAIL"))
+
+
+def pass_rate(runs: DataFrame, as_of, hours: int = 24) -> DataFrame:
+    """Share of passed tests and newest run age over a trailing window."""
+    w = runs.filter(F.col("run_ts_utc") >= minus(as_of, f"{hours} hours"))
+    return w.agg(F.round(F.sum("pass") * 100.0 / F.sum("total"), 2).alias("pass_rate_pct"),
+                 F.floor(seconds_between(ts_lit(as_of), F.max("run_ts_utc"))).cast("bigint")
+                 .alias("seconds_since_last_run"))

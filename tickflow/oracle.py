@@ -370,7 +370,7 @@ FROM (SELECT call_id, unnest(prices) AS p FROM api_parsed
         AND coalesce(json_extract_string(body, '$.status') <> 'error', TRUE)) u
 """, API_RAW)
 
-API_CALL_CLASSES = q("""
+API_CLASSES_SELECT = """
 SELECT call_id, ts_utc, symbols,
        CASE WHEN http_status >= 400 AND http_status <> 429 AND NOT http_status BETWEEN 500 AND 599
             THEN NULL ELSE http_status END AS http_status,
@@ -391,7 +391,393 @@ FROM (
         FROM api_raw) r
   JOIN api_parsed a USING (call_id)
 ) c
-""", API_RAW)
+"""
+API_CALL_CLASSES = q(API_CLASSES_SELECT, API_RAW)
+API_CALLS = "api_calls AS (" + API_CLASSES_SELECT + ")"
+
+
+
+# ---------------------------------------------------------------- write paths
+
+INSERT_NEW = q("""
+SELECT event_id, commodity, symbol, price, currency, event_ts, source, kafka_partition, kafka_offset
+FROM (SELECT * FROM validated WHERE error_reason IS NULL
+      QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY kafka_partition, kafka_offset) = 1) d
+WHERE event_id NOT IN (SELECT event_id FROM ticks WHERE eid % 4 = 0)
+""", ENV, REPLAYED, validated_cte("validated", "replayed"))
+
+ARRIVALS = """
+arrivals AS (
+  SELECT *, CASE WHEN eid % 50 = 0 THEN event_ts + INTERVAL 45 MINUTE ELSE ingest_ts END AS arrival_ts
+  FROM ticks
+)
+"""
+
+UPSERT_MINUTE = q("""
+SELECT * FROM run1 r
+WHERE NOT EXISTS (SELECT 1 FROM run2 n WHERE n.commodity = r.commodity AND n.symbol = r.symbol
+                  AND n.minute_bucket = r.minute_bucket)
+UNION ALL
+SELECT * FROM run2
+""", ARRIVALS,
+    "run1 AS (" + MINUTE_BODY.format(
+        src="(SELECT * FROM arrivals WHERE arrival_ts < TIMESTAMP '2024-01-20 00:00:00') a") + ")",
+    "bound AS (SELECT max(minute_bucket) - INTERVAL 30 MINUTE AS b FROM run1)",
+    "run2 AS (" + MINUTE_BODY.format(
+        src="(SELECT * FROM arrivals WHERE event_ts >= (SELECT b FROM bound)) a") + ")")
+
+RETENTION = q("""
+SELECT event_id, commodity, symbol, price, currency, event_ts, source, ingest_ts,
+       kafka_partition, kafka_offset
+FROM ticks WHERE event_ts >= (SELECT t FROM as_of) - INTERVAL 14 DAY
+""")
+
+# ---------------------------------------------------------------- monitoring
+
+SECS = "date_diff('microsecond', {b}, {a}) / 1e6"
+
+PIPELINE_METRICS = q(f"""
+SELECT CAST(round({SECS.format(a='(SELECT t FROM as_of)', b='max(ingest_ts)')}) AS INTEGER)
+         AS time_since_last_ingest_seconds,
+       count(*) FILTER (WHERE ingest_ts >= (SELECT t FROM as_of) - INTERVAL 6 MINUTE) AS events_last_6m,
+       count(*) FILTER (WHERE ingest_ts >= (SELECT t FROM as_of) - INTERVAL 20 MINUTE
+                        AND commodity = 'bitcoin') AS btc_events_last_20m
+FROM ticks
+""")
+
+API_METRICS_18M = q("""
+SELECT count(*) AS calls_18m, count(*) FILTER (WHERE NOT ok) AS errors_18m,
+       CASE WHEN count(*) > 0 THEN round(100.0e0 * count(*) FILTER (WHERE ok) / count(*), 1)
+            ELSE 100.0e0 END AS success_rate_18m
+FROM api_calls WHERE ts_utc >= (SELECT t FROM as_of) - INTERVAL 18 MINUTE
+""", API_RAW, API_CALLS)
+
+API_STATUS_HISTOGRAM = q("""
+SELECT http_status, count(*) AS calls
+FROM api_calls WHERE ts_utc >= (SELECT t FROM as_of) - INTERVAL 15 MINUTE
+GROUP BY 1
+""", API_RAW, API_CALLS)
+
+API_LATENCY_P95 = q("""
+SELECT quantile_cont(CAST(latency_ms AS DOUBLE), 0.95) AS p95_latency_ms, count(*) AS calls
+FROM api_calls WHERE ts_utc >= (SELECT t FROM as_of) - INTERVAL 60 MINUTE
+""", API_RAW, API_CALLS)
+
+CONSUMER_LAG = q("""
+SELECT CAST(coalesce(sum(lag), 0) AS BIGINT) AS total_lag,
+       CAST(coalesce(max(lag), 0) AS BIGINT) AS max_partition_lag
+FROM (
+  SELECT greatest(0, high - CASE WHEN last_processed IS NULL THEN low
+                                 ELSE greatest(last_processed + 1, low) END) AS lag
+  FROM (SELECT kafka_partition AS partition, min(kafka_offset) + kafka_partition AS low,
+               max(kafka_offset) + 1 + 7 * kafka_partition AS high
+        FROM env GROUP BY kafka_partition) wm
+  LEFT JOIN (SELECT kafka_partition AS partition, max(kafka_offset) AS last_processed
+             FROM validated WHERE error_reason IS NULL GROUP BY 1) done USING (partition)
+) pl
+""", ENV, validated_cte("validated", "env"))
+
+LAG_LOG = """
+lag_log AS (
+  SELECT CASE WHEN user_id % 3 = 0 THEN 'other_group' ELSE 'tick_ingest' END AS group_id,
+         'prices' AS topic, ts AS ts_utc, CAST(user_id % 600 AS BIGINT) AS total_lag,
+         CAST(user_id % 200 AS BIGINT) AS max_partition_lag
+  FROM events WHERE event_type = 'error'
+)
+"""
+
+KAFKA_LAG_LATEST = q("""
+SELECT group_id, topic, ts_utc, total_lag, max_partition_lag FROM lag_log
+QUALIFY row_number() OVER (PARTITION BY group_id, topic ORDER BY ts_utc DESC) = 1
+""", LAG_LOG)
+
+DLQ_PER_DAY = q("""
+SELECT date_trunc('day', kafka_timestamp) AS day, count(*) AS dlq_events
+FROM validated
+WHERE error_reason IS NOT NULL AND kafka_timestamp >= (SELECT t FROM as_of) - INTERVAL 7 DAY
+  AND kafka_timestamp <= (SELECT t FROM as_of)
+GROUP BY 1
+""", ENV, validated_cte("validated", "env"))
+
+DLQ_RATE = q("""
+SELECT day, bad_rows, good_rows, round(bad_rows / (bad_rows + good_rows), 6) AS dlq_rate
+FROM (
+  SELECT date_trunc('day', kafka_timestamp) AS day,
+         count(*) FILTER (WHERE error_reason IS NOT NULL) AS bad_rows,
+         count(*) FILTER (WHERE error_reason IS NULL) AS good_rows
+  FROM validated
+  WHERE kafka_timestamp >= (SELECT t FROM as_of) - INTERVAL 7 DAY
+    AND kafka_timestamp <= (SELECT t FROM as_of)
+  GROUP BY 1
+) d
+""", ENV, validated_cte("validated", "env"))
+
+BACKUPS = """
+backups AS (
+  SELECT day + INTERVAL 2 HOUR AS backup_ts,
+         CASE WHEN dayofmonth(day) % 6 = 0 THEN 'FAILED' ELSE 'OK' END AS status
+  FROM (SELECT date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY 1) d
+)
+"""
+LATEST_TICKS = "latest AS (" + LATEST_BODY.replace("FROM stale", "FROM ticks") + ")"
+
+
+def fresh(col: str, table: str, where: str = "") -> str:
+    return (f"SELECT coalesce(CAST(floor({SECS.format(a='(SELECT t FROM as_of)', b=f'max({col})')})"
+            f" AS BIGINT), 999999) AS seconds FROM {table} {where}")
+
+
+FRESHNESS = q(f"""
+SELECT 'ingest' AS source, seconds FROM ({fresh('ingest_ts', 'ticks')}) a
+UNION ALL SELECT 'backup', seconds FROM ({fresh('backup_ts', 'backups', "WHERE status = 'OK'")}) b
+UNION ALL SELECT 'mart_latest_prices', seconds FROM ({fresh('last_timestamp', 'latest')}) c
+""", BACKUPS, LATEST_TICKS)
+
+THROUGHPUT_PER_CYCLE = q("""
+SELECT time_bucket(INTERVAL 6 MINUTE, ingest_ts, TIMESTAMP '1970-01-01 00:00:00') AS cycle_start,
+       count(*) AS rows,
+       round(avg(date_diff('microsecond', event_ts, ingest_ts) / 1e6), 6) AS avg_latency_s
+FROM ticks GROUP BY 1
+""")
+
+TABLE_SUMMARY = q("""
+SELECT count(*) AS total_rows, max(event_ts) AS newest_event, max(ingest_ts) AS newest_ingest FROM ticks
+""")
+
+
+def _check_sql(table: str, check) -> str:
+    name = check.name.replace("'", "''")
+    if check.kind == "unique":
+        nn = " AND ".join(f"{c} IS NOT NULL" for c in check.columns)
+        keys = ", ".join(check.columns)
+        return (f"SELECT '{table}' AS table_name, '{name}' AS check_name, "
+                f"CAST(coalesce(sum(n), 0) AS BIGINT) AS failures FROM "
+                f"(SELECT count(*) AS n FROM {table} WHERE {nn} GROUP BY {keys} HAVING count(*) > 1) d")
+    if check.kind == "not_null":
+        cond = f"{check.columns[0]} IS NULL"
+    elif check.kind == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in check.values)
+        cond = f"{check.columns[0]} IS NOT NULL AND {check.columns[0]} NOT IN ({vals})"
+    else:
+        cond = f"NOT ({check.expr})"
+    return (f"SELECT '{table}' AS table_name, '{name}' AS check_name, "
+            f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS failures FROM {table}")
+
+
+def _quality_sql() -> str:
+    from tickflow.operators.quality import default_specs
+    parts = [_check_sql(t, c) for t, cs in default_specs().items() for c in cs]
+    body = ("SELECT table_name, check_name, failures, "
+            "CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (\n"
+            + "\nUNION ALL\n".join(parts) + "\n) x")
+    return q(body,
+             "stg_raw_prices AS (SELECT * FROM ticks)",
+             "mart_latest_prices AS (" + LATEST_BODY.replace("FROM stale", "FROM ticks") + ")",
+             "mart_minute_last_price AS (" + MINUTE_BODY.format(src="ticks") + ")",
+             "mart_price_events AS (" + EVENTS_BODY.format(src="ticks") + ")",
+             "mart_price_volatility_1h AS (" + VOLATILITY_BODY + ")")
+
+
+RESULTS = """
+results AS (
+  SELECT date_trunc('hour', ts) + INTERVAL 30 MINUTE AS run_ts_utc,
+         CASE WHEN event_type = 'error' AND value > 480 THEN 'fail'
+              WHEN event_type = 'error' AND value > 460 THEN 'error'
+              WHEN event_type = 'signup' AND value > 450 THEN 'warn'
+              WHEN event_type = 'purchase' AND value > 470 THEN 'skipped'
+              ELSE 'pass' END AS status
+  FROM events
+),
+runs AS (
+  SELECT run_ts_utc, 'dev' AS environment,
+         CASE WHEN error > 0 OR fail > 0 THEN 'FAIL' WHEN warn > 0 THEN 'WARN' ELSE 'PASS' END AS status,
+         total, pass, warn, error, fail, skipped
+  FROM (SELECT run_ts_utc, CAST(count(*) AS INTEGER) AS total,
+               CAST(count(*) FILTER (WHERE status = 'pass') AS INTEGER) AS pass,
+               CAST(count(*) FILTER (WHERE status = 'warn') AS INTEGER) AS warn,
+               CAST(count(*) FILTER (WHERE status = 'error') AS INTEGER) AS error,
+               CAST(count(*) FILTER (WHERE status = 'fail') AS INTEGER) AS fail,
+               CAST(count(*) FILTER (WHERE status = 'skipped') AS INTEGER) AS skipped
+        FROM results GROUP BY 1) g
+)
+"""
+
+TEST_RUN_SUMMARY = q("SELECT * FROM runs", RESULTS)
+
+RULES = """
+rules AS (SELECT * FROM (VALUES
+  ('stale_ingest_13m', 'time_since_last_ingest_seconds', 'gt', 780.0e0, 'critical', 'Alerting', 120),
+  ('btc_events_last_20m_low', 'btc_events_last_20m', 'lt', 2.0e0, 'warning', 'Alerting', 120),
+  ('api_errors_18m_ge_1', 'errors_18m', 'gt', 0.0e0, 'warning', 'Alerting', 120),
+  ('api_errors_18m_ge_3', 'errors_18m', 'gt', 2.0e0, 'critical', 'Alerting', 120),
+  ('dlq_events_last_15m_gt_0', 'dlq_events_last_15m', 'gt', 0.0e0, 'warning', 'OK', 120),
+  ('kafka_lag_warn_gt_50', 'total_lag', 'gt', 50.0e0, 'warning', 'OK', 120),
+  ('kafka_lag_crit_gt_500', 'total_lag', 'gt', 500.0e0, 'critical', 'OK', 120),
+  ('dbt_test_failures_35m', 'test_failures_35m', 'gt', 0.0e0, 'warning', 'Alerting', 120),
+  ('kafka_partition_lag_warn_gt_30', 'max_partition_lag', 'gt', 30.0e0, 'warning', 'OK', 120),
+  ('backup_stale_25h', 'backup_age_seconds', 'gt', 90000.0e0, 'warning', 'Alerting', 120),
+  ('mart_latest_prices_stale_20m', 'latest_prices_age_seconds', 'gt', 1200.0e0, 'warning', 'Alerting', 120)
+) r(rule_uid, metric, op, threshold, severity, no_data_state, for_seconds))
+"""
+
+ALERT_RULES = q(f"""
+SELECT r.rule_uid, r.metric, m.value,
+       CASE WHEN m.value IS NULL THEN r.no_data_state = 'Alerting'
+            WHEN r.op = 'gt' THEN m.value > r.threshold
+            WHEN r.op = 'lt' THEN m.value < r.threshold END AS breached,
+       r.severity
+FROM rules r LEFT JOIN (
+  SELECT 'time_since_last_ingest_seconds' AS metric, CAST(coalesce(CAST(round({SECS.format(a='(SELECT t FROM as_of)', b='max(ingest_ts)')}) AS INTEGER), 999999) AS DOUBLE) AS value FROM ticks
+  UNION ALL SELECT 'btc_events_last_20m', CAST(count(*) FILTER (WHERE ingest_ts >= (SELECT t FROM as_of) - INTERVAL 20 MINUTE AND commodity = 'bitcoin') AS DOUBLE) FROM ticks
+  UNION ALL SELECT 'errors_18m', CAST(count(*) FILTER (WHERE NOT ok) AS DOUBLE) FROM api_calls WHERE ts_utc >= (SELECT t FROM as_of) - INTERVAL 18 MINUTE
+  UNION ALL SELECT 'dlq_events_last_15m', CAST(count(*) AS DOUBLE) FROM validated WHERE error_reason IS NOT NULL AND kafka_timestamp >= (SELECT t FROM as_of) - INTERVAL 15 MINUTE
+  UNION ALL SELECT 'total_lag', CAST(total_lag AS DOUBLE) FROM lag_latest
+  UNION ALL SELECT 'max_partition_lag', CAST(max_partition_lag AS DOUBLE) FROM lag_latest
+  UNION ALL SELECT 'test_failures_35m', CAST(count(*) AS DOUBLE) FROM runs WHERE run_ts_utc >= (SELECT t FROM as_of) - INTERVAL 35 MINUTE AND status = 'FAIL'
+  UNION ALL SELECT 'backup_age_seconds', CAST(seconds AS DOUBLE) FROM ({fresh('backup_ts', 'backups', "WHERE status = 'OK'")}) b
+  UNION ALL SELECT 'latest_prices_age_seconds', CAST(seconds AS DOUBLE) FROM ({fresh('last_timestamp', 'latest')}) c
+) m ON m.metric = r.metric
+""", API_RAW, API_CALLS, ENV, validated_cte("validated", "env"), LAG_LOG,
+    """lag_latest AS (SELECT * FROM lag_log WHERE ts_utc <= (SELECT t FROM as_of)
+       QUALIFY row_number() OVER (PARTITION BY group_id, topic ORDER BY ts_utc DESC) = 1)""",
+    RESULTS, BACKUPS, LATEST_TICKS, RULES)
+ALERT_RULES = ALERT_RULES.replace("FROM lag_latest\n", "FROM lag_latest WHERE group_id = 'tick_ingest' AND topic = 'prices'\n")
+
+ALERT_TIMELINE = q("""
+SELECT rule_uid, ts, value, breached,
+       CASE WHEN breached AND date_diff('microsecond', island_start, ts) / 1e6 >= for_seconds THEN 'firing'
+            WHEN breached THEN 'pending'
+            WHEN coalesce(prev_b, FALSE)
+                 AND date_diff('microsecond', island_start, prev_ts) / 1e6 >= for_seconds THEN 'resolved'
+            ELSE 'normal' END AS state
+FROM (
+  SELECT *, max(start_ts) OVER (PARTITION BY rule_uid ORDER BY ts
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island_start
+  FROM (
+    SELECT *, CASE WHEN breached AND NOT coalesce(prev_b, FALSE) THEN ts END AS start_ts
+    FROM (
+      SELECT *, lag(breached) OVER w AS prev_b, lag(ts) OVER w AS prev_ts
+      FROM (
+        SELECT s.rule_uid, s.ts, s.value, r.for_seconds,
+               CASE WHEN s.value IS NULL THEN r.no_data_state = 'Alerting'
+                    WHEN r.op = 'gt' THEN s.value > r.threshold
+                    WHEN r.op = 'lt' THEN s.value < r.threshold END AS breached
+        FROM samples s JOIN rules r USING (rule_uid)
+      ) b
+      WINDOW w AS (PARTITION BY rule_uid ORDER BY ts)
+    ) l
+  ) st
+) r2
+""", RULES, """
+samples AS (
+  SELECT CASE event_type WHEN 'click' THEN 'btc_events_last_20m_low'
+              WHEN 'view' THEN 'api_errors_18m_ge_1' WHEN 'purchase' THEN 'dlq_events_last_15m_gt_0'
+              WHEN 'signup' THEN 'kafka_lag_warn_gt_50' ELSE 'stale_ingest_13m' END AS rule_uid,
+         ts,
+         CASE WHEN event_id % 41 = 0 THEN NULL ELSE CAST(
+           CASE event_type WHEN 'click' THEN floor(value) % 5 WHEN 'view' THEN floor(value) % 8
+                WHEN 'purchase' THEN floor(value) % 3 WHEN 'signup' THEN floor(value)
+                ELSE floor(value * 10) END AS DOUBLE) END AS value
+  FROM events
+)
+""")
+
+ALERT_PAYLOADS = q("""
+SELECT payload_id, received_ts, 'alerting' AS source,
+       json_extract_string(alert, '$.labels.severity') AS severity,
+       coalesce(json_extract_string(alert, '$.fingerprint'), json_extract_string(alert, '$.ruleUid'),
+                json_extract_string(alert, '$.uid')) AS alert_uid,
+       coalesce(json_extract_string(alert, '$.annotations.summary'),
+                json_extract_string(alert, '$.annotations.title'),
+                json_extract_string(alert, '$.title')) AS alert_title,
+       coalesce(json_extract_string(alert, '$.status'), json_extract_string(alert, '$.state'),
+                json_extract_string(body, '$.state')) AS state,
+       coalesce(nullif(json_extract_string(body, '$.dashboardUID'), ''),
+                json_extract_string(body, '$.dashboardUid')) AS dashboard_uid,
+       CASE WHEN json_type(body, '$.panelId') IN ('UBIGINT', 'BIGINT')
+            THEN CAST(json_extract(body, '$.panelId') AS INTEGER) END AS panel_id,
+       CASE WHEN json_type(body, '$.orgId') IN ('UBIGINT', 'BIGINT')
+            THEN CAST(json_extract(body, '$.orgId') AS INTEGER) END AS org_id,
+       body AS raw_payload
+FROM (
+  SELECT payload_id, received_ts, body,
+         unnest(CASE WHEN len(objs) = 0 THEN [NULL::JSON] ELSE objs END) AS alert
+  FROM (
+    SELECT *, list_filter(CASE WHEN json_type(body, '$.alerts') = 'ARRAY'
+                               THEN json_extract(body, '$.alerts[*]') ELSE [] END,
+                          lambda e: json_type(e) = 'OBJECT') AS objs
+    FROM payloads WHERE json_valid(body) AND json_type(body) = 'OBJECT'
+  ) o
+) x
+""", """
+payloads AS (
+  SELECT event_id AS payload_id, ts AS received_ts,
+    CASE event_id % 10
+      WHEN 0 THEN '{"orgId":1,"dashboardUID":"dash-' || (event_id % 5) || '","panelId":' || (event_id % 7)
+        || ',"state":"alerting","alerts":[{"status":"firing","fingerprint":"fp' || event_id
+        || '","labels":{"severity":"critical"},"annotations":{"summary":"Lag ' || user_id
+        || '"}},{"status":"resolved","fingerprint":"fp' || event_id
+        || 'b","labels":{"severity":"warning"},"annotations":{"summary":"Lag ok"}}]}'
+      WHEN 1 THEN '{"orgId":1,"state":"ok","title":"t' || event_id || '"}'
+      WHEN 2 THEN '{"orgId":1,"alerts":"oops","state":"pending"}'
+      WHEN 3 THEN '{"orgId":1,"alerts":[1,"x",{"state":"firing","ruleUid":"r' || event_id
+        || '","title":"T' || event_id || '","labels":{"severity":"warning"}}]}'
+      WHEN 4 THEN '{"orgId":1,"dashboardUID":"","dashboardUid":"old-' || (event_id % 5)
+        || '","panelId":3,"alerts":[{"state":"alerting","uid":"u' || event_id
+        || '","annotations":{"title":"Old ' || event_id || '"}}]}'
+      WHEN 5 THEN '{"orgId":"1","panelId":"7","alerts":[{"status":"firing","fingerprint":"fp'
+        || event_id || '"}]}'
+      WHEN 6 THEN '{"orgId":2,"alerts":[],"state":"alerting"}'
+      WHEN 7 THEN '{"alerts":[null,5]}'
+      WHEN 8 THEN '["not","an","object"]'
+      ELSE '{"orgId":1,"alerts":[' END AS body
+  FROM events WHERE event_type = 'error'
+)
+""")
+
+# ---------------------------------------------------------------- dashboards
+
+VOL_EV = ["vol AS (" + VOLATILITY_BODY + ")", "ev AS (" + EVENTS_BODY.format(src="ticks") + ")"]
+
+
+def price_text(col: str) -> str:
+    return (f"CASE WHEN symbol = 'EUR/USD' THEN printf('%.4f', round({col}, 4)) "
+            f"ELSE printf('%.2f', round({col}, 2)) END")
+
+
+PRICE_STATISTICS = q(f"""
+SELECT v.symbol AS instrument,
+       CASE WHEN v.symbol = 'EUR/USD' THEN printf('%.4f', round(v.avg_price, 4))
+            ELSE printf('%.2f', round(v.avg_price, 2)) END AS avg_price,
+       round(v.price_range, 4) AS price_range, round(v.range_pct, 3) AS range_pct,
+       round(v.price_stddev, 4) AS stddev, round(coalesce(m.largest_move, 0), 3) AS largest_move,
+       CAST(coalesce(m.events, 0) AS BIGINT) AS events, v.observations_count AS observations
+FROM (SELECT * FROM vol WHERE hour_bucket = (SELECT max(hour_bucket) FROM vol)) v
+LEFT JOIN (
+  SELECT symbol, max(abs(price_change_pct)) AS largest_move, count(*) AS events FROM ev
+  WHERE event_ts >= (SELECT max(hour_bucket) FROM vol)
+    AND event_ts < (SELECT max(hour_bucket) FROM vol) + INTERVAL 1 HOUR
+  GROUP BY symbol
+) m ON v.symbol = m.symbol
+""", *VOL_EV)
+
+HOURLY_PRICE_CHANGE = q("""
+SELECT hour_bucket AS "time", round(range_pct, 2) AS "range", symbol AS metric
+FROM vol
+WHERE hour_bucket BETWEEN (SELECT t FROM as_of) - INTERVAL 7 DAY AND (SELECT t FROM as_of)
+""", VOL_EV[0])
+
+RECENT_PRICE_EVENTS = q(f"""
+SELECT strftime(event_ts, '%Y-%b-%d') AS "date", strftime(event_ts, '%H:%M:%S') AS "time",
+       symbol AS instrument, event_type AS event, round(price_change_pct, 2) AS change,
+       {price_text('prev_price')} AS prev_price, {price_text('current_price')} AS current_price
+FROM ev ORDER BY event_ts DESC, symbol LIMIT 100
+""", VOL_EV[1])
+
+LAST_UPDATE_LABEL = q("""
+SELECT 'As of ' || strftime(event_ts, '%H:%M') || ' UTC ' || strftime(event_ts, '%d/%m/%Y') AS last_update
+FROM ticks WHERE commodity = 'bitcoin' ORDER BY event_ts DESC, event_id DESC LIMIT 1
+""")
 
 
 def all_sql() -> dict[str, str]:
@@ -414,4 +800,28 @@ def all_sql() -> dict[str, str]:
         "event_uuid5": EVENT_UUID5,
         "price_responses": PRICE_RESPONSES,
         "api_call_classes": API_CALL_CLASSES,
+        "insert_new": INSERT_NEW,
+        "upsert_minute": UPSERT_MINUTE,
+        "retention": RETENTION,
+        "pipeline_metrics": PIPELINE_METRICS,
+        "api_metrics_18m": API_METRICS_18M,
+        "api_status_histogram": API_STATUS_HISTOGRAM,
+        "api_latency_p95": API_LATENCY_P95,
+        "consumer_lag": CONSUMER_LAG,
+        "kafka_lag_latest": KAFKA_LAG_LATEST,
+        "dlq_per_day": DLQ_PER_DAY,
+        "dlq_rate": DLQ_RATE,
+        "freshness": FRESHNESS,
+        "throughput_per_cycle": THROUGHPUT_PER_CYCLE,
+        "table_summary": TABLE_SUMMARY,
+        "quality_results": _quality_sql(),
+        "test_run_summary": TEST_RUN_SUMMARY,
+        "alert_rules": ALERT_RULES,
+        "alert_timeline": ALERT_TIMELINE,
+        "alert_payloads": ALERT_PAYLOADS,
+        "price_statistics": PRICE_STATISTICS,
+        "hourly_price_change": HOURLY_PRICE_CHANGE,
+        "recent_price_events": RECENT_PRICE_EVENTS,
+        "last_update_label": LAST_UPDATE_LABEL,
+        "price_events_bucketed": PRICE_EVENTS,
     }

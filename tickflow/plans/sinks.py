@@ -133,24 +133,27 @@ def apply_retention(spark: SparkSession, path: str, ts_col: str, cutoff,
     """
     from tickflow.functions.timeutil import ts_lit
     cut = ts_lit(cutoff)
-    df = spark.read.parquet(path)
     cutoff_date = spark.range(1).select(F.to_date(cut).alias("d")).collect()[0]["d"]
-    dates = _touched_values(df, partition_col)
-    fs, _ = _fs(spark, path)
+    fs, root = _fs(spark, path)
     jvm = spark.sparkContext._jvm
+    df = spark.read.parquet(path)
     dropped = 0
-    for d in dates:
-        if d < cutoff_date:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={d}"), True)
-            dropped += 1
-    boundary = df.filter((F.col(partition_col) == F.lit(cutoff_date)))
+    # Partition directories are listed from the file system (no data scan).
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{partition_col}="):
+            if name.split("=", 1)[1] < str(cutoff_date):
+                fs.delete(st.getPath(), True)
+                dropped += 1
+    boundary = df.filter(F.col(partition_col) == F.lit(cutoff_date))
     kept = boundary.filter(F.col(ts_col) >= cut)
-    staging = scratch_path(spark, "retention-staging")
-    kept.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    staged = spark.read.parquet(staging)
-    if staged.limit(1).count() == 0:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={cutoff_date}"), True)
-    else:
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(path))
+    boundary_path = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={cutoff_date}")
+    if fs.exists(boundary_path):
+        if kept.limit(1).count() == 0:
+            fs.delete(boundary_path, True)
+        else:
+            staging = scratch_path(spark, "retention-staging")
+            kept.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
+            (spark.read.parquet(staging).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
     return {"dropped_partitions": dropped, "boundary": str(cutoff_date)}

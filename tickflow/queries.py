@@ -135,6 +135,211 @@ def q_api_call_classes(spark, sf_dir):
     return ingest.classify_api_calls(fx.api_calls_raw(_events(spark, sf_dir)))
 
 
+# ---------------------------------------------------------------- write paths
+
+def _good(spark, sf_dir, payloads=fx.raw_payloads) -> DataFrame:
+    good, _ = validate.split(_validated(spark, sf_dir, payloads), fx.STREAM_INSTANCE, 0)
+    return good
+
+
+def _bad(spark, sf_dir, payloads=fx.raw_payloads) -> DataFrame:
+    _, bad = validate.split(_validated(spark, sf_dir, payloads), fx.STREAM_INSTANCE,
+                            fx.micro_batch_id())
+    return bad
+
+
+FACT_COLUMNS = ["event_id", "commodity", "symbol", "price", "currency", "event_ts", "source",
+                "kafka_partition", "kafka_offset"]
+
+
+def q_insert_new(spark, sf_dir):
+    """Replayed batch -> rows not yet stored (stored = every 4th tick, by date partition)."""
+    target = (_stg(spark, sf_dir).filter(F.col("event_id").cast("bigint") % 4 == 0)
+              .withColumn("event_date", F.to_date("event_ts")))
+    new = sinks.new_rows(_good(spark, sf_dir, fx.replayed_payloads), target, scope="partition")
+    return new.select(*FACT_COLUMNS)
+
+
+UPSERT_CUTOFF = "2024-01-20 00:00:00"
+
+
+def _arrivals(spark, sf_dir) -> DataFrame:
+    late = F.col("event_id").cast("bigint") % 50 == 0
+    return _stg(spark, sf_dir).withColumn(
+        "arrival_ts", F.when(late, F.col("event_ts") + F.expr("INTERVAL 45 MINUTES"))
+        .otherwise(F.col("ingest_ts")))
+
+
+def q_upsert_minute(spark, sf_dir):
+    """Two builds of the minute mart: full over arrivals before the cutoff,
+    then an incremental run (30-minute lookback) over everything."""
+    from tickflow.plans import incremental
+    from tickflow.session import scratch_path
+    arr = _arrivals(spark, sf_dir)
+    path = scratch_path(spark, "mart_minute_last_price")
+    keys = ["commodity", "symbol", "minute_bucket"]
+    as_of = _as_of(spark, sf_dir)
+    incremental.run(spark, incremental.minute_model, arr.filter(F.col("arrival_ts") < ts_lit(UPSERT_CUTOFF)),
+                    path, keys, "minute_bucket", "30 minutes", as_of)
+    incremental.run(spark, incremental.minute_model, arr, path, keys, "minute_bucket", "30 minutes", as_of)
+    return spark.read.parquet(path).select("commodity", "symbol", "minute_bucket", "last_price", "n",
+                                           "min_price", "max_price")
+
+
+RETENTION_DAYS = 14
+
+
+def q_retention(spark, sf_dir):
+    """Fact table written by date, then rows older than as_of - 14 days removed."""
+    from tickflow.session import scratch_path
+    path = scratch_path(spark, "raw_prices")
+    _stg(spark, sf_dir).withColumn("event_date", F.to_date("event_ts")) \
+        .write.partitionBy("event_date").parquet(path)
+    as_of = _as_of(spark, sf_dir)
+    cutoff = spark.range(1).select(minus(as_of, f"{RETENTION_DAYS} days").alias("c")).collect()[0]["c"]
+    sinks.apply_retention(spark, path, "event_ts", cutoff, "event_date")
+    return spark.read.parquet(path).select(*[c for c, _ in marts.STG_COLUMNS])
+
+
+# ---------------------------------------------------------------- monitoring
+
+def q_pipeline_metrics(spark, sf_dir):
+    from tickflow.operators import monitor
+    return monitor.pipeline_metrics(_stg(spark, sf_dir), _as_of(spark, sf_dir))
+
+
+def q_api_metrics_18m(spark, sf_dir):
+    from tickflow.operators import monitor
+    return monitor.api_metrics(fx.api_calls(_events(spark, sf_dir)), _as_of(spark, sf_dir), 18)
+
+
+def q_api_status_histogram(spark, sf_dir):
+    from tickflow.operators import monitor
+    return monitor.api_status(fx.api_calls(_events(spark, sf_dir)), _as_of(spark, sf_dir), 15)
+
+
+def q_api_latency_p95(spark, sf_dir):
+    from tickflow.operators import monitor
+    return monitor.api_p95(fx.api_calls(_events(spark, sf_dir)), _as_of(spark, sf_dir), 60)
+
+
+def q_consumer_lag(spark, sf_dir):
+    from tickflow.operators import monitor
+    return monitor.consumer_lag(fx.watermarks(_events(spark, sf_dir)), _good(spark, sf_dir))
+
+
+def q_kafka_lag_latest(spark, sf_dir):
+    from tickflow.operators import monitor
+    return monitor.lag_latest(fx.kafka_lag_log(_events(spark, sf_dir)))
+
+
+def q_dlq_per_day(spark, sf_dir):
+    from tickflow.operators import monitor
+    return monitor.dlq_per_day(_bad(spark, sf_dir), _as_of(spark, sf_dir), 7)
+
+
+def q_dlq_rate(spark, sf_dir):
+    from tickflow.operators import monitor
+    return monitor.dlq_rate(_validated(spark, sf_dir), _as_of(spark, sf_dir), 7)
+
+
+def q_freshness(spark, sf_dir):
+    from tickflow.operators import monitor
+    as_of = _as_of(spark, sf_dir)
+    stg = _stg(spark, sf_dir)
+    backups = fx.backup_log(_events(spark, sf_dir)).filter(F.col("status") == "OK")
+    parts = [
+        monitor.freshness_seconds(stg, "ingest_ts", as_of).select(F.lit("ingest").alias("source"), "seconds"),
+        monitor.freshness_seconds(backups, "backup_ts", as_of).select(F.lit("backup").alias("source"), "seconds"),
+        monitor.freshness_seconds(marts.latest_prices(stg, as_of), "last_timestamp", as_of)
+        .select(F.lit("mart_latest_prices").alias("source"), "seconds"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_throughput_per_cycle(spark, sf_dir):
+    from tickflow.operators import monitor
+    return monitor.throughput(_stg(spark, sf_dir), "6 minutes")
+
+
+def q_table_summary(spark, sf_dir):
+    from tickflow.operators import monitor
+    return monitor.table_summary(_stg(spark, sf_dir))
+
+
+def _mart_tables(spark, sf_dir) -> dict:
+    stg = _stg(spark, sf_dir)
+    as_of = _as_of(spark, sf_dir)
+    return {
+        "stg_raw_prices": stg,
+        "mart_latest_prices": marts.latest_prices(stg, as_of),
+        "mart_minute_last_price": marts.minute_last_price(stg),
+        "mart_price_events": marts.price_events(stg),
+        "mart_price_volatility_1h": marts.price_volatility_1h(stg, as_of),
+    }
+
+
+def q_quality_results(spark, sf_dir):
+    return quality.run_checks(_mart_tables(spark, sf_dir), quality.default_specs())
+
+
+def q_test_run_summary(spark, sf_dir):
+    return quality.summarise(fx.test_results(_events(spark, sf_dir)))
+
+
+def q_alert_rules(spark, sf_dir):
+    from tickflow.operators import monitor
+    ev = _events(spark, sf_dir)
+    as_of = _as_of(spark, sf_dir)
+    stg = _stg(spark, sf_dir)
+    metrics = monitor.metric_snapshot(
+        as_of, raw=stg, calls=fx.api_calls(ev), dlq=_bad(spark, sf_dir),
+        lag_log=fx.kafka_lag_log(ev), runs=quality.summarise(fx.test_results(ev)),
+        backups=fx.backup_log(ev), latest=marts.latest_prices(stg, as_of),
+        group_id=fx.CONSUMER_GROUP, topic=fx.TOPIC)
+    return monitor.evaluate_rules(metrics, monitor.rules_df(spark))
+
+
+def q_alert_timeline(spark, sf_dir):
+    from tickflow.operators import monitor
+    return monitor.alert_timeline(fx.alert_samples(_events(spark, sf_dir)), monitor.rules_df(spark))
+
+
+def q_alert_payloads(spark, sf_dir):
+    return ingest.flatten_alerts(fx.alert_payloads(_events(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- dashboards
+
+def q_price_statistics(spark, sf_dir):
+    from tickflow.operators import dashboards
+    stg = _stg(spark, sf_dir)
+    return dashboards.price_statistics(marts.price_volatility_1h(stg, _as_of(spark, sf_dir)),
+                                       marts.price_events(stg))
+
+
+def q_hourly_price_change(spark, sf_dir):
+    from tickflow.operators import dashboards
+    as_of = _as_of(spark, sf_dir)
+    vol = marts.price_volatility_1h(_stg(spark, sf_dir), as_of)
+    lo = spark.range(1).select(minus(as_of, "7 days").alias("c")).collect()[0]["c"]
+    return dashboards.hourly_change(vol, lo, as_of)
+
+
+def q_recent_price_events(spark, sf_dir):
+    from tickflow.operators import dashboards
+    return dashboards.recent_events(marts.price_events(_stg(spark, sf_dir)), 100)
+
+
+def q_last_update_label(spark, sf_dir):
+    from tickflow.operators import dashboards
+    return dashboards.last_update(_stg(spark, sf_dir), "bitcoin")
+
+
+def q_price_events_bucketed(spark, sf_dir):
+    return marts.price_events(_stg(spark, sf_dir), bucket="day")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_ticks": q_stg_ticks,
     "price_volatility_1h": q_price_volatility_1h,
@@ -154,4 +359,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_uuid5": q_event_uuid5,
     "price_responses": q_price_responses,
     "api_call_classes": q_api_call_classes,
+    "insert_new": q_insert_new,
+    "upsert_minute": q_upsert_minute,
+    "retention": q_retention,
+    "pipeline_metrics": q_pipeline_metrics,
+    "api_metrics_18m": q_api_metrics_18m,
+    "api_status_histogram": q_api_status_histogram,
+    "api_latency_p95": q_api_latency_p95,
+    "consumer_lag": q_consumer_lag,
+    "kafka_lag_latest": q_kafka_lag_latest,
+    "dlq_per_day": q_dlq_per_day,
+    "dlq_rate": q_dlq_rate,
+    "freshness": q_freshness,
+    "throughput_per_cycle": q_throughput_per_cycle,
+    "table_summary": q_table_summary,
+    "quality_results": q_quality_results,
+    "test_run_summary": q_test_run_summary,
+    "alert_rules": q_alert_rules,
+    "alert_timeline": q_alert_timeline,
+    "alert_payloads": q_alert_payloads,
+    "price_statistics": q_price_statistics,
+    "hourly_price_change": q_hourly_price_change,
+    "recent_price_events": q_recent_price_events,
+    "last_update_label": q_last_update_label,
+    "price_events_bucketed": q_price_events_bucketed,
 }

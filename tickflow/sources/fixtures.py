@@ -225,3 +225,134 @@ def api_calls_raw(events: DataFrame) -> DataFrame:
         F.floor(F.col("value") * 10).cast("int").alias("latency_ms"),
         body.alias("body"),
     )
+
+
+def api_calls(events: DataFrame) -> DataFrame:
+    """The ``api_calls`` monitoring log: each stored call classified."""
+    from tickflow.operators.ingest import classify_api_calls
+    return classify_api_calls(api_calls_raw(events))
+
+
+# --------------------------------------------------------------------------
+# Operational logs: Kafka watermarks and lag snapshots, test runs, backups
+# --------------------------------------------------------------------------
+
+def watermarks(events: DataFrame) -> DataFrame:
+    """Broker watermarks per partition from the envelope: ``low`` skips the
+    first ``partition`` offsets (expired by retention), ``high`` runs
+    ``7 * partition`` offsets past the newest record (not yet consumed)."""
+    env = raw_payloads(events)
+    p = F.col("kafka_partition")
+    return (env.groupBy(p.alias("partition"))
+            .agg(F.min("kafka_offset").alias("_lo"), F.max("kafka_offset").alias("_hi"))
+            .select("partition", (F.col("_lo") + F.col("partition")).cast("bigint").alias("low"),
+                    (F.col("_hi") + 1 + 7 * F.col("partition")).cast("bigint").alias("high")))
+
+
+def kafka_lag_log(events: DataFrame) -> DataFrame:
+    """Lag snapshots (group_id, topic, ts_utc, total_lag, max_partition_lag),
+    one per ``error`` event."""
+    u = F.col("user_id")
+    return (events.filter(F.col("event_type") == "error")
+            .select(F.when(u % 3 == 0, F.lit("other_group")).otherwise(F.lit(CONSUMER_GROUP))
+                    .alias("group_id"),
+                    F.lit(TOPIC).alias("topic"),
+                    F.col("ts").alias("ts_utc"),
+                    (u % 600).cast("bigint").alias("total_lag"),
+                    (u % 200).cast("bigint").alias("max_partition_lag")))
+
+
+def test_results(events: DataFrame) -> DataFrame:
+    """Data-test results (run_ts_utc, unique_id, status): one run per hour,
+    one result per event; statuses from the event's type and value."""
+    t, v = F.col("event_type"), F.col("value")
+    status = (F.when((t == "error") & (v > 480), "fail")
+              .when((t == "error") & (v > 460), "error")
+              .when((t == "signup") & (v > 450), "warn")
+              .when((t == "purchase") & (v > 470), "skipped")
+              .otherwise("pass"))
+    run_ts = F.date_trunc("hour", "ts").cast("timestamp_ntz") + F.expr("INTERVAL 30 MINUTES")
+    return events.select(run_ts.alias("run_ts_utc"),
+                         F.concat(F.lit("test."), F.col("event_id").cast("string")).alias("unique_id"),
+                         status.alias("status"))
+
+
+def backup_log(events: DataFrame) -> DataFrame:
+    """One backup attempt per day with data, at 02:00; every 6th day of the
+    month fails."""
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    g = events.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    failed = F.dayofmonth("day") % 6 == 0
+    return g.select((F.col("day") + F.expr("INTERVAL 2 HOURS")).alias("backup_ts"),
+                    F.concat(F.lit("backup_"), F.date_format("day", "yyyyMMdd"), F.lit(".sql.gz"))
+                    .alias("file_name"),
+                    (F.col("n") * 1000).cast("bigint").alias("file_size_bytes"),
+                    F.when(failed, "FAILED").otherwise("OK").alias("status"),
+                    F.when(failed, "dump failed").alias("error_msg"))
+
+
+# --------------------------------------------------------------------------
+# Alert webhook payloads and alert-rule evaluation samples
+# --------------------------------------------------------------------------
+
+def alert_payloads(events: DataFrame) -> DataFrame:
+    """Webhook bodies (payload_id, received_ts, body), one per ``error`` event.
+
+    Shape by ``event_id % 10``: 0 two alerts; 1 no alerts key; 2 alerts not a
+    list; 3 non-object elements mixed in; 4 older field names; 5 string ids;
+    6 empty list; 7 only non-objects; 8 a JSON array body; 9 broken JSON.
+    """
+    eid = F.col("event_id").cast("string")
+    w = F.col("event_id") % 10
+    u = F.col("user_id").cast("string")
+    d5 = (F.col("event_id") % 5).cast("string")
+    p7 = (F.col("event_id") % 7).cast("string")
+    body = (
+        F.when(w == 0, F.concat(
+            F.lit('{"orgId":1,"dashboardUID":"dash-'), d5, F.lit('","panelId":'), p7,
+            F.lit(',"state":"alerting","alerts":[{"status":"firing","fingerprint":"fp'), eid,
+            F.lit('","labels":{"severity":"critical"},"annotations":{"summary":"Lag '), u,
+            F.lit('"}},{"status":"resolved","fingerprint":"fp'), eid,
+            F.lit('b","labels":{"severity":"warning"},"annotations":{"summary":"Lag ok"}}]}')))
+        .when(w == 1, F.concat(F.lit('{"orgId":1,"state":"ok","title":"t'), eid, F.lit('"}')))
+        .when(w == 2, F.lit('{"orgId":1,"alerts":"oops","state":"pending"}'))
+        .when(w == 3, F.concat(
+            F.lit('{"orgId":1,"alerts":[1,"x",{"state":"firing","ruleUid":"r'), eid,
+            F.lit('","title":"T'), eid, F.lit('","labels":{"severity":"warning"}}]}')))
+        .when(w == 4, F.concat(
+            F.lit('{"orgId":1,"dashboardUID":"","dashboardUid":"old-'), d5,
+            F.lit('","panelId":3,"alerts":[{"state":"alerting","uid":"u'), eid,
+            F.lit('","annotations":{"title":"Old '), eid, F.lit('"}}]}')))
+        .when(w == 5, F.concat(F.lit('{"orgId":"1","panelId":"7","alerts":[{"status":"firing","fingerprint":"fp'),
+                               eid, F.lit('"}]}')))
+        .when(w == 6, F.lit('{"orgId":2,"alerts":[],"state":"alerting"}'))
+        .when(w == 7, F.lit('{"alerts":[null,5]}'))
+        .when(w == 8, F.lit('["not","an","object"]'))
+        .otherwise(F.lit('{"orgId":1,"alerts":[')))
+    return (events.filter(F.col("event_type") == "error")
+            .select(F.col("event_id").alias("payload_id"), F.col("ts").alias("received_ts"),
+                    body.alias("body")))
+
+
+# rule evaluated by each event type, and the sample value rule
+SAMPLE_RULES = {
+    "click": "btc_events_last_20m_low",
+    "view": "api_errors_18m_ge_1",
+    "purchase": "dlq_events_last_15m_gt_0",
+    "signup": "kafka_lag_warn_gt_50",
+    "error": "stale_ingest_13m",
+}
+
+
+def alert_samples(events: DataFrame) -> DataFrame:
+    """Rule evaluations (rule_uid, ts, value): one per event; every 41st has no data."""
+    t, v = F.col("event_type"), F.col("value")
+    rule = _case("event_type", SAMPLE_RULES, None)
+    val = (F.when(t == "click", F.floor(v) % 5)
+           .when(t == "view", F.floor(v) % 8)
+           .when(t == "purchase", F.floor(v) % 3)
+           .when(t == "signup", F.floor(v))
+           .otherwise(F.floor(v * 10)))
+    return events.select(rule.alias("rule_uid"), F.col("ts").alias("ts"),
+                         F.when(F.col("event_id") % 41 == 0, F.lit(None))
+                         .otherwise(val).cast("double").alias("value"))
