@@ -780,6 +780,21 @@ FROM ticks WHERE commodity = 'bitcoin' ORDER BY event_ts DESC, event_id DESC LIM
 """)
 
 
+# ---------------------------------------------------------------- streaming
+
+STREAMING_HOURLY = q(VOLATILITY_BODY.replace(
+    "WHERE hour_bucket < date_trunc('hour', (SELECT t FROM as_of))",
+    "WHERE hour_bucket + INTERVAL 1 HOUR <= (SELECT max(event_ts) FROM ticks) - INTERVAL 10 MINUTE"))
+
+STREAMING_DEDUP = STG_TICKS
+
+STREAM_INGEST = q("""
+SELECT event_id, commodity, symbol, price, currency, event_ts, source, kafka_partition, kafka_offset
+FROM validated WHERE error_reason IS NULL
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY kafka_partition, kafka_offset) = 1
+""", ENV, REPLAYED, validated_cte("validated", "replayed"))
+
+
 def all_sql() -> dict[str, str]:
     return {
         "stg_ticks": STG_TICKS,
@@ -824,4 +839,8 @@ def all_sql() -> dict[str, str]:
         "recent_price_events": RECENT_PRICE_EVENTS,
         "last_update_label": LAST_UPDATE_LABEL,
         "price_events_bucketed": PRICE_EVENTS,
+        "streaming_hourly": STREAMING_HOURLY,
+        "streaming_dedup": STREAMING_DEDUP,
+        "streaming_moves": PRICE_EVENTS,
+        "stream_ingest": STREAM_INGEST,
     }

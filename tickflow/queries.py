@@ -65,7 +65,7 @@ def q_price_jumps(spark, sf_dir):
 # ---------------------------------------------------------------- ingest side
 
 def _validated(spark, sf_dir, payloads=fx.raw_payloads) -> DataFrame:
-    env = payloads(_events(spark, sf_dir))
+    env = fx.materialize(payloads(_events(spark, sf_dir)), "envelope")
     typed = ingest.parse_and_type(env, ingest_ts=F.col("kafka_timestamp"))
     return validate.with_error_reason(typed)
 
@@ -340,6 +340,63 @@ def q_price_events_bucketed(spark, sf_dir):
     return marts.price_events(_stg(spark, sf_dir), bucket="day")
 
 
+# ---------------------------------------------------------------- streaming
+
+def _run_to_table(stream: DataFrame, name: str, spark) -> DataFrame:
+    """Run a streaming query to completion (availableNow) into a Parquet sink
+    under the shared checkpoint folder and return the sink as a table."""
+    from tickflow.session import scratch_path
+    out, ckpt = scratch_path(spark, name), scratch_path(spark, name + "-ckpt")
+    q = (stream.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+def _tick_stream(spark, sf_dir, df: DataFrame | None = None) -> DataFrame:
+    t = df if df is not None else _stg(spark, sf_dir)
+    src = fx.materialize(t, "tick-source")
+    return spark.readStream.schema(src.schema).parquet(src.inputFiles()[0].rsplit("/", 1)[0])
+
+
+def q_streaming_hourly(spark, sf_dir):
+    from tickflow.streaming import marts as smarts
+    return _run_to_table(smarts.hourly(_tick_stream(spark, sf_dir), "10 minutes"), "stream-hourly", spark)
+
+
+def q_streaming_dedup(spark, sf_dir):
+    from tickflow.streaming import marts as smarts
+    stg = _stg(spark, sf_dir)
+    doubled = stg.unionByName(stg.filter(F.col("event_id").cast("bigint") % 10 == 0))
+    return _run_to_table(smarts.dedup(_tick_stream(spark, sf_dir, doubled), "2 hours"),
+                         "stream-dedup", spark).select(*[c for c, _ in marts.STG_COLUMNS])
+
+
+def q_streaming_moves(spark, sf_dir):
+    from tickflow.streaming import marts as smarts
+    return _run_to_table(smarts.moves(_tick_stream(spark, sf_dir)), "stream-moves", spark)
+
+
+def q_stream_ingest(spark, sf_dir):
+    """The replayed envelope as files (originals first, re-publishes later),
+    ingested by the foreachBatch pipeline, two files per micro-batch."""
+    from tickflow.session import scratch_path
+    from tickflow.streaming import ingest as sing
+    ev = _events(spark, sf_dir)
+    src = scratch_path(spark, "ingest-source")
+    fx.raw_payloads(ev).repartition(4).write.parquet(src)
+    again = fx.raw_payloads(ev.filter(F.col("event_id") % 10 == 0)) \
+        .withColumn("kafka_offset", F.col("kafka_offset") + 10_000_000)
+    again.repartition(1).write.mode("append").parquet(src)
+    cfg = sing.IngestConfig(
+        fact_path=scratch_path(spark, "fact"), dlq_path=scratch_path(spark, "dlq"),
+        metrics_path=scratch_path(spark, "metrics"), checkpoint=scratch_path(spark, "ingest-ckpt"),
+        source_format="parquet", source_path=src, max_per_trigger=2, available_now=True)
+    sing.start_ingest(spark, cfg).awaitTermination()
+    return spark.read.parquet(cfg.fact_path).select(*FACT_COLUMNS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_ticks": q_stg_ticks,
     "price_volatility_1h": q_price_volatility_1h,
@@ -383,4 +440,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recent_price_events": q_recent_price_events,
     "last_update_label": q_last_update_label,
     "price_events_bucketed": q_price_events_bucketed,
+    "streaming_hourly": q_streaming_hourly,
+    "streaming_dedup": q_streaming_dedup,
+    "streaming_moves": q_streaming_moves,
+    "stream_ingest": q_stream_ingest,
 }

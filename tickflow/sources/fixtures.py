@@ -30,6 +30,17 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def materialize(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
+    """Write ``df`` as a Parquet table under the session's shared checkpoint
+    folder and read it back: cuts lineage, and turns a generated column into
+    a plain scanned column (as the Kafka source would deliver it)."""
+    from tickflow.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    (df.repartition(partitions) if partitions else df).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _case(col: str, mapping: dict, default) -> Column:
     c = F.col(col)
     expr = None
