@@ -737,20 +737,25 @@ payloads AS (
 
 # ---------------------------------------------------------------- dashboards
 
+def dround(x: str, k: int) -> str:
+    """Round as exact decimal (HALF_UP on the decimal value), as numeric rounding does."""
+    return f"CAST(round(CAST({x} AS DECIMAL(38, 12)), {k}) AS DOUBLE)"
+
+
 VOL_EV = ["vol AS (" + VOLATILITY_BODY + ")", "ev AS (" + EVENTS_BODY.format(src="ticks") + ")"]
 
 
 def price_text(col: str) -> str:
-    return (f"CASE WHEN symbol = 'EUR/USD' THEN printf('%.4f', round({col}, 4)) "
-            f"ELSE printf('%.2f', round({col}, 2)) END")
+    return (f"CASE WHEN symbol = 'EUR/USD' THEN printf('%.4f', {dround(col, 4)}) "
+            f"ELSE printf('%.2f', {dround(col, 2)}) END")
 
 
 PRICE_STATISTICS = q(f"""
 SELECT v.symbol AS instrument,
-       CASE WHEN v.symbol = 'EUR/USD' THEN printf('%.4f', round(v.avg_price, 4))
-            ELSE printf('%.2f', round(v.avg_price, 2)) END AS avg_price,
-       round(v.price_range, 4) AS price_range, round(v.range_pct, 3) AS range_pct,
-       round(v.price_stddev, 4) AS stddev, round(coalesce(m.largest_move, 0), 3) AS largest_move,
+       CASE WHEN v.symbol = 'EUR/USD' THEN printf('%.4f', {dround('v.avg_price', 4)})
+            ELSE printf('%.2f', {dround('v.avg_price', 2)}) END AS avg_price,
+       {dround('v.price_range', 4)} AS price_range, {dround('v.range_pct', 3)} AS range_pct,
+       {dround('v.price_stddev', 4)} AS stddev, {dround('coalesce(m.largest_move, 0)', 3)} AS largest_move,
        CAST(coalesce(m.events, 0) AS BIGINT) AS events, v.observations_count AS observations
 FROM (SELECT * FROM vol WHERE hour_bucket = (SELECT max(hour_bucket) FROM vol)) v
 LEFT JOIN (
@@ -761,15 +766,15 @@ LEFT JOIN (
 ) m ON v.symbol = m.symbol
 """, *VOL_EV)
 
-HOURLY_PRICE_CHANGE = q("""
-SELECT hour_bucket AS "time", round(range_pct, 2) AS "range", symbol AS metric
+HOURLY_PRICE_CHANGE = q(f"""
+SELECT hour_bucket AS "time", {dround("range_pct", 2)} AS "range", symbol AS metric
 FROM vol
 WHERE hour_bucket BETWEEN (SELECT t FROM as_of) - INTERVAL 7 DAY AND (SELECT t FROM as_of)
 """, VOL_EV[0])
 
 RECENT_PRICE_EVENTS = q(f"""
 SELECT strftime(event_ts, '%Y-%b-%d') AS "date", strftime(event_ts, '%H:%M:%S') AS "time",
-       symbol AS instrument, event_type AS event, round(price_change_pct, 2) AS change,
+       symbol AS instrument, event_type AS event, {dround('price_change_pct', 2)} AS change,
        {price_text('prev_price')} AS prev_price, {price_text('current_price')} AS current_price
 FROM ev ORDER BY event_ts DESC, symbol LIMIT 100
 """, VOL_EV[1])
