@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.functions.numeric import dround
 from tickflow.functions.timeutil import scalar, ts_lit
 
 
 def _price_text(symbol: Column, price: Column) -> Column:
     """4 decimals for EUR/USD, 2 otherwise (rounded first, then printed)."""
-    return F.when(symbol == "EUR/USD", F.format_string("%.4f", F.round(price, 4))) \
-        .otherwise(F.format_string("%.2f", F.round(price, 2)))
+    return F.when(symbol == "EUR/USD", F.format_string("%.4f", dround(price, 4))) \
+        .otherwise(F.format_string("%.2f", dround(price, 2)))
 
 
 def last_update(raw: DataFrame, commodity: str = "bitcoin") -> DataFrame:
@@ -47,10 +48,10 @@ def price_statistics(vol: DataFrame, events: DataFrame) -> DataFrame:
     return j.select(
         F.col("symbol").alias("instrument"),
         _price_text(F.col("symbol"), F.col("avg_price")).alias("avg_price"),
-        F.round("price_range", 4).alias("price_range"),
-        F.round("range_pct", 3).alias("range_pct"),
-        F.round("price_stddev", 4).alias("stddev"),
-        F.round(F.coalesce(F.col("largest_move"), F.lit(0.0)), 3).alias("largest_move"),
+        dround("price_range", 4).alias("price_range"),
+        dround("range_pct", 3).alias("range_pct"),
+        dround("price_stddev", 4).alias("stddev"),
+        dround(F.coalesce(F.col("largest_move"), F.lit(0.0)), 3).alias("largest_move"),
         F.coalesce(F.col("events"), F.lit(0)).cast("bigint").alias("events"),
         F.col("observations_count").alias("observations"),
     ).orderBy(F.desc("range_pct"), "instrument")
@@ -59,7 +60,7 @@ def price_statistics(vol: DataFrame, events: DataFrame) -> DataFrame:
 def hourly_change(vol: DataFrame, lo, hi) -> DataFrame:
     """range_pct per instrument and hour inside a time range."""
     return (vol.filter(F.col("hour_bucket").between(ts_lit(lo), ts_lit(hi)))
-            .select(F.col("hour_bucket").alias("time"), F.round("range_pct", 2).alias("range"),
+            .select(F.col("hour_bucket").alias("time"), dround("range_pct", 2).alias("range"),
                     F.col("symbol").alias("metric"))
             .orderBy("time", "range", "metric"))
 
@@ -73,7 +74,7 @@ def recent_events(events: DataFrame, n: int = 100) -> DataFrame:
         F.date_format("event_ts", "HH:mm:ss").alias("time"),
         s.alias("instrument"),
         F.col("event_type").alias("event"),
-        F.round("price_change_pct", 2).alias("change"),
+        dround("price_change_pct", 2).alias("change"),
         _price_text(s, F.col("prev_price")).alias("prev_price"),
         _price_text(s, F.col("current_price")).alias("current_price"),
     )

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow import dims
+from tickflow.functions.numeric import dround
 from tickflow.functions.timeutil import minus, round_seconds, trunc, ts_lit
 from tickflow.plans import sequential
 
@@ -124,13 +125,23 @@ def price_events(stg: DataFrame, since=None, bucket="hour", keep_normal: bool =
                    round_seconds("event_ts", "prev_event_ts").alias("time_gap_seconds"),
                    F.col("price").alias("current_price"),
                    "prev_price",
-                   F.round(F.col("pct_change") * 100, 4).alias("price_change_pct"),
+                   dround(F.col("pct_change") * 100, 4).alias("price_change_pct"),
                    classify_move(F.col("symbol"), F.col("pct_change")).alias("event_type")))
     return out if keep_normal else out.filter(F.col("event_type") != dims.NORMAL)
 
 
 # ---------------------------------------------------------------- volatility
 
+def exact_avg(col: str) -> Column:
+    """Average whose value does not depend on how rows are split across tasks.
+
+    A double sum changes in its last bits with the summation order (i.e. with
+    the partitioning), which flips 6-decimal rounding on exact ties; prices
+    carry few decimals, so a decimal(38,12) sum is exact and order-free.
+    """
+    return F.sum(F.col(col).cast("decimal(38,12)")).cast("double") / F.count(col)
+
+
 def price_volatility_1h(stg: DataFrame, as_of, since=None) -> DataFrame:
     """Hourly statistics per instrument, completed hours only (< hour of as_of)."""
     df = stg.filter(F.col("event_ts") < trunc("hour", ts_lit(as_of)))
@@ -138,7 +149,7 @@ def price_volatility_1h(stg: DataFrame, as_of, since=None) -> DataFrame:
         df = df.filter(F.col("event_ts") >= ts_lit(since))
     agg = (df.groupBy("commodity", "symbol", trunc("hour", "event_ts").alias("hour_bucket"))
            .agg(F.count(F.lit(1)).alias("observations_count"),
-                F.avg("price").alias("avg_price"),
+                exact_avg("price").alias("avg_price"),
                 F.min("price").alias("min_price"),
                 F.max("price").alias("max_price"),
                 F.stddev_samp("price").alias("price_stddev")))
@@ -147,10 +158,10 @@ def price_volatility_1h(stg: DataFrame, as_of, since=None) -> DataFrame:
                        rng / F.col("avg_price"))
     return agg.select(
         "commodity", "symbol", "hour_bucket", "observations_count",
-        F.round("avg_price", 6).alias("avg_price"),
-        F.round("min_price", 6).alias("min_price"),
-        F.round("max_price", 6).alias("max_price"),
-        F.round(F.coalesce(F.col("price_stddev"), F.lit(0.0)), 6).alias("price_stddev"),
-        F.round(rng, 6).alias("price_range"),
-        F.round(range_pct * 100, 4).alias("range_pct"),
+        dround("avg_price", 6).alias("avg_price"),
+        dround("min_price", 6).alias("min_price"),
+        dround("max_price", 6).alias("max_price"),
+        dround(F.coalesce(F.col("price_stddev"), F.lit(0.0)), 6).alias("price_stddev"),
+        dround(rng, 6).alias("price_range"),
+        dround(range_pct * 100, 4).alias("range_pct"),
     )

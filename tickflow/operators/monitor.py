@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickflow.functions.numeric import dround
 from tickflow.functions.timeutil import minus, round_seconds, seconds_between, trunc, ts_lit
 
 EMPTY_FRESHNESS = 999999
@@ -36,7 +37,7 @@ def api_metrics(calls: DataFrame, as_of, minutes: int = 18) -> DataFrame:
     return w.agg(
         n.alias(f"calls_{minutes}m"),
         F.count_if(~F.col("ok")).alias(f"errors_{minutes}m"),
-        F.when(n > 0, F.round(F.count_if(F.col("ok")) * 100.0 / n, 1))
+        F.when(n > 0, dround(F.count_if(F.col("ok")) * 100.0 / n, 1))
         .otherwise(F.lit(100.0)).alias(f"success_rate_{minutes}m"),
     )
 
@@ -132,7 +133,7 @@ def dlq_rate(validated: DataFrame, as_of, days: int = 7) -> DataFrame:
     g = s.groupBy(trunc("day", "kafka_timestamp").alias("day")).agg(
         F.count_if(F.col("error_reason").isNotNull()).alias("bad_rows"),
         F.count_if(F.col("error_reason").isNull()).alias("good_rows"))
-    return g.withColumn("dlq_rate", F.round(F.col("bad_rows") / (F.col("bad_rows") + F.col("good_rows")), 6))
+    return g.withColumn("dlq_rate", dround(F.col("bad_rows") / (F.col("bad_rows") + F.col("good_rows")), 6))
 
 
 # ------------------------------------------------------------------ freshness, summaries
@@ -163,7 +164,7 @@ def throughput(raw: DataFrame, cycle: str = "6 minutes") -> DataFrame:
     """Rows and mean ingest latency per ingest cycle window."""
     g = raw.groupBy(F.window("ingest_ts", cycle).alias("w")).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.round(F.avg(seconds_between("ingest_ts", "event_ts")), 6).alias("avg_latency_s"))
+        dround(F.avg(seconds_between("ingest_ts", "event_ts")), 6).alias("avg_latency_s"))
     return g.select(F.col("w.start").cast("timestamp_ntz").alias("cycle_start"), "rows", "avg_latency_s")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickflow import dims
+from tickflow.functions.numeric import dround
 from tickflow.functions.timeutil import minus, seconds_between, ts_lit
 from tickflow.plans import sequential
 
@@ -204,6 +205,6 @@ def failed_runs(runs: DataFrame, as_of, minutes: int = 35) -> DataFrame:
 def pass_rate(runs: DataFrame, as_of, hours: int = 24) -> DataFrame:
     """Share of passed tests and newest run age over a trailing window."""
     w = runs.filter(F.col("run_ts_utc") >= minus(as_of, f"{hours} hours"))
-    return w.agg(F.round(F.sum("pass") * 100.0 / F.sum("total"), 2).alias("pass_rate_pct"),
+    return w.agg(dround(F.sum("pass") * 100.0 / F.sum("total"), 2).alias("pass_rate_pct"),
                  F.floor(seconds_between(ts_lit(as_of), F.max("run_ts_utc"))).cast("bigint")
                  .alias("seconds_since_last_run"))

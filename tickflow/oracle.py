@@ -56,19 +56,24 @@ SELECT event_id, commodity, symbol, price, currency, event_ts, source, ingest_ts
 FROM ticks
 """)
 
-VOLATILITY_BODY = """
+def _dr(x: str, k: int) -> str:
+    """Half-up rounding of the decimal value (matches tickflow.functions.numeric.dround)."""
+    return f"CAST(round(CAST({x} AS DECIMAL(38, 10)), {k}) AS DOUBLE)"
+
+
+VOLATILITY_BODY = f"""
 SELECT commodity, symbol, hour_bucket,
        observations_count,
-       round(avg_price, 6) AS avg_price,
-       round(min_price, 6) AS min_price,
-       round(max_price, 6) AS max_price,
-       round(coalesce(price_stddev, 0), 6) AS price_stddev,
-       round(max_price - min_price, 6) AS price_range,
-       round(CASE WHEN avg_price IS NOT NULL AND avg_price <> 0
-                  THEN (max_price - min_price) / avg_price END * 100, 4) AS range_pct
+       {_dr('avg_price', 6)} AS avg_price,
+       {_dr('min_price', 6)} AS min_price,
+       {_dr('max_price', 6)} AS max_price,
+       {_dr('coalesce(price_stddev, 0)', 6)} AS price_stddev,
+       {_dr('max_price - min_price', 6)} AS price_range,
+       {_dr('CASE WHEN avg_price IS NOT NULL AND avg_price <> 0 THEN (max_price - min_price) / avg_price END * 100', 4)} AS range_pct
 FROM (
   SELECT commodity, symbol, date_trunc('hour', event_ts) AS hour_bucket,
-         count(*) AS observations_count, avg(price) AS avg_price,
+         count(*) AS observations_count,
+         CAST(sum(CAST(price AS DECIMAL(38, 12))) AS DOUBLE) / count(*) AS avg_price,
          min(price) AS min_price, max(price) AS max_price,
          stddev_samp(price) AS price_stddev
   FROM ticks
@@ -99,7 +104,7 @@ EVENTS_BODY = """
 SELECT commodity, symbol, prev_event_ts, event_ts,
        CAST(round(date_diff('microsecond', prev_event_ts, event_ts) / 1e6) AS INTEGER) AS time_gap_seconds,
        price AS current_price, prev_price,
-       round(pct_change * 100, 4) AS price_change_pct,
+       CAST(round(CAST(pct_change * 100 AS DECIMAL(38, 10)), 4) AS DOUBLE) AS price_change_pct,
        event_type
 FROM (
   SELECT *,
@@ -445,9 +450,9 @@ SELECT CAST(round({SECS.format(a='(SELECT t FROM as_of)', b='max(ingest_ts)')})
 FROM ticks
 """)
 
-API_METRICS_18M = q("""
+API_METRICS_18M = q(f"""
 SELECT count(*) AS calls_18m, count(*) FILTER (WHERE NOT ok) AS errors_18m,
-       CASE WHEN count(*) > 0 THEN round(100.0e0 * count(*) FILTER (WHERE ok) / count(*), 1)
+       CASE WHEN count(*) > 0 THEN {_dr('100.0e0 * count(*) FILTER (WHERE ok) / count(*)', 1)}
             ELSE 100.0e0 END AS success_rate_18m
 FROM api_calls WHERE ts_utc >= (SELECT t FROM as_of) - INTERVAL 18 MINUTE
 """, API_RAW, API_CALLS)
@@ -499,8 +504,8 @@ WHERE error_reason IS NOT NULL AND kafka_timestamp >= (SELECT t FROM as_of) - IN
 GROUP BY 1
 """, ENV, validated_cte("validated", "env"))
 
-DLQ_RATE = q("""
-SELECT day, bad_rows, good_rows, round(bad_rows / (bad_rows + good_rows), 6) AS dlq_rate
+DLQ_RATE = q(f"""
+SELECT day, bad_rows, good_rows, {_dr('bad_rows / (bad_rows + good_rows)', 6)} AS dlq_rate
 FROM (
   SELECT date_trunc('day', kafka_timestamp) AS day,
          count(*) FILTER (WHERE error_reason IS NOT NULL) AS bad_rows,
@@ -533,10 +538,10 @@ UNION ALL SELECT 'backup', seconds FROM ({fresh('backup_ts', 'backups', "WHERE s
 UNION ALL SELECT 'mart_latest_prices', seconds FROM ({fresh('last_timestamp', 'latest')}) c
 """, BACKUPS, LATEST_TICKS)
 
-THROUGHPUT_PER_CYCLE = q("""
+THROUGHPUT_PER_CYCLE = q(f"""
 SELECT time_bucket(INTERVAL 6 MINUTE, ingest_ts, TIMESTAMP '1970-01-01 00:00:00') AS cycle_start,
        count(*) AS rows,
-       round(avg(date_diff('microsecond', event_ts, ingest_ts) / 1e6), 6) AS avg_latency_s
+       {_dr("avg(date_diff('microsecond', event_ts, ingest_ts) / 1e6)", 6)} AS avg_latency_s
 FROM ticks GROUP BY 1
 """)
 
@@ -739,7 +744,7 @@ payloads AS (
 
 def dround(x: str, k: int) -> str:
     """Round as exact decimal (HALF_UP on the decimal value), as numeric rounding does."""
-    return f"CAST(round(CAST({x} AS DECIMAL(38, 12)), {k}) AS DOUBLE)"
+    return _dr(x, k)
 
 
 VOL_EV = ["vol AS (" + VOLATILITY_BODY + ")", "ev AS (" + EVENTS_BODY.format(src="ticks") + ")"]

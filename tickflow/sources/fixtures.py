@@ -27,7 +27,16 @@ INGEST_INTERVAL_SEC = 360
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give an unsplittable small input (one file, one row group) at least
+    ``defaultParallelism`` partitions so the per-row work after the scan is
+    not confined to one task.  A large scan already has more splits than
+    cores and is returned unchanged (no shuffle)."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
 def materialize(df: DataFrame, name: str, partitions: int | None = None) -> DataFrame:
@@ -113,7 +122,8 @@ def ticks_stale_instrument(events: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def _price_txt(c: Column) -> Column:
-    return F.format_string("%.8f", c)
+    # fixed 8 decimals, HALF_UP (same digits as printf-style %.8f for these prices)
+    return c.cast("decimal(20,8)").cast("string")
 
 
 def raw_payloads(events: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tickflow import dims
+from tickflow.functions.numeric import dround
+from tickflow.operators.marts import exact_avg
 
 
 def _event_time(stream: DataFrame) -> DataFrame:
@@ -28,7 +30,7 @@ def hourly(stream: DataFrame, watermark: str = "10 minutes") -> DataFrame:
     g = (_event_time(stream).withWatermark("event_ts", watermark)
          .groupBy(F.window("event_ts", "1 hour").alias("w"), "commodity", "symbol")
          .agg(F.count(F.lit(1)).alias("observations_count"),
-              F.avg("price").alias("avg_price"),
+              exact_avg("price").alias("avg_price"),
               F.min("price").alias("min_price"),
               F.max("price").alias("max_price"),
               F.stddev_samp("price").alias("price_stddev")))
@@ -37,12 +39,12 @@ def hourly(stream: DataFrame, watermark: str = "10 minutes") -> DataFrame:
     return g.select(
         "commodity", "symbol", F.col("w.start").cast("timestamp_ntz").alias("hour_bucket"),
         "observations_count",
-        F.round("avg_price", 6).alias("avg_price"),
-        F.round("min_price", 6).alias("min_price"),
-        F.round("max_price", 6).alias("max_price"),
-        F.round(F.coalesce(F.col("price_stddev"), F.lit(0.0)), 6).alias("price_stddev"),
-        F.round(rng, 6).alias("price_range"),
-        F.round(pct * 100, 4).alias("range_pct"))
+        dround("avg_price", 6).alias("avg_price"),
+        dround("min_price", 6).alias("min_price"),
+        dround("max_price", 6).alias("max_price"),
+        dround(F.coalesce(F.col("price_stddev"), F.lit(0.0)), 6).alias("price_stddev"),
+        dround(rng, 6).alias("price_range"),
+        dround(pct * 100, 4).alias("range_pct"))
 
 
 def dedup(stream: DataFrame, watermark: str = "2 hours") -> DataFrame:
@@ -98,7 +100,7 @@ def _moves_fn(key, pdfs, state):
             "prev_event_ts": prev_ts[sel].values, "event_ts": ts[sel].values,
             "time_gap_seconds": (gap[sel].dt.total_seconds()).round().astype("int32").values,
             "current_price": pdf["price"][sel].values, "prev_price": prev_price[sel].values,
-            "price_change_pct": (pct[sel] * 100).round(4).values,
+            "price_change_pct": (pct[sel] * 100).values,   # rounded in Spark
             "event_type": label[sel].values,
         })[_OUT_COLS]
 
@@ -109,7 +111,8 @@ def moves(stream: DataFrame) -> DataFrame:
     Per micro-batch a key holds only that trigger's rows (bounded by the
     source rate limit), plus one state row.
     """
-    return (stream.select("commodity", "symbol", "event_ts", "event_id", "price")
-            .groupBy("commodity", "symbol")
-            .applyInPandasWithState(_moves_fn, MOVES_SCHEMA, STATE_SCHEMA, "append",
-                                    GroupStateTimeout.NoTimeout))
+    out = (stream.select("commodity", "symbol", "event_ts", "event_id", "price")
+           .groupBy("commodity", "symbol")
+           .applyInPandasWithState(_moves_fn, MOVES_SCHEMA, STATE_SCHEMA, "append",
+                                   GroupStateTimeout.NoTimeout))
+    return out.withColumn("price_change_pct", dround("price_change_pct", 4))
