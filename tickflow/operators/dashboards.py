@@ -78,3 +78,12 @@ def recent_events(events: DataFrame, n: int = 100) -> DataFrame:
         _price_text(s, F.col("prev_price")).alias("prev_price"),
         _price_text(s, F.col("current_price")).alias("current_price"),
     )
+
+
+def newest(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The newest ``n`` rows by the given columns, descending.
+
+    Top-k with ``limit``: each task keeps its own ``n`` rows, the final merge
+    sees ``n x tasks`` rows at most.
+    """
+    return df.orderBy(*[F.desc(c) for c in order]).limit(n)

@@ -805,6 +805,28 @@ QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY kafka_partition, kafka
 """, ENV, REPLAYED, validated_cte("validated", "replayed"))
 
 
+SOURCE_FRESHNESS = q(f"""
+SELECT seconds, CASE WHEN seconds > 1200 THEN 'error' WHEN seconds > 600 THEN 'warn'
+                     ELSE 'pass' END AS status
+FROM ({fresh('ingest_ts', 'ticks')}) f
+""")
+
+NEWEST_RAW_ROWS = q("""
+SELECT event_id, commodity, symbol, price, currency, event_ts, source, ingest_ts,
+       kafka_partition, kafka_offset
+FROM ticks ORDER BY ingest_ts DESC, event_id DESC LIMIT 20
+""")
+
+NEWEST_TEST_RUNS = q("SELECT * FROM runs ORDER BY run_ts_utc DESC LIMIT 5", RESULTS)
+
+TEST_PASS_RATE = q(f"""
+SELECT {_dr('sum(pass) * 100.0e0 / sum(total)', 2)} AS pass_rate_pct,
+       CAST(floor({SECS.format(a='(SELECT t FROM as_of)', b='max(run_ts_utc)')}) AS BIGINT)
+         AS seconds_since_last_run
+FROM runs WHERE run_ts_utc >= (SELECT t FROM as_of) - INTERVAL 24 HOUR
+""", RESULTS)
+
+
 def all_sql() -> dict[str, str]:
     return {
         "stg_ticks": STG_TICKS,
@@ -849,6 +871,10 @@ def all_sql() -> dict[str, str]:
         "recent_price_events": RECENT_PRICE_EVENTS,
         "last_update_label": LAST_UPDATE_LABEL,
         "price_events_bucketed": PRICE_EVENTS,
+        "source_freshness": SOURCE_FRESHNESS,
+        "newest_raw_rows": NEWEST_RAW_ROWS,
+        "newest_test_runs": NEWEST_TEST_RUNS,
+        "test_pass_rate": TEST_PASS_RATE,
         "streaming_hourly": STREAMING_HOURLY,
         "streaming_dedup": STREAMING_DEDUP,
         "streaming_moves": PRICE_EVENTS,

@@ -30,8 +30,19 @@ def _stg(spark, sf_dir, variant=fx.ticks) -> DataFrame:
     return marts.stg_raw_prices(variant(_events(spark, sf_dir)))
 
 
+_MEMO: dict = {}
+
+
+def _memo(spark, key, fn):
+    """Per-session memo for scalars and written tables derived from the input."""
+    k = (spark.sparkContext.applicationId, key)
+    if k not in _MEMO:
+        _MEMO[k] = fn()
+    return _MEMO[k]
+
+
 def _as_of(spark, sf_dir):
-    return default_as_of(fx.ticks(_events(spark, sf_dir)))
+    return _memo(spark, ("as_of", sf_dir), lambda: default_as_of(fx.ticks(_events(spark, sf_dir))))
 
 
 def q_stg_ticks(spark, sf_dir):
@@ -65,7 +76,8 @@ def q_price_jumps(spark, sf_dir):
 # ---------------------------------------------------------------- ingest side
 
 def _validated(spark, sf_dir, payloads=fx.raw_payloads) -> DataFrame:
-    env = fx.materialize(payloads(_events(spark, sf_dir)), "envelope")
+    env = _memo(spark, ("envelope", sf_dir, payloads.__name__),
+                lambda: fx.materialize(payloads(_events(spark, sf_dir)), "envelope"))
     typed = ingest.parse_and_type(env, ingest_ts=F.col("kafka_timestamp"))
     return validate.with_error_reason(typed)
 
@@ -340,6 +352,26 @@ def q_price_events_bucketed(spark, sf_dir):
     return marts.price_events(_stg(spark, sf_dir), bucket="day")
 
 
+def q_source_freshness(spark, sf_dir):
+    from tickflow.operators import monitor
+    return monitor.source_freshness(_stg(spark, sf_dir), "ingest_ts", _as_of(spark, sf_dir), 10, 20)
+
+
+def q_newest_raw_rows(spark, sf_dir):
+    from tickflow.operators import dashboards
+    return dashboards.newest(_stg(spark, sf_dir), ["ingest_ts", "event_id"], 20)
+
+
+def q_newest_test_runs(spark, sf_dir):
+    from tickflow.operators import dashboards
+    return dashboards.newest(quality.summarise(fx.test_results(_events(spark, sf_dir))), ["run_ts_utc"], 5)
+
+
+def q_test_pass_rate(spark, sf_dir):
+    return quality.pass_rate(quality.summarise(fx.test_results(_events(spark, sf_dir))),
+                             _as_of(spark, sf_dir), 24)
+
+
 # ---------------------------------------------------------------- streaming
 
 def _run_to_table(stream: DataFrame, name: str, spark) -> DataFrame:
@@ -440,6 +472,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recent_price_events": q_recent_price_events,
     "last_update_label": q_last_update_label,
     "price_events_bucketed": q_price_events_bucketed,
+    "source_freshness": q_source_freshness,
+    "newest_raw_rows": q_newest_raw_rows,
+    "newest_test_runs": q_newest_test_runs,
+    "test_pass_rate": q_test_pass_rate,
     "streaming_hourly": q_streaming_hourly,
     "streaming_dedup": q_streaming_dedup,
     "streaming_moves": q_streaming_moves,
