@@ -63,3 +63,22 @@ def test_restart_from_checkpoint_gives_same_tables(spark):
     sing.start_ingest(spark, cfg).awaitTermination()       # nothing new: no batch
     assert spark.read.parquet(cfg.fact_path).count() == n1
     assert len(spark.read.parquet(cfg.metrics_path).collect()) == 3
+
+
+def test_compaction_keeps_ids_unique_and_replay_inserts_nothing(spark):
+    from tickflow.plans import sinks
+    cfg = _cfg(spark)
+    fn = sing.make_foreach_batch(spark, cfg, "q3")
+    b = _batch(spark)
+    parts = [b.filter(F.col("kafka_partition") == p) for p in range(3)]
+    for i, p in enumerate(parts):
+        fn(p, i)
+    before = sorted(tuple(r) for r in spark.read.parquet(cfg.fact_path).drop("batch_token", "ingest_ts").collect())
+    done = sinks.compact(spark, cfg.fact_path)
+    assert done
+    after = spark.read.parquet(cfg.fact_path)
+    assert sorted(tuple(r) for r in after.drop("batch_token", "ingest_ts").collect()) == before
+    assert after.select("event_id").distinct().count() == after.count()
+    assert {r[0] for r in after.select("batch_token").distinct().collect()} == {"compacted"}
+    fn(parts[0], 0)     # replay of an already compacted batch
+    assert spark.read.parquet(cfg.fact_path).count() == len(before)

@@ -157,3 +157,45 @@ def apply_retention(spark: SparkSession, path: str, ts_col: str, cutoff,
             (spark.read.parquet(staging).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
     return {"dropped_partitions": dropped, "boundary": str(cutoff_date)}
+
+
+COMPACTED = "compacted"
+
+
+def compact(spark: SparkSession, path: str, date_col: str = "event_date", dates=None,
+            key: str = "event_id", order: Sequence[str] = ("kafka_partition", "kafka_offset"),
+            files_per_date: int = 1) -> list:
+    """Merge the per-batch ``batch_token`` partitions of whole dates into one.
+
+    Meant for dates no longer being written.  Rows are re-deduplicated on
+    ``key`` (ids stay unique), staged, written as ``batch_token=compacted``,
+    and only then are the old token directories removed.  A later replay of an
+    old batch finds all its ids stored (in the compacted token) and inserts
+    nothing.
+    """
+    fs, root = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    done = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith(f"{date_col}=")):
+            continue
+        d = name.split("=", 1)[1]
+        if dates is not None and d not in {str(x) for x in dates}:
+            continue
+        tokens = [t for t in fs.listStatus(st.getPath())
+                  if t.isDirectory() and t.getPath().getName().startswith("batch_token=")]
+        if len(tokens) <= 1:
+            continue
+        rows = spark.read.parquet(path).filter(F.col(date_col) == F.lit(d).cast("date"))
+        rows = dedupe(rows, [key], list(order)).drop("batch_token")
+        staging = scratch_path(spark, "compact-staging")
+        rows.coalesce(files_per_date).write.parquet(staging)
+        (spark.read.parquet(staging).withColumn("batch_token", F.lit(COMPACTED))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(date_col, "batch_token").parquet(path))
+        for t in tokens:
+            if t.getPath().getName() != f"batch_token={COMPACTED}":
+                fs.delete(t.getPath(), True)
+        done.append(d)
+    return done
