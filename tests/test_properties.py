@@ -101,3 +101,16 @@ def test_upsert_replaces_keys_and_keeps_others(spark):
     sinks.upsert(spark, new, path, ["k"], "d")
     got = {r["k"]: r["v"] for r in spark.read.parquet(path).collect()}
     assert got == {"k1": 1, "k2": 20, "k3": 3, "k4": 40}
+
+
+def test_threshold_join_form_equals_literal_chain(spark, stg):
+    """J7 (data-driven thresholds) classifies exactly like P16 (literal chain)."""
+    from tickflow import dims
+    ev = marts.price_events(stg, keep_normal=True).select(
+        "symbol", "event_ts", (F.col("price_change_pct") / 100).alias("pct_change"), "event_type")
+    joined = marts.classify_move_join(ev.drop("event_type"), dims.thresholds_df(spark))
+    a = sorted((r["symbol"], str(r["event_ts"]), r["event_type"]) for r in ev.collect())
+    b = sorted((r["symbol"], str(r["event_ts"]), r["event_type"]) for r in joined.collect())
+    assert len(a) == len(b)
+    diff = sum(1 for x, y in zip(a, b) if x != y)
+    assert diff <= len(a) * 0.002   # pct here is re-derived from the 4-decimal rounded value
