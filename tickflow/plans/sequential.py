@@ -5,10 +5,12 @@ to one task; with a handful of instruments, one of which may carry a third of
 all rows, that is a straggler that grows with the data.  Instead the ordered
 scan is split by a time bucket:
 
-1. the window runs per ``(keys, bucket)``, so the work spreads over
-   ``#keys x #buckets`` groups;
-2. a per-``(keys, bucket)`` summary (one row per bucket, built with a partial
-   aggregate) carries the bucket's last row;
+1. the input is hash-partitioned once on ``(keys, bucket)``; the window runs
+   per ``(keys, bucket)``, so the work spreads over ``#keys x #buckets``
+   groups;
+2. a per-``(keys, bucket)`` summary (one row per bucket) carries the bucket's
+   last row; it is aggregated from the same shuffle output (the exchange is
+   reused), so the input is scanned and shuffled once;
 3. a window over that small summary finds each bucket's predecessor bucket
    (skipping empty buckets);
 4. the predecessor is joined back on ``(keys, bucket)`` and used only by the
@@ -16,7 +18,7 @@ scan is split by a time bucket:
    by step 1, so only the summary is exchanged (or broadcast by AQE when its
    measured size is small).
 
-The result equals the global window exactly (see tests/test_sequential.py).
+The result equals the global window exactly (see tests/test_properties.py).
 """
 
 from __future__ import annotations
@@ -44,7 +46,7 @@ def with_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Seq
     Column that is monotone in the ordering.
     """
     keys, order, cols = list(keys), list(order), list(cols)
-    d = df.withColumn(_B, _bucket_expr(bucket, order[0]))
+    d = df.withColumn(_B, _bucket_expr(bucket, order[0])).repartition(*keys, _B)
     w = Window.partitionBy(*keys, _B).orderBy(*[F.col(c) for c in order])
     lagged = d.select(
         "*",
@@ -71,7 +73,7 @@ def with_running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], c
     """Add ``out`` = running ``max(col)`` over rows up to and including the
     current one, per keys in the given order (nulls ignored)."""
     keys, order = list(keys), list(order)
-    d = df.withColumn(_B, _bucket_expr(bucket, order[0]))
+    d = df.withColumn(_B, _bucket_expr(bucket, order[0])).repartition(*keys, _B)
     w = (Window.partitionBy(*keys, _B).orderBy(*[F.col(c) for c in order])
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = d.withColumn("_run_in", F.max(col).over(w))

@@ -102,16 +102,24 @@ def upsert(spark: SparkSession, new: DataFrame, target_path: str, keys: Sequence
            partition_col: str) -> None:
     """Delete-then-insert by key for the partitions touched by ``new`` (K4).
 
-    Keys absent from ``new`` are kept.  The merged partitions are staged to a
-    fresh path, then swapped into the target with dynamic partition overwrite.
+    Keys absent from ``new`` are kept.  ``new`` is computed once and staged;
+    the touched partitions are read from the staged copy, merged with the
+    stored rows of those partitions only, staged again, and swapped into the
+    target with dynamic partition overwrite.
     """
     keys = list(keys)
-    touched = _touched_values(new, partition_col)
+    staged_new = scratch_path(spark, "upsert-new")
+    new.write.partitionBy(partition_col).parquet(staged_new)
+    fs, root = _fs(spark, staged_new)
+    touched = [st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(root)
+               if st.isDirectory() and st.getPath().getName().startswith(f"{partition_col}=")]
     if not touched:
         return
-    existing = spark.read.parquet(target_path).filter(F.col(partition_col).isin(touched))
-    merged = existing.join(new.select(*keys).distinct(), keys, "left_anti") \
-        .unionByName(new, allowMissingColumns=True)
+    fresh = spark.read.parquet(staged_new)
+    existing = spark.read.parquet(target_path).filter(
+        F.col(partition_col).cast("string").isin(touched))
+    merged = existing.join(fresh.select(*keys), keys, "left_anti") \
+        .unionByName(fresh, allowMissingColumns=True)
     staging = scratch_path(spark, "upsert-staging")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
     (spark.read.parquet(staging).write.mode("overwrite")
