@@ -827,6 +827,45 @@ FROM runs WHERE run_ts_utc >= (SELECT t FROM as_of) - INTERVAL 24 HOUR
 """, RESULTS)
 
 
+TIES = """
+ties AS (SELECT * REPLACE (date_trunc('minute', event_ts) AS event_ts) FROM ticks)
+"""
+MINUTE_LAST_PRICE_TIES = q(MINUTE_BODY.format(src="ties"), TIES)
+PRICE_EVENTS_TIES = q(EVENTS_BODY.format(src="ties"), TIES)
+
+UPSERT_PRICE_EVENTS = q("""
+SELECT * FROM run1 r
+WHERE NOT EXISTS (SELECT 1 FROM run2 n WHERE n.commodity = r.commodity AND n.symbol = r.symbol
+                  AND n.event_ts = r.event_ts)
+UNION ALL
+SELECT * FROM run2
+""", ARRIVALS,
+    "run1 AS (" + EVENTS_BODY.format(
+        src="(SELECT * FROM arrivals WHERE arrival_ts < TIMESTAMP '2024-01-20 00:00:00') a") + ")",
+    "bound AS (SELECT max(event_ts) - INTERVAL 2 HOUR AS b FROM run1)",
+    "run2 AS (" + EVENTS_BODY.format(
+        src="(SELECT * FROM arrivals WHERE event_ts >= (SELECT b FROM bound)) a") + ")")
+
+
+def vol_body(src: str, as_of_expr: str) -> str:
+    return (VOLATILITY_BODY.replace("FROM ticks\n  GROUP BY", f"FROM {src}\n  GROUP BY")
+            .replace("(SELECT t FROM as_of)", as_of_expr))
+
+
+UPSERT_VOLATILITY = q("""
+SELECT * FROM run1 r
+WHERE NOT EXISTS (SELECT 1 FROM run2 n WHERE n.commodity = r.commodity AND n.symbol = r.symbol
+                  AND n.hour_bucket = r.hour_bucket)
+UNION ALL
+SELECT * FROM run2
+""", ARRIVALS,
+    "run1 AS (" + vol_body("(SELECT * FROM arrivals WHERE arrival_ts < TIMESTAMP '2024-01-20 00:00:00') a",
+                           "TIMESTAMP '2024-01-20 00:00:00'") + ")",
+    "bound AS (SELECT max(hour_bucket) - INTERVAL 2 HOUR AS b FROM run1)",
+    "run2 AS (" + vol_body("(SELECT * FROM arrivals WHERE event_ts >= (SELECT b FROM bound)) a",
+                           "(SELECT t FROM as_of)") + ")")
+
+
 def all_sql() -> dict[str, str]:
     return {
         "stg_ticks": STG_TICKS,
@@ -850,6 +889,10 @@ def all_sql() -> dict[str, str]:
         "insert_new": INSERT_NEW,
         "upsert_minute": UPSERT_MINUTE,
         "retention": RETENTION,
+        "minute_last_price_ties": MINUTE_LAST_PRICE_TIES,
+        "price_events_ties": PRICE_EVENTS_TIES,
+        "upsert_price_events": UPSERT_PRICE_EVENTS,
+        "upsert_volatility": UPSERT_VOLATILITY,
         "pipeline_metrics": PIPELINE_METRICS,
         "api_metrics_18m": API_METRICS_18M,
         "api_status_histogram": API_STATUS_HISTOGRAM,

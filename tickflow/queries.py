@@ -198,6 +198,48 @@ def q_upsert_minute(spark, sf_dir):
                                            "min_price", "max_price")
 
 
+def q_minute_last_price_ties(spark, sf_dir):
+    """Timestamps truncated to the minute: the last price is decided by event_id."""
+    return marts.minute_last_price(_stg(spark, sf_dir, fx.ticks_minute_ties))
+
+
+def q_price_events_ties(spark, sf_dir):
+    return marts.price_events(_stg(spark, sf_dir, fx.ticks_minute_ties))
+
+
+def q_upsert_price_events(spark, sf_dir):
+    """Events mart: full build over arrivals before the cutoff, then an
+    incremental run with the 2-hour lookback (first slice row has no
+    predecessor; older stored events survive, as in the original)."""
+    from tickflow.plans import incremental
+    from tickflow.session import scratch_path
+    arr = _arrivals(spark, sf_dir)
+    path = scratch_path(spark, "mart_price_events")
+    keys = ["commodity", "symbol", "event_ts"]
+    as_of = _as_of(spark, sf_dir)
+    incremental.run(spark, incremental.events_model, arr.filter(F.col("arrival_ts") < ts_lit(UPSERT_CUTOFF)),
+                    path, keys, "event_ts", "2 hours", as_of)
+    incremental.run(spark, incremental.events_model, arr, path, keys, "event_ts", "2 hours", as_of)
+    return spark.read.parquet(path).drop("bucket_date")
+
+
+def q_upsert_volatility(spark, sf_dir):
+    """Volatility mart: completed hours as of the cutoff, then an incremental
+    run as of the final instant with the 2-hour lookback."""
+    from tickflow.plans import incremental
+    from tickflow.session import scratch_path
+    arr = _arrivals(spark, sf_dir)
+    path = scratch_path(spark, "mart_price_volatility_1h")
+    keys = ["commodity", "symbol", "hour_bucket"]
+    as_of = _as_of(spark, sf_dir)
+    incremental.run(spark, incremental.volatility_model(UPSERT_CUTOFF),
+                    arr.filter(F.col("arrival_ts") < ts_lit(UPSERT_CUTOFF)),
+                    path, keys, "hour_bucket", "2 hours", UPSERT_CUTOFF)
+    incremental.run(spark, incremental.volatility_model(as_of), arr, path, keys, "hour_bucket",
+                    "2 hours", as_of)
+    return spark.read.parquet(path).drop("bucket_date")
+
+
 RETENTION_DAYS = 14
 
 
@@ -451,6 +493,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_new": q_insert_new,
     "upsert_minute": q_upsert_minute,
     "retention": q_retention,
+    "minute_last_price_ties": q_minute_last_price_ties,
+    "price_events_ties": q_price_events_ties,
+    "upsert_price_events": q_upsert_price_events,
+    "upsert_volatility": q_upsert_volatility,
     "pipeline_metrics": q_pipeline_metrics,
     "api_metrics_18m": q_api_metrics_18m,
     "api_status_histogram": q_api_status_histogram,
