@@ -51,11 +51,21 @@ def _touched_values(df: DataFrame, col: str) -> list:
     return [r[0] for r in df.select(col).distinct().collect()]
 
 
+BROADCAST_KEYS_LIMIT = 2_000_000
+
+
 def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "event_id",
              order: Sequence[str] = ("kafka_partition", "kafka_offset"),
              scope: str = "full", partition_col: str = "event_date",
-             batch_partition_expr=None) -> DataFrame:
-    """Rows of ``batch`` whose key is not yet in ``target``."""
+             batch_partition_expr=None, broadcast_limit: int = BROADCAST_KEYS_LIMIT) -> DataFrame:
+    """Rows of ``batch`` whose key is not yet in ``target``.
+
+    The stored side can be huge, the batch is not: the batch's distinct keys
+    are counted, and when they are below ``broadcast_limit`` (always true for
+    a rate-limited micro-batch) they are broadcast into a semi join against
+    the stored keys, so the stored table is only scanned (one column, pruned
+    dates), never shuffled.  Above the limit a plain shuffle anti join is used.
+    """
     d = dedupe(batch, [key], list(order))
     if target is None:
         return d
@@ -64,6 +74,10 @@ def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "event_id",
         expr = batch_partition_expr if batch_partition_expr is not None else F.to_date("event_ts")
         dates = _touched_values(d.select(expr.alias("_p")), "_p")
         stored = target.filter(F.col(partition_col).isin(dates))
+    ids = d.select(key)
+    if ids.count() <= broadcast_limit:
+        hits = stored.select(key).join(F.broadcast(ids), key, "left_semi")
+        return d.join(F.broadcast(hits), key, "left_anti")
     return d.join(stored.select(key), key, "left_anti")
 
 
