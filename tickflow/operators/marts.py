@@ -56,11 +56,16 @@ def latest_prices(stg: DataFrame, as_of, window: str = "24 hours") -> DataFrame:
     """Newest row per (commodity, symbol).
 
     Recent slice first (prunes to the last ``window``); instruments absent from
-    it fall back to the full history through an anti join against the recent
-    result, whose size is bounded by the number of instruments.
+    it fall back to the older history through an anti join against the recent
+    result, whose size is bounded by the number of instruments.  A group
+    missing from the recent slice has only older rows, so the fallback reads
+    ``event_ts < bound`` only: the two branches scan disjoint date ranges.
     """
-    recent = _latest_per_instrument(stg.filter(F.col("event_ts") >= minus(as_of, window)))
-    missing = stg.join(recent.select("commodity", "symbol"), ["commodity", "symbol"], "left_anti")
+    bound = minus(as_of, window)
+    recent = _latest_per_instrument(stg.filter(F.col("event_ts") >= bound))
+    older = stg.filter(F.col("event_ts") < bound)
+    missing = older.join(F.broadcast(recent.select("commodity", "symbol")),
+                         ["commodity", "symbol"], "left_anti")
     return recent.unionByName(_latest_per_instrument(missing))
 
 
