@@ -276,3 +276,24 @@ def alert_timeline(samples: DataFrame, rules: DataFrame, bucket="day") -> DataFr
              .when(F.coalesce(F.col("prev_breached"), F.lit(False)) & prev_held, "resolved")
              .otherwise("normal"))
     return runs.select("rule_uid", "ts", "value", "breached", state.alias("state"))
+
+
+def idle_time(df: DataFrame, ts_col: str, tie_col: str, cycle_seconds: int = 360) -> DataFrame:
+    """Idle time per UTC day (A19): gaps between consecutive rows in time order.
+
+    ``max_gap_seconds`` is the longest gap ending that day, ``idle_gaps`` the
+    number of gaps longer than one cycle and ``idle_seconds`` their excess
+    over the cycle.  The global ordered scan is bucketed by hour
+    (``plans.sequential``): only the one-row-per-hour summary is ordered as a
+    whole.
+    """
+    from tickflow.plans import sequential
+    base = df.select(F.col(ts_col).alias("_t"), F.col(tie_col).alias("_k"))
+    lagged = sequential.with_lag(base, [], ["_t", "_k"], ["_t"], bucket="hour")
+    gap = seconds_between("_t", "prev__t")
+    return (lagged.filter(F.col("prev__t").isNotNull())
+            .groupBy(trunc("day", "_t").alias("day"))
+            .agg(dround(F.max(gap), 6).alias("max_gap_seconds"),
+                 F.count_if(gap > cycle_seconds).alias("idle_gaps"),
+                 dround(F.coalesce(F.sum(F.when(gap > cycle_seconds, gap - cycle_seconds)), F.lit(0.0)), 6)
+                 .alias("idle_seconds")))

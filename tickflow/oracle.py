@@ -866,6 +866,24 @@ SELECT * FROM run2
                            "(SELECT t FROM as_of)") + ")")
 
 
+
+def idle_sql(table: str, ts: str, tie: str) -> str:
+    gap = f"date_diff('microsecond', prev_t, {ts}) / 1e6"
+    return f"""
+SELECT date_trunc('day', {ts}) AS day,
+       {_dr(f'max({gap})', 6)} AS max_gap_seconds,
+       count(*) FILTER (WHERE {gap} > 360) AS idle_gaps,
+       {_dr(f'coalesce(sum(CASE WHEN {gap} > 360 THEN {gap} - 360 END), 0)', 6)} AS idle_seconds
+FROM (SELECT {ts}, lag({ts}) OVER (ORDER BY {ts}, {tie}) AS prev_t FROM {table}) x
+WHERE prev_t IS NOT NULL
+GROUP BY 1
+"""
+
+
+INGEST_IDLE_TIME = q(idle_sql("ticks", "ingest_ts", "event_id"))
+API_IDLE_TIME = q(idle_sql("api_calls", "ts_utc", "call_id"), API_RAW, API_CALLS)
+
+
 def all_sql() -> dict[str, str]:
     return {
         "stg_ticks": STG_TICKS,
@@ -915,6 +933,8 @@ def all_sql() -> dict[str, str]:
         "last_update_label": LAST_UPDATE_LABEL,
         "price_events_bucketed": PRICE_EVENTS,
         "source_freshness": SOURCE_FRESHNESS,
+        "ingest_idle_time": INGEST_IDLE_TIME,
+        "api_idle_time": API_IDLE_TIME,
         "newest_raw_rows": NEWEST_RAW_ROWS,
         "newest_test_runs": NEWEST_TEST_RUNS,
         "test_pass_rate": TEST_PASS_RATE,

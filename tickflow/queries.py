@@ -414,6 +414,16 @@ def q_test_pass_rate(spark, sf_dir):
                              _as_of(spark, sf_dir), 24)
 
 
+def q_ingest_idle_time(spark, sf_dir):
+    from tickflow.operators import monitor
+    return monitor.idle_time(_stg(spark, sf_dir), "ingest_ts", "event_id", 360)
+
+
+def q_api_idle_time(spark, sf_dir):
+    from tickflow.operators import monitor
+    return monitor.idle_time(fx.api_calls(_events(spark, sf_dir)), "ts_utc", "call_id", 360)
+
+
 # ---------------------------------------------------------------- streaming
 
 def _run_to_table(stream: DataFrame, name: str, spark) -> DataFrame:
@@ -519,6 +529,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "last_update_label": q_last_update_label,
     "price_events_bucketed": q_price_events_bucketed,
     "source_freshness": q_source_freshness,
+    "ingest_idle_time": q_ingest_idle_time,
+    "api_idle_time": q_api_idle_time,
     "newest_raw_rows": q_newest_raw_rows,
     "newest_test_runs": q_newest_test_runs,
     "test_pass_rate": q_test_pass_rate,
