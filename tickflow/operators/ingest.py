@@ -14,6 +14,17 @@ from pyspark.sql import types as T
 from tickflow.functions import ids
 from tickflow.functions.timeutil import ISO_SECONDS
 
+# ---------------------------------------------------------------------------
+# API call error types (must match the original log values).
+# ---------------------------------------------------------------------------
+API_RATE_LIMIT = "RATE_LIMIT_429"
+API_SERVER_PREFIX = "SERVER_"           # + HTTP status
+API_EXCEPTION = "EXCEPTION"
+API_PAYLOAD_ERROR = "TD_ERROR"
+API_EMPTY_PARSE = "EMPTY_PARSE"
+API_ERROR_MSG_CHARS = 500
+# ---------------------------------------------------------------------------
+
 # Wire schema of one price event: declared, never inferred.
 EVENT_SCHEMA = T.StructType([
     T.StructField("schema_version", T.IntegerType()),
@@ -131,15 +142,15 @@ def classify_api_calls(calls: DataFrame) -> DataFrame:
     st = F.col("http_status")
     td_error = F.coalesce(F.get_json_object("body", "$.status") == "error", F.lit(False))
     n_prices = F.size(parsed_prices(F.col("body"), F.col("symbols")))
-    etype = (F.when(st == 429, "RATE_LIMIT_429")
-             .when(st.between(500, 599), F.concat(F.lit("SERVER_"), st.cast("string")))
-             .when(st >= 400, "EXCEPTION")
-             .when(td_error, "TD_ERROR")
-             .when(n_prices == 0, "EMPTY_PARSE"))
+    etype = (F.when(st == 429, API_RATE_LIMIT)
+             .when(st.between(500, 599), F.concat(F.lit(API_SERVER_PREFIX), st.cast("string")))
+             .when(st >= 400, API_EXCEPTION)
+             .when(td_error, API_PAYLOAD_ERROR)
+             .when(n_prices == 0, API_EMPTY_PARSE))
     msg = (F.when(st >= 400, F.when((st != 429) & ~st.between(500, 599),
                                     F.concat(F.lit("HTTP "), st.cast("string"))))
            .when(td_error, F.get_json_object("body", "$.message"))
-           .when(n_prices == 0, F.substring(F.col("body"), 1, 500)))
+           .when(n_prices == 0, F.substring(F.col("body"), 1, API_ERROR_MSG_CHARS)))
     logged_status = F.when((st >= 400) & (st != 429) & ~st.between(500, 599), F.lit(None)) \
         .otherwise(st)
     return calls.select(

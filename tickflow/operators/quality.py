@@ -179,19 +179,20 @@ def read_test_results(spark: SparkSession, path: str) -> DataFrame:
     return doc.select(F.explode("results").alias("r")).select("r.*")
 
 
+# Per-test statuses and run statuses.
+TEST_STATUSES = ["pass", "warn", "error", "fail", "skipped"]
+RUN_FAIL, RUN_WARN, RUN_PASS = "FAIL", "WARN", "PASS"
+
+
 def summarise(results: DataFrame, run_col: str = "run_ts_utc", environment: str = "dev") -> DataFrame:
     """Per run: pass/warn/error/fail/skipped/total and the run status (A16):
     any error or fail -> FAIL, else any warn -> WARN, else PASS."""
     s = F.col("status")
     g = results.groupBy(run_col).agg(
         F.count(F.lit(1)).cast("int").alias("total"),
-        F.count_if(s == "pass").cast("int").alias("pass"),
-        F.count_if(s == "warn").cast("int").alias("warn"),
-        F.count_if(s == "error").cast("int").alias("error"),
-        F.count_if(s == "fail").cast("int").alias("fail"),
-        F.count_if(s == "skipped").cast("int").alias("skipped"))
-    status = (F.when((F.col("error") > 0) | (F.col("fail") > 0), "FAIL")
-              .when(F.col("warn") > 0, "WARN").otherwise("PASS"))
+        *[F.count_if(s == st).cast("int").alias(st) for st in TEST_STATUSES])
+    status = (F.when((F.col("error") > 0) | (F.col("fail") > 0), RUN_FAIL)
+              .when(F.col("warn") > 0, RUN_WARN).otherwise(RUN_PASS))
     return g.select(run_col, F.lit(environment).alias("environment"), status.alias("status"),
                     "total", "pass", "warn", "error", "fail", "skipped")
 
@@ -199,7 +200,7 @@ def summarise(results: DataFrame, run_col: str = "run_ts_utc", environment: str
 def failed_runs(runs: DataFrame, as_of, minutes: int = 35) -> DataFrame:
     """FAIL runs in the trailing window."""
     return runs.filter((F.col("run_ts_utc") >= minus(as_of, f"{minutes} minutes"))
-                       & (F.col("status") == "FAIL"))
+                       & (F.col("status") == RUN_FAIL))
 
 
 def pass_rate(runs: DataFrame, as_of, hours: int = 24) -> DataFrame:

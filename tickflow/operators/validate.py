@@ -12,6 +12,19 @@ from pyspark.sql import functions as F
 
 from tickflow import dims
 
+# ---------------------------------------------------------------------------
+# Error reasons written to the DLQ (must match the original).
+# ---------------------------------------------------------------------------
+ERR_PARSE = "JSON_PARSE_ERROR_OR_EMPTY"
+ERR_MISSING = "MISSING_FIELD:"          # + field name
+ERR_BAD_TS = "INVALID_FIELD:event_ts"
+ERR_NON_POSITIVE = "INVALID_FIELD:price<=0"
+ERR_VERSION = "UNSUPPORTED_SCHEMA_VERSION"
+ERR_RANGE = "INVALID_FIELD:price_out_of_range"
+# Required fields, in the order they are checked
+REQUIRED_FIELDS = ["event_id", "commodity", "symbol", "price", "currency", "source"]
+# ---------------------------------------------------------------------------
+
 GOOD_COLUMNS = ["event_id", "commodity", "symbol", "price", "currency", "event_ts", "source",
                 "ingest_ts", "kafka_partition", "kafka_offset", "schema_version",
                 "ingest_interval_sec"]
@@ -31,19 +44,14 @@ def within_bounds(symbol, price) -> Column:
 
 def _chain(out_of_range: Column) -> Column:
     c = F.col
-    return (F.when(c("event_id").isNull() & c("commodity").isNull() & c("symbol").isNull()
-                   & c("price").isNull(), "JSON_PARSE_ERROR_OR_EMPTY")
-            .when(c("event_id").isNull(), "MISSING_FIELD:event_id")
-            .when(c("commodity").isNull(), "MISSING_FIELD:commodity")
-            .when(c("symbol").isNull(), "MISSING_FIELD:symbol")
-            .when(c("price").isNull(), "MISSING_FIELD:price")
-            .when(c("currency").isNull(), "MISSING_FIELD:currency")
-            .when(c("source").isNull(), "MISSING_FIELD:source")
-            .when(c("event_ts").isNull(), "INVALID_FIELD:event_ts")
-            .when(c("price") <= 0, "INVALID_FIELD:price<=0")
-            .when(~c("schema_version").eqNullSafe(F.lit(dims.SUPPORTED_SCHEMA_VERSION)),
-                  "UNSUPPORTED_SCHEMA_VERSION")
-            .when(out_of_range, "INVALID_FIELD:price_out_of_range"))
+    expr = F.when(c("event_id").isNull() & c("commodity").isNull() & c("symbol").isNull()
+                  & c("price").isNull(), ERR_PARSE)
+    for f in REQUIRED_FIELDS:
+        expr = expr.when(c(f).isNull(), ERR_MISSING + f)
+    return (expr.when(c("event_ts").isNull(), ERR_BAD_TS)
+            .when(c("price") <= 0, ERR_NON_POSITIVE)
+            .when(~c("schema_version").eqNullSafe(F.lit(dims.SUPPORTED_SCHEMA_VERSION)), ERR_VERSION)
+            .when(out_of_range, ERR_RANGE))
 
 
 def error_reason() -> Column:
