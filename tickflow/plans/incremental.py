@@ -25,12 +25,29 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def lower_bound(spark: SparkSession, target_path: str, bucket_col: str, lookback: str, as_of):
+def _newest_partition(spark: SparkSession, path: str, partition_col: str) -> str | None:
+    """The newest ``partition_col=`` directory of a date-partitioned table
+    (file listing only, no data scan)."""
+    fs, root = sinks._fs(spark, path)
+    names = [st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(root)
+             if st.isDirectory() and st.getPath().getName().startswith(f"{partition_col}=")]
+    return max(names) if names else None
+
+
+def lower_bound(spark: SparkSession, target_path: str, bucket_col: str, lookback: str, as_of,
+                partition_col: str = "bucket_date"):
     """max(bucket) - lookback, or as_of - 7 days for an empty mart, or None
-    when the mart does not exist yet (full build)."""
+    when the mart does not exist yet (full build).
+
+    ``max(bucket)`` is read from the newest date partition only.
+    """
     if not _exists(spark, target_path):
         return None
-    m = scalar(spark.read.parquet(target_path), F.max(bucket_col))
+    newest = _newest_partition(spark, target_path, partition_col)
+    m = None
+    if newest is not None:
+        m = scalar(spark.read.parquet(target_path).filter(F.col(partition_col) == F.lit(newest)),
+                   F.max(bucket_col))
     if m is None:
         return scalar(spark.range(1), minus(as_of, EMPTY_FALLBACK))
     return scalar(spark.range(1), minus(m, lookback))
@@ -40,7 +57,7 @@ def run(spark: SparkSession, model: Callable[[DataFrame, object], DataFrame], so
         target_path: str, keys: Sequence[str], bucket_col: str, lookback: str, as_of,
         partition_col: str = "bucket_date") -> dict:
     """One incremental (or first full) build of ``model`` into ``target_path``."""
-    since = lower_bound(spark, target_path, bucket_col, lookback, as_of)
+    since = lower_bound(spark, target_path, bucket_col, lookback, as_of, partition_col)
     new = model(source, since).withColumn(partition_col, F.to_date(bucket_col))
     if since is None:
         new.write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
