@@ -92,28 +92,46 @@ def duplicates(df: DataFrame, keys) -> DataFrame:
     return nn.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+def _rows(table: str, names: list[str], agg: DataFrame, cols: list[str]) -> DataFrame:
+    return agg.select(F.explode(F.array(*[
+        F.struct(F.lit(table).alias("table_name"), F.lit(n).alias("check_name"),
+                 F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("failures"))
+        for n, c in zip(names, cols)])).alias("r")).select("r.*")
+
+
 def run_checks(tables: dict[str, DataFrame], specs: dict[str, list[Check]]) -> DataFrame:
     """All checks -> (table_name, check_name, failures, status) (Q7).
 
-    Row-level checks of one table are fused into a single aggregate (one scan);
-    each uniqueness check is one grouped aggregate with map-side combine.
+    Per table, one pass: with a single uniqueness check, the row-level checks
+    are counted per key group inside the same grouped aggregate (partial
+    aggregation before the key shuffle) and summed; otherwise the row-level
+    checks share one global aggregate and each uniqueness check is its own
+    grouped count.
     """
     parts = []
     for table, checks in specs.items():
         df = tables[table]
         row_checks = [c for c in checks if c.kind != "unique"]
+        uniq = [c for c in checks if c.kind == "unique"]
+        names = [c.name for c in row_checks]
+        cols = [f"c{i}" for i in range(len(row_checks))]
+        if len(uniq) == 1:
+            keys = list(uniq[0].columns)
+            g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                      *[_row_failure(c).alias(k) for c, k in zip(row_checks, cols)])
+            key_ok = F.lit(True)
+            for k in keys:
+                key_ok = key_ok & F.col(k).isNotNull()
+            tot = g.agg(*[F.sum(k).alias(k) for k in cols],
+                        F.sum(F.when(key_ok & (F.col("_n") > 1), F.col("_n"))).alias("_dup"))
+            parts.append(_rows(table, names + [uniq[0].name], tot, cols + ["_dup"]))
+            continue
         if row_checks:
-            agg = df.agg(*[_row_failure(c).alias(f"c{i}") for i, c in enumerate(row_checks)])
-            parts.append(agg.select(F.explode(F.array(*[
-                F.struct(F.lit(table).alias("table_name"), F.lit(c.name).alias("check_name"),
-                         F.col(f"c{i}").cast("bigint").alias("failures"))
-                for i, c in enumerate(row_checks)])).alias("r")).select("r.*"))
-        for c in checks:
-            if c.kind == "unique":
-                dup = duplicates(df, c.columns)
-                parts.append(dup.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("failures"))
-                             .select(F.lit(table).alias("table_name"), F.lit(c.name).alias("check_name"),
-                                     "failures"))
+            agg = df.agg(*[_row_failure(c).alias(k) for c, k in zip(row_checks, cols)])
+            parts.append(_rows(table, names, agg, cols))
+        for c in uniq:
+            dup = duplicates(df, c.columns)
+            parts.append(_rows(table, [c.name], dup.agg(F.sum("n").alias("_dup")), ["_dup"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
