@@ -42,5 +42,5 @@ def test_insert_new_broadcasts_batch_keys(spark):
 
 
 def test_column_pruning(spark):
-    p = plan(spark, "pipeline_metrics")
+    p = plan(spark, "health_metrics")
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string>" in p

@@ -441,7 +441,7 @@ FROM ticks WHERE event_ts >= (SELECT t FROM as_of) - INTERVAL 14 DAY
 
 SECS = "date_diff('microsecond', {b}, {a}) / 1e6"
 
-PIPELINE_METRICS = q(f"""
+HEALTH_METRICS = q(f"""
 SELECT CAST(round({SECS.format(a='(SELECT t FROM as_of)', b='max(ingest_ts)')}) AS INTEGER)
          AS time_since_last_ingest_seconds,
        count(*) FILTER (WHERE ingest_ts >= (SELECT t FROM as_of) - INTERVAL 6 MINUTE) AS events_last_6m,
@@ -911,7 +911,7 @@ def all_sql() -> dict[str, str]:
         "price_events_ties": PRICE_EVENTS_TIES,
         "upsert_price_events": UPSERT_PRICE_EVENTS,
         "upsert_volatility": UPSERT_VOLATILITY,
-        "pipeline_metrics": PIPELINE_METRICS,
+        "health_metrics": HEALTH_METRICS,
         "api_metrics_18m": API_METRICS_18M,
         "api_status_histogram": API_STATUS_HISTOGRAM,
         "api_latency_p95": API_LATENCY_P95,

@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickflow.functions.timeutil import minus, scalar, trunc
+from tickflow.functions.timeutil import minus, scalar
 from tickflow.plans import sinks
 
 EMPTY_FALLBACK = "7 days"

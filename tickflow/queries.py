@@ -9,16 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tickflow import session as tsession
-from tickflow.functions.timeutil import default_as_of
 from pyspark.sql import functions as F
 
+from tickflow import session as tsession
 from tickflow.functions import calendar, ids
-from tickflow.functions.timeutil import minus, trunc, ts_lit
-from tickflow.operators import ingest, marts, quality, validate
-from tickflow.plans import sinks
+from tickflow.functions.timeutil import default_as_of, minus, trunc, ts_lit
+from tickflow.operators import dashboards, ingest, marts, monitor, quality, validate
+from tickflow.plans import incremental, sinks
+from tickflow.session import scratch_path
 from tickflow.sources import fixtures as fx
+from tickflow.streaming import ingest as sing
+from tickflow.streaming import marts as smarts
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +101,6 @@ def q_batch_counts(spark, sf_dir):
 
 
 def q_error_reason_counts(spark, sf_dir):
-    from tickflow.operators import monitor
     v = _validated(spark, sf_dir)
     _, bad = validate.split(v, fx.STREAM_INSTANCE, fx.micro_batch_id())
     return monitor.dlq_by_reason(bad, _as_of(spark, sf_dir))
@@ -185,8 +185,6 @@ def _arrivals(spark, sf_dir) -> DataFrame:
 def q_upsert_minute(spark, sf_dir):
     """Two builds of the minute mart: full over arrivals before the cutoff,
     then an incremental run (30-minute lookback) over everything."""
-    from tickflow.plans import incremental
-    from tickflow.session import scratch_path
     arr = _arrivals(spark, sf_dir)
     path = scratch_path(spark, "mart_minute_last_price")
     keys = ["commodity", "symbol", "minute_bucket"]
@@ -211,8 +209,6 @@ def q_upsert_price_events(spark, sf_dir):
     """Events mart: full build over arrivals before the cutoff, then an
     incremental run with the 2-hour lookback (first slice row has no
     predecessor; older stored events survive, as in the original)."""
-    from tickflow.plans import incremental
-    from tickflow.session import scratch_path
     arr = _arrivals(spark, sf_dir)
     path = scratch_path(spark, "mart_price_events")
     keys = ["commodity", "symbol", "event_ts"]
@@ -226,8 +222,6 @@ def q_upsert_price_events(spark, sf_dir):
 def q_upsert_volatility(spark, sf_dir):
     """Volatility mart: completed hours as of the cutoff, then an incremental
     run as of the final instant with the 2-hour lookback."""
-    from tickflow.plans import incremental
-    from tickflow.session import scratch_path
     arr = _arrivals(spark, sf_dir)
     path = scratch_path(spark, "mart_price_volatility_1h")
     keys = ["commodity", "symbol", "hour_bucket"]
@@ -245,7 +239,6 @@ RETENTION_DAYS = 14
 
 def q_retention(spark, sf_dir):
     """Fact table written by date, then rows older than as_of - 14 days removed."""
-    from tickflow.session import scratch_path
     path = scratch_path(spark, "raw_prices")
     _stg(spark, sf_dir).withColumn("event_date", F.to_date("event_ts")) \
         .write.partitionBy("event_date").parquet(path)
@@ -257,48 +250,39 @@ def q_retention(spark, sf_dir):
 
 # ---------------------------------------------------------------- monitoring
 
-def q_pipeline_metrics(spark, sf_dir):
-    from tickflow.operators import monitor
+def q_health_metrics(spark, sf_dir):
     return monitor.pipeline_metrics(_stg(spark, sf_dir), _as_of(spark, sf_dir))
 
 
 def q_api_metrics_18m(spark, sf_dir):
-    from tickflow.operators import monitor
     return monitor.api_metrics(fx.api_calls(_events(spark, sf_dir)), _as_of(spark, sf_dir), 18)
 
 
 def q_api_status_histogram(spark, sf_dir):
-    from tickflow.operators import monitor
     return monitor.api_status(fx.api_calls(_events(spark, sf_dir)), _as_of(spark, sf_dir), 15)
 
 
 def q_api_latency_p95(spark, sf_dir):
-    from tickflow.operators import monitor
     return monitor.api_p95(fx.api_calls(_events(spark, sf_dir)), _as_of(spark, sf_dir), 60)
 
 
 def q_consumer_lag(spark, sf_dir):
-    from tickflow.operators import monitor
     return monitor.consumer_lag(fx.watermarks(_events(spark, sf_dir)), _good(spark, sf_dir))
 
 
 def q_kafka_lag_latest(spark, sf_dir):
-    from tickflow.operators import monitor
     return monitor.lag_latest(fx.kafka_lag_log(_events(spark, sf_dir)))
 
 
 def q_dlq_per_day(spark, sf_dir):
-    from tickflow.operators import monitor
     return monitor.dlq_per_day(_bad(spark, sf_dir), _as_of(spark, sf_dir), 7)
 
 
 def q_dlq_rate(spark, sf_dir):
-    from tickflow.operators import monitor
     return monitor.dlq_rate(_validated(spark, sf_dir), _as_of(spark, sf_dir), 7)
 
 
 def q_freshness(spark, sf_dir):
-    from tickflow.operators import monitor
     as_of = _as_of(spark, sf_dir)
     stg = _stg(spark, sf_dir)
     backups = fx.backup_log(_events(spark, sf_dir)).filter(F.col("status") == "OK")
@@ -312,12 +296,10 @@ def q_freshness(spark, sf_dir):
 
 
 def q_throughput_per_cycle(spark, sf_dir):
-    from tickflow.operators import monitor
     return monitor.throughput(_stg(spark, sf_dir), "6 minutes")
 
 
 def q_table_summary(spark, sf_dir):
-    from tickflow.operators import monitor
     return monitor.table_summary(_stg(spark, sf_dir))
 
 
@@ -342,7 +324,6 @@ def q_test_run_summary(spark, sf_dir):
 
 
 def q_alert_rules(spark, sf_dir):
-    from tickflow.operators import monitor
     ev = _events(spark, sf_dir)
     as_of = _as_of(spark, sf_dir)
     stg = _stg(spark, sf_dir)
@@ -355,7 +336,6 @@ def q_alert_rules(spark, sf_dir):
 
 
 def q_alert_timeline(spark, sf_dir):
-    from tickflow.operators import monitor
     return monitor.alert_timeline(fx.alert_samples(_events(spark, sf_dir)), monitor.rules_df(spark))
 
 
@@ -366,14 +346,12 @@ def q_alert_payloads(spark, sf_dir):
 # ---------------------------------------------------------------- dashboards
 
 def q_price_statistics(spark, sf_dir):
-    from tickflow.operators import dashboards
     stg = _stg(spark, sf_dir)
     return dashboards.price_statistics(marts.price_volatility_1h(stg, _as_of(spark, sf_dir)),
                                        marts.price_events(stg))
 
 
 def q_hourly_price_change(spark, sf_dir):
-    from tickflow.operators import dashboards
     as_of = _as_of(spark, sf_dir)
     vol = marts.price_volatility_1h(_stg(spark, sf_dir), as_of)
     lo = spark.range(1).select(minus(as_of, "7 days").alias("c")).collect()[0]["c"]
@@ -381,12 +359,10 @@ def q_hourly_price_change(spark, sf_dir):
 
 
 def q_recent_price_events(spark, sf_dir):
-    from tickflow.operators import dashboards
     return dashboards.recent_events(marts.price_events(_stg(spark, sf_dir)), 100)
 
 
 def q_last_update_label(spark, sf_dir):
-    from tickflow.operators import dashboards
     return dashboards.last_update(_stg(spark, sf_dir), "bitcoin")
 
 
@@ -395,17 +371,14 @@ def q_price_events_bucketed(spark, sf_dir):
 
 
 def q_source_freshness(spark, sf_dir):
-    from tickflow.operators import monitor
     return monitor.source_freshness(_stg(spark, sf_dir), "ingest_ts", _as_of(spark, sf_dir), 10, 20)
 
 
 def q_newest_raw_rows(spark, sf_dir):
-    from tickflow.operators import dashboards
     return dashboards.newest(_stg(spark, sf_dir), ["ingest_ts", "event_id"], 20)
 
 
 def q_newest_test_runs(spark, sf_dir):
-    from tickflow.operators import dashboards
     return dashboards.newest(quality.summarise(fx.test_results(_events(spark, sf_dir))), ["run_ts_utc"], 5)
 
 
@@ -415,12 +388,10 @@ def q_test_pass_rate(spark, sf_dir):
 
 
 def q_ingest_idle_time(spark, sf_dir):
-    from tickflow.operators import monitor
     return monitor.idle_time(_stg(spark, sf_dir), "ingest_ts", "event_id", 360)
 
 
 def q_api_idle_time(spark, sf_dir):
-    from tickflow.operators import monitor
     return monitor.idle_time(fx.api_calls(_events(spark, sf_dir)), "ts_utc", "call_id", 360)
 
 
@@ -429,7 +400,6 @@ def q_api_idle_time(spark, sf_dir):
 def _run_to_table(stream: DataFrame, name: str, spark) -> DataFrame:
     """Run a streaming query to completion (availableNow) into a Parquet sink
     under the shared checkpoint folder and return the sink as a table."""
-    from tickflow.session import scratch_path
     out, ckpt = scratch_path(spark, name), scratch_path(spark, name + "-ckpt")
     q = (stream.writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", ckpt).outputMode("append")
@@ -445,12 +415,10 @@ def _tick_stream(spark, sf_dir, df: DataFrame | None = None) -> DataFrame:
 
 
 def q_streaming_hourly(spark, sf_dir):
-    from tickflow.streaming import marts as smarts
     return _run_to_table(smarts.hourly(_tick_stream(spark, sf_dir), "10 minutes"), "stream-hourly", spark)
 
 
 def q_streaming_dedup(spark, sf_dir):
-    from tickflow.streaming import marts as smarts
     stg = _stg(spark, sf_dir)
     doubled = stg.unionByName(stg.filter(F.col("event_id").cast("bigint") % 10 == 0))
     return _run_to_table(smarts.dedup(_tick_stream(spark, sf_dir, doubled), "2 hours"),
@@ -458,15 +426,12 @@ def q_streaming_dedup(spark, sf_dir):
 
 
 def q_streaming_moves(spark, sf_dir):
-    from tickflow.streaming import marts as smarts
     return _run_to_table(smarts.moves(_tick_stream(spark, sf_dir)), "stream-moves", spark)
 
 
 def q_stream_ingest(spark, sf_dir):
     """The replayed envelope as files (originals first, re-publishes later),
     ingested by the foreachBatch pipeline, two files per micro-batch."""
-    from tickflow.session import scratch_path
-    from tickflow.streaming import ingest as sing
     ev = _events(spark, sf_dir)
     src = scratch_path(spark, "ingest-source")
     fx.raw_payloads(ev).repartition(4).write.parquet(src)
@@ -507,7 +472,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_events_ties": q_price_events_ties,
     "upsert_price_events": q_upsert_price_events,
     "upsert_volatility": q_upsert_volatility,
-    "pipeline_metrics": q_pipeline_metrics,
+    "health_metrics": q_health_metrics,
     "api_metrics_18m": q_api_metrics_18m,
     "api_status_histogram": q_api_status_histogram,
     "api_latency_p95": q_api_latency_p95,
