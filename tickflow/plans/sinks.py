@@ -146,18 +146,42 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Partition column names of a Hive-style table, outermost first (listing only)."""
+    fs, p = _fs(spark, path)
+    cols = []
+    while True:
+        dirs = [st for st in fs.listStatus(p) if st.isDirectory() and "=" in st.getPath().getName()]
+        if not dirs:
+            return cols
+        cols.append(dirs[0].getPath().getName().split("=", 1)[0])
+        p = dirs[0].getPath()
+
+
 def apply_retention(spark: SparkSession, path: str, ts_col: str, cutoff,
-                    partition_col: str, partition_is_date: bool = True) -> dict:
+                    partition_col: str | None = None) -> dict:
     """Delete rows with ``ts_col < cutoff`` (K8).
 
     Whole expired date partitions are removed as directories; only the
-    boundary partition (the date of the cutoff) is rewritten.
+    boundary date (the date of the cutoff) is rewritten, keeping any inner
+    partition levels (e.g. ``batch_token``).  An unpartitioned table is
+    rewritten through a staging copy.
     """
     from tickflow.functions.timeutil import ts_lit
     cut = ts_lit(cutoff)
-    cutoff_date = spark.range(1).select(F.to_date(cut).alias("d")).collect()[0]["d"]
+    cols = partition_columns(spark, path)
+    if partition_col is None:
+        partition_col = cols[0] if cols else None
     fs, root = _fs(spark, path)
     jvm = spark.sparkContext._jvm
+    if partition_col is None:
+        kept = spark.read.parquet(path).filter(F.col(ts_col) >= cut)
+        staging = scratch_path(spark, "retention-staging")
+        kept.write.parquet(staging)
+        spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+        return {"rewritten": True}
+    inner = [c for c in cols if c != partition_col]
+    cutoff_date = spark.range(1).select(F.to_date(cut).alias("d")).collect()[0]["d"]
     df = spark.read.parquet(path)
     dropped = 0
     # Partition directories are listed from the file system (no data scan).
@@ -167,17 +191,17 @@ def apply_retention(spark: SparkSession, path: str, ts_col: str, cutoff,
             if name.split("=", 1)[1] < str(cutoff_date):
                 fs.delete(st.getPath(), True)
                 dropped += 1
-    boundary = df.filter(F.col(partition_col) == F.lit(cutoff_date))
-    kept = boundary.filter(F.col(ts_col) >= cut)
     boundary_path = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={cutoff_date}")
     if fs.exists(boundary_path):
+        kept = df.filter((F.col(partition_col) == F.lit(cutoff_date)) & (F.col(ts_col) >= cut))
         if kept.limit(1).count() == 0:
             fs.delete(boundary_path, True)
         else:
             staging = scratch_path(spark, "retention-staging")
-            kept.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-            (spark.read.parquet(staging).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+            kept.write.partitionBy(partition_col, *inner).parquet(staging)
+            fs.delete(boundary_path, True)
+            (spark.read.parquet(staging).write.mode("append")
+             .partitionBy(partition_col, *inner).parquet(path))
     return {"dropped_partitions": dropped, "boundary": str(cutoff_date)}
 
 
