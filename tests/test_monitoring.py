@@ -43,6 +43,8 @@ API = [  # (call_id, status, symbols, body, expected prices, expected error_type
     (11, 200, "BTC/USD,XAU/USD", '{"price":"5"}', {}, "EMPTY_PARSE"),
     (12, 200, "BTC/USD,EUR/USD", '{"BTC/USD":{"price":"n/a"},"EUR/USD":{"price":1.08}}',
      {"EUR/USD": 1.08}, None),
+    (13, 200, "BTC/USD", "<html>504 gateway timeout</html>", {}, "EXCEPTION"),
+    (14, 200, "BTC/USD", '["BTC/USD", 1]', {}, "EMPTY_PARSE"),
 ]
 
 
@@ -69,6 +71,7 @@ def test_api_call_classes(calls):
     assert got[9]["http_status"] is None and got[9]["error_msg"] == "HTTP 401"
     assert got[10]["error_msg"] == "bad key"
     assert got[7]["http_status"] == 429 and got[7]["error_msg"] is None
+    assert got[13]["http_status"] is None       # failed before a parsed body
 
 
 ALERTS = {

@@ -23,6 +23,7 @@ API_EXCEPTION = "EXCEPTION"
 API_PAYLOAD_ERROR = "TD_ERROR"
 API_EMPTY_PARSE = "EMPTY_PARSE"
 API_ERROR_MSG_CHARS = 500
+API_BAD_JSON_MSG = "response body is not valid JSON"
 # ---------------------------------------------------------------------------
 
 # Wire schema of one price event: declared, never inferred.
@@ -138,24 +139,32 @@ def flatten_price_responses(calls: DataFrame) -> DataFrame:
 
 
 def classify_api_calls(calls: DataFrame) -> DataFrame:
-    """One monitoring row per API call (P17): ok flag, error_type, error_msg."""
+    """One monitoring row per API call (P17): ok flag, error_type, error_msg.
+
+    429 and 5xx are logged with their status; any other failure before a
+    parsed body (other 4xx, a body that is not JSON) is an EXCEPTION with no
+    status; a payload-level error is TD_ERROR; a parsed body without a usable
+    price is EMPTY_PARSE.
+    """
     st = F.col("http_status")
     td_error = F.coalesce(F.get_json_object("body", "$.status") == "error", F.lit(False))
+    is_json = F.get_json_object("body", "$").isNotNull()
     n_prices = F.size(parsed_prices(F.col("body"), F.col("symbols")))
+    logged_with_status = (st == 429) | st.between(500, 599)
+    exception = (~logged_with_status & (st >= 400)) | (~logged_with_status & ~is_json)
     etype = (F.when(st == 429, API_RATE_LIMIT)
              .when(st.between(500, 599), F.concat(F.lit(API_SERVER_PREFIX), st.cast("string")))
-             .when(st >= 400, API_EXCEPTION)
+             .when(exception, API_EXCEPTION)
              .when(td_error, API_PAYLOAD_ERROR)
              .when(n_prices == 0, API_EMPTY_PARSE))
-    msg = (F.when(st >= 400, F.when((st != 429) & ~st.between(500, 599),
-                                    F.concat(F.lit("HTTP "), st.cast("string"))))
+    msg = (F.when(logged_with_status, F.lit(None))
+           .when(st >= 400, F.concat(F.lit("HTTP "), st.cast("string")))
+           .when(~is_json, F.lit(API_BAD_JSON_MSG))
            .when(td_error, F.get_json_object("body", "$.message"))
            .when(n_prices == 0, F.substring(F.col("body"), 1, API_ERROR_MSG_CHARS)))
-    logged_status = F.when((st >= 400) & (st != 429) & ~st.between(500, 599), F.lit(None)) \
-        .otherwise(st)
     return calls.select(
         "call_id", "ts_utc", "symbols",
-        logged_status.cast("int").alias("http_status"),
+        F.when(exception, F.lit(None)).otherwise(st).cast("int").alias("http_status"),
         F.col("latency_ms").cast("int").alias("latency_ms"),
         etype.isNull().alias("ok"),
         etype.alias("error_type"),

@@ -333,7 +333,7 @@ api_raw AS (
          CAST(CASE WHEN eid % 20 = 7 THEN 429 WHEN eid % 20 = 13 THEN 503 ELSE 200 END AS INTEGER)
            AS http_status,
          CAST(floor(value * 10) AS INTEGER) AS latency_ms,
-         CASE w
+         CASE WHEN eid % 20 = 17 THEN '<html>504 gateway timeout</html>' ELSE CASE w
            WHEN 0 THEN '{"symbol":"' || symbol || '","price":"' || p || '"}'
            WHEN 1 THEN '{"price":"' || p || '"}'
            WHEN 2 THEN '{"BTC/USD":{"price":"' || p || '"},"XAU/USD":{"price":"' || p2
@@ -344,27 +344,27 @@ api_raw AS (
            WHEN 6 THEN '{"status":"error","code":400,"message":"quota exceeded ' || eid || '"}'
            WHEN 7 THEN '{"BTC/USD":{"price":"' || p || '"},"XAU/USD":{"price":"n/a"}}'
            WHEN 8 THEN '{"price":"' || p || '"}'
-           ELSE '{"symbol":"XAG/USD","price":"' || p || '"}' END AS body
+           ELSE '{"symbol":"XAG/USD","price":"' || p || '"}' END END AS body
   FROM (SELECT t.*, e.value, eid % 10 AS w, printf('%.8f', price) AS p,
                printf('%.5f', 2000.0e0 + e.value / 8) AS p2,
                printf('%.7f', 1.08e0 + e.value / 50000) AS p3
         FROM ticks t JOIN events e ON e.event_id = t.eid) x
 ),
 api_parsed AS (
-  SELECT call_id, http_status, body, symbols,
+  SELECT call_id, http_status, body, symbols, jbody,
          list_filter(
            CASE
-             WHEN NOT json_valid(body) OR json_type(body) <> 'OBJECT' THEN []
-             WHEN json_exists(body, '$.symbol') AND json_exists(body, '$.price')
-               THEN [{'symbol': json_extract_string(body, '$.symbol'),
-                      'price': TRY_CAST(json_extract_string(body, '$.price') AS DOUBLE)}]
-             WHEN json_exists(body, '$.price') AND len(string_split(symbols, ',')) = 1
+             WHEN NOT jbody IS NOT NULL OR json_type(jbody) <> 'OBJECT' THEN []
+             WHEN json_exists(jbody, '$.symbol') AND json_exists(jbody, '$.price')
+               THEN [{'symbol': json_extract_string(jbody, '$.symbol'),
+                      'price': TRY_CAST(json_extract_string(jbody, '$.price') AS DOUBLE)}]
+             WHEN json_exists(jbody, '$.price') AND len(string_split(symbols, ',')) = 1
                THEN [{'symbol': symbols,
-                      'price': TRY_CAST(json_extract_string(body, '$.price') AS DOUBLE)}]
+                      'price': TRY_CAST(json_extract_string(jbody, '$.price') AS DOUBLE)}]
              ELSE list_transform(string_split(symbols, ','), lambda s: {'symbol': s,
-                      'price': TRY_CAST(json_extract_string(json_extract(body, '$."' || s || '"'), '$.price') AS DOUBLE)})
+                      'price': TRY_CAST(json_extract_string(json_extract(jbody, '$."' || s || '"'), '$.price') AS DOUBLE)})
            END, lambda x: x.price IS NOT NULL AND x.symbol IS NOT NULL) AS prices
-  FROM api_raw
+  FROM (SELECT *, CASE WHEN json_valid(body) THEN body END AS jbody FROM api_raw) r
 )
 """
 
@@ -372,29 +372,35 @@ PRICE_RESPONSES = q("""
 SELECT call_id, u.p.symbol AS symbol, u.p.price AS price
 FROM (SELECT call_id, unnest(prices) AS p FROM api_parsed
       WHERE http_status < 400
-        AND coalesce(json_extract_string(body, '$.status') <> 'error', TRUE)) u
+        AND coalesce(json_extract_string(jbody, '$.status') <> 'error', TRUE)) u
 """, API_RAW)
 
 API_CLASSES_SELECT = """
 SELECT call_id, ts_utc, symbols,
-       CASE WHEN http_status >= 400 AND http_status <> 429 AND NOT http_status BETWEEN 500 AND 599
-            THEN NULL ELSE http_status END AS http_status,
+       CASE WHEN exception THEN NULL ELSE http_status END AS http_status,
        latency_ms, error_type IS NULL AS ok, error_type,
-       CASE WHEN http_status >= 400 THEN
-              CASE WHEN http_status <> 429 AND NOT http_status BETWEEN 500 AND 599
-                   THEN 'HTTP ' || http_status END
-            WHEN td_error THEN json_extract_string(body, '$.message')
+       CASE WHEN http_status = 429 OR http_status BETWEEN 500 AND 599 THEN NULL
+            WHEN http_status >= 400 THEN 'HTTP ' || http_status
+            WHEN NOT is_json THEN 'response body is not valid JSON'
+            WHEN td_error THEN json_extract_string(jbody, '$.message')
             WHEN len(prices) = 0 THEN substring(body, 1, 500) END AS error_msg
 FROM (
-  SELECT r.*, a.prices, td_error,
-         CASE WHEN r.http_status = 429 THEN 'RATE_LIMIT_429'
-              WHEN r.http_status BETWEEN 500 AND 599 THEN 'SERVER_' || r.http_status
-              WHEN r.http_status >= 400 THEN 'EXCEPTION'
+  SELECT *,
+         CASE WHEN http_status = 429 THEN 'RATE_LIMIT_429'
+              WHEN http_status BETWEEN 500 AND 599 THEN 'SERVER_' || http_status
+              WHEN exception THEN 'EXCEPTION'
               WHEN td_error THEN 'TD_ERROR'
-              WHEN len(a.prices) = 0 THEN 'EMPTY_PARSE' END AS error_type
-  FROM (SELECT *, coalesce(json_extract_string(body, '$.status') = 'error', FALSE) AS td_error
-        FROM api_raw) r
-  JOIN api_parsed a USING (call_id)
+              WHEN len(prices) = 0 THEN 'EMPTY_PARSE' END AS error_type
+  FROM (
+    SELECT r.*, a.prices, a.jbody, td_error, is_json,
+           NOT (r.http_status = 429 OR r.http_status BETWEEN 500 AND 599)
+             AND (r.http_status >= 400 OR NOT is_json) AS exception
+    FROM (SELECT *, coalesce(json_extract_string(CASE WHEN json_valid(body) THEN body END, '$.status')
+                              = 'error', FALSE) AS td_error,
+                 json_valid(body) AS is_json
+          FROM api_raw) r
+    JOIN api_parsed a USING (call_id)
+  ) x
 ) c
 """
 API_CALL_CLASSES = q(API_CLASSES_SELECT, API_RAW)

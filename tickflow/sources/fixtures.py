@@ -207,7 +207,7 @@ def api_calls_raw(events: DataFrame) -> DataFrame:
     symbols nested; 3 partial nested; 4 unparseable price; 5 {}; 6 status=error;
     7 nested with one bad price; 8 {price} for two symbols; 9 {symbol,price}
     for an unrequested symbol.  HTTP status by ``event_id % 20``: 7 -> 429,
-    13 -> 503, else 200.
+    13 -> 503, else 200; ``event_id % 20 == 17`` returns a non-JSON body.
     """
     eid = F.col("event_id")
     w = eid % 10
@@ -219,7 +219,8 @@ def api_calls_raw(events: DataFrame) -> DataFrame:
     def nested(s, val):
         return F.concat(F.lit(f'"{s}":{{"price":"'), val, F.lit('"}'))
 
-    body = (F.when(w == 0, F.concat(F.lit('{"symbol":"'), sym, F.lit('","price":"'), p, F.lit('"}')))
+    body = (F.when(eid % 20 == 17, F.lit("<html>504 gateway timeout</html>"))
+            .when(w == 0, F.concat(F.lit('{"symbol":"'), sym, F.lit('","price":"'), p, F.lit('"}')))
             .when(w == 1, F.concat(F.lit('{"price":"'), p, F.lit('"}')))
             .when(w == 2, F.concat(F.lit("{"), nested("BTC/USD", p), F.lit(","),
                                    nested("XAU/USD", p2), F.lit(","), nested("EUR/USD", p3), F.lit("}")))
