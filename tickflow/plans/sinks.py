@@ -81,9 +81,23 @@ def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "event_id",
     return d.join(stored.select(key), key, "left_anti")
 
 
-def dlq_new_rows(bad: DataFrame, existing: DataFrame | None) -> DataFrame:
+def dlq_new_rows(bad: DataFrame, existing: DataFrame | None, partition_col: str = "dlq_date",
+                 date_expr=None) -> DataFrame:
+    """DLQ rows whose (instance, batch, partition, offset) key is not stored yet (K2).
+
+    The batch is de-duplicated on the key first; stored keys are read only
+    from the dates the batch touches (a replayed record keeps its Kafka
+    timestamp, hence its date).
+    """
     d = dedupe_dlq(bad)
-    return d if existing is None else d.join(existing.select(*DLQ_KEY), DLQ_KEY, "left_anti")
+    if existing is None:
+        return d
+    stored = existing
+    if partition_col in existing.columns:
+        expr = date_expr if date_expr is not None else F.to_date("ts_utc")
+        dates = _touched_values(d.select(expr.alias("_p")), "_p")
+        stored = existing.filter(F.col(partition_col).isin(dates))
+    return d.join(stored.select(*DLQ_KEY), DLQ_KEY, "left_anti")
 
 
 # ------------------------------------------------------------------ writes
