@@ -24,6 +24,11 @@ def test_jobs_end_to_end(spark):
     raw = spark.read.parquet(f"{root}/raw_prices")
     n_raw = raw.count()
     assert n_raw > 0 and raw.select("event_id").distinct().count() == n_raw
+    from tickflow.operators import monitor
+    r = monitor.dlq_rate_from_metrics(spark.read.parquet(f"{root}/batch_metrics")).collect()[0]
+    n_dlq = spark.read.parquet(f"{root}/dead_letter_events").count()
+    assert r["good_rows"] == n_raw and r["bad_rows"] == n_dlq
+    assert abs(r["dlq_rate"] - n_dlq / (n_dlq + n_raw)) < 1e-6
     cli.run_marts(spark, SimpleNamespace(**base))
     cli.run_marts(spark, SimpleNamespace(**base))          # incremental second run is a no-op
     for m in ["mart_minute_last_price", "mart_price_events", "mart_price_volatility_1h", "mart_latest_prices"]:

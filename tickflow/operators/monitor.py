@@ -297,3 +297,10 @@ def idle_time(df: DataFrame, ts_col: str, tie_col: str, cycle_seconds: int = 360
                  F.count_if(gap > cycle_seconds).alias("idle_gaps"),
                  dround(F.coalesce(F.sum(F.when(gap > cycle_seconds, gap - cycle_seconds)), F.lit(0.0)), 6)
                  .alias("idle_seconds")))
+
+
+def dlq_rate_from_metrics(metrics: DataFrame) -> DataFrame:
+    """bad / (bad + good) over a per-batch metrics log (A12 from K5 rows)."""
+    bad, good = F.sum("bad_rows"), F.sum("good_rows")
+    return metrics.agg(bad.alias("bad_rows"), good.alias("good_rows"),
+                       F.when(bad + good > 0, dround(bad / (bad + good), 6)).alias("dlq_rate"))
