@@ -55,7 +55,7 @@ def api_p95(calls: DataFrame, as_of, minutes: int = 60, exact: bool = True) -> D
     w = calls.filter(F.col("ts_utc") >= minus(as_of, f"{minutes} minutes"))
     p = (F.percentile(F.col("latency_ms").cast("double"), 0.95) if exact
          else F.percentile_approx(F.col("latency_ms"), 0.95, 10000).cast("double"))
-    return w.agg(p.alias("p95_latency_ms"), F.count(F.lit(1)).alias("calls"))
+    return w.agg(dround(p, 6).alias("p95_latency_ms"), F.count(F.lit(1)).alias("calls"))
 
 
 # ------------------------------------------------------------------ Kafka lag

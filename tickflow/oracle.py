@@ -469,8 +469,8 @@ FROM api_calls WHERE ts_utc >= (SELECT t FROM as_of) - INTERVAL 15 MINUTE
 GROUP BY 1
 """, API_RAW, API_CALLS)
 
-API_LATENCY_P95 = q("""
-SELECT quantile_cont(CAST(latency_ms AS DOUBLE), 0.95) AS p95_latency_ms, count(*) AS calls
+API_LATENCY_P95 = q(f"""
+SELECT {_dr('quantile_cont(CAST(latency_ms AS DOUBLE), 0.95)', 6)} AS p95_latency_ms, count(*) AS calls
 FROM api_calls WHERE ts_utc >= (SELECT t FROM as_of) - INTERVAL 60 MINUTE
 """, API_RAW, API_CALLS)
 
