@@ -31,13 +31,16 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"   # compare doubles bit for bit
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6) + 0.0
+        return v + 0.0 if EXACT else round(v, 6) + 0.0
     if isinstance(v, dt.datetime):
         if v.tzinfo is not None:
             v = v.astimezone(dt.timezone.utc).replace(tzinfo=None)
