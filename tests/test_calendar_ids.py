@@ -31,6 +31,24 @@ def test_fx_closed(closed, k):
     assert closed[k] == INSTANTS[k][1]
 
 
+OFFSET_INSTANTS = {   # ISO instants with a UTC offset -> closed?
+    "fri_2359_59_plus2": ("2026-03-06T23:59:59+02:00", False),   # 21:59:59 UTC
+    "sat_0000_plus2": ("2026-03-07T00:00:00+02:00", True),       # Fri 22:00 UTC
+    "sun_2359_59_plus2": ("2026-03-08T23:59:59+02:00", True),    # Sun 21:59:59 UTC
+    "mon_0000_plus2": ("2026-03-09T00:00:00+02:00", False),      # Sun 22:00 UTC
+    "fri_1600_minus5": ("2026-03-06T16:00:00-05:00", False),     # Fri 21:00 UTC, still open
+    "fri_1700_minus5": ("2026-03-06T17:00:00-05:00", True),      # Fri 22:00 UTC
+}
+
+
+@pytest.mark.parametrize("k", list(OFFSET_INSTANTS))
+def test_fx_closed_with_offsets(spark, k):
+    iso, expect = OFFSET_INSTANTS[k]
+    df = spark.createDataFrame([(iso,)], "t string").select(
+        F.to_timestamp("t").cast("timestamp_ntz").alias("ts"))   # session time zone is UTC
+    assert df.select(calendar.fx_closed("ts")).collect()[0][0] == expect
+
+
 def test_should_publish_and_market_status(spark):
     inst = spark.createDataFrame([("2026-03-07 12:00:00",), ("2026-03-09 12:00:00",)], "t string") \
         .select(F.col("t").cast("timestamp_ntz").alias("instant"))
