@@ -9,7 +9,7 @@
 ``R`` is a warehouse folder on shared storage holding ``raw_prices``
 (partitioned by ``event_date``/``batch_token``), ``dead_letter_events``,
 ``batch_metrics``, the marts (partitioned by ``bucket_date``) and the
-operational logs (``api_calls``, ``kafka_lag``, ``dbt_test_runs``,
+operational logs (``api_calls``, ``kafka_lag``, ``test_runs``,
 ``backup_log``, ``alert_evaluations``, ``check_results``).  ``--as-of``
 defaults to the current time.  Repeated runs are the caller's schedule.
 """
@@ -39,7 +39,7 @@ MART_SPECS = {
 }
 LOG_TABLES = {  # table: time column (retention; partition layout is detected)
     "raw_prices": "event_ts", "dead_letter_events": "ts_utc", "alert_events": "ts_utc",
-    "api_calls": "ts_utc", "kafka_lag": "ts_utc", "dbt_test_runs": "run_ts_utc",
+    "api_calls": "ts_utc", "kafka_lag": "ts_utc", "test_runs": "run_ts_utc",
     "backup_log": "backup_ts",
 }
 
@@ -90,7 +90,7 @@ def run_marts(spark: SparkSession, a) -> dict:
 
 def run_checks(spark: SparkSession, a) -> DataFrame:
     """All data checks; results appended to ``check_results`` and summarised
-    into one ``dbt_test_runs`` row."""
+    into one ``test_runs`` row."""
     tables = {"stg_raw_prices": marts.stg_raw_prices(spark.read.parquet(_path(a.root, "raw_prices")))}
     for name in ["mart_latest_prices", *MART_SPECS]:
         t = _table(spark, a.root, name)
@@ -101,7 +101,7 @@ def run_checks(spark: SparkSession, a) -> DataFrame:
     res.write.mode("append").parquet(_path(a.root, "check_results"))
     saved = spark.read.parquet(_path(a.root, "check_results")).filter(F.col("run_ts_utc") == ts_lit(a.as_of))
     summary = quality.summarise(saved, environment=a.environment)
-    sinks.append_log(summary, _path(a.root, "dbt_test_runs"))
+    sinks.append_log(summary, _path(a.root, "test_runs"))
     return summary
 
 
@@ -117,7 +117,7 @@ def run_alerts(spark: SparkSession, a) -> DataFrame:
         dlq=t("dead_letter_events", "ts_utc timestamp_ntz"),
         lag_log=t("kafka_lag", "group_id string, topic string, ts_utc timestamp_ntz, "
                                "total_lag bigint, max_partition_lag bigint"),
-        runs=t("dbt_test_runs", "run_ts_utc timestamp_ntz, status string"),
+        runs=t("test_runs", "run_ts_utc timestamp_ntz, status string"),
         backups=t("backup_log", "backup_ts timestamp_ntz, status string"),
         latest=t("mart_latest_prices", "last_timestamp timestamp_ntz"),
         group_id=a.group_id, topic=a.topic)
