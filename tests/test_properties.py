@@ -114,3 +114,24 @@ def test_threshold_join_form_equals_literal_chain(spark, stg):
     assert len(a) == len(b)
     diff = sum(1 for x, y in zip(a, b) if x != y)
     assert diff <= len(a) * 0.002   # pct here is re-derived from the 4-decimal rounded value
+
+
+def test_hot_instrument_is_split_across_window_partitions(spark):
+    """One instrument with ~90% of all rows: results equal the global window and
+    the largest (instrument, bucket) group is a small share of that instrument."""
+    ev = fx.read_events(spark, "/root/testdata/sf0.01")
+    hot = ev.withColumn("event_type", F.when(F.col("event_id") % 10 != 0, F.lit("click"))
+                        .otherwise(F.col("event_type")))
+    t = marts.stg_raw_prices(fx.ticks(hot))
+    base = t.select("commodity", "symbol", "event_ts", "event_id", "price")
+    w = Window.partitionBy("commodity", "symbol").orderBy("event_ts", "event_id")
+    expect = base.select("*", F.lag("price").over(w).alias("prev_price"),
+                         F.lag("event_ts").over(w).alias("prev_event_ts"))
+    got = sequential.with_lag(base, ["commodity", "symbol"], ["event_ts", "event_id"],
+                              ["price", "event_ts"], bucket="hour")
+    assert _rows(got.select(*expect.columns)) == _rows(expect)
+    sizes = (base.filter(F.col("symbol") == "BTC/USD")
+             .groupBy(F.date_trunc("hour", "event_ts")).count().agg(F.max("count"), F.sum("count"))
+             .collect()[0])
+    assert sizes[1] > 0.85 * base.count()
+    assert sizes[0] < 0.01 * sizes[1]
