@@ -82,3 +82,15 @@ def test_compaction_keeps_ids_unique_and_replay_inserts_nothing(spark):
     assert {r[0] for r in after.select("batch_token").distinct().collect()} == {"compacted"}
     fn(parts[0], 0)     # replay of an already compacted batch
     assert spark.read.parquet(cfg.fact_path).count() == len(before)
+
+
+def test_latest_fold_is_idempotent_and_equals_batch_mart(spark):
+    from tickflow.operators import marts
+    stg = marts.stg_raw_prices(fx.ticks(fx.read_events(spark, SF_SMALL)))
+    path = scratch_path(spark, "t-latest")
+    halves = [stg.filter(F.col("event_ts") < F.lit("2024-01-15").cast("timestamp_ntz")),
+              stg.filter(F.col("event_ts") >= F.lit("2024-01-15").cast("timestamp_ntz"))]
+    for h in [halves[1], halves[0], halves[1]]:      # out of order and repeated
+        sing.update_latest(spark, path, h)
+    got = sorted(tuple(r) for r in marts.latest_view(spark.read.parquet(path)).collect())
+    assert got == sorted(tuple(r) for r in marts.latest_prices_single_pass(stg).collect())

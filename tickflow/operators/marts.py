@@ -69,6 +69,12 @@ def latest_prices(stg: DataFrame, as_of, window: str = "24 hours") -> DataFrame:
     return recent.unionByName(_latest_per_instrument(missing))
 
 
+def latest_view(stored: DataFrame) -> DataFrame:
+    """The latest-price columns of a table kept by ``streaming.ingest.update_latest``."""
+    return stored.select("commodity", "symbol", F.col("event_ts").alias("last_timestamp"),
+                         F.col("price").alias("last_price"), "currency", "source")
+
+
 def latest_prices_single_pass(stg: DataFrame) -> DataFrame:
     """Same result in one aggregate over the full history."""
     return _latest_per_instrument(stg)

@@ -890,6 +890,13 @@ INGEST_IDLE_TIME = q(idle_sql("ticks", "ingest_ts", "event_id"))
 API_IDLE_TIME = q(idle_sql("api_calls", "ts_utc", "call_id"), API_RAW, API_CALLS)
 
 
+STREAM_LATEST_PRICES = q("""
+SELECT commodity, symbol, event_ts AS last_timestamp, price AS last_price, currency, source
+FROM validated WHERE error_reason IS NULL
+QUALIFY row_number() OVER (PARTITION BY commodity, symbol ORDER BY event_ts DESC, event_id DESC) = 1
+""", ENV, REPLAYED, validated_cte("validated", "replayed"))
+
+
 def all_sql() -> dict[str, str]:
     return {
         "stg_ticks": STG_TICKS,
@@ -948,4 +955,5 @@ def all_sql() -> dict[str, str]:
         "streaming_dedup": STREAMING_DEDUP,
         "streaming_moves": PRICE_EVENTS,
         "stream_ingest": STREAM_INGEST,
+        "stream_latest_prices": STREAM_LATEST_PRICES,
     }

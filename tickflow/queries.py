@@ -429,15 +429,32 @@ def q_streaming_moves(spark, sf_dir):
     return _run_to_table(smarts.moves(_tick_stream(spark, sf_dir)), "stream-moves", spark)
 
 
-def q_stream_ingest(spark, sf_dir):
-    """The replayed envelope as files (originals first, re-publishes later),
-    ingested by the foreachBatch pipeline, two files per micro-batch."""
+def _ingest_source(spark, sf_dir) -> str:
+    """The replayed envelope as files: originals first, re-publishes in a later file."""
     ev = _events(spark, sf_dir)
     src = scratch_path(spark, "ingest-source")
     fx.raw_payloads(ev).repartition(4).write.parquet(src)
     again = fx.raw_payloads(ev.filter(F.col("event_id") % 10 == 0)) \
         .withColumn("kafka_offset", F.col("kafka_offset") + 10_000_000)
     again.repartition(1).write.mode("append").parquet(src)
+    return src
+
+
+def q_stream_latest_prices(spark, sf_dir):
+    """Latest price per instrument maintained by the ingest stream, batch by batch."""
+    cfg = sing.IngestConfig(
+        fact_path=scratch_path(spark, "fact"), dlq_path=scratch_path(spark, "dlq"),
+        metrics_path=scratch_path(spark, "metrics"), checkpoint=scratch_path(spark, "ingest-ckpt"),
+        source_format="parquet", source_path=_ingest_source(spark, sf_dir), max_per_trigger=2,
+        available_now=True, latest_path=scratch_path(spark, "latest"))
+    sing.start_ingest(spark, cfg).awaitTermination()
+    return marts.latest_view(spark.read.parquet(cfg.latest_path))
+
+
+def q_stream_ingest(spark, sf_dir):
+    """The replayed envelope as files (originals first, re-publishes later),
+    ingested by the foreachBatch pipeline, two files per micro-batch."""
+    src = _ingest_source(spark, sf_dir)
     cfg = sing.IngestConfig(
         fact_path=scratch_path(spark, "fact"), dlq_path=scratch_path(spark, "dlq"),
         metrics_path=scratch_path(spark, "metrics"), checkpoint=scratch_path(spark, "ingest-ckpt"),
@@ -503,4 +520,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "streaming_dedup": q_streaming_dedup,
     "streaming_moves": q_streaming_moves,
     "stream_ingest": q_stream_ingest,
+    "stream_latest_prices": q_stream_latest_prices,
 }
