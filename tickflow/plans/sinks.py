@@ -69,13 +69,14 @@ def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "event_id",
     d = dedupe(batch, [key], list(order))
     if target is None:
         return d
+    expr = batch_partition_expr if batch_partition_expr is not None else F.to_date("event_ts")
+    # one job: the batch's key count and (bounded) set of touched dates
+    stats = d.agg(F.count(F.lit(1)).alias("n"), F.collect_set(expr).alias("dates")).collect()[0]
     stored = target
     if scope == "partition" and partition_col in target.columns:
-        expr = batch_partition_expr if batch_partition_expr is not None else F.to_date("event_ts")
-        dates = _touched_values(d.select(expr.alias("_p")), "_p")
-        stored = target.filter(F.col(partition_col).isin(dates))
+        stored = target.filter(F.col(partition_col).isin(list(stats["dates"])))
     ids = d.select(key)
-    if ids.count() <= broadcast_limit:
+    if stats["n"] <= broadcast_limit:
         hits = stored.select(key).join(F.broadcast(ids), key, "left_semi")
         return d.join(F.broadcast(hits), key, "left_anti")
     return d.join(stored.select(key), key, "left_anti")
