@@ -135,3 +135,16 @@ def test_hot_instrument_is_split_across_window_partitions(spark):
              .collect()[0])
     assert sizes[1] > 0.85 * base.count()
     assert sizes[0] < 0.01 * sizes[1]
+
+
+def test_readers_wait_for_a_swap_in_progress(spark):
+    path = scratch_path(spark, "guarded")
+    spark.createDataFrame([("a", 1, "2024-01-01")], "k string, v int, d string") \
+        .write.partitionBy("d").parquet(path)
+    with sinks.swap_guard(spark, path):
+        with pytest.raises(TimeoutError):
+            sinks.read_consistent(spark, path, timeout_s=0.5, poll_s=0.1)
+    assert sinks.read_consistent(spark, path, timeout_s=1).count() == 1
+    new = spark.createDataFrame([("a", 2, "2024-01-01")], "k string, v int, d string")
+    sinks.upsert(spark, new, path, ["k"], "d")
+    assert [r["v"] for r in sinks.read_consistent(spark, path).collect()] == [2]

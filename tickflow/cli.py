@@ -55,7 +55,7 @@ def _path(root: str, name: str) -> str:
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     if not incremental._exists(spark, _path(root, name)):
         return None
-    return spark.read.parquet(_path(root, name))
+    return sinks.read_consistent(spark, _path(root, name))
 
 
 def run_ingest(spark: SparkSession, a) -> None:

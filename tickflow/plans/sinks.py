@@ -127,6 +127,47 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+SWAP_MARKER = "_SWAP_IN_PROGRESS"
+DONE_MARKER = "_LAST_COMPLETED_RUN"
+
+
+class swap_guard:
+    """Mark a table as being swapped for the duration of a multi-partition
+    rewrite; ``read_consistent`` waits while the marker exists.  On success
+    the marker is replaced by a completed-run marker."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def __enter__(self):
+        fs, _ = _fs(self.spark, self.path)
+        jvm = self.spark.sparkContext._jvm
+        fs.create(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{SWAP_MARKER}"), True).close()
+        return self
+
+    def __exit__(self, exc_type, exc, tb):
+        fs, _ = _fs(self.spark, self.path)
+        jvm = self.spark.sparkContext._jvm
+        if exc_type is None:
+            fs.create(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{DONE_MARKER}"), True).close()
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{SWAP_MARKER}"), False)
+        return False     # a failed swap leaves the marker: readers keep waiting / fail loudly
+
+
+def read_consistent(spark: SparkSession, path: str, timeout_s: float = 600.0,
+                    poll_s: float = 2.0) -> DataFrame:
+    """Read a table only when no swap is in progress (K4 readers)."""
+    import time as _time
+    fs, _ = _fs(spark, path)
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{SWAP_MARKER}")
+    deadline = _time.time() + timeout_s
+    while fs.exists(marker):
+        if _time.time() > deadline:
+            raise TimeoutError(f"{path}: a partition swap is still in progress")
+        _time.sleep(poll_s)
+    return spark.read.parquet(path)
+
+
 def upsert(spark: SparkSession, new: DataFrame, target_path: str, keys: Sequence[str],
            partition_col: str) -> None:
     """Delete-then-insert by key for the partitions touched by ``new`` (K4).
@@ -151,8 +192,9 @@ def upsert(spark: SparkSession, new: DataFrame, target_path: str, keys: Sequence
         .unionByName(fresh, allowMissingColumns=True)
     staging = scratch_path(spark, "upsert-staging")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target_path))
+    with swap_guard(spark, target_path):
+        (spark.read.parquet(staging).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target_path))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -214,9 +256,10 @@ def apply_retention(spark: SparkSession, path: str, ts_col: str, cutoff,
         else:
             staging = scratch_path(spark, "retention-staging")
             kept.write.partitionBy(partition_col, *inner).parquet(staging)
-            fs.delete(boundary_path, True)
-            (spark.read.parquet(staging).write.mode("append")
-             .partitionBy(partition_col, *inner).parquet(path))
+            with swap_guard(spark, path):
+                fs.delete(boundary_path, True)
+                (spark.read.parquet(staging).write.mode("append")
+                 .partitionBy(partition_col, *inner).parquet(path))
     return {"dropped_partitions": dropped, "boundary": str(cutoff_date)}
 
 
@@ -252,11 +295,12 @@ def compact(spark: SparkSession, path: str, date_col: str = "event_date", dates=
         rows = dedupe(rows, [key], list(order)).drop("batch_token")
         staging = scratch_path(spark, "compact-staging")
         rows.coalesce(files_per_date).write.parquet(staging)
-        (spark.read.parquet(staging).withColumn("batch_token", F.lit(COMPACTED))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(date_col, "batch_token").parquet(path))
-        for t in tokens:
-            if t.getPath().getName() != f"batch_token={COMPACTED}":
-                fs.delete(t.getPath(), True)
+        with swap_guard(spark, path):
+            (spark.read.parquet(staging).withColumn("batch_token", F.lit(COMPACTED))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(date_col, "batch_token").parquet(path))
+            for t in tokens:
+                if t.getPath().getName() != f"batch_token={COMPACTED}":
+                    fs.delete(t.getPath(), True)
         done.append(d)
     return done
