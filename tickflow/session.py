@@ -45,6 +45,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickflow`` importable in executor Python workers (once per app).
+
+    Needed only where Python runs on executors (the stateful streaming move
+    detector).  The package is zipped into the shared checkpoint folder and
+    distributed with ``addPyFile``, as on any cluster.
+    """
+    import shutil
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = scratch_path(spark, "pyfiles")
+    local = base[len("file:"):] if base.startswith("file:") else base
+    if "://" in local:   # remote shared storage: build locally, let Spark copy it
+        local = tempfile.mkdtemp(prefix="tickflow-zip-")
+    os.makedirs(local, exist_ok=True)
+    archive = shutil.make_archive(os.path.join(local, "tickflow"), "zip",
+                                  os.path.dirname(pkg_dir), "tickflow")
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 

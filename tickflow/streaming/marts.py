@@ -111,6 +111,8 @@ def moves(stream: DataFrame) -> DataFrame:
     Per micro-batch a key holds only that trigger's rows (bounded by the
     source rate limit), plus one state row.
     """
+    from tickflow.session import ship_package
+    ship_package(stream.sparkSession)
     out = (stream.select("commodity", "symbol", "event_ts", "event_id", "price")
            .groupBy("commodity", "symbol")
            .applyInPandasWithState(_moves_fn, MOVES_SCHEMA, STATE_SCHEMA, "append",
