@@ -94,3 +94,20 @@ def test_latest_fold_is_idempotent_and_equals_batch_mart(spark):
         sing.update_latest(spark, path, h)
     got = sorted(tuple(r) for r in marts.latest_view(spark.read.parquet(path)).collect())
     assert got == sorted(tuple(r) for r in marts.latest_prices_single_pass(stg).collect())
+
+
+def test_text_source_lines_are_ingested(spark, tmp_path):
+    import json
+    good = {"schema_version": 1, "event_id": "t-1", "commodity": "gold", "symbol": "XAU/USD",
+            "price": 2150.0, "currency": "USD", "timestamp": "2026-03-13T10:00:00Z",
+            "source": "rest_api", "ingest_interval_sec": 360}
+    src = scratch_path(spark, "t-text")
+    lines = [json.dumps(good), json.dumps(dict(good, event_id="t-2", price=-1.0)), "not json",
+             json.dumps(good)]                                  # duplicate id: a conflict
+    spark.createDataFrame([(l,) for l in lines], "value string").coalesce(1).write.text(src)
+    cfg = _cfg(spark, src)
+    cfg.source_format = "text"
+    sing.start_ingest(spark, cfg).awaitTermination()
+    assert [r["event_id"] for r in spark.read.parquet(cfg.fact_path).collect()] == ["t-1"]
+    reasons = sorted(r["error_reason"] for r in spark.read.parquet(cfg.dlq_path).collect())
+    assert reasons == ["INVALID_FIELD:price<=0", "JSON_PARSE_ERROR_OR_EMPTY"]
