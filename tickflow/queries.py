@@ -440,27 +440,31 @@ def _ingest_source(spark, sf_dir) -> str:
     return src
 
 
+def _ingest_run(spark, sf_dir) -> sing.IngestConfig:
+    """One run of the ingest stream per session and input (shared by the
+    queries that read its outputs): two files per micro-batch, the fact,
+    DLQ, metrics and latest-price tables written under the shared folder."""
+    def run():
+        cfg = sing.IngestConfig(
+            fact_path=scratch_path(spark, "fact"), dlq_path=scratch_path(spark, "dlq"),
+            metrics_path=scratch_path(spark, "metrics"),
+            checkpoint=scratch_path(spark, "ingest-ckpt"), source_format="parquet",
+            source_path=_ingest_source(spark, sf_dir), max_per_trigger=2, available_now=True,
+            latest_path=scratch_path(spark, "latest"))
+        sing.start_ingest(spark, cfg).awaitTermination()
+        return cfg
+    return _memo(spark, ("ingest-run", sf_dir), run)
+
+
 def q_stream_latest_prices(spark, sf_dir):
     """Latest price per instrument maintained by the ingest stream, batch by batch."""
-    cfg = sing.IngestConfig(
-        fact_path=scratch_path(spark, "fact"), dlq_path=scratch_path(spark, "dlq"),
-        metrics_path=scratch_path(spark, "metrics"), checkpoint=scratch_path(spark, "ingest-ckpt"),
-        source_format="parquet", source_path=_ingest_source(spark, sf_dir), max_per_trigger=2,
-        available_now=True, latest_path=scratch_path(spark, "latest"))
-    sing.start_ingest(spark, cfg).awaitTermination()
-    return marts.latest_view(spark.read.parquet(cfg.latest_path))
+    return marts.latest_view(spark.read.parquet(_ingest_run(spark, sf_dir).latest_path))
 
 
 def q_stream_ingest(spark, sf_dir):
     """The replayed envelope as files (originals first, re-publishes later),
-    ingested by the foreachBatch pipeline, two files per micro-batch."""
-    src = _ingest_source(spark, sf_dir)
-    cfg = sing.IngestConfig(
-        fact_path=scratch_path(spark, "fact"), dlq_path=scratch_path(spark, "dlq"),
-        metrics_path=scratch_path(spark, "metrics"), checkpoint=scratch_path(spark, "ingest-ckpt"),
-        source_format="parquet", source_path=src, max_per_trigger=2, available_now=True)
-    sing.start_ingest(spark, cfg).awaitTermination()
-    return spark.read.parquet(cfg.fact_path).select(*FACT_COLUMNS)
+    ingested by the foreachBatch pipeline."""
+    return spark.read.parquet(_ingest_run(spark, sf_dir).fact_path).select(*FACT_COLUMNS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
