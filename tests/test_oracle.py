@@ -28,3 +28,17 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "range_pct" in df.columns
+
+
+SPARK_TO_DUCK = {"string": {"VARCHAR"}, "bigint": {"BIGINT"}, "int": {"INTEGER"},
+                 "double": {"DOUBLE"}, "timestamp_ntz": {"TIMESTAMP"}, "boolean": {"BOOLEAN"},
+                 "date": {"DATE"}}
+
+
+@pytest.mark.parametrize("name", [n for n in NAMES if not n.startswith("stream")])
+def test_column_types_match_oracle(spark, con, name):
+    sdf = E.queries()[name](spark, SF_SMALL)
+    rel = con.sql(E.oracle_sql()[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for col, t in sdf.dtypes:
+        assert duck_types.get(col) in SPARK_TO_DUCK.get(t, {t}), (name, col, t, duck_types.get(col))
