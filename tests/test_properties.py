@@ -148,3 +148,24 @@ def test_readers_wait_for_a_swap_in_progress(spark):
     new = spark.createDataFrame([("a", 2, "2024-01-01")], "k string, v int, d string")
     sinks.upsert(spark, new, path, ["k"], "d")
     assert [r["v"] for r in sinks.read_consistent(spark, path).collect()] == [2]
+
+
+def test_replace_slice_drops_rows_the_slice_no_longer_produces(spark):
+    path = scratch_path(spark, "replace")
+    old = spark.createDataFrame([("a", "2024-01-01 10:00:00", 1), ("b", "2024-01-01 12:00:00", 2),
+                                 ("c", "2024-01-01 13:00:00", 3)], "k string, t string, v int") \
+        .withColumn("t", F.col("t").cast("timestamp_ntz"))
+    old.withColumn("d", F.to_date("t")).write.partitionBy("d").parquet(path)
+
+    def model(src, since):
+        return src.filter(F.col("t") >= F.lit(since).cast("timestamp_ntz")) if since else src
+
+    new_src = spark.createDataFrame([("b", "2024-01-01 12:00:00", 20)], "k string, t string, v int") \
+        .withColumn("t", F.col("t").cast("timestamp_ntz"))
+    keep = scratch_path(spark, "replace-keep")
+    old.withColumn("d", F.to_date("t")).write.partitionBy("d").parquet(keep)
+    incremental.run(spark, model, new_src, keep, ["k"], "t", "2 hours", "2024-01-02", "d")
+    incremental.run(spark, model, new_src, path, ["k"], "t", "2 hours", "2024-01-02", "d",
+                    replace_slice=True)
+    assert {r["k"]: r["v"] for r in spark.read.parquet(keep).collect()} == {"a": 1, "b": 20, "c": 3}
+    assert {r["k"]: r["v"] for r in spark.read.parquet(path).collect()} == {"a": 1, "b": 20}

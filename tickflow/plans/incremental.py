@@ -55,14 +55,20 @@ def lower_bound(spark: SparkSession, target_path: str, bucket_col: str, lookback
 
 def run(spark: SparkSession, model: Callable[[DataFrame, object], DataFrame], source: DataFrame,
         target_path: str, keys: Sequence[str], bucket_col: str, lookback: str, as_of,
-        partition_col: str = "bucket_date") -> dict:
-    """One incremental (or first full) build of ``model`` into ``target_path``."""
+        partition_col: str = "bucket_date", replace_slice: bool = False) -> dict:
+    """One incremental (or first full) build of ``model`` into ``target_path``.
+
+    ``replace_slice=True`` drops stored rows inside the recomputed range that
+    the new slice no longer produces (e.g. an event reclassified as NORMAL by
+    a late tick); the default keeps them, as a keyed merge does.
+    """
     since = lower_bound(spark, target_path, bucket_col, lookback, as_of, partition_col)
     new = model(source, since).withColumn(partition_col, F.to_date(bucket_col))
     if since is None:
         new.write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
     else:
-        sinks.upsert(spark, new, target_path, keys, partition_col)
+        sinks.upsert(spark, new, target_path, keys, partition_col,
+                     replace_from=(bucket_col, since) if replace_slice else None)
     return {"since": since}
 
 

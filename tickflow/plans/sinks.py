@@ -169,10 +169,12 @@ def read_consistent(spark: SparkSession, path: str, timeout_s: float = 600.0,
 
 
 def upsert(spark: SparkSession, new: DataFrame, target_path: str, keys: Sequence[str],
-           partition_col: str) -> None:
+           partition_col: str, replace_from: tuple | None = None) -> None:
     """Delete-then-insert by key for the partitions touched by ``new`` (K4).
 
-    Keys absent from ``new`` are kept.  ``new`` is computed once and staged;
+    Keys absent from ``new`` are kept, unless ``replace_from = (column,
+    bound)`` is given: then every stored row of the touched partitions with
+    ``column >= bound`` is replaced by the slice.  ``new`` is computed once and staged;
     the touched partitions are read from the staged copy, merged with the
     stored rows of those partitions only, staged again, and swapped into the
     target with dynamic partition overwrite.
@@ -188,6 +190,10 @@ def upsert(spark: SparkSession, new: DataFrame, target_path: str, keys: Sequence
     fresh = spark.read.parquet(staged_new)
     existing = spark.read.parquet(target_path).filter(
         F.col(partition_col).cast("string").isin(touched))
+    if replace_from is not None:
+        col, bound = replace_from
+        from tickflow.functions.timeutil import ts_lit
+        existing = existing.filter(~(F.col(col) >= ts_lit(bound)))
     merged = existing.join(fresh.select(*keys), keys, "left_anti") \
         .unionByName(fresh, allowMissingColumns=True)
     staging = scratch_path(spark, "upsert-staging")
