@@ -180,3 +180,11 @@ def test_read_test_results(spark, tmp_path):
                                          {"unique_id": "b", "status": "fail"}]}))
     rows = quality.read_test_results(spark, str(p)).collect()
     assert sorted(r["status"] for r in rows) == ["fail", "pass"]
+
+
+def test_lag_can_count_dlq_offsets_as_processed(spark):
+    wm = spark.createDataFrame([(0, 0, 10)], "partition int, low bigint, high bigint")
+    raw = spark.createDataFrame([(0, 7)], "kafka_partition int, kafka_offset bigint")
+    dlq = spark.createDataFrame([(0, 9)], "kafka_partition int, kafka_offset bigint")
+    assert monitor.consumer_lag(wm, raw).collect()[0]["total_lag"] == 2
+    assert monitor.consumer_lag(wm, raw, extra_offsets=dlq).collect()[0]["total_lag"] == 0

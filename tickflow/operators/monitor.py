@@ -65,10 +65,19 @@ def processed_offsets(raw: DataFrame) -> DataFrame:
     return raw.groupBy("kafka_partition").agg(F.max("kafka_offset").alias("last_processed"))
 
 
-def partition_lag(watermarks: DataFrame, raw: DataFrame) -> DataFrame:
+def partition_lag(watermarks: DataFrame, raw: DataFrame,
+                  extra_offsets: DataFrame | None = None) -> DataFrame:
     """Per partition: ``max(0, high - max(last + 1, low))``, or ``high - low``
-    when nothing was processed.  Partitions only in the table are ignored (A9, J4)."""
-    done = processed_offsets(raw).withColumnRenamed("kafka_partition", "partition")
+    when nothing was processed.  Partitions only in the table are ignored (A9, J4).
+
+    By default only fact-table offsets count as processed, so a rejected last
+    message leaves lag > 0 (as in the original); ``extra_offsets`` (e.g. the
+    DLQ's ``kafka_partition, kafka_offset``) are counted as processed too.
+    """
+    src = raw.select("kafka_partition", "kafka_offset")
+    if extra_offsets is not None:
+        src = src.unionByName(extra_offsets.select("kafka_partition", "kafka_offset"))
+    done = processed_offsets(src).withColumnRenamed("kafka_partition", "partition")
     j = watermarks.join(done, "partition", "left")
     nxt = F.when(F.col("last_processed").isNull(), F.col("low")) \
         .otherwise(F.greatest(F.col("last_processed") + 1, F.col("low")))
@@ -76,9 +85,10 @@ def partition_lag(watermarks: DataFrame, raw: DataFrame) -> DataFrame:
                     F.greatest(F.lit(0).cast("bigint"), F.col("high") - nxt).alias("lag"))
 
 
-def consumer_lag(watermarks: DataFrame, raw: DataFrame) -> DataFrame:
+def consumer_lag(watermarks: DataFrame, raw: DataFrame,
+                 extra_offsets: DataFrame | None = None) -> DataFrame:
     """One row: total and max partition lag."""
-    return partition_lag(watermarks, raw).agg(
+    return partition_lag(watermarks, raw, extra_offsets).agg(
         F.coalesce(F.sum("lag"), F.lit(0)).cast("bigint").alias("total_lag"),
         F.coalesce(F.max("lag"), F.lit(0)).cast("bigint").alias("max_partition_lag"))
 
