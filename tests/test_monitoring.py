@@ -188,3 +188,19 @@ def test_lag_can_count_dlq_offsets_as_processed(spark):
     dlq = spark.createDataFrame([(0, 9)], "kafka_partition int, kafka_offset bigint")
     assert monitor.consumer_lag(wm, raw).collect()[0]["total_lag"] == 2
     assert monitor.consumer_lag(wm, raw, extra_offsets=dlq).collect()[0]["total_lag"] == 0
+
+
+def test_pipeline_metrics_partition_bound(spark):
+    from tickflow.operators import marts
+    from tickflow.sources import fixtures as fx
+    from tickflow.session import scratch_path
+    path = scratch_path(spark, "pm")
+    marts.stg_raw_prices(fx.ticks(fx.read_events(spark, "/root/testdata/sf0.001"))) \
+        .withColumn("event_date", F.to_date("event_ts")).write.partitionBy("event_date").parquet(path)
+    stg = spark.read.parquet(path)
+    as_of = "2024-01-31 00:00:00"
+    full = monitor.pipeline_metrics(stg, as_of).collect()[0]
+    pruned_df = monitor.pipeline_metrics(stg, as_of, prune_days=2)
+    assert tuple(pruned_df.collect()[0]) == tuple(full)
+    plan = pruned_df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-29" in plan

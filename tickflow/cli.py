@@ -120,7 +120,7 @@ def run_alerts(spark: SparkSession, a) -> DataFrame:
         runs=t("test_runs", "run_ts_utc timestamp_ntz, status string"),
         backups=t("backup_log", "backup_ts timestamp_ntz, status string"),
         latest=t("mart_latest_prices", "last_timestamp timestamp_ntz"),
-        group_id=a.group_id, topic=a.topic)
+        group_id=a.group_id, topic=a.topic, prune_days=2)
     ev = monitor.evaluate_rules(metrics, monitor.rules_df(spark)).withColumn("ts", ts_lit(a.as_of))
     sinks.append_log(ev, _path(a.root, "alert_evaluations"))
     return ev
