@@ -90,12 +90,16 @@ def run_marts(spark: SparkSession, a) -> dict:
 
 def run_checks(spark: SparkSession, a) -> DataFrame:
     """All data checks; results appended to ``check_results`` and summarised
-    into one ``test_runs`` row."""
-    tables = {"stg_raw_prices": marts.stg_raw_prices(spark.read.parquet(_path(a.root, "raw_prices")))}
+    into one ``test_runs`` row.  ``--since-days N`` checks only the last N
+    days of partitions (the default checks the whole history)."""
+    days = getattr(a, "since_days", None)
+    raw = monitor.recent_partitions(spark.read.parquet(_path(a.root, "raw_prices")), a.as_of, days,
+                                    "event_date")
+    tables = {"stg_raw_prices": marts.stg_raw_prices(raw)}
     for name in ["mart_latest_prices", *MART_SPECS]:
         t = _table(spark, a.root, name)
         if t is not None:
-            tables[name] = t.drop("bucket_date")
+            tables[name] = monitor.recent_partitions(t, a.as_of, days, "bucket_date").drop("bucket_date")
     specs = {k: v for k, v in quality.default_specs().items() if k in tables}
     res = quality.run_checks(tables, specs).withColumn("run_ts_utc", ts_lit(a.as_of))
     res.write.mode("append").parquet(_path(a.root, "check_results"))
@@ -160,6 +164,7 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--group-id", default="tick_ingest")
         if name == "checks":
             s.add_argument("--environment", default="dev")
+            s.add_argument("--since-days", dest="since_days", type=int, default=None)
         if name == "retention":
             s.add_argument("--days", type=int, default=90)
     return p
