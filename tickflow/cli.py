@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tickflow.functions.timeutil import minus, ts_lit
 from tickflow.operators import marts, monitor, quality
 from tickflow.plans import incremental, sinks
-from tickflow.session import build_session
+from tickflow.session import build_session, scratch_path
 from tickflow.streaming import ingest as sing
 
 MART_SPECS = {
@@ -67,7 +67,7 @@ def run_ingest(spark: SparkSession, a) -> None:
         bootstrap_servers=a.bootstrap, topic=a.topic, starting_offsets=a.starting_offsets,
         fail_on_data_loss=a.fail_on_data_loss, max_per_trigger=a.max_per_trigger,
         trigger_seconds=a.trigger_seconds, available_now=a.available_now,
-        stream_instance_id=a.instance_id)
+        stream_instance_id=a.instance_id, latest_path=_path(a.root, "latest_prices_state"))
     q = sing.start_ingest(spark, cfg)
     if not cfg.available_now:          # a continuous query stops on SIGTERM / SIGINT
         sing.install_graceful_stop(q, spark)
@@ -75,16 +75,22 @@ def run_ingest(spark: SparkSession, a) -> None:
 
 
 def run_marts(spark: SparkSession, a) -> dict:
-    """Incremental builds of the three marts, then the latest-price table."""
+    """Incremental builds of the three marts, then the latest-price table
+    (from the state the ingest stream maintains when present, else computed)."""
     raw = _table(spark, a.root, "raw_prices")
     if raw is None:
         return {}
-    stg = marts.stg_raw_prices(raw)
+    # typed columns plus the date partition, so slices prune partitions
+    stg = raw.select(*[F.col(c).cast(t).alias(c) for c, t in marts.STG_COLUMNS], "event_date")
     out = {}
     for name, (factory, keys, bucket, lookback) in MART_SPECS.items():
         out[name] = incremental.run(spark, factory(a.as_of), stg, _path(a.root, name), keys, bucket,
                                     lookback, a.as_of)
-    marts.latest_prices(stg, a.as_of).write.mode("overwrite").parquet(_path(a.root, "mart_latest_prices"))
+    state = _table(spark, a.root, "latest_prices_state")
+    latest = marts.latest_view(state) if state is not None else marts.latest_prices(stg, a.as_of)
+    staging = scratch_path(spark, "latest-mart")
+    latest.write.parquet(staging)
+    spark.read.parquet(staging).write.mode("overwrite").parquet(_path(a.root, "mart_latest_prices"))
     return out
 
 

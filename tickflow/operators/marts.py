@@ -62,8 +62,12 @@ def latest_prices(stg: DataFrame, as_of, window: str = "24 hours") -> DataFrame:
     ``event_ts < bound`` only: the two branches scan disjoint date ranges.
     """
     bound = minus(as_of, window)
-    recent = _latest_per_instrument(stg.filter(F.col("event_ts") >= bound))
+    recent_rows = stg.filter(F.col("event_ts") >= bound)
     older = stg.filter(F.col("event_ts") < bound)
+    if "event_date" in stg.columns:      # restate the bound on date partitions
+        recent_rows = recent_rows.filter(F.col("event_date") >= F.to_date(bound))
+        older = older.filter(F.col("event_date") <= F.to_date(bound))
+    recent = _latest_per_instrument(recent_rows)
     missing = older.join(F.broadcast(recent.select("commodity", "symbol")),
                          ["commodity", "symbol"], "left_anti")
     return recent.unionByName(_latest_per_instrument(missing))

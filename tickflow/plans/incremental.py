@@ -55,7 +55,8 @@ def lower_bound(spark: SparkSession, target_path: str, bucket_col: str, lookback
 
 def run(spark: SparkSession, model: Callable[[DataFrame, object], DataFrame], source: DataFrame,
         target_path: str, keys: Sequence[str], bucket_col: str, lookback: str, as_of,
-        partition_col: str = "bucket_date", replace_slice: bool = False) -> dict:
+        partition_col: str = "bucket_date", replace_slice: bool = False,
+        source_date_col: str = "event_date") -> dict:
     """One incremental (or first full) build of ``model`` into ``target_path``.
 
     ``replace_slice=True`` drops stored rows inside the recomputed range that
@@ -63,6 +64,9 @@ def run(spark: SparkSession, model: Callable[[DataFrame, object], DataFrame], so
     a late tick); the default keeps them, as a keyed merge does.
     """
     since = lower_bound(spark, target_path, bucket_col, lookback, as_of, partition_col)
+    if since is not None and source_date_col in source.columns:
+        # the slice bound on event time, restated on the source's date partitions
+        source = source.filter(F.col(source_date_col) >= F.to_date(F.lit(since).cast("timestamp_ntz")))
     new = model(source, since).withColumn(partition_col, F.to_date(bucket_col))
     if since is None:
         new.write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
