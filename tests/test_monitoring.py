@@ -204,3 +204,19 @@ def test_pipeline_metrics_partition_bound(spark):
     assert tuple(pruned_df.collect()[0]) == tuple(full)
     plan = pruned_df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan and "2024-01-29" in plan
+
+
+@pytest.mark.parametrize("age_s,status", [(0, "pass"), (600, "pass"), (601, "warn"), (1200, "warn"),
+                                          (1201, "error")])
+def test_source_freshness_thresholds(spark, age_s, status):
+    df = spark.createDataFrame([(f"2024-01-01 00:00:00",)], "t string") \
+        .select(F.col("t").cast("timestamp_ntz").alias("ingest_ts"))
+    as_of = spark.range(1).select((F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+                                   + F.make_dt_interval(secs=F.lit(age_s))).alias("a")).collect()[0]["a"]
+    r = monitor.source_freshness(df, "ingest_ts", as_of).collect()[0]
+    assert (r["seconds"], r["status"]) == (age_s, status)
+
+
+def test_freshness_of_an_empty_table_is_the_sentinel(spark):
+    df = spark.createDataFrame([], "ingest_ts timestamp_ntz")
+    assert monitor.freshness_seconds(df, "ingest_ts", "2024-01-01 00:00:00").collect()[0][0] == 999999
