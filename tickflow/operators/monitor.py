@@ -280,7 +280,7 @@ def evaluate_rules(metrics: DataFrame, rules: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ alert timeline
 
-def alert_timeline(samples: DataFrame, rules: DataFrame, bucket="day") -> DataFrame:
+def alert_timeline(samples: DataFrame, rules: DataFrame, bucket="balanced") -> DataFrame:
     """State per evaluation: normal / pending / firing / resolved.
 
     A rule fires once its condition has held for ``for_seconds`` since the
@@ -314,13 +314,13 @@ def idle_time(df: DataFrame, ts_col: str, tie_col: str, cycle_seconds: int = 360
 
     ``max_gap_seconds`` is the longest gap ending that day, ``idle_gaps`` the
     number of gaps longer than one cycle and ``idle_seconds`` their excess
-    over the cycle.  The global ordered scan is bucketed by hour
-    (``plans.sequential``): only the one-row-per-hour summary is ordered as a
-    whole.
+    over the cycle.  The global ordered scan is split into row-count-balanced
+    buckets (``plans.sequential``): only the one-row-per-bucket summary is
+    ordered as a whole.
     """
     from tickflow.plans import sequential
     base = df.select(F.col(ts_col).alias("_t"), F.col(tie_col).alias("_k"))
-    lagged = sequential.with_lag(base, [], ["_t", "_k"], ["_t"], bucket="hour")
+    lagged = sequential.with_lag(base, [], ["_t", "_k"], ["_t"], bucket="balanced")
     gap = seconds_between("_t", "prev__t")
     return (lagged.filter(F.col("prev__t").isNotNull())
             .groupBy(trunc("day", "_t").alias("day"))

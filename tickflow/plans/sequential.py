@@ -31,6 +31,10 @@ from pyspark.sql import functions as F
 _B = "_seq_bucket"
 
 
+BALANCED = "balanced"
+BALANCED_BUCKETS = 256          # buckets per key in balanced mode
+
+
 def _bucket_expr(bucket, order_first: str) -> Column:
     if isinstance(bucket, Column):
         return bucket
@@ -38,15 +42,38 @@ def _bucket_expr(bucket, order_first: str) -> Column:
     return F.date_trunc(bucket, F.col(order_first)).cast("timestamp_ntz")
 
 
+def _with_bucket(df: DataFrame, keys: list, order_first: str, bucket) -> DataFrame:
+    """Attach the bucket column.
+
+    ``bucket="balanced"`` sizes buckets by row count instead of by clock
+    time: per key, approximate quantiles of the timestamp (a partially
+    aggregated sketch, one small row per key) cut the key's rows into
+    ``BALANCED_BUCKETS`` ranges, so a burst that puts a third of all rows into
+    one hour is still spread over many window partitions.  The bucket number
+    is monotone in time, as the plan requires.
+    """
+    if not (isinstance(bucket, str) and bucket == BALANCED):
+        return df.withColumn(_B, _bucket_expr(bucket, order_first))
+    t = F.unix_micros(F.col(order_first).cast("timestamp"))
+    probs = [i / BALANCED_BUCKETS for i in range(1, BALANCED_BUCKETS)]
+    jk = keys or ["_all"]
+    d = df if keys else df.withColumn("_all", F.lit(0))
+    cuts = d.groupBy(*jk).agg(F.percentile_approx(t, probs, 20000).alias("_cuts"))
+    d = d.join(cuts, jk, "left")
+    d = d.withColumn(_B, F.size(F.filter(F.col("_cuts"), lambda c: c <= t))).drop("_cuts")
+    return d if keys else d.drop("_all")
+
+
 def with_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
              bucket="hour", prefix: str = "prev_") -> DataFrame:
     """Add ``prev_<c>`` = ``lag(c)`` over (keys ordered by order) for c in cols.
 
-    ``bucket`` is a ``date_trunc`` unit for ``order[0]`` (a timestamp) or a
-    Column that is monotone in the ordering.
+    ``bucket`` is a ``date_trunc`` unit for ``order[0]`` (a timestamp),
+    ``"balanced"`` (row-count-sized buckets, robust to bursts) or a Column
+    that is monotone in the ordering.
     """
     keys, order, cols = list(keys), list(order), list(cols)
-    d = df.withColumn(_B, _bucket_expr(bucket, order[0])).repartition(*keys, _B)
+    d = _with_bucket(df, keys, order[0], bucket).repartition(*keys, _B)
     w = Window.partitionBy(*keys, _B).orderBy(*[F.col(c) for c in order])
     lagged = d.select(
         "*",
@@ -73,7 +100,7 @@ def with_running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], c
     """Add ``out`` = running ``max(col)`` over rows up to and including the
     current one, per keys in the given order (nulls ignored)."""
     keys, order = list(keys), list(order)
-    d = df.withColumn(_B, _bucket_expr(bucket, order[0])).repartition(*keys, _B)
+    d = _with_bucket(df, keys, order[0], bucket).repartition(*keys, _B)
     w = (Window.partitionBy(*keys, _B).orderBy(*[F.col(c) for c in order])
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = d.withColumn("_run_in", F.max(col).over(w))
