@@ -172,22 +172,29 @@ def test_replace_slice_drops_rows_the_slice_no_longer_produces(spark):
 
 
 @pytest.mark.parametrize("variant", ["plain", "ties", "burst"])
-def test_balanced_buckets_equal_global_lag(spark, variant):
+def test_adaptive_buckets_equal_global_lag(spark, variant):
     ev = fx.read_events(spark, SF_SMALL)
-    if variant == "burst":   # a third of all rows squeezed into one hour
+    if variant == "burst":   # a third of all rows squeezed into one hour (and a few seconds)
         ev = ev.withColumn("ts", F.when(F.col("event_id") % 3 == 0,
                                         F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
-                                        + F.make_dt_interval(secs=(F.col("event_id") % 3600).cast("decimal(18,6)")))
+                                        + F.make_dt_interval(secs=(F.col("event_id") % 97).cast("decimal(18,6)")))
                            .otherwise(F.col("ts")))
     t = marts.stg_raw_prices(fx.ticks_minute_ties(ev) if variant == "ties" else fx.ticks(ev))
     base = t.select("commodity", "symbol", "event_ts", "event_id", "price")
     w = Window.partitionBy("commodity", "symbol").orderBy("event_ts", "event_id")
     expect = base.select("*", F.lag("price").over(w).alias("prev_price"),
                          F.lag("event_ts").over(w).alias("prev_event_ts"))
-    got = sequential.with_lag(base, ["commodity", "symbol"], ["event_ts", "event_id"],
-                              ["price", "event_ts"], bucket="balanced")
-    assert _rows(got.select(*expect.columns)) == _rows(expect)
-    if variant == "burst":   # the burst hour is split over many buckets
-        b = sequential._with_bucket(base, ["commodity", "symbol"], "event_ts", "balanced")
-        sizes = b.groupBy("commodity", "symbol", sequential._B).count().agg(F.max("count")).collect()[0][0]
-        assert sizes < 0.05 * base.count()
+    old = sequential.HOT_BUCKET_ROWS
+    sequential.HOT_BUCKET_ROWS = 20          # tiny threshold: exercise hour -> minute -> second splits
+    try:
+        got = sequential.with_lag(base, ["commodity", "symbol"], ["event_ts", "event_id"],
+                                  ["price", "event_ts"], bucket="adaptive")
+        assert _rows(got.select(*expect.columns)) == _rows(expect)
+        if variant == "burst":
+            b = sequential.add_bucket(base, ["commodity", "symbol"], "event_ts", "adaptive")
+            per = b.groupBy("commodity", "symbol", sequential._B).count()
+            assert per.agg(F.max("count")).collect()[0][0] < 0.05 * base.count()
+            # the burst hour was split into minutes / seconds
+            assert b.filter(F.minute(sequential._B) + F.second(sequential._B) > 0).count() > 0
+    finally:
+        sequential.HOT_BUCKET_ROWS = old

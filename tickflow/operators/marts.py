@@ -120,7 +120,7 @@ def classify_move_join(df: DataFrame, thresholds: DataFrame, pct: str = "pct_cha
     return j.withColumn("event_type", label).drop("extreme", "large", "medium")
 
 
-def price_events(stg: DataFrame, since=None, bucket="balanced", keep_normal: bool = False) -> DataFrame:
+def price_events(stg: DataFrame, since=None, bucket="adaptive", keep_normal: bool = False) -> DataFrame:
     """Significant moves between consecutive ticks of an instrument.
 
     ``lag`` over (commodity, symbol) ordered by (event_ts, event_id), computed

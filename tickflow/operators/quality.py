@@ -21,7 +21,7 @@ from tickflow.plans import sequential
 
 # ------------------------------------------------------------------ W2
 
-def price_jumps(minute: DataFrame, bucket="balanced") -> DataFrame:
+def price_jumps(minute: DataFrame, bucket="adaptive") -> DataFrame:
     """Minute-to-minute jumps beyond the per-symbol sanity limit (strict >)."""
     base = minute.select("commodity", "symbol", "minute_bucket", "last_price")
     lagged = sequential.with_lag(base, ["commodity", "symbol"], ["minute_bucket"],

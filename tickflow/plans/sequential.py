@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 _B = "_seq_bucket"
 
 
-BALANCED = "balanced"
-BALANCED_BUCKETS = 256          # buckets per key in balanced mode
+ADAPTIVE = "adaptive"
+HOT_BUCKET_ROWS = 5_000_000     # rows above which a clock bucket is split finer
 
 
 def _bucket_expr(bucket, order_first: str) -> Column:
@@ -42,38 +42,48 @@ def _bucket_expr(bucket, order_first: str) -> Column:
     return F.date_trunc(bucket, F.col(order_first)).cast("timestamp_ntz")
 
 
-def _with_bucket(df: DataFrame, keys: list, order_first: str, bucket) -> DataFrame:
-    """Attach the bucket column.
+def add_bucket(df: DataFrame, keys: Sequence[str], order_first: str, bucket=ADAPTIVE,
+               name: str = _B, hot_rows: int | None = None) -> DataFrame:
+    """Attach a bucket column that is monotone in ``order_first``.
 
-    ``bucket="balanced"`` sizes buckets by row count instead of by clock
-    time: per key, approximate quantiles of the timestamp (a partially
-    aggregated sketch, one small row per key) cut the key's rows into
-    ``BALANCED_BUCKETS`` ranges, so a burst that puts a third of all rows into
-    one hour is still spread over many window partitions.  The bucket number
-    is monotone in time, as the plan requires.
+    ``bucket="adaptive"``: clock hours, except that an hour of one key with
+    more than ``hot_rows`` rows is split into minutes and such a minute into
+    seconds.  Bucket values are the start instants of disjoint time ranges,
+    so they stay ordered.  The hour partitions grow with the time span; the
+    split keeps a burst (say a third of all rows in one hour) from becoming
+    one huge window partition.  Costs one partially aggregated minute-count
+    pass and two joins against the hot sets, which are small (at most
+    ``rows / hot_rows`` entries) and usually empty.
     """
-    if not (isinstance(bucket, str) and bucket == BALANCED):
-        return df.withColumn(_B, _bucket_expr(bucket, order_first))
-    t = F.unix_micros(F.col(order_first).cast("timestamp"))
-    probs = [i / BALANCED_BUCKETS for i in range(1, BALANCED_BUCKETS)]
-    jk = keys or ["_all"]
-    d = df if keys else df.withColumn("_all", F.lit(0))
-    cuts = d.groupBy(*jk).agg(F.percentile_approx(t, probs, 20000).alias("_cuts"))
-    d = d.join(cuts, jk, "left")
-    d = d.withColumn(_B, F.size(F.filter(F.col("_cuts"), lambda c: c <= t))).drop("_cuts")
-    return d if keys else d.drop("_all")
+    if not (isinstance(bucket, str) and bucket == ADAPTIVE):
+        return df.withColumn(name, _bucket_expr(bucket, order_first))
+    limit = hot_rows if hot_rows is not None else HOT_BUCKET_ROWS
+    keys = list(keys)
+    t = F.col(order_first)
+    d = (df.withColumn("_bm", F.date_trunc("minute", t).cast("timestamp_ntz"))
+         .withColumn("_bh", F.date_trunc("hour", t).cast("timestamp_ntz")))
+    per_minute = d.groupBy(*keys, "_bm").agg(F.count(F.lit(1)).alias("_n"))
+    hot_minutes = per_minute.filter(F.col("_n") > limit).select(*keys, "_bm", F.lit(True).alias("_hm"))
+    hot_hours = (per_minute.groupBy(*keys, F.date_trunc("hour", "_bm").cast("timestamp_ntz").alias("_bh"))
+                 .agg(F.sum("_n").alias("_n")).filter(F.col("_n") > limit)
+                 .select(*keys, "_bh", F.lit(True).alias("_hh")))
+    d = d.join(hot_hours, [*keys, "_bh"], "left").join(hot_minutes, [*keys, "_bm"], "left")
+    b = (F.when(F.col("_hm"), F.date_trunc("second", t).cast("timestamp_ntz"))
+         .when(F.col("_hh"), F.col("_bm"))
+         .otherwise(F.col("_bh")))
+    return d.withColumn(name, b).drop("_bm", "_bh", "_hm", "_hh")
 
 
 def with_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-             bucket="hour", prefix: str = "prev_") -> DataFrame:
+             bucket=ADAPTIVE, prefix: str = "prev_") -> DataFrame:
     """Add ``prev_<c>`` = ``lag(c)`` over (keys ordered by order) for c in cols.
 
-    ``bucket`` is a ``date_trunc`` unit for ``order[0]`` (a timestamp),
-    ``"balanced"`` (row-count-sized buckets, robust to bursts) or a Column
-    that is monotone in the ordering.
+    ``bucket`` is ``"adaptive"`` (clock hours, hot ones split finer; see
+    ``add_bucket``), a ``date_trunc`` unit for ``order[0]`` (a timestamp), or
+    a Column that is monotone in the ordering.
     """
     keys, order, cols = list(keys), list(order), list(cols)
-    d = _with_bucket(df, keys, order[0], bucket).repartition(*keys, _B)
+    d = add_bucket(df, keys, order[0], bucket).repartition(*keys, _B)
     w = Window.partitionBy(*keys, _B).orderBy(*[F.col(c) for c in order])
     lagged = d.select(
         "*",
@@ -96,11 +106,11 @@ def with_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Seq
 
 
 def with_running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
-                     out: str, bucket="hour") -> DataFrame:
+                     out: str, bucket=ADAPTIVE) -> DataFrame:
     """Add ``out`` = running ``max(col)`` over rows up to and including the
     current one, per keys in the given order (nulls ignored)."""
     keys, order = list(keys), list(order)
-    d = _with_bucket(df, keys, order[0], bucket).repartition(*keys, _B)
+    d = add_bucket(df, keys, order[0], bucket).repartition(*keys, _B)
     w = (Window.partitionBy(*keys, _B).orderBy(*[F.col(c) for c in order])
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = d.withColumn("_run_in", F.max(col).over(w))

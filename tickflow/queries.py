@@ -367,7 +367,7 @@ def q_last_update_label(spark, sf_dir):
 
 
 def q_price_events_bucketed(spark, sf_dir):
-    """The same mart with clock-hour buckets instead of row-count-balanced ones."""
+    """The same mart with plain clock-hour buckets instead of adaptive ones."""
     return marts.price_events(_stg(spark, sf_dir), bucket="hour")
 
 
