@@ -32,8 +32,16 @@ def test_ordered_scans_are_bucketed(spark, name):
 def test_time_bounds_reach_the_scan(spark):
     p = plan(spark, "price_volatility_1h")
     assert "PushedFilters: [IsNotNull(ts), LessThan(ts," in p
-    p = plan(spark, "latest_prices")
-    assert "GreaterThanOrEqual(ts," in p and "LessThan(ts," in p
+    # latest_prices: the fallback branch scans older rows only; the recent
+    # branch (checkpointed before the anti join) scans the recent slice only
+    assert "LessThan(ts," in plan(spark, "latest_prices")
+    from tickflow import queries as Q
+    from tickflow.operators import marts
+    from tickflow.sources import fixtures as fx
+    stg = Q._stg(spark, SF_SMALL, fx.ticks_stale_instrument)
+    recent, older = marts.latest_slices(stg, Q._as_of(spark, SF_SMALL))
+    assert "GreaterThanOrEqual(ts," in recent._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(ts," in older._jdf.queryExecution().executedPlan().toString()
 
 
 def test_insert_new_broadcasts_batch_keys(spark):

@@ -52,6 +52,25 @@ def test_latest_two_branch_equals_single_pass(spark):
     assert _rows(marts.latest_prices(stg, as_of)) == _rows(marts.latest_prices_single_pass(stg))
 
 
+def test_latest_shuffle_fallback_equals_single_pass(spark):
+    # above the broadcast limit the anti join shuffles both sides instead
+    ev = fx.read_events(spark, SF_SMALL)
+    stg = marts.stg_raw_prices(fx.ticks_stale_instrument(ev))
+    as_of = default_as_of(fx.ticks(ev))
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:       # no automatic broadcast either (the checkpoint has exact stats)
+            spark.conf.set(k, "-1")
+        got = marts.latest_prices(stg, as_of, broadcast_limit=0)
+        assert "BroadcastExchange" not in got._jdf.queryExecution().executedPlan().toString()
+        rows = _rows(got)
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert rows == _rows(marts.latest_prices_single_pass(stg))
+
+
 def test_price_event_counts_match_fixture_doc(spark):
     """FIXTURES section 2 counts (sf0.01): classes per symbol after the gap rule."""
     stg = marts.stg_raw_prices(fx.ticks(fx.read_events(spark, "/root/testdata/sf0.01")))

@@ -44,7 +44,9 @@ def price_statistics(vol: DataFrame, events: DataFrame) -> DataFrame:
     h = scalar(vol, F.max("hour_bucket"))
     v = vol.filter(F.col("hour_bucket") == ts_lit(h)) if h is not None else vol.limit(0)
     m = moves(events, h) if h is not None else moves(events.limit(0), "1970-01-01 00:00:00")
-    j = v.join(F.broadcast(m), "symbol", "left")   # <= one row per instrument
+    # both sides are per-instrument aggregates of one hour; AQE turns the join
+    # into a broadcast from their measured sizes
+    j = v.join(m, "symbol", "left")
     return j.select(
         F.col("symbol").alias("instrument"),
         _price_text(F.col("symbol"), F.col("avg_price")).alias("avg_price"),

@@ -19,6 +19,7 @@ from tickflow import dims
 from tickflow.functions.numeric import dround
 from tickflow.functions.timeutil import minus, round_seconds, trunc, ts_lit
 from tickflow.plans import sequential
+from tickflow.session import checkpoint_root
 
 STG_COLUMNS = [
     ("event_id", "string"), ("commodity", "string"), ("symbol", "string"),
@@ -52,24 +53,40 @@ def _latest_per_instrument(df: DataFrame) -> DataFrame:
                     F.col("b.source").alias("source")))
 
 
-def latest_prices(stg: DataFrame, as_of, window: str = "24 hours") -> DataFrame:
-    """Newest row per (commodity, symbol).
-
-    Recent slice first (prunes to the last ``window``); instruments absent from
-    it fall back to the older history through an anti join against the recent
-    result, whose size is bounded by the number of instruments.  A group
-    missing from the recent slice has only older rows, so the fallback reads
-    ``event_ts < bound`` only: the two branches scan disjoint date ranges.
-    """
+def latest_slices(stg: DataFrame, as_of, window: str = "24 hours") -> tuple[DataFrame, DataFrame]:
+    """The recent (``>= as_of - window``) and older rows; bounds reach the scan."""
     bound = minus(as_of, window)
     recent_rows = stg.filter(F.col("event_ts") >= bound)
     older = stg.filter(F.col("event_ts") < bound)
     if "event_date" in stg.columns:      # restate the bound on date partitions
         recent_rows = recent_rows.filter(F.col("event_date") >= F.to_date(bound))
         older = older.filter(F.col("event_date") <= F.to_date(bound))
-    recent = _latest_per_instrument(recent_rows)
-    missing = older.join(F.broadcast(recent.select("commodity", "symbol")),
-                         ["commodity", "symbol"], "left_anti")
+    return recent_rows, older
+
+
+LATEST_BROADCAST_LIMIT = 1_000_000   # instruments; above it the anti join shuffles
+
+
+def latest_prices(stg: DataFrame, as_of, window: str = "24 hours",
+                  broadcast_limit: int = LATEST_BROADCAST_LIMIT) -> DataFrame:
+    """Newest row per (commodity, symbol).
+
+    Recent slice first (prunes to the last ``window``); instruments absent from
+    it fall back to the older history through an anti join against the recent
+    result.  A group missing from the recent slice has only older rows, so the
+    fallback reads ``event_ts < bound`` only: the two branches scan disjoint
+    date ranges.  The recent result (one row per instrument) is checkpointed
+    to the shared folder and counted; its keys are broadcast into the anti
+    join only below ``broadcast_limit``, otherwise both sides shuffle on the
+    instrument key.
+    """
+    recent_rows, older = latest_slices(stg, as_of, window)
+    checkpoint_root(stg.sparkSession)
+    recent = _latest_per_instrument(recent_rows).checkpoint()
+    keys = recent.select("commodity", "symbol")
+    if recent.count() <= broadcast_limit:
+        keys = F.broadcast(keys)
+    missing = older.join(keys, ["commodity", "symbol"], "left_anti")
     return recent.unionByName(_latest_per_instrument(missing))
 
 
