@@ -56,22 +56,32 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``tickflow`` importable in executor Python workers (once per app).
 
     Needed only where Python runs on executors (the stateful streaming move
-    detector).  The package is zipped into the shared checkpoint folder and
-    distributed with ``addPyFile``, as on any cluster.
+    detector).  The package is zipped in memory, written into the shared
+    checkpoint folder through the Hadoop file system API and distributed with
+    ``addPyFile``, as on any cluster; no machine-local folder is involved.
     """
-    import shutil
+    import io
+    import zipfile
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    base = scratch_path(spark, "pyfiles")
-    local = base[len("file:"):] if base.startswith("file:") else base
-    if "://" in local:   # remote shared storage: build locally, let Spark copy it
-        local = tempfile.mkdtemp(prefix="tickflow-zip-")
-    os.makedirs(local, exist_ok=True)
-    archive = shutil.make_archive(os.path.join(local, "tickflow"), "zip",
-                                  os.path.dirname(pkg_dir), "tickflow")
-    spark.sparkContext.addPyFile(archive)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc = spark.sparkContext
+    target = f"{scratch_path(spark, 'pyfiles')}/tickflow.zip"
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(target)
+    out = jpath.getFileSystem(sc._jsc.hadoopConfiguration()).create(jpath, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target)
     _SHIPPED.add(app)
 
 
