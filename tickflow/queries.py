@@ -430,27 +430,36 @@ def q_streaming_moves(spark, sf_dir):
     return _run_to_table(smarts.moves(_tick_stream(spark, sf_dir)), "stream-moves", spark)
 
 
+def _ingest_files(spark) -> int:
+    # files per write of the replay source: the session's shuffle parallelism,
+    # so no single task writes a whole slice
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _ingest_source(spark, sf_dir) -> str:
-    """The replayed envelope as files: originals first, re-publishes in a later file."""
+    """The replayed envelope as files: originals first, re-publishes in later files."""
     ev = _events(spark, sf_dir)
     src = scratch_path(spark, "ingest-source")
-    fx.raw_payloads(ev).repartition(4).write.parquet(src)
+    n = _ingest_files(spark)
+    fx.raw_payloads(ev).repartition(n).write.parquet(src)
     again = fx.raw_payloads(ev.filter(F.col("event_id") % 10 == 0)) \
         .withColumn("kafka_offset", F.col("kafka_offset") + 10_000_000)
-    again.repartition(1).write.mode("append").parquet(src)
+    again.repartition(n).write.mode("append").parquet(src)
     return src
 
 
 def _ingest_run(spark, sf_dir) -> sing.IngestConfig:
     """One run of the ingest stream per session and input (shared by the
-    queries that read its outputs): two files per micro-batch, the fact,
+    queries that read its outputs): one write's files per micro-batch
+    (originals, then re-publishes), the fact,
     DLQ, metrics and latest-price tables written under the shared folder."""
     def run():
         cfg = sing.IngestConfig(
             fact_path=scratch_path(spark, "fact"), dlq_path=scratch_path(spark, "dlq"),
             metrics_path=scratch_path(spark, "metrics"),
             checkpoint=scratch_path(spark, "ingest-ckpt"), source_format="parquet",
-            source_path=_ingest_source(spark, sf_dir), max_per_trigger=2, available_now=True,
+            source_path=_ingest_source(spark, sf_dir), max_per_trigger=_ingest_files(spark),
+            available_now=True,
             latest_path=scratch_path(spark, "latest"))
         sing.start_ingest(spark, cfg).awaitTermination()
         return cfg
