@@ -270,11 +270,12 @@ def apply_retention(spark: SparkSession, path: str, ts_col: str, cutoff,
 
 
 COMPACTED = "compacted"
+TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
 def compact(spark: SparkSession, path: str, date_col: str = "event_date", dates=None,
             key: str = "event_id", order: Sequence[str] = ("kafka_partition", "kafka_offset"),
-            files_per_date: int = 1) -> list:
+            files_per_date: int | None = None) -> list:
     """Merge the per-batch ``batch_token`` partitions of whole dates into one.
 
     Meant for dates no longer being written.  Rows are re-deduplicated on
@@ -300,7 +301,11 @@ def compact(spark: SparkSession, path: str, date_col: str = "event_date", dates=
         rows = spark.read.parquet(path).filter(F.col(date_col) == F.lit(d).cast("date"))
         rows = dedupe(rows, [key], list(order)).drop("batch_token")
         staging = scratch_path(spark, "compact-staging")
-        rows.coalesce(files_per_date).write.parquet(staging)
+        # output files follow the date's stored size, so a hot date is written
+        # by many tasks rather than one
+        n = files_per_date or max(1, -(-fs.getContentSummary(st.getPath()).getLength()
+                                       // TARGET_FILE_BYTES))
+        rows.coalesce(n).write.parquet(staging)
         with swap_guard(spark, path):
             (spark.read.parquet(staging).withColumn("batch_token", F.lit(COMPACTED))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
