@@ -52,3 +52,16 @@ def test_insert_new_broadcasts_batch_keys(spark):
 def test_column_pruning(spark):
     p = plan(spark, "health_metrics")
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string>" in p
+
+
+def test_dedupe_limits_copies_before_the_shuffle(spark):
+    # a key repeated across a third of the rows is cut to one row per map
+    # task (partial WindowGroupLimit) before the hash exchange on the key
+    from tickflow.plans.sinks import dedupe
+    df = spark.range(30000).selectExpr("if(id % 3 = 0, 0, id) as event_id",
+                                       "cast(id % 4 as int) as kafka_partition", "id as kafka_offset")
+    d = dedupe(df, ["event_id"], ["kafka_partition", "kafka_offset"])
+    p = d._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(event_id#\d+L?, \d+\).*\n.*WindowGroupLimit .*Partial", p), p
+    assert d.count() == 20001
+    assert d.filter("event_id = 0").first()["kafka_offset"] == 0
