@@ -65,3 +65,21 @@ def test_dedupe_limits_copies_before_the_shuffle(spark):
     assert re.search(r"Exchange hashpartitioning\(event_id#\d+L?, \d+\).*\n.*WindowGroupLimit .*Partial", p), p
     assert d.count() == 20001
     assert d.filter("event_id = 0").first()["kafka_offset"] == 0
+
+
+def test_adaptive_bucket_joins_broadcast_the_counted_hot_sets(spark):
+    # even when the planner would broadcast nothing on its own (large input),
+    # the hot hour/minute sets are checkpointed, counted and broadcast, so the
+    # input is not shuffled to attach the bucket
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        p = plan(spark, "price_events")
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert re.search(r"BroadcastHashJoin \[[^\]]*_bh#\d+\]", p)
+    assert re.search(r"BroadcastHashJoin \[[^\]]*_bm#\d+\]", p)
+    assert not re.search(r"SortMergeJoin \[[^\]]*_b[hm]#\d+\]", p)

@@ -33,6 +33,7 @@ _B = "_seq_bucket"
 
 ADAPTIVE = "adaptive"
 HOT_BUCKET_ROWS = 5_000_000     # rows above which a clock bucket is split finer
+HOT_BROADCAST_LIMIT = 1_000_000  # hot (key, hour|minute) entries broadcast into the bucket join
 
 
 def _bucket_expr(bucket, order_first: str) -> Column:
@@ -52,8 +53,9 @@ def add_bucket(df: DataFrame, keys: Sequence[str], order_first: str, bucket=ADAP
     so they stay ordered.  The hour partitions grow with the time span; the
     split keeps a burst (say a third of all rows in one hour) from becoming
     one huge window partition.  Costs one partially aggregated minute-count
-    pass and two joins against the hot sets, which are small (at most
-    ``rows / hot_rows`` entries) and usually empty.
+    pass (checkpointed hot sets: at most ``rows / hot_rows`` entries, usually
+    none) and two broadcast joins against them; if the counted hot sets
+    exceed ``HOT_BROADCAST_LIMIT`` the joins shuffle instead.
     """
     if not (isinstance(bucket, str) and bucket == ADAPTIVE):
         return df.withColumn(name, _bucket_expr(bucket, order_first))
@@ -63,10 +65,23 @@ def add_bucket(df: DataFrame, keys: Sequence[str], order_first: str, bucket=ADAP
     d = (df.withColumn("_bm", F.date_trunc("minute", t).cast("timestamp_ntz"))
          .withColumn("_bh", F.date_trunc("hour", t).cast("timestamp_ntz")))
     per_minute = d.groupBy(*keys, "_bm").agg(F.count(F.lit(1)).alias("_n"))
-    hot_minutes = per_minute.filter(F.col("_n") > limit).select(*keys, "_bm", F.lit(True).alias("_hm"))
-    hot_hours = (per_minute.groupBy(*keys, F.date_trunc("hour", "_bm").cast("timestamp_ntz").alias("_bh"))
-                 .agg(F.sum("_n").alias("_n")).filter(F.col("_n") > limit)
-                 .select(*keys, "_bh", F.lit(True).alias("_hh")))
+    hot = (per_minute.filter(F.col("_n") > limit)
+           .select(*keys, F.col("_bm").alias("_bt"), F.lit("m").alias("_lvl"))
+           .unionByName(per_minute.groupBy(*keys, F.date_trunc("hour", "_bm").cast("timestamp_ntz")
+                                           .alias("_bt"))
+                        .agg(F.sum("_n").alias("_n")).filter(F.col("_n") > limit)
+                        .select(*keys, "_bt", F.lit("h").alias("_lvl"))))
+    # the hot sets are materialised in the shared folder and counted, so the
+    # joins below broadcast them only when they are provably small
+    from tickflow.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    hot = hot.checkpoint()
+    hot_hours = hot.filter(F.col("_lvl") == "h").select(*keys, F.col("_bt").alias("_bh"),
+                                                        F.lit(True).alias("_hh"))
+    hot_minutes = hot.filter(F.col("_lvl") == "m").select(*keys, F.col("_bt").alias("_bm"),
+                                                          F.lit(True).alias("_hm"))
+    if hot.count() <= HOT_BROADCAST_LIMIT:
+        hot_hours, hot_minutes = F.broadcast(hot_hours), F.broadcast(hot_minutes)
     d = d.join(hot_hours, [*keys, "_bh"], "left").join(hot_minutes, [*keys, "_bm"], "left")
     b = (F.when(F.col("_hm"), F.date_trunc("second", t).cast("timestamp_ntz"))
          .when(F.col("_hh"), F.col("_bm"))
