@@ -217,3 +217,18 @@ def test_adaptive_buckets_equal_global_lag(spark, variant):
             assert b.filter(F.minute(sequential._B) + F.second(sequential._B) > 0).count() > 0
     finally:
         sequential.HOT_BUCKET_ROWS = old
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_dlq_new_rows_skips_stored_keys(spark, limit):
+    # broadcast semi join (limit above the batch) and shuffle anti join (0) agree
+    from tickflow.plans import sinks
+    schema = "stream_instance_id string, batch_id bigint, kafka_partition int, kafka_offset bigint, ts_utc timestamp_ntz, raw string"
+    rows = [("i", 1, p, o, None, f"r{p}{o}") for p in range(2) for o in range(5)]
+    bad = spark.createDataFrame(rows + rows[:3], schema).withColumn(
+        "ts_utc", F.lit("2024-01-02 03:04:05").cast("timestamp_ntz"))
+    stored = bad.limit(0).unionByName(bad.filter("kafka_offset < 2")).withColumn(
+        "dlq_date", F.to_date("ts_utc"))
+    got = sinks.dlq_new_rows(bad, stored, broadcast_limit=limit)
+    assert sorted((r.kafka_partition, r.kafka_offset) for r in got.collect()) == \
+        [(p, o) for p in range(2) for o in range(2, 5)]

@@ -83,22 +83,29 @@ def new_rows(batch: DataFrame, target: DataFrame | None, key: str = "event_id",
 
 
 def dlq_new_rows(bad: DataFrame, existing: DataFrame | None, partition_col: str = "dlq_date",
-                 date_expr=None) -> DataFrame:
+                 date_expr=None, broadcast_limit: int = BROADCAST_KEYS_LIMIT) -> DataFrame:
     """DLQ rows whose (instance, batch, partition, offset) key is not stored yet (K2).
 
     The batch is de-duplicated on the key first; stored keys are read only
     from the dates the batch touches (a replayed record keeps its Kafka
-    timestamp, hence its date).
+    timestamp, hence its date).  As in ``new_rows``, the batch's keys are
+    counted (same job as the touched dates) and, below ``broadcast_limit``,
+    broadcast into a semi join against the stored keys, so the stored DLQ is
+    scanned but not shuffled; above it a shuffle anti join is used.
     """
     d = dedupe_dlq(bad)
     if existing is None:
         return d
+    expr = date_expr if date_expr is not None else F.to_date("ts_utc")
+    stats = d.agg(F.count(F.lit(1)).alias("n"), F.collect_set(expr).alias("dates")).collect()[0]
     stored = existing
     if partition_col in existing.columns:
-        expr = date_expr if date_expr is not None else F.to_date("ts_utc")
-        dates = _touched_values(d.select(expr.alias("_p")), "_p")
-        stored = existing.filter(F.col(partition_col).isin(dates))
-    return d.join(stored.select(*DLQ_KEY), DLQ_KEY, "left_anti")
+        stored = existing.filter(F.col(partition_col).isin(list(stats["dates"])))
+    stored = stored.select(*DLQ_KEY)
+    if stats["n"] <= broadcast_limit:
+        hits = stored.join(F.broadcast(d.select(*DLQ_KEY)), DLQ_KEY, "left_semi")
+        return d.join(F.broadcast(hits), DLQ_KEY, "left_anti")
+    return d.join(stored, DLQ_KEY, "left_anti")
 
 
 # ------------------------------------------------------------------ writes
