@@ -232,3 +232,34 @@ def test_dlq_new_rows_skips_stored_keys(spark, limit):
     got = sinks.dlq_new_rows(bad, stored, broadcast_limit=limit)
     assert sorted((r.kafka_partition, r.kafka_offset) for r in got.collect()) == \
         [(p, o) for p in range(2) for o in range(2, 5)]
+
+
+def test_adaptive_buckets_split_a_hot_second(spark):
+    # a third of all rows inside one second: half of them within one
+    # millisecond (split into microseconds), half spread over its
+    # milliseconds (millisecond buckets); lag still exact
+    off = F.when(F.col("event_id") % 2 == 0, (F.col("event_id") % 1000) / 1_000_000) \
+        .otherwise((F.col("event_id") % 1000) / 1_000)
+    ev = fx.read_events(spark, SF_SMALL).withColumn(
+        "ts", F.when(F.col("event_id") % 3 == 0,
+                     F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+                     + F.make_dt_interval(secs=off.cast("decimal(18,6)")))
+        .otherwise(F.col("ts")))
+    base = marts.stg_raw_prices(fx.ticks(ev)).select("commodity", "symbol", "event_ts", "event_id", "price")
+    w = Window.partitionBy("commodity", "symbol").orderBy("event_ts", "event_id")
+    expect = base.select("*", F.lag("price").over(w).alias("prev_price"),
+                         F.lag("event_ts").over(w).alias("prev_event_ts"))
+    old = sequential.HOT_BUCKET_ROWS
+    sequential.HOT_BUCKET_ROWS = 20
+    try:
+        got = sequential.with_lag(base, ["commodity", "symbol"], ["event_ts", "event_id"],
+                                  ["price", "event_ts"], bucket="adaptive")
+        assert _rows(got.select(*expect.columns)) == _rows(expect)
+        b = sequential.add_bucket(base, ["commodity", "symbol"], "event_ts", "adaptive")
+        per = b.groupBy("commodity", "symbol", sequential._B).count()
+        assert per.agg(F.max("count")).collect()[0][0] < 0.05 * base.count()
+        micros = F.unix_micros(F.col(sequential._B).cast("timestamp"))
+        assert b.filter(micros % 1000 != 0).count() > 0          # microsecond buckets
+        assert b.filter((micros % 1000 == 0) & (micros % 1_000_000 != 0)).count() > 0   # millisecond buckets
+    finally:
+        sequential.HOT_BUCKET_ROWS = old

@@ -48,45 +48,75 @@ def add_bucket(df: DataFrame, keys: Sequence[str], order_first: str, bucket=ADAP
     """Attach a bucket column that is monotone in ``order_first``.
 
     ``bucket="adaptive"``: clock hours, except that an hour of one key with
-    more than ``hot_rows`` rows is split into minutes and such a minute into
-    seconds.  Bucket values are the start instants of disjoint time ranges,
-    so they stay ordered.  The hour partitions grow with the time span; the
+    more than ``hot_rows`` rows is split into minutes, such a minute into
+    seconds, such a second into milliseconds and such a millisecond into
+    microseconds (only rows sharing one microsecond stay together).  Bucket
+    values are the start instants of disjoint, nested time ranges, so they
+    stay ordered.  The hour partitions grow with the time span; the
     split keeps a burst (say a third of all rows in one hour) from becoming
     one huge window partition.  Costs one partially aggregated minute-count
     pass (checkpointed hot sets: at most ``rows / hot_rows`` entries, usually
     none) and two broadcast joins against them; if the counted hot sets
-    exceed ``HOT_BROADCAST_LIMIT`` the joins shuffle instead.
+    exceed ``HOT_BROADCAST_LIMIT`` the joins shuffle instead.  The sub-second
+    pass runs only when hot minutes exist.
     """
     if not (isinstance(bucket, str) and bucket == ADAPTIVE):
         return df.withColumn(name, _bucket_expr(bucket, order_first))
     limit = hot_rows if hot_rows is not None else HOT_BUCKET_ROWS
     keys = list(keys)
     t = F.col(order_first)
-    d = (df.withColumn("_bm", F.date_trunc("minute", t).cast("timestamp_ntz"))
-         .withColumn("_bh", F.date_trunc("hour", t).cast("timestamp_ntz")))
-    per_minute = d.groupBy(*keys, "_bm").agg(F.count(F.lit(1)).alias("_n"))
-    hot = (per_minute.filter(F.col("_n") > limit)
-           .select(*keys, F.col("_bm").alias("_bt"), F.lit("m").alias("_lvl"))
-           .unionByName(per_minute.groupBy(*keys, F.date_trunc("hour", "_bm").cast("timestamp_ntz")
-                                           .alias("_bt"))
-                        .agg(F.sum("_n").alias("_n")).filter(F.col("_n") > limit)
-                        .select(*keys, "_bt", F.lit("h").alias("_lvl"))))
-    # the hot sets are materialised in the shared folder and counted, so the
-    # joins below broadcast them only when they are provably small
-    from tickflow.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    hot = hot.checkpoint()
-    hot_hours = hot.filter(F.col("_lvl") == "h").select(*keys, F.col("_bt").alias("_bh"),
-                                                        F.lit(True).alias("_hh"))
-    hot_minutes = hot.filter(F.col("_lvl") == "m").select(*keys, F.col("_bt").alias("_bm"),
-                                                          F.lit(True).alias("_hm"))
-    if hot.count() <= HOT_BROADCAST_LIMIT:
-        hot_hours, hot_minutes = F.broadcast(hot_hours), F.broadcast(hot_minutes)
-    d = d.join(hot_hours, [*keys, "_bh"], "left").join(hot_minutes, [*keys, "_bm"], "left")
-    b = (F.when(F.col("_hm"), F.date_trunc("second", t).cast("timestamp_ntz"))
+    d = (df.withColumn("_bm", _trunc("minute", t)).withColumn("_bh", _trunc("hour", t)))
+    hot = _hot_sets(d, keys, "_bm", "hour", limit)
+    d, hot_minutes = _flag_hot(d, keys, hot, ("_bh", "_hh"), ("_bm", "_hm"))
+    b = (F.when(F.col("_hm"), _trunc("second", t))
          .when(F.col("_hh"), F.col("_bm"))
          .otherwise(F.col("_bh")))
-    return d.withColumn(name, b).drop("_bm", "_bh", "_hm", "_hh")
+    if hot_minutes:
+        # seconds of hot minutes: hot ones are split into milliseconds, hot
+        # milliseconds into microseconds (one more pass over those rows only)
+        d = d.withColumn("_bms", _trunc("millisecond", t)).withColumn("_bs", _trunc("second", t))
+        hot2 = _hot_sets(d.filter(F.col("_hm")), keys, "_bms", "second", limit)
+        d, _ = _flag_hot(d, keys, hot2, ("_bs", "_hs"), ("_bms", "_hms"))
+        b = (F.when(F.col("_hms"), _trunc("microsecond", t))
+             .when(F.col("_hs"), F.col("_bms"))
+             .otherwise(b))
+    return d.withColumn(name, b).drop("_bm", "_bh", "_hm", "_hh", "_bms", "_bs", "_hms", "_hs")
+
+
+def _trunc(unit: str, t: Column) -> Column:
+    return F.date_trunc(unit, t).cast("timestamp_ntz")
+
+
+def _hot_sets(rows: DataFrame, keys: list, fine: str, coarse_unit: str, limit: int) -> DataFrame:
+    """Checkpointed (keys, _bt, _lvl): fine buckets ("f") and their coarse
+    buckets ("c") holding more than ``limit`` rows, from one partially
+    aggregated count per fine bucket."""
+    from tickflow.session import checkpoint_root
+    per = rows.groupBy(*keys, fine).agg(F.count(F.lit(1)).alias("_n"))
+    hot = (per.filter(F.col("_n") > limit)
+           .select(*keys, F.col(fine).alias("_bt"), F.lit("f").alias("_lvl"))
+           .unionByName(per.groupBy(*keys, _trunc(coarse_unit, F.col(fine)).alias("_bt"))
+                        .agg(F.sum("_n").alias("_n")).filter(F.col("_n") > limit)
+                        .select(*keys, "_bt", F.lit("c").alias("_lvl"))))
+    checkpoint_root(rows.sparkSession)
+    return hot.checkpoint()
+
+
+def _flag_hot(d: DataFrame, keys: list, hot: DataFrame, coarse: tuple, fine: tuple):
+    """Left-join the hot flags onto ``d``; returns (d, number of hot fine buckets).
+
+    The hot sets are counted first (read back from the checkpoint) and
+    broadcast only when provably small; above ``HOT_BROADCAST_LIMIT`` the
+    joins shuffle instead.
+    """
+    counts = {r["_lvl"]: r["n"] for r in hot.groupBy("_lvl").agg(F.count(F.lit(1)).alias("n")).collect()}
+    c = hot.filter(F.col("_lvl") == "c").select(*keys, F.col("_bt").alias(coarse[0]),
+                                                  F.lit(True).alias(coarse[1]))
+    f = hot.filter(F.col("_lvl") == "f").select(*keys, F.col("_bt").alias(fine[0]),
+                                                  F.lit(True).alias(fine[1]))
+    if sum(counts.values()) <= HOT_BROADCAST_LIMIT:
+        c, f = F.broadcast(c), F.broadcast(f)
+    return d.join(c, [*keys, coarse[0]], "left").join(f, [*keys, fine[0]], "left"), counts.get("f", 0)
 
 
 def with_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
