@@ -19,6 +19,9 @@ BASE_CONF = {
     # RocksDB rather than on the executor heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # checkpointed intermediates (hot bucket sets, the latest-price recent
+    # branch) are removed from the shared folder once no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
