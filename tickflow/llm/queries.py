@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, quality
+from . import chat, exact_dedup, mixing, packing, quality, url_rules
 from .common import table
 
 
@@ -19,7 +19,28 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_exact_dedup)}
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_plan(table(spark, sf_dir, "documents"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.RULES)
+    base = F.col("rule").isin([r.name for r in url_rules.BASE_RULES])
+    return judged.select("page_id", "host", "path", F.when(base, F.col("rule")).alias("rule"), "verdict",
+                         F.when(~base, F.col("rule")).alias("pattern_rule"))
+
+
+def op10_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_exact_dedup, op6_mixing, op8_packing, op9_url_rules, op10_chat_rotation)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
