@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, packing, quality, url_rules
+from . import chat, exact_dedup, mixing, packing, quality, substrings, url_rules
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -40,7 +44,7 @@ def op10_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_exact_dedup, op6_mixing, op8_packing, op9_url_rules, op10_chat_rotation)}
+    op1_quality_rules, op2_exact_dedup, op6_mixing, op7_substring_dedup, op8_packing, op9_url_rules, op10_chat_rotation)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
