@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, language_model, mixing, packing, quality, substrings, url_rules
+from . import chat, exact_dedup, language_model, mixing, ngram_join, packing, quality, substrings, url_rules
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_exact_dedup, op5_language_model, op6_mixing, op7_substring_dedup, op8_packing, op9_url_rules, op10_chat_rotation)}
+    op1_quality_rules, op2_exact_dedup, op4_ngram_join, op5_language_model, op6_mixing, op7_substring_dedup, op8_packing, op9_url_rules, op10_chat_rotation)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {

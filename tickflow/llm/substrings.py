@@ -7,8 +7,8 @@ smallest (doc_id, position).
 
 1. Minimizers: each window's least 5-word hash.  Equal windows have equal
    minimizers, so windows whose minimizer is found in one document only cannot repeat.
-   Repeated minimizers are counted over all rows and put into a Bloom filter of at
-   most ``MAX_FILTER_WORDS`` 64-bit words (16 MB), which goes to the tasks.
+   Repeated minimizers are counted over all rows and put into a Bloom filter of
+   bounded size (bloom.MAX_WORDS: 16 MB), which goes to the tasks.
 2. Repeated edges: windows that pass the filter are sorted by their 96-bit hash.
    The first row of a run is the edge's first source; every other row in another
    document is a repeat.  A false positive of the filter is a run of one.
@@ -34,20 +34,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.session import ship_package
 
-from .common import materialize
+from .bloom import MAX_WORDS, key_filter, maybe_in
 from .textwindows import WordHashes, hashed, in_chunks, text_numbers, texts_of, window_hashes
 
 WINDOW = 13
 SEED_WORDS = 5
-MAX_FILTER_WORDS = 1 << 21
-BITS_PER_KEY = 12
 LAST = (1 << 63) - 1
-_SHIFTS = (40, 46, 52)
 
 
 def _windows(texts: list[bytes], words: WordHashes, k: int):
@@ -77,33 +74,6 @@ def _minimizers(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([pa.array(m[new].view(np.int64)), pa.array(docs[a + t[new]])], ["m", "doc"])
 
 
-def _filter_word(key: Column, n_words: int) -> Column:
-    return key.bitwiseAND(n_words - 1)
-
-
-def key_filter(keys: DataFrame, max_words: int = MAX_FILTER_WORDS) -> np.ndarray:
-    """A Bloom filter of a column "m" of hashes: at most ``max_words`` 64-bit words come to the driver."""
-    keys = materialize(keys, "filter-keys")
-    need = max(1, keys.count() * BITS_PER_KEY // 64)
-    n_words = min(max_words, 1 << (need - 1).bit_length())
-    mask = F.lit(0).cast("long")
-    for s in _SHIFTS:
-        bit = F.shiftrightunsigned("m", s).bitwiseAND(63).cast("int")
-        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
-    rows = keys.groupBy(_filter_word(F.col("m"), n_words).alias("w")).agg(F.bit_or(mask).alias("bits")).toArrow()
-    out = np.zeros(n_words, np.uint64)
-    out[rows["w"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    return out
-
-
-def maybe_in(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    found = bits[(keys & np.uint64(len(bits) - 1)).astype(np.int64)]
-    out = np.ones(len(keys), bool)
-    for s in _SHIFTS:
-        out &= ((found >> ((keys >> np.uint64(s)) & np.uint64(63))) & np.uint64(1)).astype(bool)
-    return out
-
-
 _EDGES = "hash long, extra int, doc long, textkey int, at int"
 
 
@@ -147,12 +117,12 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["doc", "textkey", "at", "source_doc", "source_at"])
 
 
-def repeated_paths(docs: DataFrame, k: int = WINDOW, max_words: int = MAX_FILTER_WORDS) -> DataFrame:
+def repeated_paths(docs: DataFrame, k: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
     """A row per path: doc, textkey, at, windows, source_doc, source_at. ``docs``: doc (long, not null), text, textkey."""
     spark = docs.sparkSession
     ship_package(spark)
     found = docs.select("doc", "text").mapInArrow(lambda b: _minimizers(b, k), "m long, doc long")
-    again = found.groupBy("m").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select("m")
+    again = found.groupBy("m").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select(F.col("m").alias("key"))
     bits = spark.sparkContext.broadcast(key_filter(again, max_words))
     edges = docs.select("doc", "text", "textkey").mapInArrow(lambda b: _candidate_edges(b, k, bits), _EDGES)
     repeats = (edges.repartition("hash").sortWithinPartitions("hash", "extra", "doc", "textkey", "at")
