@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, language_model, mixing, ngram_join, packing, quality, substrings, url_rules
-from .common import table
+from . import chat, exact_dedup, language_model, mixing, ngram_join, packing, personal_data, quality, substrings, url_rules
+from .common import sha256_hex, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,16 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, personal_data.is_kind(k))).cast("long").alias(f"n_{name}")
+              for k, name in enumerate(personal_data.KINDS)]
+    return found.select("doc_id", *counts, sha256_hex(personal_data.listed(base)).alias("base_sha256"),
+                        personal_data.listed(F.col("spans")).alias("spans"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -52,7 +62,7 @@ def op10_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_exact_dedup, op4_ngram_join, op5_language_model, op6_mixing, op7_substring_dedup, op8_packing, op9_url_rules, op10_chat_rotation)}
+    op1_quality_rules, op2_exact_dedup, op3_personal_data, op4_ngram_join, op5_language_model, op6_mixing, op7_substring_dedup, op8_packing, op9_url_rules, op10_chat_rotation)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
