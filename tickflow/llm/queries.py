@@ -64,14 +64,63 @@ def op10_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_exact_dedup, op3_personal_data, op4_ngram_join, op5_language_model, op6_mixing, op7_substring_dedup, op8_packing, op9_url_rules, op10_chat_rotation)}
 
-#: DuckDB SQL of the queries that SQL can express.
+#: DuckDB SQL of the queries that SQL can express. Hashed n-grams, tokenizers, models and hash orders
+#: (1, 3, 5, 6, 8) are tested against brute force instead.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"[x FOR x IN string_split_regex({}, '[\x20\x09-\x0D]+') IF x <> '']"
+_RULES = ", ".join(f"('{r.name}', '{r.name.partition('/')[0]}', '/{r.name.partition('/')[2]}', '{r.verdict}')" for r in url_rules.BASE_RULES)
+_SPAM = ", ".join(f"('{r.name}', '{r.literals[0]}', '{r.verdict}')" for r in url_rules.SPAM_RULES)
+
 ORACLE_SQL: dict[str, str] = {
-    "op2_exact_dedup": """
-WITH t AS (
-  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
-  FROM documents)
+    "op2_exact_dedup": f"""
+WITH t AS (SELECT doc_id, sha256({_LOWER}) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
        count(*) OVER (PARTITION BY text_sha256) AS group_size,
        row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
 FROM t""",
+    "op4_ngram_join": f"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
+s AS (SELECT r, doc_id, CASE WHEN len(w) >= 5 THEN list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])
+                             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+g AS (SELECT r, len(s) AS n, unnest(s) AS g FROM s),
+l AS (SELECT a.r AS a, b.r AS b FROM g a JOIN g b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r
+      HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+c AS (SELECT r, r AS t FROM s UNION SELECT c.r, l.b FROM c JOIN l ON c.t = l.a),
+m AS (SELECT c.r, min(s.doc_id) AS component_id FROM c JOIN s ON s.r = c.t GROUP BY c.r)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM s JOIN m USING (r)""",
+    "op7_substring_dedup": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+v AS (SELECT r, coalesce(doc_id, 9223372036854775807) AS doc, t.i, w[t.i:t.i + 12] AS g FROM d, unnest(range(1, len(w) - 11)) t(i)),
+f AS (SELECT g, min(doc) AS doc FROM v GROUP BY g),
+h AS (SELECT DISTINCT v.r, v.i + k.k AS p FROM v JOIN f ON v.g = f.g AND f.doc < v.doc, range(13) k(k)),
+k AS (SELECT d.r, t.p, d.w[t.p] AS word FROM d, unnest(range(1, len(w) + 1)) t(p)
+      WHERE NOT EXISTS (FROM h WHERE h.r = d.r AND h.p = t.p)),
+a AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept FROM k GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN a USING (r)""",
+    "op9_url_rules": f"""
+WITH rules(rule, rule_host, rule_path, verdict) AS (VALUES {_RULES}), spam(rule, word, verdict) AS (VALUES {_SPAM}),
+u AS (SELECT row_number() OVER () AS r, page_id,
+             translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+b AS (SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM u JOIN rules
+      ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY r),
+p AS (SELECT r, (arg_max(spam, (length(rule), rule))).rule AS rule, 'block' AS verdict FROM u JOIN spam
+      ON regexp_matches(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(^|[^a-z0-9])' || word || '([^a-z0-9]|$)') GROUP BY r)
+SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict, p.verdict, 'allow') AS verdict,
+       CASE WHEN b.rule IS NULL THEN p.rule END AS pattern_rule
+FROM u LEFT JOIN b USING (r) LEFT JOIN p USING (r)""",
+    "op10_chat_rotation": f"""
+WITH t AS (SELECT DISTINCT conv_id, floor(turn / {chat.SEGMENT})::BIGINT AS segment, turn, coalesce(role, 'unknown') AS role,
+                  replace(coalesce(text, ''), '<|im_', '< |im_') AS said FROM conversations),
+s AS (SELECT DISTINCT conv_id, segment, role AS speaker FROM t WHERE role <> 'system'),
+v AS (SELECT t.*, s.speaker, t.role = s.speaker AS own, '<|im_start|>' || CASE WHEN t.role = s.speaker THEN 'assistant'
+             WHEN t.role = 'system' THEN 'system' ELSE 'user name=' || t.role END || chr(10) AS head, said || '<|im_end|>' AS body
+      FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.segment IS NOT DISTINCT FROM s.segment),
+p AS (SELECT *, sum(length(head) + length(body) + 1) OVER (
+             PARTITION BY conv_id, segment, speaker ORDER BY turn NULLS FIRST, role, said) - length(body) - 1 AS start FROM v)
+SELECT conv_id, segment, 0::BIGINT AS part, speaker, count(*) AS n_turns, count(*) FILTER (own) AS n_targets,
+       string_agg(head || body || chr(10), '' ORDER BY turn NULLS FIRST, role, said) AS text,
+       string_agg(start::BIGINT || ':' || (start + length(body))::BIGINT, ',' ORDER BY turn NULLS FIRST, role, said) FILTER (own) AS targets
+FROM p GROUP BY conv_id, segment, speaker""",
 }
