@@ -22,11 +22,13 @@ API_SERVER_PREFIX = "SERVER_"           # + HTTP status
 API_EXCEPTION = "EXCEPTION"
 API_PAYLOAD_ERROR = "TD_ERROR"
 API_EMPTY_PARSE = "EMPTY_PARSE"
-API_ERROR_MSG_CHARS = 500
 API_BAD_JSON_MSG = "response body is not valid JSON"
+API_NO_ANSWER_MSG = "no response"
+# The source name of alert events.
+ALERT_SOURCE = "grafana"
 # ---------------------------------------------------------------------------
 
-# Wire schema of one price event: declared, never inferred.
+# The wire schema of one price event, declared, never inferred.
 EVENT_SCHEMA = T.StructType([
     T.StructField("schema_version", T.IntegerType()),
     T.StructField("event_id", T.StringType()),
@@ -142,26 +144,28 @@ def classify_api_calls(calls: DataFrame) -> DataFrame:
     """One monitoring row per API call (P17): ok flag, error_type, error_msg.
 
     429 and 5xx are logged with their status; any other failure before a
-    parsed body (other 4xx, a body that is not JSON) is an EXCEPTION with no
-    status; a payload-level error is TD_ERROR; a parsed body without a usable
+    parsed body (no status as after a timeout, other 4xx, no body or one that is
+    not JSON) is an EXCEPTION with no status; a payload-level error is TD_ERROR; a parsed body without a usable
     price is EMPTY_PARSE.
     """
     st = F.col("http_status")
     td_error = F.coalesce(F.get_json_object("body", "$.status") == "error", F.lit(False))
     is_json = F.get_json_object("body", "$").isNotNull()
     n_prices = F.size(parsed_prices(F.col("body"), F.col("symbols")))
-    logged_with_status = (st == 429) | st.between(500, 599)
-    exception = (~logged_with_status & (st >= 400)) | (~logged_with_status & ~is_json)
+    logged_with_status = F.coalesce((st == 429) | st.between(500, 599), F.lit(False))
+    answered = F.coalesce(st < 400, F.lit(False))
+    exception = ~logged_with_status & ~(answered & is_json)
     etype = (F.when(st == 429, API_RATE_LIMIT)
              .when(st.between(500, 599), F.concat(F.lit(API_SERVER_PREFIX), st.cast("string")))
              .when(exception, API_EXCEPTION)
              .when(td_error, API_PAYLOAD_ERROR)
              .when(n_prices == 0, API_EMPTY_PARSE))
     msg = (F.when(logged_with_status, F.lit(None))
+           .when(st.isNull(), F.lit(API_NO_ANSWER_MSG))
            .when(st >= 400, F.concat(F.lit("HTTP "), st.cast("string")))
            .when(~is_json, F.lit(API_BAD_JSON_MSG))
            .when(td_error, F.get_json_object("body", "$.message"))
-           .when(n_prices == 0, F.substring(F.col("body"), 1, API_ERROR_MSG_CHARS)))
+           .when(n_prices == 0, F.col("body")))
     return calls.select(
         "call_id", "ts_utc", "symbols",
         F.when(exception, F.lit(None)).otherwise(st).cast("int").alias("http_status"),
@@ -178,7 +182,6 @@ _ALERT_TOP = T.StructType([
     T.StructField("orgId", T.IntegerType()),
     T.StructField("panelId", T.IntegerType()),
     T.StructField("state", T.StringType()),
-    T.StructField("alerts", T.ArrayType(T.StringType())),
 ])
 _ALERT = T.StructType([
     T.StructField("status", T.StringType()),
@@ -193,21 +196,32 @@ _ALERT = T.StructType([
 ])
 
 
-def flatten_alerts(payloads: DataFrame, body_col: str = "body", source: str = "alerting") -> DataFrame:
+def _is_object(body: Column) -> Column:
+    """Whether a text is one JSON object and nothing more.
+
+    The parser ignores what follows a value, so the text must also parse as the
+    only element of an array and as the only value of an object.
+    """
+    alone = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))), "$", "array<variant>")
+    inside = F.try_parse_json(F.concat(F.lit('{"body":'), body, F.lit("}")))
+    is_object = (F.size(alone) == 1) & F.schema_of_variant(F.get(alone, 0)).startswith("OBJECT") & inside.isNotNull()
+    return F.coalesce(is_object, F.lit(False))
+
+
+def flatten_alerts(payloads: DataFrame, body_col: str = "body", source: str = ALERT_SOURCE) -> DataFrame:
     """One row per alert object of each webhook payload (L3).
 
-    Bodies that are not JSON objects are rejected.  ``alerts`` is read as
-    ``array<string>`` so one non-object element cannot null the whole array;
-    only object elements are kept, and a payload without any yields a single
-    row with NULL alert fields.  Integer ids that are not JSON integers
+    Bodies that are not one JSON object are rejected, with any JSON white space
+    around it allowed and nothing else.  ``alerts`` is read as an array of
+    variants so one odd element cannot null the whole array; only objects are
+    kept (a string that looks like one is not), and a payload without any yields
+    a single row with NULL alert fields.  Integer ids that are not JSON integers
     become NULL.
     """
     b = F.col(body_col)
-    is_obj = F.coalesce(F.get_json_object(b, "$").isNotNull() & F.trim(b).startswith("{"),
-                        F.lit(False))
-    p = payloads.filter(is_obj).withColumn("_p", F.from_json(b, _ALERT_TOP))
-    objs = F.filter(F.coalesce(F.col("_p.alerts"), F.array().cast("array<string>")),
-                    lambda e: F.ltrim(e).startswith("{"))
+    p = payloads.filter(_is_object(b)).withColumn("_p", F.from_json(b, _ALERT_TOP))
+    items = F.try_variant_get(F.try_parse_json(b), "$.alerts", "array<variant>")
+    objs = F.transform(F.filter(items, lambda e: F.schema_of_variant(e).startswith("OBJECT")), lambda e: F.to_json(e))
     x = p.select("*", F.explode_outer(objs).alias("_a_txt"))
     x = x.withColumn("_a", F.from_json("_a_txt", _ALERT))
     # JSON paths are case-sensitive; struct field resolution is not.

@@ -169,9 +169,14 @@ def exact_avg(col: str) -> Column:
 
     A double sum changes in its last bits with the summation order (i.e. with
     the partitioning), which flips 6-decimal rounding on exact ties; prices
-    carry few decimals, so a decimal(38,12) sum is exact and order-free.
+    carry few decimals, so a decimal(38,12) sum is exact and order-free.  A group
+    with a value that such a decimal cannot hold or would cut to nothing (NaN,
+    infinities, magnitudes from 1e15 or below 1e-6) takes the plain average.
     """
-    return F.sum(F.col(col).cast("decimal(38,12)")).cast("double") / F.count(col)
+    x = F.col(col)
+    odd = F.coalesce(F.isnan(x) | (F.abs(x) >= 1e15) | ((x != 0) & (F.abs(x) < 1e-6)), F.lit(False))
+    exact = F.sum(F.when(~odd, x).cast("decimal(38,12)")).cast("double") / F.count(col)
+    return F.when(F.max(odd), F.avg(x)).otherwise(exact)
 
 
 def price_volatility_1h(stg: DataFrame, as_of, since=None) -> DataFrame:

@@ -19,25 +19,13 @@ EMPTY_FRESHNESS = 999999
 
 # ------------------------------------------------------------------ pipeline health
 
-def recent_partitions(df: DataFrame, as_of, days: int | None, date_col: str) -> DataFrame:
-    """Restrict a date-partitioned table to ``date_col >= date(as_of) - days``.
-
-    Metrics over the last minutes of *ingest* time only need recent *event*
-    dates (ingest delay is bounded by the 24 h staging check), so the scan is
-    pruned to a couple of partitions instead of the whole history.
-    """
-    if days is None or date_col not in df.columns:
-        return df
-    return df.filter(F.col(date_col) >= F.date_sub(F.to_date(ts_lit(as_of)), days))
-
-
-def pipeline_metrics(raw: DataFrame, as_of, prune_days: int | None = None) -> DataFrame:
+def pipeline_metrics(raw: DataFrame, as_of) -> DataFrame:
     """One row: seconds since last ingest, rows in the last 6 min, BTC rows in 20 min (A5).
 
-    ``prune_days`` bounds the scan to recent ``event_date`` partitions.
+    The windows are on ingest time and late events have old event dates, so no
+    event-date partition can be left out; the scan reads two columns.
     """
     a = ts_lit(as_of)
-    raw = recent_partitions(raw, as_of, prune_days, "event_date")
     return raw.agg(
         round_seconds(a, F.max("ingest_ts")).alias("time_since_last_ingest_seconds"),
         F.count_if(F.col("ingest_ts") >= minus(as_of, "6 minutes")).alias("events_last_6m"),
@@ -165,8 +153,8 @@ def dlq_rate(validated: DataFrame, as_of, days: int = 7) -> DataFrame:
 # ------------------------------------------------------------------ freshness, summaries
 
 def freshness_seconds(df: DataFrame, col: str, as_of, empty: int = EMPTY_FRESHNESS) -> DataFrame:
-    """Whole seconds since max(col); ``empty`` when there is no row."""
-    return df.agg(F.coalesce(F.floor(seconds_between(ts_lit(as_of), F.max(col))).cast("bigint"),
+    """Seconds since max(col), rounded to whole ones; ``empty`` when there is no row."""
+    return df.agg(F.coalesce(F.round(seconds_between(ts_lit(as_of), F.max(col))).cast("bigint"),
                              F.lit(empty).cast("bigint")).alias("seconds"))
 
 
@@ -226,14 +214,9 @@ def _one(df: DataFrame, metric: str, value_col: str) -> DataFrame:
 
 def metric_snapshot(as_of, raw: DataFrame, calls: DataFrame, dlq: DataFrame, lag_log: DataFrame,
                     runs: DataFrame, backups: DataFrame, latest: DataFrame,
-                    group_id: str, topic: str, prune_days: int | None = None) -> DataFrame:
-    """Long (metric, value) frame of every rule's scalar query at ``as_of``.
-
-    With ``prune_days`` the fact table and the DLQ are read from recent date
-    partitions only (every rule looks back minutes, not days).
-    """
-    dlq = recent_partitions(dlq, as_of, prune_days, "dlq_date")
-    pm = pipeline_metrics(raw, as_of, prune_days).select(
+                    group_id: str, topic: str) -> DataFrame:
+    """Long (metric, value) frame of every rule's scalar query at ``as_of``."""
+    pm = pipeline_metrics(raw, as_of).select(
         F.coalesce(F.col("time_since_last_ingest_seconds"), F.lit(EMPTY_FRESHNESS))
         .alias("time_since_last_ingest_seconds"),
         F.coalesce(F.col("btc_events_last_20m"), F.lit(0)).alias("btc_events_last_20m"))

@@ -42,7 +42,7 @@ def price_jumps(minute: DataFrame, bucket="adaptive") -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
-    kind: str            # not_null | unique | accepted_values | expression
+    kind: str            # not_null | unique | accepted_values | expression | price_jump
     columns: tuple = ()  # one column, or the key columns of a uniqueness check
     values: tuple = ()   # accepted values
     expr: str = ""       # SQL boolean expression; NULL result passes
@@ -84,12 +84,16 @@ def _row_failure(c: Check) -> Column:
 
 
 def duplicates(df: DataFrame, keys) -> DataFrame:
-    """Key values occurring more than once; rows with a NULL key are ignored."""
+    """Key values occurring more than once, one row each.
+
+    Of a single column NULL is no value; a combination of columns is grouped with its
+    NULLs.  The grouped table has the key columns only, so nothing else is shuffled.
+    """
     keys = list(keys)
-    nn = df
-    for k in keys:
-        nn = nn.filter(F.col(k).isNotNull())
-    return nn.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    rows = df.select(*keys)
+    if len(keys) == 1:
+        rows = rows.filter(F.col(keys[0]).isNotNull())
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
 def _rows(table: str, names: list[str], agg: DataFrame, cols: list[str]) -> DataFrame:
@@ -102,36 +106,28 @@ def _rows(table: str, names: list[str], agg: DataFrame, cols: list[str]) -> Data
 def run_checks(tables: dict[str, DataFrame], specs: dict[str, list[Check]]) -> DataFrame:
     """All checks -> (table_name, check_name, failures, status) (Q7).
 
-    Per table, one pass: with a single uniqueness check, the row-level checks
-    are counted per key group inside the same grouped aggregate (partial
-    aggregation before the key shuffle) and summed; otherwise the row-level
-    checks share one global aggregate and each uniqueness check is its own
-    grouped count.
+    Per table all row-level checks share one global aggregate, of which each
+    task forwards one row; a uniqueness check counts its duplicated keys, and
+    only the key columns go through its shuffle.  The price-jump test counts the
+    jumps of the minute mart.
     """
     parts = []
     for table, checks in specs.items():
         df = tables[table]
-        row_checks = [c for c in checks if c.kind != "unique"]
+        row_checks = [c for c in checks if c.kind not in ("unique", "price_jump")]
         uniq = [c for c in checks if c.kind == "unique"]
+        jumps = [c for c in checks if c.kind == "price_jump"]
         names = [c.name for c in row_checks]
         cols = [f"c{i}" for i in range(len(row_checks))]
-        if len(uniq) == 1:
-            keys = list(uniq[0].columns)
-            g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                      *[_row_failure(c).alias(k) for c, k in zip(row_checks, cols)])
-            key_ok = F.lit(True)
-            for k in keys:
-                key_ok = key_ok & F.col(k).isNotNull()
-            tot = g.agg(*[F.sum(k).alias(k) for k in cols],
-                        F.sum(F.when(key_ok & (F.col("_n") > 1), F.col("_n"))).alias("_dup"))
-            parts.append(_rows(table, names + [uniq[0].name], tot, cols + ["_dup"]))
-            continue
         if row_checks:
             agg = df.agg(*[_row_failure(c).alias(k) for c, k in zip(row_checks, cols)])
             parts.append(_rows(table, names, agg, cols))
         for c in uniq:
             dup = duplicates(df, c.columns)
-            parts.append(_rows(table, [c.name], dup.agg(F.sum("n").alias("_dup")), ["_dup"]))
+            parts.append(_rows(table, [c.name], dup.agg(F.count(F.lit(1)).alias("_dup")), ["_dup"]))
+        for c in jumps:
+            found = price_jumps(df).agg(F.count(F.lit(1)).alias("_jumps"))
+            parts.append(_rows(table, [c.name], found, ["_jumps"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -168,6 +164,7 @@ def default_specs() -> dict[str, list[Check]]:
             not_null("commodity"), accepted("commodity", COMMODITIES),
             not_null("symbol"), not_null("minute_bucket"), not_null("last_price"),
             not_null("n"), not_null("min_price"), not_null("max_price"),
+            Check("price_jump", ("last_price",)),
         ],
         "mart_price_events": [
             unique("commodity", "symbol", "event_ts"),

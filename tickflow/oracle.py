@@ -40,8 +40,7 @@ spiked AS (
 
 STALE = """
 stale AS (
-  SELECT * FROM ticks
-  WHERE symbol <> 'WTI/USD' OR event_ts < TIMESTAMP '2024-01-28 00:00:00'
+  SELECT * REPLACE (CASE WHEN symbol = 'WTI/USD' THEN event_ts - INTERVAL 3 DAY ELSE event_ts END AS event_ts) FROM ticks
 )
 """
 
@@ -58,7 +57,7 @@ FROM ticks
 
 def _dr(x: str, k: int) -> str:
     """Half-up rounding of the decimal value (matches tickflow.functions.numeric.dround)."""
-    return f"CAST(round(CAST({x} AS DECIMAL(38, 10)), {k}) AS DOUBLE)"
+    return f"coalesce(CAST(round(TRY_CAST({x} AS DECIMAL(38, 10)), {k}) AS DOUBLE), {x})"
 
 
 VOLATILITY_BODY = f"""
@@ -73,7 +72,8 @@ SELECT commodity, symbol, hour_bucket,
 FROM (
   SELECT commodity, symbol, date_trunc('hour', event_ts) AS hour_bucket,
          count(*) AS observations_count,
-         CAST(sum(CAST(price AS DECIMAL(38, 12))) AS DOUBLE) / count(*) AS avg_price,
+         CASE WHEN bool_or(abs(price) >= 1e15 OR (price <> 0 AND abs(price) < 1e-6)) THEN avg(price)
+              ELSE CAST(sum(TRY_CAST(price AS DECIMAL(38, 12))) AS DOUBLE) / count(*) END AS avg_price,
          min(price) AS min_price, max(price) AS max_price,
          stddev_samp(price) AS price_stddev
   FROM ticks
@@ -82,6 +82,13 @@ FROM (
 WHERE hour_bucket < date_trunc('hour', (SELECT t FROM as_of))
 """
 PRICE_VOLATILITY_1H = q(VOLATILITY_BODY)
+PRICE_VOLATILITY_EXTREME = q(VOLATILITY_BODY.replace("FROM ticks", "FROM extreme"), """
+extreme AS (
+  SELECT * REPLACE (CASE WHEN eid % 7 = 0 THEN 'X' || eid ELSE symbol END AS symbol,
+                    CASE WHEN eid % 7 <> 0 THEN price WHEN eid % 4 = 0 THEN 1e30 WHEN eid % 4 = 1 THEN 3e-13
+                         WHEN eid % 4 = 2 THEN -1e30 ELSE 4.5e17 END AS price) FROM ticks
+)
+""")
 
 MINUTE_BODY = """
 SELECT commodity, symbol, date_trunc('minute', event_ts) AS minute_bucket,
@@ -100,57 +107,41 @@ QUALIFY row_number() OVER (PARTITION BY commodity, symbol
 """
 LATEST_PRICES = q(LATEST_BODY, STALE)
 
-EVENTS_BODY = """
-SELECT commodity, symbol, prev_event_ts, event_ts,
-       CAST(round(date_diff('microsecond', prev_event_ts, event_ts) / 1e6) AS INTEGER) AS time_gap_seconds,
-       price AS current_price, prev_price,
-       CAST(round(CAST(pct_change * 100 AS DECIMAL(38, 10)), 4) AS DOUBLE) AS price_change_pct,
-       event_type
+# Least absolute change of each class of move, and the largest minute-to-minute change, by symbol.
+MOVE_CLASSES = """(VALUES
+  ('BTC/USD', 0.003, 'MEDIUM_MOVE'), ('BTC/USD', 0.007, 'LARGE_MOVE'), ('BTC/USD', 0.015, 'EXTREME_MOVE'),
+  ('XAU/USD', 0.0015, 'MEDIUM_MOVE'), ('XAU/USD', 0.003, 'LARGE_MOVE'), ('XAU/USD', 0.006, 'EXTREME_MOVE'),
+  ('EUR/USD', 0.0006, 'MEDIUM_MOVE'), ('EUR/USD', 0.0012, 'LARGE_MOVE'), ('EUR/USD', 0.0025, 'EXTREME_MOVE')
+) classes(symbol, least, class)"""
+JUMP_LIMITS = "(VALUES ('EUR/USD', 0.05), ('XAU/USD', 0.10), ('BTC/USD', 0.30)) limits(symbol, most)"
+
+# every pair of neighbouring ticks meets the classes it reaches; the highest one counts
+EVENTS_BODY = f"""
+SELECT p.commodity, p.symbol, p.before.event_ts AS prev_event_ts, p.event_ts,
+       CAST(round(date_diff('microsecond', p.before.event_ts, p.event_ts) / 1e6) AS INTEGER) AS time_gap_seconds,
+       p.price AS current_price, p.before.price AS prev_price,
+       {_dr("any_value(p.change) * 100", 4)} AS price_change_pct,
+       arg_max(class, least) AS event_type
 FROM (
-  SELECT *,
-    CASE
-      WHEN symbol = 'BTC/USD' AND abs(pct_change) >= 0.015 THEN 'EXTREME_MOVE'
-      WHEN symbol = 'BTC/USD' AND abs(pct_change) >= 0.007 THEN 'LARGE_MOVE'
-      WHEN symbol = 'BTC/USD' AND abs(pct_change) >= 0.003 THEN 'MEDIUM_MOVE'
-      WHEN symbol = 'XAU/USD' AND abs(pct_change) >= 0.006 THEN 'EXTREME_MOVE'
-      WHEN symbol = 'XAU/USD' AND abs(pct_change) >= 0.003 THEN 'LARGE_MOVE'
-      WHEN symbol = 'XAU/USD' AND abs(pct_change) >= 0.0015 THEN 'MEDIUM_MOVE'
-      WHEN symbol = 'EUR/USD' AND abs(pct_change) >= 0.0025 THEN 'EXTREME_MOVE'
-      WHEN symbol = 'EUR/USD' AND abs(pct_change) >= 0.0012 THEN 'LARGE_MOVE'
-      WHEN symbol = 'EUR/USD' AND abs(pct_change) >= 0.0006 THEN 'MEDIUM_MOVE'
-      ELSE 'NORMAL' END AS event_type
-  FROM (
-    SELECT *, CASE WHEN prev_price IS NOT NULL AND prev_price <> 0
-                   THEN (price - prev_price) / prev_price END AS pct_change
-    FROM (
-      SELECT commodity, symbol, event_ts, price,
-             lag(price) OVER w AS prev_price, lag(event_ts) OVER w AS prev_event_ts
-      FROM {src}
-      WINDOW w AS (PARTITION BY commodity, symbol ORDER BY event_ts, event_id)
-    ) b
-  ) c
-  WHERE prev_price IS NOT NULL AND event_ts - prev_event_ts < INTERVAL 30 MINUTE
-) d
-WHERE event_type <> 'NORMAL'
+  SELECT *, (price - before.price) / nullif(before.price, 0) AS change
+  FROM (SELECT *, lag({{{{'event_ts': event_ts, 'price': price}}}}) OVER (
+                 PARTITION BY commodity, symbol ORDER BY event_ts, event_id) AS before FROM {{src}}) t
+) p JOIN {MOVE_CLASSES} ON classes.symbol = p.symbol AND abs(p.change) >= CAST(classes.least AS DOUBLE)
+WHERE p.event_ts - p.before.event_ts < INTERVAL 30 MINUTE
+GROUP BY p.commodity, p.symbol, p.event_ts, p.event_id, p.price, p.before
 """
 PRICE_EVENTS = q(EVENTS_BODY.format(src="ticks"))
 
-PRICE_JUMPS = q("""
-SELECT commodity, symbol, minute_bucket, last_price, prev_price, pct_change
-FROM (
-  SELECT *, CASE WHEN prev_price IS NULL OR prev_price = 0 THEN NULL
-                 ELSE abs(last_price - prev_price) / prev_price END AS pct_change
-  FROM (
-    SELECT commodity, symbol, minute_bucket, last_price,
-           lag(last_price) OVER (PARTITION BY commodity, symbol ORDER BY minute_bucket) AS prev_price
-    FROM (""" + MINUTE_BODY.format(src="spiked") + """) m
-  ) x
-) y
-WHERE pct_change IS NOT NULL AND (
-     (symbol = 'EUR/USD' AND pct_change > 0.05)
-  OR (symbol = 'XAU/USD' AND pct_change > 0.10)
-  OR (symbol = 'BTC/USD' AND pct_change > 0.30))
-""", SPIKED)
+# each minute meets the newest one before it
+JUMPS_BODY = f"""
+SELECT m.commodity, m.symbol, m.minute_bucket, m.last_price, b.last_price AS prev_price,
+       abs(m.last_price - b.last_price) / b.last_price AS pct_change
+FROM {{minutes}} m ASOF JOIN {{minutes}} b
+     ON m.commodity = b.commodity AND m.symbol = b.symbol AND m.minute_bucket > b.minute_bucket
+JOIN {JUMP_LIMITS} ON limits.symbol = m.symbol
+WHERE b.last_price <> 0 AND abs(m.last_price - b.last_price) / b.last_price > CAST(most AS DOUBLE)
+"""
+PRICE_JUMPS = q(JUMPS_BODY.format(minutes="minutes"), SPIKED, "minutes AS (" + MINUTE_BODY.format(src="spiked") + ")")
 
 
 # ---------------------------------------------------------------- ingest side
@@ -330,10 +321,10 @@ api_raw AS (
          CASE WHEN w IN (2, 3, 6) THEN 'BTC/USD,XAU/USD,EUR/USD'
               WHEN w IN (7, 8) THEN 'BTC/USD,XAU/USD'
               WHEN w = 9 THEN 'BTC/USD' ELSE symbol END AS symbols,
-         CAST(CASE WHEN eid % 20 = 7 THEN 429 WHEN eid % 20 = 13 THEN 503 ELSE 200 END AS INTEGER)
+         CAST(CASE WHEN eid % 60 IN (19, 39) THEN NULL WHEN eid % 20 = 7 THEN 429 WHEN eid % 20 = 13 THEN 503 ELSE 200 END AS INTEGER)
            AS http_status,
          CAST(floor(value * 10) AS INTEGER) AS latency_ms,
-         CASE WHEN eid % 20 = 17 THEN '<html>504 gateway timeout</html>' ELSE CASE w
+         CASE WHEN eid % 60 = 19 THEN NULL WHEN eid % 60 = 39 THEN '' WHEN eid % 20 = 17 THEN '<html>504 gateway timeout</html>' ELSE CASE w
            WHEN 0 THEN '{"symbol":"' || symbol || '","price":"' || p || '"}'
            WHEN 1 THEN '{"price":"' || p || '"}'
            WHEN 2 THEN '{"BTC/USD":{"price":"' || p || '"},"XAU/USD":{"price":"' || p2
@@ -380,10 +371,11 @@ SELECT call_id, ts_utc, symbols,
        CASE WHEN exception THEN NULL ELSE http_status END AS http_status,
        latency_ms, error_type IS NULL AS ok, error_type,
        CASE WHEN http_status = 429 OR http_status BETWEEN 500 AND 599 THEN NULL
+            WHEN http_status IS NULL THEN 'no response'
             WHEN http_status >= 400 THEN 'HTTP ' || http_status
             WHEN NOT is_json THEN 'response body is not valid JSON'
             WHEN td_error THEN json_extract_string(jbody, '$.message')
-            WHEN len(prices) = 0 THEN substring(body, 1, 500) END AS error_msg
+            WHEN len(prices) = 0 THEN body END AS error_msg
 FROM (
   SELECT *,
          CASE WHEN http_status = 429 THEN 'RATE_LIMIT_429'
@@ -393,11 +385,11 @@ FROM (
               WHEN len(prices) = 0 THEN 'EMPTY_PARSE' END AS error_type
   FROM (
     SELECT r.*, a.prices, a.jbody, td_error, is_json,
-           NOT (r.http_status = 429 OR r.http_status BETWEEN 500 AND 599)
-             AND (r.http_status >= 400 OR NOT is_json) AS exception
+           r.http_status IS NULL OR (r.http_status < 400 AND NOT is_json)
+             OR (r.http_status BETWEEN 400 AND 499 AND r.http_status <> 429) OR r.http_status > 599 AS exception
     FROM (SELECT *, coalesce(json_extract_string(CASE WHEN json_valid(body) THEN body END, '$.status')
                               = 'error', FALSE) AS td_error,
-                 json_valid(body) AS is_json
+                 coalesce(json_valid(body), FALSE) AS is_json
           FROM api_raw) r
     JOIN api_parsed a USING (call_id)
   ) x
@@ -493,7 +485,7 @@ lag_log AS (
   SELECT CASE WHEN user_id % 3 = 0 THEN 'other_group' ELSE 'tick_ingest' END AS group_id,
          'prices' AS topic, ts AS ts_utc, CAST(user_id % 600 AS BIGINT) AS total_lag,
          CAST(user_id % 200 AS BIGINT) AS max_partition_lag
-  FROM events WHERE event_type = 'error'
+  FROM events
 )
 """
 
@@ -534,7 +526,7 @@ LATEST_TICKS = "latest AS (" + LATEST_BODY.replace("FROM stale", "FROM ticks") +
 
 
 def fresh(col: str, table: str, where: str = "") -> str:
-    return (f"SELECT coalesce(CAST(floor({SECS.format(a='(SELECT t FROM as_of)', b=f'max({col})')})"
+    return (f"SELECT coalesce(CAST(round({SECS.format(a='(SELECT t FROM as_of)', b=f'max({col})')})"
             f" AS BIGINT), 999999) AS seconds FROM {table} {where}")
 
 
@@ -556,28 +548,44 @@ SELECT count(*) AS total_rows, max(event_ts) AS newest_event, max(ingest_ts) AS
 """)
 
 
-def _check_sql(table: str, check) -> str:
-    name = check.name.replace("'", "''")
-    if check.kind == "unique":
-        nn = " AND ".join(f"{c} IS NOT NULL" for c in check.columns)
-        keys = ", ".join(check.columns)
-        return (f"SELECT '{table}' AS table_name, '{name}' AS check_name, "
-                f"CAST(coalesce(sum(n), 0) AS BIGINT) AS failures FROM "
-                f"(SELECT count(*) AS n FROM {table} WHERE {nn} GROUP BY {keys} HAVING count(*) > 1) d")
-    if check.kind == "not_null":
-        cond = f"{check.columns[0]} IS NULL"
-    elif check.kind == "accepted_values":
-        vals = ", ".join(f"'{v}'" for v in check.values)
-        cond = f"{check.columns[0]} IS NOT NULL AND {check.columns[0]} NOT IN ({vals})"
-    else:
-        cond = f"NOT ({check.expr})"
-    return (f"SELECT '{table}' AS table_name, '{name}' AS check_name, "
-            f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS failures FROM {table}")
+# The checks of each table, written out by hand: columns without NULL, keys, accepted values, expressions.
+QUALITY_TABLES = {
+    "stg_raw_prices": (
+        "event_id commodity symbol price currency event_ts ingest_ts source", "event_id",
+        ["event_ts <= ingest_ts + INTERVAL 1 MINUTE", "event_ts >= ingest_ts - INTERVAL 24 HOURS"],
+        {"commodity": "'gold', 'bitcoin', 'eurusd'", "currency": "'USD'"}),
+    "mart_latest_prices": (
+        "commodity symbol last_timestamp last_price currency source", "commodity symbol",
+        ["last_price > 0"], {"commodity": "'gold', 'bitcoin', 'eurusd'", "currency": "'USD'"}),
+    "mart_minute_last_price": (
+        "commodity symbol minute_bucket last_price n min_price max_price", "commodity symbol minute_bucket",
+        ["min_price <= max_price", "last_price > 0", "min_price > 0", "max_price > 0", "n >= 1"],
+        {"commodity": "'gold', 'bitcoin', 'eurusd'"}),
+    "mart_price_events": (
+        "commodity symbol prev_event_ts event_ts time_gap_seconds current_price prev_price price_change_pct event_type",
+        "commodity symbol event_ts", ["price_change_pct is not null"],
+        {"commodity": "'gold', 'bitcoin', 'eurusd'", "event_type": "'MEDIUM_MOVE', 'LARGE_MOVE', 'EXTREME_MOVE'"}),
+    "mart_price_volatility_1h": (
+        "commodity symbol hour_bucket observations_count avg_price min_price max_price price_stddev price_range range_pct",
+        "commodity symbol hour_bucket", ["observations_count >= 1", "min_price <= max_price"],
+        {"commodity": "'gold', 'bitcoin', 'eurusd'"}),
+}
 
 
 def _quality_sql() -> str:
-    from tickflow.operators.quality import default_specs
-    parts = [_check_sql(t, c) for t, cs in default_specs().items() for c in cs]
+    parts = []
+    for table, (filled, key, holds, accepted) in QUALITY_TABLES.items():
+        names, keys = filled.split(), key.split()
+        found = [(f"not_null:{c}", f"count(*) FILTER (WHERE {c} IS NULL)") for c in names]
+        found += [(f"accepted_values:{c}", f"count(*) FILTER (WHERE {c} NOT IN ({v}))") for c, v in accepted.items()]
+        found += [(f"expression_is_true:{e}", f"count(*) FILTER (WHERE NOT ({e}))") for e in holds]
+        single = f"WHERE {keys[0]} IS NOT NULL " if len(keys) == 1 else ""
+        found.append((f"unique:{'+'.join(keys)}", f"(SELECT count(*) FROM (SELECT {', '.join(keys)} FROM {table} {single}"
+                                                   f"GROUP BY ALL HAVING count(*) > 1) d)"))
+        parts += [f"SELECT '{table}' AS table_name, '{n}' AS check_name, CAST({sql} AS BIGINT) AS failures FROM {table}" if "FILTER" in sql
+                  else f"SELECT '{table}', '{n}', CAST({sql} AS BIGINT)" for n, sql in found]
+    jumps = JUMPS_BODY.format(minutes="mart_minute_last_price")
+    parts.append(f"SELECT 'mart_minute_last_price', 'price_jump:last_price', count(*) FROM ({jumps}) j")
     body = ("SELECT table_name, check_name, failures, "
             "CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (\n"
             + "\nUNION ALL\n".join(parts) + "\n) x")
@@ -694,7 +702,7 @@ samples AS (
 """)
 
 ALERT_PAYLOADS = q("""
-SELECT payload_id, received_ts, 'alerting' AS source,
+SELECT payload_id, received_ts, 'grafana' AS source,
        json_extract_string(alert, '$.labels.severity') AS severity,
        coalesce(json_extract_string(alert, '$.fingerprint'), json_extract_string(alert, '$.ruleUid'),
                 json_extract_string(alert, '$.uid')) AS alert_uid,
@@ -723,7 +731,7 @@ FROM (
 """, """
 payloads AS (
   SELECT event_id AS payload_id, ts AS received_ts,
-    CASE event_id % 10
+    CASE event_id % 14
       WHEN 0 THEN '{"orgId":1,"dashboardUID":"dash-' || (event_id % 5) || '","panelId":' || (event_id % 7)
         || ',"state":"alerting","alerts":[{"status":"firing","fingerprint":"fp' || event_id
         || '","labels":{"severity":"critical"},"annotations":{"summary":"Lag ' || user_id
@@ -741,8 +749,12 @@ payloads AS (
       WHEN 6 THEN '{"orgId":2,"alerts":[],"state":"alerting"}'
       WHEN 7 THEN '{"alerts":[null,5]}'
       WHEN 8 THEN '["not","an","object"]'
+      WHEN 10 THEN chr(10) || chr(9) || ' {"orgId":3,"alerts":[{"state":"ok","uid":"w' || event_id || '"}]}' || chr(13) || chr(10)
+      WHEN 11 THEN '{"orgId":4,"state":"ok"} and more'
+      WHEN 12 THEN '{"orgId":5,"alerts":["{\\"state\\":\\"ok\\"}",{"state":"firing","uid":"s"}]}'
+      WHEN 13 THEN '{"orgId":6,"state":"ok"},{"orgId":7}'
       ELSE '{"orgId":1,"alerts":[' END AS body
-  FROM events WHERE event_type = 'error'
+  FROM events
 )
 """)
 
@@ -800,7 +812,7 @@ FROM ticks WHERE commodity = 'bitcoin' ORDER BY event_ts DESC, event_id DESC LIM
 
 STREAMING_HOURLY = q(VOLATILITY_BODY.replace(
     "WHERE hour_bucket < date_trunc('hour', (SELECT t FROM as_of))",
-    "WHERE hour_bucket + INTERVAL 1 HOUR <= (SELECT max(event_ts) FROM ticks) - INTERVAL 10 MINUTE"))
+    "WHERE hour_bucket + INTERVAL 1 HOUR <= (SELECT max(event_ts) FROM ticks) - INTERVAL 2 HOUR"))
 
 STREAMING_DEDUP = STG_TICKS
 
@@ -901,6 +913,8 @@ def all_sql() -> dict[str, str]:
     return {
         "stg_ticks": STG_TICKS,
         "price_volatility_1h": PRICE_VOLATILITY_1H,
+        "price_volatility_extreme": PRICE_VOLATILITY_EXTREME,
+        "health_metrics_late": HEALTH_METRICS,
         "minute_last_price": MINUTE_LAST_PRICE,
         "latest_prices": LATEST_PRICES,
         "latest_prices_single_pass": LATEST_PRICES,

@@ -54,6 +54,11 @@ def q_price_volatility_1h(spark, sf_dir):
     return marts.price_volatility_1h(_stg(spark, sf_dir), _as_of(spark, sf_dir))
 
 
+def q_price_volatility_extreme(spark, sf_dir):
+    """Prices far outside what decimals hold stop no hour from being built."""
+    return marts.price_volatility_1h(_stg(spark, sf_dir, fx.ticks_extreme), _as_of(spark, sf_dir))
+
+
 def q_minute_last_price(spark, sf_dir):
     return marts.minute_last_price(_stg(spark, sf_dir))
 
@@ -165,10 +170,12 @@ FACT_COLUMNS = ["event_id", "commodity", "symbol", "price", "currency", "event_t
 
 
 def q_insert_new(spark, sf_dir):
-    """Replayed batch -> rows not yet stored (stored = every 4th tick, by date partition)."""
+    """Replayed batch -> rows not yet stored (stored = every 4th tick, every 8th under
+    another date than the batch's)."""
+    shift = F.when(F.col("event_id").cast("bigint") % 8 == 0, 1).otherwise(0)
     target = (_stg(spark, sf_dir).filter(F.col("event_id").cast("bigint") % 4 == 0)
-              .withColumn("event_date", F.to_date("event_ts")))
-    new = sinks.new_rows(_good(spark, sf_dir, fx.replayed_payloads), target, scope="partition")
+              .withColumn("event_date", F.date_add(F.to_date("event_ts"), shift)))
+    new = sinks.new_rows(_good(spark, sf_dir, fx.replayed_payloads), target, scope="full")
     return new.select(*FACT_COLUMNS)
 
 
@@ -254,6 +261,11 @@ def q_health_metrics(spark, sf_dir):
     return monitor.pipeline_metrics(_stg(spark, sf_dir), _as_of(spark, sf_dir))
 
 
+def q_health_metrics_late(spark, sf_dir):
+    """Late ticks (old event dates, just ingested) count as ingested."""
+    return monitor.pipeline_metrics(_stg(spark, sf_dir, fx.ticks_late), _as_of(spark, sf_dir))
+
+
 def q_api_metrics_18m(spark, sf_dir):
     return monitor.api_metrics(fx.api_calls(_events(spark, sf_dir)), _as_of(spark, sf_dir), 18)
 
@@ -416,7 +428,7 @@ def _tick_stream(spark, sf_dir, df: DataFrame | None = None) -> DataFrame:
 
 
 def q_streaming_hourly(spark, sf_dir):
-    return _run_to_table(smarts.hourly(_tick_stream(spark, sf_dir), "10 minutes"), "stream-hourly", spark)
+    return _run_to_table(smarts.hourly(_tick_stream(spark, sf_dir)), "stream-hourly", spark)
 
 
 def q_streaming_dedup(spark, sf_dir):
@@ -480,6 +492,7 @@ def q_stream_ingest(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_ticks": q_stg_ticks,
     "price_volatility_1h": q_price_volatility_1h,
+    "price_volatility_extreme": q_price_volatility_extreme,
     "minute_last_price": q_minute_last_price,
     "latest_prices": q_latest_prices,
     "latest_prices_single_pass": q_latest_prices_single_pass,
@@ -504,6 +517,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_price_events": q_upsert_price_events,
     "upsert_volatility": q_upsert_volatility,
     "health_metrics": q_health_metrics,
+    "health_metrics_late": q_health_metrics_late,
     "api_metrics_18m": q_api_metrics_18m,
     "api_status_histogram": q_api_status_histogram,
     "api_latency_p95": q_api_latency_p95,

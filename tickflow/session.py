@@ -92,8 +92,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  Only when neither is set (local tests) a fresh local
-    folder is created and registered.
+    checkpoint dir).  Only a local master, whose executors share the driver's
+    disk, may go without: then a fresh local folder is registered.  On a cluster a
+    missing setting is an error.
     """
     d = spark.sparkContext.getCheckpointDir()
     if not d:
@@ -101,6 +102,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         if d:
             spark.sparkContext.setCheckpointDir(d)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tickflow-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir()

@@ -110,11 +110,31 @@ def ticks_spiked(events: DataFrame) -> DataFrame:
 
 
 def ticks_stale_instrument(events: DataFrame) -> DataFrame:
-    """Variant in which WTI/USD stops three days before the end (exercises the
+    """Variant in which all WTI/USD ticks are three days older (exercises the
     latest-price fallback branch)."""
-    t = ticks(events)
-    end = F.lit("2024-01-28 00:00:00").cast("timestamp_ntz")
-    return t.filter((F.col("symbol") != "WTI/USD") | (F.col("event_ts") < end))
+    older = F.col("event_ts") - F.expr("INTERVAL 3 DAYS")
+    return ticks(events).withColumn(
+        "event_ts", F.when(F.col("symbol") == "WTI/USD", older).otherwise(F.col("event_ts")))
+
+
+def ticks_late(events: DataFrame) -> DataFrame:
+    """Variant in which every 10th tick is nine days older when it is ingested."""
+    older = F.col("event_ts") - F.expr("INTERVAL 9 DAYS")
+    return ticks(events).withColumn(
+        "event_ts", F.when(F.col("event_id").cast("bigint") % 10 == 0, older).otherwise(F.col("event_ts")))
+
+
+# prices that every symbol without bounds accepts, by event_id % 4
+EXTREME_PRICES = (1e30, 3e-13, -1e30, 4.5e17)
+
+
+def ticks_extreme(events: DataFrame) -> DataFrame:
+    """Variant with an extreme price on every 7th tick, each under a symbol of its own."""
+    eid = F.col("event_id").cast("bigint")
+    odd = eid % 7 == 0
+    price = F.get(F.array(*map(F.lit, EXTREME_PRICES)), (eid % len(EXTREME_PRICES)).cast("int"))
+    return (ticks(events).withColumn("price", F.when(odd, price).otherwise(F.col("price")))
+            .withColumn("symbol", F.when(odd, F.concat(F.lit("X"), F.col("event_id"))).otherwise(F.col("symbol"))))
 
 
 # --------------------------------------------------------------------------
@@ -208,6 +228,8 @@ def api_calls_raw(events: DataFrame) -> DataFrame:
     7 nested with one bad price; 8 {price} for two symbols; 9 {symbol,price}
     for an unrequested symbol.  HTTP status by ``event_id % 20``: 7 -> 429,
     13 -> 503, else 200; ``event_id % 20 == 17`` returns a non-JSON body.
+    ``event_id % 60``: 19 -> no status and no body (a timeout), 39 -> no status
+    and an empty body.
     """
     eid = F.col("event_id")
     w = eid % 10
@@ -219,7 +241,8 @@ def api_calls_raw(events: DataFrame) -> DataFrame:
     def nested(s, val):
         return F.concat(F.lit(f'"{s}":{{"price":"'), val, F.lit('"}'))
 
-    body = (F.when(eid % 20 == 17, F.lit("<html>504 gateway timeout</html>"))
+    body = (F.when(eid % 60 == 19, F.lit(None)).when(eid % 60 == 39, F.lit(""))
+            .when(eid % 20 == 17, F.lit("<html>504 gateway timeout</html>"))
             .when(w == 0, F.concat(F.lit('{"symbol":"'), sym, F.lit('","price":"'), p, F.lit('"}')))
             .when(w == 1, F.concat(F.lit('{"price":"'), p, F.lit('"}')))
             .when(w == 2, F.concat(F.lit("{"), nested("BTC/USD", p), F.lit(","),
@@ -238,7 +261,8 @@ def api_calls_raw(events: DataFrame) -> DataFrame:
                .when(w.isin(7, 8), F.lit("BTC/USD,XAU/USD"))
                .when(w == 9, F.lit("BTC/USD"))
                .otherwise(sym))
-    status = F.when(eid % 20 == 7, 429).when(eid % 20 == 13, 503).otherwise(200)
+    status = (F.when((eid % 60).isin(19, 39), F.lit(None)).when(eid % 20 == 7, 429)
+              .when(eid % 20 == 13, 503).otherwise(200))
     return events.select(
         eid.alias("call_id"),
         F.col("ts").alias("ts_utc"),
@@ -273,9 +297,9 @@ def watermarks(events: DataFrame) -> DataFrame:
 
 def kafka_lag_log(events: DataFrame) -> DataFrame:
     """Lag snapshots (group_id, topic, ts_utc, total_lag, max_partition_lag),
-    one per ``error`` event."""
+    one per event."""
     u = F.col("user_id")
-    return (events.filter(F.col("event_type") == "error")
+    return (events
             .select(F.when(u % 3 == 0, F.lit("other_group")).otherwise(F.lit(CONSUMER_GROUP))
                     .alias("group_id"),
                     F.lit(TOPIC).alias("topic"),
@@ -318,14 +342,16 @@ def backup_log(events: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def alert_payloads(events: DataFrame) -> DataFrame:
-    """Webhook bodies (payload_id, received_ts, body), one per ``error`` event.
+    """Webhook bodies (payload_id, received_ts, body), one per event.
 
-    Shape by ``event_id % 10``: 0 two alerts; 1 no alerts key; 2 alerts not a
+    Shape by ``event_id % 14``: 0 two alerts; 1 no alerts key; 2 alerts not a
     list; 3 non-object elements mixed in; 4 older field names; 5 string ids;
-    6 empty list; 7 only non-objects; 8 a JSON array body; 9 broken JSON.
+    6 empty list; 7 only non-objects; 8 a JSON array body; 9 broken JSON;
+    10 white space around; 11 text behind; 12 a string that looks like an
+    object; 13 two objects.
     """
     eid = F.col("event_id").cast("string")
-    w = F.col("event_id") % 10
+    w = F.col("event_id") % 14
     u = F.col("user_id").cast("string")
     d5 = (F.col("event_id") % 5).cast("string")
     p7 = (F.col("event_id") % 7).cast("string")
@@ -350,10 +376,13 @@ def alert_payloads(events: DataFrame) -> DataFrame:
         .when(w == 6, F.lit('{"orgId":2,"alerts":[],"state":"alerting"}'))
         .when(w == 7, F.lit('{"alerts":[null,5]}'))
         .when(w == 8, F.lit('["not","an","object"]'))
+        .when(w == 10, F.concat(F.lit('\n\t {"orgId":3,"alerts":[{"state":"ok","uid":"w'), eid, F.lit('"}]}\r\n')))
+        .when(w == 11, F.lit('{"orgId":4,"state":"ok"} and more'))
+        .when(w == 12, F.lit('{"orgId":5,"alerts":["{\\"state\\":\\"ok\\"}",{"state":"firing","uid":"s"}]}'))
+        .when(w == 13, F.lit('{"orgId":6,"state":"ok"},{"orgId":7}'))
         .otherwise(F.lit('{"orgId":1,"alerts":[')))
-    return (events.filter(F.col("event_type") == "error")
-            .select(F.col("event_id").alias("payload_id"), F.col("ts").alias("received_ts"),
-                    body.alias("body")))
+    return events.select(F.col("event_id").alias("payload_id"), F.col("ts").alias("received_ts"),
+                         body.alias("body"))
 
 
 # rule evaluated by each event type, and the sample value rule

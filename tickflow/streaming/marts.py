@@ -26,7 +26,10 @@ def _event_time(stream: DataFrame) -> DataFrame:
     return stream.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
 
 
-def hourly(stream: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+def hourly(stream: DataFrame, watermark: str = "2 hours") -> DataFrame:
+    """Completed hours; ticks count that are up to ``watermark`` late, by default
+    as far back as the batch build recomputes.  Later ones are dropped, as any
+    streaming window must at some point; the batch build is exact."""
     g = (_event_time(stream).withWatermark("event_ts", watermark)
          .groupBy(F.window("event_ts", "1 hour").alias("w"), "commodity", "symbol")
          .agg(F.count(F.lit(1)).alias("observations_count"),
@@ -81,10 +84,16 @@ def _moves_fn(key, pdfs, state):
         return
     pdf = pdf.sort_values(["event_ts", "event_id"], ignore_index=True)
     ts = pd.to_datetime(pdf["event_ts"])
+    if state.exists:
+        last_ts, last_id, last_price = state.get
+        # a tick from before the state has no predecessor here: it neither moves nor sets the state back
+        new = (ts > pd.Timestamp(last_ts)) | ((ts == pd.Timestamp(last_ts)) & (pdf["event_id"].astype(str) > last_id))
+        pdf, ts = pdf[new].reset_index(drop=True), ts[new].reset_index(drop=True)
+        if pdf.empty:
+            return
     prev_ts = ts.shift(1)
     prev_price = pdf["price"].shift(1)
     if state.exists:
-        last_ts, _last_id, last_price = state.get
         prev_ts.iloc[0] = pd.Timestamp(last_ts)
         prev_price.iloc[0] = last_price
     gap = ts - prev_ts
@@ -109,7 +118,10 @@ def moves(stream: DataFrame) -> DataFrame:
     """Streaming W1: the previous tick per instrument is carried in state.
 
     Per micro-batch a key holds only that trigger's rows (bounded by the
-    source rate limit), plus one state row.
+    source rate limit), plus one state row.  Each batch is compared in event-time
+    order; a tick older than its instrument's state is not compared (its
+    neighbours are gone) and never sets the state back, so no gap is negative.
+    The batch mart takes such late ticks in.
     """
     from tickflow.session import ship_package
     ship_package(stream.sparkSession)
