@@ -32,11 +32,24 @@ def test_jobs_end_to_end(spark):
     cli.run_marts(spark, SimpleNamespace(**base))
     cli.run_marts(spark, SimpleNamespace(**base))          # incremental second run is a no-op
     for m in ["mart_minute_last_price", "mart_price_events", "mart_price_volatility_1h", "mart_latest_prices"]:
-        assert spark.read.parquet(f"{root}/{m}").count() > 0
+        assert cli._table(spark, root, m).count() > 0
     s = cli.run_checks(spark, SimpleNamespace(**base, environment="ci")).collect()[0]
-    assert s["total"] == 64 and s["status"] in ("PASS", "WARN", "FAIL")
+    assert s["total"] == 66 and s["status"] in ("PASS", "WARN", "FAIL")
+    inputs = scratch_path(spark, "cli-inputs")
+    fx.api_calls_raw(ev).write.parquet(f"{inputs}/calls")
+    fx.watermarks(ev).write.parquet(f"{inputs}/watermarks")
+    fx.alert_payloads(ev).select(F.regexp_replace("body", "[\\r\\n]", " ").alias("value")).write.text(f"{inputs}/alerts")
+    kafka = dict(topic="prices", group_id="tick_ingest")
+    assert cli.run_api_calls(spark, SimpleNamespace(**base, input=f"{inputs}/calls", format="parquet")).count() == ev.count()
+    assert cli.run_lag(spark, SimpleNamespace(**base, **kafka, input=f"{inputs}/watermarks", format="parquet")).count() == 1
+    assert cli.run_alert_events(spark, SimpleNamespace(**base, input=f"{inputs}/alerts", format="text")).count() > 0
+    for log in ("api_calls", "kafka_lag", "alert_events"):
+        assert spark.read.parquet(f"{root}/{log}").count() > 0
     ev_rows = cli.run_alerts(spark, SimpleNamespace(**base, topic="prices", group_id="tick_ingest")).collect()
     assert len(ev_rows) == 11
+    values = {r["rule_uid"]: r["value"] for r in ev_rows}
+    assert values["kafka_lag_warn_gt_50"] is not None and values["api_errors_18m_ge_1"] is not None
+    assert cli._table(spark, root, "alert_states").count() == 11
     done = cli.run_retention(spark, SimpleNamespace(**base, days=7))
     kept = spark.read.parquet(f"{root}/raw_prices")
     assert kept.filter(F.col("event_ts") < F.lit("2024-01-24 00:00:00").cast("timestamp_ntz")).count() == 0

@@ -22,7 +22,7 @@ def _batch(spark):
 
 def test_replayed_batch_is_idempotent(spark):
     cfg = _cfg(spark)
-    fn = sing.make_foreach_batch(spark, cfg, "q1")
+    fn = sing.MicroBatchWriter(spark, cfg, "q1")
     b = _batch(spark)
     fn(b, 0)
     fact1 = sorted(tuple(r) for r in spark.read.parquet(cfg.fact_path).drop("ingest_ts").collect())
@@ -37,7 +37,7 @@ def test_replayed_batch_is_idempotent(spark):
 
 def test_every_row_lands_in_exactly_one_destination(spark):
     cfg = _cfg(spark)
-    fn = sing.make_foreach_batch(spark, cfg, "q2")
+    fn = sing.MicroBatchWriter(spark, cfg, "q2")
     b = _batch(spark)
     total = b.count()
     half = F.col("kafka_offset") < 10_000_000
@@ -68,7 +68,7 @@ def test_restart_from_checkpoint_gives_same_tables(spark):
 def test_compaction_keeps_ids_unique_and_replay_inserts_nothing(spark):
     from tickflow.plans import sinks
     cfg = _cfg(spark)
-    fn = sing.make_foreach_batch(spark, cfg, "q3")
+    fn = sing.MicroBatchWriter(spark, cfg, "q3")
     b = _batch(spark)
     parts = [b.filter(F.col("kafka_partition") == p) for p in range(3)]
     for i, p in enumerate(parts):
@@ -86,31 +86,32 @@ def test_compaction_keeps_ids_unique_and_replay_inserts_nothing(spark):
 
 def test_latest_fold_is_idempotent_and_equals_batch_mart(spark):
     from tickflow.operators import marts
+    from tickflow.plans import sinks
     stg = marts.stg_raw_prices(fx.ticks(fx.read_events(spark, SF_SMALL)))
     path = scratch_path(spark, "t-latest")
     halves = [stg.filter(F.col("event_ts") < F.lit("2024-01-15").cast("timestamp_ntz")),
               stg.filter(F.col("event_ts") >= F.lit("2024-01-15").cast("timestamp_ntz"))]
     for h in [halves[1], halves[0], halves[1]]:      # out of order and repeated
         sing.update_latest(spark, path, h)
-    got = sorted(tuple(r) for r in marts.latest_view(spark.read.parquet(path)).collect())
+    got = sorted(tuple(r) for r in marts.latest_view(sinks.published(spark, path)).collect())
     assert got == sorted(tuple(r) for r in marts.latest_prices_single_pass(stg).collect())
 
 
 def test_text_source_lines_are_ingested(spark, tmp_path):
     import json
     good = {"schema_version": 1, "event_id": "t-1", "commodity": "gold", "symbol": "XAU/USD",
-            "price": 2150.0, "currency": "USD", "timestamp": "2026-03-13T10:00:00Z",
-            "source": "rest_api", "ingest_interval_sec": 360}
+            "price": 1987.25, "currency": "USD", "timestamp": "2025-06-02T08:15:30Z",
+            "source": "feed", "ingest_interval_sec": 120}
     src = scratch_path(spark, "t-text")
-    lines = [json.dumps(good), json.dumps(dict(good, event_id="t-2", price=-1.0)), "not json",
-             json.dumps(good)]                                  # duplicate id: a conflict
+    lines = [json.dumps(good), json.dumps(dict(good, event_id="t-2", price=-1.0)), "not json", "not json",
+             "not json", json.dumps(good)]                      # equal bad lines; a duplicate id
     spark.createDataFrame([(l,) for l in lines], "value string").coalesce(1).write.text(src)
     cfg = _cfg(spark, src)
     cfg.source_format = "text"
     sing.start_ingest(spark, cfg).awaitTermination()
     assert [r["event_id"] for r in spark.read.parquet(cfg.fact_path).collect()] == ["t-1"]
     reasons = sorted(r["error_reason"] for r in spark.read.parquet(cfg.dlq_path).collect())
-    assert reasons == ["INVALID_FIELD:price<=0", "JSON_PARSE_ERROR_OR_EMPTY"]
+    assert reasons == ["INVALID_FIELD:price<=0"] + 3 * ["JSON_PARSE_ERROR_OR_EMPTY"]
 
 
 def test_compaction_file_count_follows_stored_size(spark):
@@ -119,7 +120,7 @@ def test_compaction_file_count_follows_stored_size(spark):
     import glob
     from tickflow.plans import sinks
     cfg = _cfg(spark)
-    fn = sing.make_foreach_batch(spark, cfg, "q4")
+    fn = sing.MicroBatchWriter(spark, cfg, "q4")
     b = _batch(spark)
     for i, p in enumerate(b.filter(F.col("kafka_partition") == k) for k in range(3)):
         fn(p, i)
@@ -146,3 +147,73 @@ def test_compaction_file_count_follows_stored_size(spark):
     files = glob.glob(f"{local}/event_date={done[0]}/batch_token=compacted/*.parquet")
     assert len(files) > 1
     assert spark.read.parquet(cfg.fact_path).count() == before
+
+
+def test_a_broken_publish_is_not_seen(spark):
+    from tickflow.plans import sinks
+    path = scratch_path(spark, "t-published")
+    assert sinks.published(spark, path) is None
+    sinks.publish(spark.range(3), path)
+    spark.range(99).write.parquet(f"{path}/v1")
+    sinks.delete_path(spark, f"{path}/v1/_SUCCESS")            # a write that broke off
+    assert sinks.published(spark, path).count() == 3
+    sinks.publish(sinks.published(spark, path).unionAll(spark.range(2)), path)
+    assert sinks.published(spark, path).count() == 5
+    sinks.publish(spark.range(1), path)
+    assert [v for v, _ in sinks._versions(spark, path)] == [2, 3]
+
+
+def test_retention_broken_off_before_its_write_loses_no_row(spark, monkeypatch):
+    from tickflow.plans import sinks
+    path = scratch_path(spark, "t-retention")
+    rows = spark.range(48).select(F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, int(id))").alias("event_ts"),
+                                  (F.col("id") % 2).alias("batch_token"))
+    rows.withColumn("event_date", F.to_date("event_ts")).write.partitionBy("event_date", "batch_token").parquet(path)
+    def fail(*_):
+        raise OSError("broken off")
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_leaf_dirs", fail)
+        try:
+            sinks.apply_retention(spark, path, "event_ts", "2024-01-02 06:00:00", "event_date")
+        except OSError:
+            pass
+    keep = F.col("event_ts") >= F.lit("2024-01-02 06:00:00").cast("timestamp_ntz")
+    assert spark.read.parquet(path).filter(keep).count() == 18
+    sinks.apply_retention(spark, path, "event_ts", "2024-01-02 06:00:00", "event_date")
+    assert spark.read.parquet(path).count() == 18 and spark.read.parquet(path).filter(keep).count() == 18
+
+
+def test_stop_request_ends_a_waiting_query():
+    import os
+    import signal
+    class Query:
+        stopped = False
+        def awaitTermination(self, _):
+            os.kill(os.getpid(), signal.SIGTERM)
+            return False
+        def stop(self):
+            self.stopped = True
+    before, q = signal.getsignal(signal.SIGTERM), Query()
+    with sing.StopRequest() as stop:
+        assert sing.run_until_stopped(q, stop) and q.stopped
+    assert signal.getsignal(signal.SIGTERM) is before
+
+
+def test_moves_of_several_batches_with_late_ticks(spark):
+    """Ticks in order over several batches give the batch mart; late ones change no other row."""
+    from tickflow.operators import marts
+    from tickflow.streaming import marts as smarts
+    stg = marts.stg_raw_prices(fx.ticks(fx.read_events(spark, SF_SMALL)))
+    src, out, ckpt = (scratch_path(spark, n) for n in ("t-moves-src", "t-moves", "t-moves-ckpt"))
+    edges = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-02"]
+    late = stg.orderBy("event_ts").limit(5)
+    for i, (a, b) in enumerate(zip(edges, edges[1:])):
+        part = stg.filter(F.col("event_ts").between(F.lit(a).cast("timestamp_ntz"), F.expr(f"timestamp_ntz'{b} 00:00:00' - interval 1 microsecond")))
+        (part.unionAll(late) if i == 2 else part).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(stg.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (smarts.moves(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.filter("time_gap_seconds < 0").isEmpty()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, marts.price_events(stg).select(*got.columns).collect()))

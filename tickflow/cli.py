@@ -5,6 +5,9 @@
     python -m tickflow checks  --root R [--as-of TS]
     python -m tickflow alerts  --root R [--as-of TS]
     python -m tickflow retention --root R [--days 90] [--as-of TS]
+    python -m tickflow api-calls    --root R --input P [--format json]   # -> api_calls
+    python -m tickflow lag          --root R --input P [--format json]   # -> kafka_lag
+    python -m tickflow alert-events --root R --input P                   # -> alert_events
 
 ``R`` is a warehouse folder on shared storage holding ``raw_prices``
 (partitioned by ``event_date``/``batch_token``), ``dead_letter_events``,
@@ -23,9 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickflow.functions.timeutil import minus, ts_lit
-from tickflow.operators import marts, monitor, quality
+from tickflow.operators import ingest, marts, monitor, quality
 from tickflow.plans import incremental, sinks
-from tickflow.session import build_session, scratch_path
+from tickflow.session import build_session
+from tickflow.sources import readers
 from tickflow.streaming import ingest as sing
 
 MART_SPECS = {
@@ -37,12 +41,16 @@ MART_SPECS = {
     "mart_price_volatility_1h": (incremental.volatility_model,
                                  ["commodity", "symbol", "hour_bucket"], "hour_bucket", "2 hours"),
 }
+API_CALL_SCHEMA = ("call_id bigint, ts_utc timestamp_ntz, symbols string, http_status int, latency_ms int, "
+                   "body string")
 LOG_TABLES = {  # table: time column (retention; partition layout is detected)
     "raw_prices": "event_ts", "dead_letter_events": "ts_utc", "alert_events": "ts_utc",
     "api_calls": "ts_utc", "kafka_lag": "ts_utc", "test_runs": "run_ts_utc",
     "backup_log": "backup_ts",
 }
 
+PUBLISHED = {"latest_prices_state", "mart_latest_prices", "alert_states"}   # replaced as a whole, by version
+
 
 def _now() -> str:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).strftime("%Y-%m-%d %H:%M:%S")
@@ -55,6 +63,8 @@ def _path(root: str, name: str) -> str:
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     if not incremental._exists(spark, _path(root, name)):
         return None
+    if name in PUBLISHED:
+        return sinks.published(spark, _path(root, name))
     return sinks.read_consistent(spark, _path(root, name))
 
 
@@ -68,10 +78,11 @@ def run_ingest(spark: SparkSession, a) -> None:
         fail_on_data_loss=a.fail_on_data_loss, max_per_trigger=a.max_per_trigger,
         trigger_seconds=a.trigger_seconds, available_now=a.available_now,
         stream_instance_id=a.instance_id, latest_path=_path(a.root, "latest_prices_state"))
-    q = sing.start_ingest(spark, cfg)
-    if not cfg.available_now:          # a continuous query stops on SIGTERM / SIGINT
-        sing.install_graceful_stop(q, spark)
-    q.awaitTermination()
+    if cfg.available_now:
+        sing.start_ingest(spark, cfg).awaitTermination()
+        return
+    with sing.StopRequest() as stop:   # a continuous query ends on SIGTERM / SIGINT
+        sing.run_until_stopped(sing.start_ingest(spark, cfg), stop)
 
 
 def run_marts(spark: SparkSession, a) -> dict:
@@ -86,28 +97,26 @@ def run_marts(spark: SparkSession, a) -> dict:
     for name, (factory, keys, bucket, lookback) in MART_SPECS.items():
         out[name] = incremental.run(spark, factory(a.as_of), stg, _path(a.root, name), keys, bucket,
                                     lookback, a.as_of)
-    state = _table(spark, a.root, "latest_prices_state")
+    state = sinks.published(spark, _path(a.root, "latest_prices_state"))
     latest = marts.latest_view(state) if state is not None else marts.latest_prices(stg, a.as_of)
-    staging = scratch_path(spark, "latest-mart")
-    latest.write.parquet(staging)
-    spark.read.parquet(staging).write.mode("overwrite").parquet(_path(a.root, "mart_latest_prices"))
+    sinks.publish(latest, _path(a.root, "mart_latest_prices"))
     return out
 
 
 def run_checks(spark: SparkSession, a) -> DataFrame:
     """All data checks; results appended to ``check_results`` and summarised
-    into one ``test_runs`` row.  ``--since-days N`` checks only the last N
-    days of partitions (the default checks the whole history)."""
-    days = getattr(a, "since_days", None)
-    raw = monitor.recent_partitions(spark.read.parquet(_path(a.root, "raw_prices")), a.as_of, days,
-                                    "event_date")
+    into one ``test_runs`` row; the age of the fact table is one more check."""
+    raw = spark.read.parquet(_path(a.root, "raw_prices"))
     tables = {"stg_raw_prices": marts.stg_raw_prices(raw)}
     for name in ["mart_latest_prices", *MART_SPECS]:
         t = _table(spark, a.root, name)
         if t is not None:
-            tables[name] = monitor.recent_partitions(t, a.as_of, days, "bucket_date").drop("bucket_date")
+            tables[name] = t.drop("bucket_date")
     specs = {k: v for k, v in quality.default_specs().items() if k in tables}
-    res = quality.run_checks(tables, specs).withColumn("run_ts_utc", ts_lit(a.as_of))
+    fresh = monitor.source_freshness(raw, "ingest_ts", a.as_of).select(
+        F.lit("raw_prices").alias("table_name"), F.lit("freshness:ingest_ts").alias("check_name"),
+        F.when(F.col("status") == "pass", 0).otherwise(1).cast("bigint").alias("failures"), "status")
+    res = quality.run_checks(tables, specs).unionByName(fresh).withColumn("run_ts_utc", ts_lit(a.as_of))
     res.write.mode("append").parquet(_path(a.root, "check_results"))
     saved = spark.read.parquet(_path(a.root, "check_results")).filter(F.col("run_ts_utc") == ts_lit(a.as_of))
     summary = quality.summarise(saved, environment=a.environment)
@@ -133,9 +142,42 @@ def run_alerts(spark: SparkSession, a) -> DataFrame:
         group_id=a.group_id, topic=a.topic)
     ev = monitor.evaluate_rules(metrics, monitor.rules_df(spark)).withColumn("ts", ts_lit(a.as_of))
     sinks.append_log(ev, _path(a.root, "alert_evaluations"))
+    # the state of each rule follows from all its evaluations: a condition fires once it has held long enough
+    stored = spark.read.schema(ev.schema).parquet(_path(a.root, "alert_evaluations"))
+    sinks.publish(monitor.alert_timeline(stored.select("rule_uid", "ts", "value"), monitor.rules_df(spark)),
+                  _path(a.root, "alert_states"))
     return ev
 
 
+def run_api_calls(spark: SparkSession, a) -> DataFrame:
+    """Stored API responses (call_id, ts_utc, symbols, http_status, latency_ms, body), classified and
+    appended to ``api_calls``."""
+    calls = spark.read.schema(API_CALL_SCHEMA).format(a.format).load(a.input)
+    rows = ingest.classify_api_calls(calls)
+    sinks.append_log(rows, _path(a.root, "api_calls"))
+    return rows
+
+
+def run_lag(spark: SparkSession, a) -> DataFrame:
+    """A lag snapshot from broker watermarks and the stored offsets, appended to ``kafka_lag``."""
+    raw = _table(spark, a.root, "raw_prices")
+    if raw is None:
+        raw = spark.createDataFrame([], "kafka_partition int, kafka_offset bigint")
+    lag = monitor.consumer_lag(readers.read_watermarks(spark, a.input, a.format), raw)
+    rows = lag.select(F.lit(a.group_id).alias("group_id"), F.lit(a.topic).alias("topic"), ts_lit(a.as_of).alias("ts_utc"),
+                      "total_lag", "max_partition_lag")
+    sinks.append_log(rows, _path(a.root, "kafka_lag"))
+    return rows
+
+
+def run_alert_events(spark: SparkSession, a) -> DataFrame:
+    """Alert webhook bodies, one JSON document per line, flattened and appended to ``alert_events``."""
+    bodies = readers.read_alert_payloads(spark, a.input)
+    rows = ingest.flatten_alerts(bodies.withColumnRenamed("received_ts", "ts_utc"))
+    sinks.append_log(rows, _path(a.root, "alert_events"))
+    return rows
+
+
 def run_retention(spark: SparkSession, a) -> dict:
     cutoff = spark.range(1).select(minus(a.as_of, f"{a.days} days").alias("c")).collect()[0]["c"]
     done = {}
@@ -145,10 +187,14 @@ def run_retention(spark: SparkSession, a) -> dict:
     return done
 
 
+JOBS = {"ingest": run_ingest, "marts": run_marts, "checks": run_checks, "alerts": run_alerts,
+        "retention": run_retention, "api-calls": run_api_calls, "lag": run_lag, "alert-events": run_alert_events}
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tickflow")
     sub = p.add_subparsers(dest="cmd", required=True)
-    for name in ("ingest", "marts", "checks", "alerts", "retention"):
+    for name in JOBS:
         s = sub.add_parser(name)
         s.add_argument("--root", required=True)
         s.add_argument("--as-of", dest="as_of", default=None)
@@ -159,18 +205,20 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--bootstrap", default="localhost:9092")
             s.add_argument("--starting-offsets", default="earliest")
             s.add_argument("--fail-on-data-loss", default="false")
-            s.add_argument("--max-per-trigger", type=int, default=5000)
+            s.add_argument("--max-per-trigger", type=int, default=None)
             s.add_argument("--trigger-seconds", type=int, default=300)
             s.add_argument("--available-now", action="store_true")
             s.add_argument("--checkpoint", default=None)
             s.add_argument("--instance-id", default="stream1")
-        if name in ("ingest", "alerts"):
+        if name in ("api-calls", "lag", "alert-events"):
+            s.add_argument("--input", required=True)
+            s.add_argument("--format", default="json")
+        if name in ("ingest", "alerts", "lag"):
             s.add_argument("--topic", default="prices")
-        if name == "alerts":
+        if name in ("alerts", "lag"):
             s.add_argument("--group-id", default="tick_ingest")
         if name == "checks":
             s.add_argument("--environment", default="dev")
-            s.add_argument("--since-days", dest="since_days", type=int, default=None)
         if name == "retention":
             s.add_argument("--days", type=int, default=90)
     return p
@@ -180,5 +228,4 @@ def main(argv=None) -> None:
     a = parser().parse_args(argv)
     a.as_of = a.as_of or _now()
     spark = build_session(a.master, app=f"tickflow-{a.cmd}")
-    {"ingest": run_ingest, "marts": run_marts, "checks": run_checks, "alerts": run_alerts,
-     "retention": run_retention}[a.cmd](spark, a)
+    JOBS[a.cmd](spark, a)

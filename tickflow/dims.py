@@ -60,8 +60,3 @@ def thresholds_df(spark: SparkSession) -> DataFrame:
     rows = [(s, e, l, m) for s, (e, l, m) in MOVE_THRESHOLDS.items()]
     return F.broadcast(spark.createDataFrame(
         rows, "symbol string, extreme double, large double, medium double"))
-
-
-def jump_limits_df(spark: SparkSession) -> DataFrame:
-    rows = list(JUMP_LIMITS.items())
-    return F.broadcast(spark.createDataFrame(rows, "symbol string, jump_limit double"))

@@ -45,12 +45,6 @@ def dedupe_dlq(bad: DataFrame) -> DataFrame:
     return dedupe(bad, DLQ_KEY, order)
 
 
-def _touched_values(df: DataFrame, col: str) -> list:
-    # Distinct partition values of a batch: bounded by the batch's time span
-    # (a handful of dates), so this is a tiny collect that enables pruning.
-    return [r[0] for r in df.select(col).distinct().collect()]
-
-
 BROADCAST_KEYS_LIMIT = 2_000_000
 
 
@@ -130,8 +124,43 @@ def append_log(df: DataFrame, path: str, date_col: str | None = None) -> None:
     w.parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Removes a folder of intermediate data."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+# --- small tables that are replaced as a whole: one folder per version, complete once it has _SUCCESS
+
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
+    """(version, complete) of a published table, oldest first."""
+    fs, root = _fs(spark, path)
+    if not fs.exists(root):
+        return []
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    found = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    return sorted((int(n[1:]), fs.exists(hadoop(f"{path}/{n}/_SUCCESS"))) for n in found if n[:1] == "v" and n[1:].isdigit())
+
+
+def published(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest complete version, None if there is none. A write that broke off is never seen."""
+    done = [v for v, complete in _versions(spark, path) if complete]
+    return spark.read.parquet(f"{path}/v{done[-1]}") if done else None
+
+
+def publish(df: DataFrame, path: str) -> None:
+    """Writes a new version; the one before stays for running readers, older ones go.
+
+    ``df`` may read the version before.  One writer at a time.
+    """
+    spark = df.sparkSession
+    old = _versions(spark, path)
+    new = old[-1][0] + 1 if old else 0
+    df.write.parquet(f"{path}/v{new}")
+    last = max((v for v, complete in old if complete), default=-1)
+    for v, _ in old:
+        if v != last:
+            delete_path(spark, f"{path}/v{v}")
 
 
 SWAP_MARKER = "_SWAP_IN_PROGRESS"
@@ -193,6 +222,7 @@ def upsert(spark: SparkSession, new: DataFrame, target_path: str, keys: Sequence
     touched = [st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(root)
                if st.isDirectory() and st.getPath().getName().startswith(f"{partition_col}=")]
     if not touched:
+        delete_path(spark, staged_new)
         return
     fresh = spark.read.parquet(staged_new)
     existing = spark.read.parquet(target_path).filter(
@@ -208,6 +238,8 @@ def upsert(spark: SparkSession, new: DataFrame, target_path: str, keys: Sequence
     with swap_guard(spark, target_path):
         (spark.read.parquet(staging).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target_path))
+    for done in (staged_new, staging):
+        delete_path(spark, done)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -228,6 +260,15 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
         p = dirs[0].getPath()
 
 
+def _leaf_dirs(spark: SparkSession, path: str, below: str = "") -> set[str]:
+    """The innermost partition folders under ``path`` (and ``below``), relative to ``path`` (listing only)."""
+    fs, p = _fs(spark, f"{path}/{below}" if below else path)
+    inner = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory() and "=" in st.getPath().getName()]
+    if not inner:
+        return {below}
+    return set().union(*(_leaf_dirs(spark, path, f"{below}/{n}" if below else n) for n in inner))
+
+
 def apply_retention(spark: SparkSession, path: str, ts_col: str, cutoff,
                     partition_col: str | None = None) -> dict:
     """Delete rows with ``ts_col < cutoff`` (K8).
@@ -249,6 +290,7 @@ def apply_retention(spark: SparkSession, path: str, ts_col: str, cutoff,
         staging = scratch_path(spark, "retention-staging")
         kept.write.parquet(staging)
         spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+        delete_path(spark, staging)
         return {"rewritten": True}
     inner = [c for c in cols if c != partition_col]
     cutoff_date = spark.range(1).select(F.to_date(cut).alias("d")).collect()[0]["d"]
@@ -269,10 +311,15 @@ def apply_retention(spark: SparkSession, path: str, ts_col: str, cutoff,
         else:
             staging = scratch_path(spark, "retention-staging")
             kept.write.partitionBy(partition_col, *inner).parquet(staging)
+            # inner partitions without rows to keep go first (they hold expired rows only); the others are
+            # replaced by Spark's own commit, so a break-off at any point loses no row to keep
+            kept_dirs = _leaf_dirs(spark, staging)
             with swap_guard(spark, path):
-                fs.delete(boundary_path, True)
-                (spark.read.parquet(staging).write.mode("append")
+                for leaf in _leaf_dirs(spark, path, f"{partition_col}={cutoff_date}") - kept_dirs:
+                    fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{leaf}"), True)
+                (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy(partition_col, *inner).parquet(path))
+            delete_path(spark, staging)
     return {"dropped_partitions": dropped, "boundary": str(cutoff_date)}
 
 
@@ -320,5 +367,6 @@ def compact(spark: SparkSession, path: str, date_col: str = "event_date", dates=
             for t in tokens:
                 if t.getPath().getName() != f"batch_token={COMPACTED}":
                     fs.delete(t.getPath(), True)
+        delete_path(spark, staging)
         done.append(d)
     return done

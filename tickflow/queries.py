@@ -480,7 +480,7 @@ def _ingest_run(spark, sf_dir) -> sing.IngestConfig:
 
 def q_stream_latest_prices(spark, sf_dir):
     """Latest price per instrument maintained by the ingest stream, batch by batch."""
-    return marts.latest_view(spark.read.parquet(_ingest_run(spark, sf_dir).latest_path))
+    return marts.latest_view(sinks.published(spark, _ingest_run(spark, sf_dir).latest_path))
 
 
 def q_stream_ingest(spark, sf_dir):
