@@ -8,7 +8,7 @@ rule evaluator joins against the (small, fixed) rule table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.numeric import dround
@@ -53,13 +53,22 @@ def api_status(calls: DataFrame, as_of, minutes: int = 15) -> DataFrame:
             .orderBy(F.desc("calls"), F.asc_nulls_last("http_status")))
 
 
-def api_p95(calls: DataFrame, as_of, minutes: int = 60, exact: bool = True) -> DataFrame:
-    """P95 latency over a trailing window (A14): exact percentile; approximate
-    (bounded memory) with ``exact=False`` for very large windows."""
+def api_p95(calls: DataFrame, as_of, minutes: int = 60) -> DataFrame:
+    """Exact P95 latency over a trailing window (A14), interpolated between neighbours.
+
+    Calls are first counted per latency (whole milliseconds, so few values however many
+    calls); only these counts are ordered.
+    """
     w = calls.filter(F.col("ts_utc") >= minus(as_of, f"{minutes} minutes"))
-    p = (F.percentile(F.col("latency_ms").cast("double"), 0.95) if exact
-         else F.percentile_approx(F.col("latency_ms"), 0.95, 10000).cast("double"))
-    return w.agg(dround(p, 6).alias("p95_latency_ms"), F.count(F.lit(1)).alias("calls"))
+    each = w.groupBy("latency_ms").agg(F.count(F.lit(1)).alias("n"))
+    known = F.when(F.col("latency_ms").isNotNull(), F.col("n")).otherwise(0)
+    order = Window.orderBy(F.col("latency_ms").asc_nulls_first())
+    at = each.select("latency_ms", "n", F.sum(known).over(order).alias("upto"), F.sum(known).over(Window.partitionBy()).alias("known"))
+    place = 0.95 * (F.col("known") - 1)
+    low, high = (F.min(F.when(F.col("upto") > f(place), F.col("latency_ms"))) for f in (F.floor, F.ceil))
+    part = F.max(place - F.floor(place))
+    p = low + (high - low) * part
+    return at.agg(dround(p, 6).alias("p95_latency_ms"), F.coalesce(F.sum("n"), F.lit(0)).alias("calls"))
 
 
 # ------------------------------------------------------------------ Kafka lag

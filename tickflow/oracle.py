@@ -909,6 +909,40 @@ QUALIFY row_number() OVER (PARTITION BY commodity, symbol ORDER BY event_ts DESC
 """, ENV, REPLAYED, validated_cte("validated", "replayed"))
 
 
+KAFKA_ENVELOPE = q("""
+SELECT raw_payload, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp FROM env
+""", ENV)
+
+VALIDATE_TICKS_JOIN = q("SELECT kafka_partition, kafka_offset, error_reason FROM validated", ENV, validated_cte("validated", "env"))
+
+BUILT_EVENTS = q("""
+SELECT commodity AS key, 1 AS schema_version,
+       substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' ||
+       lower(printf('%x', ((('0x' || substr(h, 17, 1))::INTEGER) & 3) | 8)) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS event_id,
+       commodity, symbol, price, 'USD' AS currency, t AS timestamp, 'rest_api' AS source, 360 AS ingest_interval_sec
+FROM (SELECT *, strftime(event_ts, '%Y-%m-%dT%H:%M:%SZ') AS t,
+             sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(commodity || ':' || strftime(event_ts, '%Y-%m-%dT%H:%M:%SZ'))) AS h FROM ticks) x
+""")
+
+STORED_TICKS_AS_OF = STG_TICKS.rstrip() + "\nWHERE event_ts <= TIMESTAMP '2024-01-20 00:00:00'\n"
+
+WATERMARK_LAG = q("""
+SELECT w.partition, CAST(greatest(0, high - greatest(coalesce(last + 1, low), low)) AS BIGINT) AS lag
+FROM (SELECT kafka_partition AS partition, min(kafka_offset) + kafka_partition AS low,
+             max(kafka_offset) + 1 + 7 * kafka_partition AS high FROM env GROUP BY kafka_partition) w
+LEFT JOIN (SELECT kafka_partition AS partition, max(kafka_offset) AS last FROM validated
+           WHERE error_reason IS NULL GROUP BY kafka_partition) d ON d.partition = w.partition
+""", ENV, validated_cte("validated", "env"))
+
+INGEST_METRICS = q("""
+SELECT CAST(count(*) FILTER (WHERE error_reason IS NULL) AS BIGINT) AS good_rows,
+       CAST(count(DISTINCT event_id) FILTER (WHERE error_reason IS NULL) AS BIGINT) AS inserted,
+       CAST(count(*) FILTER (WHERE error_reason IS NULL) - count(DISTINCT event_id) FILTER (WHERE error_reason IS NULL) AS BIGINT) AS conflict_skipped,
+       CAST(count(*) FILTER (WHERE error_reason IS NOT NULL) AS BIGINT) AS bad_rows, CAST(0 AS BIGINT) AS dlq_write_failed
+FROM validated
+""", ENV, REPLAYED, validated_cte("validated", "replayed"))
+
+
 def all_sql() -> dict[str, str]:
     return {
         "stg_ticks": STG_TICKS,
@@ -921,6 +955,13 @@ def all_sql() -> dict[str, str]:
         "price_events": PRICE_EVENTS,
         "price_jumps": PRICE_JUMPS,
         "validate_ticks": VALIDATE_TICKS,
+        "kafka_envelope": KAFKA_ENVELOPE,
+        "validate_ticks_join": VALIDATE_TICKS_JOIN,
+        "built_events": BUILT_EVENTS,
+        "stored_ticks_as_of": STORED_TICKS_AS_OF,
+        "watermark_lag": WATERMARK_LAG,
+        "ingest_metrics": INGEST_METRICS,
+        "ingest_replayed": STREAM_INGEST,
         "dlq_rows": DLQ_ROWS,
         "batch_counts": BATCH_COUNTS,
         "error_reason_counts": ERROR_REASON_COUNTS,

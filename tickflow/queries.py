@@ -7,10 +7,12 @@ derivations) and runs a library function over the whole input.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickflow import dims
 from tickflow import session as tsession
 from tickflow.functions import calendar, ids
 from tickflow.functions.timeutil import default_as_of, minus, trunc, ts_lit
@@ -18,6 +20,7 @@ from tickflow.operators import dashboards, ingest, marts, monitor, quality, vali
 from tickflow.plans import incremental, sinks
 from tickflow.session import scratch_path
 from tickflow.sources import fixtures as fx
+from tickflow.sources import readers
 from tickflow.streaming import ingest as sing
 from tickflow.streaming import marts as smarts
 
@@ -94,6 +97,43 @@ def q_validate_ticks(spark, sf_dir):
         "event_ts", "source", "schema_version", "ingest_interval_sec", "error_reason")
 
 
+def q_kafka_envelope(spark, sf_dir):
+    """Kafka source rows (value, topic, partition, offset, timestamp) unwrapped."""
+    env = fx.raw_payloads(_events(spark, sf_dir))
+    rows = env.select(F.col("kafka_topic").cast("binary").alias("key"), F.col("raw_payload").cast("binary").alias("value"),
+                      F.col("kafka_topic").alias("topic"), F.col("kafka_partition").alias("partition"),
+                      F.col("kafka_offset").alias("offset"), F.col("kafka_timestamp").cast("timestamp").alias("timestamp"))
+    return ingest.unwrap_kafka(rows)
+
+
+def q_validate_ticks_join(spark, sf_dir):
+    """Validation with the bounds from a table."""
+    env = fx.raw_payloads(_events(spark, sf_dir))
+    typed = ingest.parse_and_type(env, ingest_ts=F.col("kafka_timestamp"))
+    return validate.with_error_reason_join(typed, dims.bounds_df(spark)).select("kafka_partition", "kafka_offset", "error_reason")
+
+
+def q_built_events(spark, sf_dir):
+    """Wire events as published: key and the value read back."""
+    prices = _stg(spark, sf_dir).select("commodity", "symbol", "price", F.col("event_ts").alias("ts"))
+    rows = ingest.to_kafka_rows(ingest.build_events(prices, "rest_api", 360))
+    return rows.select("key", F.from_json("value", ingest.EVENT_SCHEMA).alias("e")).select("key", "e.*")
+
+
+def q_stored_ticks_as_of(spark, sf_dir):
+    """The stored fact table read as of an instant."""
+    path = scratch_path(spark, "facts")
+    _stg(spark, sf_dir).withColumn("event_date", F.to_date("event_ts")).write.partitionBy("event_date").parquet(path)
+    return readers.read_table(spark, path, as_of=UPSERT_CUTOFF).drop("event_date")
+
+
+def q_watermark_lag(spark, sf_dir):
+    """Lag per partition from watermarks stored as JSON."""
+    path = scratch_path(spark, "watermarks")
+    fx.watermarks(_events(spark, sf_dir)).write.json(path)
+    return monitor.partition_lag(readers.read_watermarks(spark, path), _good(spark, sf_dir)).select("partition", "lag")
+
+
 def q_dlq_rows(spark, sf_dir):
     v = _validated(spark, sf_dir, fx.replayed_payloads)
     _, bad = validate.split(v, fx.STREAM_INSTANCE, fx.micro_batch_id())
@@ -489,6 +529,23 @@ def q_stream_ingest(spark, sf_dir):
     return spark.read.parquet(_ingest_run(spark, sf_dir).fact_path).select(*FACT_COLUMNS)
 
 
+def q_ingest_metrics(spark, sf_dir):
+    """What the ingest stream logged over all its micro-batches."""
+    log = spark.read.parquet(_ingest_run(spark, sf_dir).metrics_path)
+    return log.agg(*[F.sum(c).alias(c) for c in ("good_rows", "inserted", "conflict_skipped", "bad_rows", "dlq_write_failed")])
+
+
+def q_ingest_replayed(spark, sf_dir):
+    """The whole source ingested again under a new checkpoint: every id is stored already."""
+    first = _ingest_run(spark, sf_dir)
+    fact = scratch_path(spark, "fact-again")
+    spark.read.parquet(first.fact_path).write.partitionBy("event_date", "batch_token").parquet(fact)
+    again = replace(first, fact_path=fact, dlq_path=scratch_path(spark, "dlq-again"), metrics_path=scratch_path(spark, "metrics-again"),
+                    checkpoint=scratch_path(spark, "ckpt-again"), latest_path=None)
+    sing.start_ingest(spark, again, "tick_ingest_again").awaitTermination()
+    return spark.read.parquet(fact).select(*FACT_COLUMNS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_ticks": q_stg_ticks,
     "price_volatility_1h": q_price_volatility_1h,
@@ -499,6 +556,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_events": q_price_events,
     "price_jumps": q_price_jumps,
     "validate_ticks": q_validate_ticks,
+    "kafka_envelope": q_kafka_envelope,
+    "validate_ticks_join": q_validate_ticks_join,
+    "built_events": q_built_events,
+    "stored_ticks_as_of": q_stored_ticks_as_of,
+    "watermark_lag": q_watermark_lag,
     "dlq_rows": q_dlq_rows,
     "batch_counts": q_batch_counts,
     "error_reason_counts": q_error_reason_counts,
@@ -549,4 +611,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "streaming_moves": q_streaming_moves,
     "stream_ingest": q_stream_ingest,
     "stream_latest_prices": q_stream_latest_prices,
+    "ingest_metrics": q_ingest_metrics,
+    "ingest_replayed": q_ingest_replayed,
 }

@@ -39,8 +39,9 @@ def read_watermarks(spark: SparkSession, path: str, fmt: str = "json") -> DataFr
 def read_alert_payloads(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
     """Alert webhook bodies, one JSON document per line.
 
-    Returns ``(payload_id, received_ts, body)``; ``payload_id`` is derived
-    from the file and line position so replays of the same file are stable.
+    Returns ``(payload_id, received_ts, body)``; ``payload_id`` is derived from the
+    file and the row's number in the read, so equal lines are different payloads.
+    A stream cannot number its rows: there equal lines of a file share an id.
     Non-object bodies are rejected later by ``ingest.flatten_alerts``.
     """
     if streaming:
@@ -48,7 +49,7 @@ def read_alert_payloads(spark: SparkSession, path: str, streaming: bool = False)
     else:
         raw = spark.read.text(path)
     return raw.select(
-        F.xxhash64(F.input_file_name(), F.col("value")).alias("payload_id"),
+        F.xxhash64(F.input_file_name(), F.col("value") if streaming else F.monotonically_increasing_id()).alias("payload_id"),
         F.current_timestamp().cast("timestamp_ntz").alias("received_ts"),
         F.col("value").alias("body"))
 
