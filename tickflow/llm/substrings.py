@@ -16,7 +16,8 @@ smallest (doc_id, position).
    too form one nonbranching path; where document and source part, or the edge's
    first source is another document, the path ends.  A path is one row:
    its place, its length and its source's coordinates.
-4. The paths of each document are joined to it and cut out.
+4. The paths of each document are joined to it and cut out.  A Bloom filter of
+   the documents that have paths lets all others pass without a shuffle.
 
 An edge occurs once per window, so even one that is in every document is a small
 part of the rows sorted; runs are read as a stream and never held whole.
@@ -40,6 +41,7 @@ from pyspark.sql import functions as F
 from tickflow.session import ship_package
 
 from .bloom import MAX_WORDS, key_filter, maybe_in
+from .common import materialize
 from .textwindows import WordHashes, hashed, in_chunks, text_numbers, texts_of, window_hashes
 
 WINDOW = 13
@@ -137,33 +139,61 @@ def repeated_paths(docs: DataFrame, k: int = WINDOW, max_words: int = MAX_WORDS)
                 F.min("source_at").alias("source_at")).drop("path"))
 
 
+_KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+
+
+def _kept(doc_ids: pa.Array, texts: list[bytes], paths: list, k: int, with_text: bool) -> pa.RecordBatch:
+    """Rows of _KEPT; ``paths``: for each text None or its paths' starts and window counts."""
+    n_words, n_removed, digest, kept_text = [], [], [], []
+    for text, path in zip(texts, paths, strict=True):
+        words = text.split()
+        n_words.append(len(words))
+        if path is not None:
+            keep = np.ones(len(words), bool)
+            for s, c in zip(*path, strict=True):
+                keep[s:s + c + k - 1] = False
+            words = [words[i] for i in np.flatnonzero(keep)]
+        kept = b" ".join(words)
+        n_removed.append(n_words[-1] - len(words))
+        digest.append(hashlib.sha256(kept).hexdigest())
+        kept_text.append(kept.decode() if with_text else None)
+    return pa.RecordBatch.from_arrays(
+        [doc_ids, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digest, pa.string()),
+         pa.array(kept_text, pa.string())], [x.split()[0] for x in _KEPT.split(", ")])
+
+
 def _cut(batches: Iterator[pa.RecordBatch], k: int, with_text: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n_words, n_removed, digest, kept_text = [], [], [], []
-        for text, starts, counts in zip(texts_of(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            words = text.split()
-            n_words.append(len(words))
-            if starts:
-                keep = np.ones(len(words), bool)
-                for s, c in zip(starts, counts, strict=True):
-                    keep[s:s + c + k - 1] = False
-                words = [words[i] for i in np.flatnonzero(keep)]
-            kept = b" ".join(words)
-            n_removed.append(n_words[-1] - len(words))
-            digest.append(hashlib.sha256(kept).hexdigest())
-            kept_text.append(kept.decode() if with_text else None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digest, pa.string()),
-             pa.array(kept_text, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+        paths = [None if s is None else (s, c) for s, c in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        yield _kept(batch.column(0), texts_of(batch.column(1)), paths, k, with_text)
+
+
+def _whole(batches: Iterator[pa.RecordBatch], bits, k: int, with_text: bool) -> Iterator[pa.RecordBatch]:
+    """The documents that have no path for sure (key: column 4)."""
+    for batch in batches:
+        rest = pa.RecordBatch.from_arrays(batch.columns, batch.schema.names).filter(pa.array(~_maybe(batch, bits)))
+        yield _kept(rest.column(0), texts_of(rest.column(2)), [None] * rest.num_rows, k, with_text)
+
+
+def _others(batches: Iterator[pa.RecordBatch], bits) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array(_maybe(batch, bits)))
+
+
+def _maybe(batch: pa.RecordBatch, bits) -> np.ndarray:
+    return maybe_in(batch.column(4).to_numpy(zero_copy_only=False).view(np.uint64), bits.value)
 
 
 def remove_repeats(docs: DataFrame, k: int = WINDOW, with_text: bool = False) -> DataFrame:
     """A row per document: doc_id, n_words, n_removed, kept_sha256, kept_text (null unless asked for)."""
     keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = keyed.withColumn("textkey", F.hash("text"))
-    paths = (repeated_paths(keyed, k).groupBy("doc", "textkey")
-             .agg(F.collect_list(F.struct("at", "windows")).alias("paths")))
-    joined = keyed.join(paths, ["doc", "textkey"], "left").select(
+    key = F.xxhash64("doc", "textkey").alias("key")
+    paths = materialize(repeated_paths(keyed, k), "paths")
+    bits = docs.sparkSession.sparkContext.broadcast(key_filter(paths.select(key).distinct()))
+    keyed = keyed.select("doc_id", "doc", "text", "textkey", key)
+    whole = keyed.mapInArrow(lambda b: _whole(b, bits, k, with_text), _KEPT)
+    paths = paths.groupBy("doc", "textkey").agg(F.collect_list(F.struct("at", "windows")).alias("paths"))
+    joined = keyed.mapInArrow(lambda b: _others(b, bits), keyed.schema).join(paths, ["doc", "textkey"], "left").select(
         "doc_id", "text", F.col("paths.at").alias("starts"), F.col("paths.windows").alias("counts"))
-    return joined.mapInArrow(lambda b: _cut(b, k, with_text),
-                             "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    return whole.unionAll(joined.mapInArrow(lambda b: _cut(b, k, with_text), _KEPT))
