@@ -19,8 +19,9 @@ smallest (doc_id, position).
 4. The paths of each document are joined to it and cut out.  A Bloom filter of
    the documents that have paths lets all others pass without a shuffle.
 
-An edge occurs once per window, so even one that is in every document is a small
-part of the rows sorted; runs are read as a stream and never held whole.
+An edge that follows itself (one word over and over) is one row for as long as it
+does, so even an edge in every document is a small part of the rows sorted; the
+rows of an edge are read as a stream and never held whole.
 
 Defined results: null and empty texts have no words; documents shorter than
 a window keep all; a null doc_id counts as larger than any; rows of the same
@@ -76,7 +77,7 @@ def _minimizers(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([pa.array(m[new].view(np.int64)), pa.array(docs[a + t[new]])], ["m", "doc"])
 
 
-_EDGES = "hash long, extra int, doc long, textkey int, at int"
+_EDGES = "hash long, extra int, doc long, textkey int, at int, run int"
 
 
 def _candidate_edges(batches: Iterator[pa.RecordBatch], k: int, bits) -> Iterator[pa.RecordBatch]:
@@ -88,17 +89,23 @@ def _candidate_edges(batches: Iterator[pa.RecordBatch], k: int, bits) -> Iterato
             i = inside[maybe_in(least[inside], bits.value)]
             edge = window_hashes(h, k)[i]
             extra = window_hashes(h * np.uint64(0xD6E8FEB86659FD93) ^ (h >> np.uint64(31)), k)[i]
+            extra = (extra >> np.uint64(33)).astype(np.int32)
+            # one word over and over repeats the same window at once: one row for the run
+            new = np.ones(len(i), bool)
+            new[1:] = (edge[1:] != edge[:-1]) | (extra[1:] != extra[:-1]) | (i[1:] != i[:-1] + 1) | (text[i[1:]] != text[i[:-1]])
+            run = np.diff(np.append(np.flatnonzero(new), len(i))).astype(np.int32)
+            edge, extra, i = edge[new], extra[new], i[new]
             t = a + text[i]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(edge.view(np.int64)), pa.array((extra >> np.uint64(33)).astype(np.int32)), pa.array(docs[t]),
-                 pa.array(keys[t]), pa.array(at[i].astype(np.int32))], ["hash", "extra", "doc", "textkey", "at"])
+                [pa.array(edge.view(np.int64)), pa.array(extra), pa.array(docs[t]), pa.array(keys[t]),
+                 pa.array(at[i].astype(np.int32)), pa.array(run)], ["hash", "extra", "doc", "textkey", "at", "run"])
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by edge, document and position: those in another document than the edge's first source."""
     edge = source = last = None
     for batch in batches:
-        h, x, doc, key, at = (batch.column(j).to_numpy(zero_copy_only=False) for j in range(5))
+        h, x, doc, key, at, run = (batch.column(j).to_numpy(zero_copy_only=False) for j in range(6))
         n = len(h)
         if not n:
             continue
@@ -115,8 +122,8 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             same[0] = last == (doc[0], key[0], at[0])
         edge, source, last = (h[-1], x[-1]), (source_doc[-1], source_at[-1]), (doc[-1], key[-1], at[-1])
         out = np.flatnonzero((doc != source_doc) & ~same)
-        yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in (doc, key, at, source_doc, source_at)],
-                                         ["doc", "textkey", "at", "source_doc", "source_at"])
+        yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in (doc, key, at, run, source_doc, source_at)],
+                                         ["doc", "textkey", "at", "run", "source_doc", "source_at"])
 
 
 def repeated_paths(docs: DataFrame, k: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
@@ -128,14 +135,14 @@ def repeated_paths(docs: DataFrame, k: int = WINDOW, max_words: int = MAX_WORDS)
     bits = spark.sparkContext.broadcast(key_filter(again, max_words))
     edges = docs.select("doc", "text", "textkey").mapInArrow(lambda b: _candidate_edges(b, k, bits), _EDGES)
     repeats = (edges.repartition("hash").sortWithinPartitions("hash", "extra", "doc", "textkey", "at")
-               .mapInArrow(_repeats, "doc long, textkey int, at int, source_doc long, source_at int"))
+               .mapInArrow(_repeats, "doc long, textkey int, at int, run int, source_doc long, source_at int"))
     by = Window.partitionBy("doc", "textkey").orderBy("at")
-    before = F.lag(F.struct("at", "source_doc", "source_at")).over(by)
-    linked = ((before["at"] + 1 == F.col("at")) & (before["source_doc"] == F.col("source_doc"))
-              & (before["source_at"] + 1 == F.col("source_at")))
+    before = F.lag(F.struct("at", "run", "source_doc", "source_at")).over(by)
+    linked = ((before["at"] + before["run"] == F.col("at")) & (before["source_doc"] == F.col("source_doc"))
+              & (before["source_at"] + before["run"] == F.col("source_at")))
     return (repeats.withColumn("linked", linked).withColumn("path", F.sum(F.when(F.col("linked"), 0).otherwise(1)).over(by))
             .groupBy("doc", "textkey", "path").agg(
-                F.min("at").alias("at"), F.count(F.lit(1)).alias("windows"), F.min("source_doc").alias("source_doc"),
+                F.min("at").alias("at"), F.sum("run").alias("windows"), F.min("source_doc").alias("source_doc"),
                 F.min("source_at").alias("source_at")).drop("path"))
 
 
