@@ -27,7 +27,6 @@ from __future__ import annotations
 import heapq
 import json
 import re
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -59,7 +58,7 @@ class WordEncoder(dict):
     each piece; all other words go through the whole tokenizer.  ``most`` bounds both caches.
     """
 
-    def __init__(self, spec: str, most: int = 500_000):
+    def __init__(self, spec: str, most: int = 800_000):
         from tokenizers import Tokenizer
         self.tokenizer, self.most, self.pieces = Tokenizer.from_str(spec), most, {}
         parts = json.loads(spec)
@@ -79,21 +78,32 @@ class WordEncoder(dict):
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def piece(self, text: str) -> bytes:
-        out = self.pieces.get(text)
-        if out is None:
-            found = self.model.tokenize(text if text.isascii() else "".join(self.letters[b] for b in text.encode()))
-            out = b"".join([x.id.to_bytes(4, "little") for x in found])
-            if len(self.pieces) >= self.most:
-                self.pieces.clear()
-            self.pieces[text] = out
+        found = self.model.tokenize(text if text.isascii() else "".join([self.letters[b] for b in text.encode()]))
+        if len(self.pieces) >= self.most:
+            self.pieces.clear()
+        out = self.pieces[text] = b"".join([x.id.to_bytes(4, "little") for x in found])
         return out
 
+    def split(self, word: str) -> list[str] | None:
+        """The pieces of a plain word, None if the tokenizer itself must look at it."""
+        if self.pattern is None or ("<" in word and any(s in word for s in self.special)):
+            return None
+        if word.isascii():
+            if not word.isprintable():
+                return None
+            word = word.lower()
+            if word.isalpha():
+                return [word]
+            if word[:-1].isalpha() and not word[-1].isalpha():  # a full stop or the like after letters
+                return [word[:-1], word[-1]]
+        elif not _PLAIN.fullmatch(word):
+            return None
+        return self.pattern.findall(word.lower())
+
     def __missing__(self, raw: bytes) -> bytes:
         word = raw.decode()
-        if self.pattern is None or not _PLAIN.fullmatch(word) or any(s in word for s in self.special):
-            out = self.whole(word)
-        else:
-            out = b"".join([self.piece(x) for x in self.pattern.findall(unicodedata.normalize("NFC", word).lower())])
+        pieces = self.split(word)
+        out = self.whole(word) if pieces is None else b"".join([self.pieces.get(x) or self.piece(x) for x in pieces])
         if len(self) >= self.most:
             self.clear()
         self[raw] = out
