@@ -30,6 +30,7 @@ from .common import ascii_lower, materialize, sha256_hex
 MAX_WORDS = 1 << 20
 BITS_PER_ROW = 16
 PROBES = 4
+MAX_LARGE = 5000
 
 
 def text_key(text: Column) -> Column:
@@ -80,11 +81,18 @@ def exact_dedup(docs: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
     n_words = filter_words(rows.count(), max_words)
     tested = with_maybe_repeated(rows, repeated_bits(rows.select("key"), n_words), n_words)
     again = tested.filter("maybe")
-    groups = (again.groupBy("key").agg(F.max(F.struct("doc_id", "row")).alias("keep"),
-                                       F.count(F.lit(1)).alias("group_size")))
-    repeated = again.join(groups, "key").select(
-        "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
-        (F.col("row") == F.col("keep.row")).alias("kept"), F.col("key").alias("text_sha256"))
+    groups = materialize(
+        again.groupBy("key").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
+        .select("key", F.col("keep.doc_id").alias("keep_id"), F.col("keep.row").alias("keep_row"), "group_size"), "text-groups")
+    large = F.col("group_size") * MAX_LARGE > rows.count()
+    # fewer than MAX_LARGE groups can be so large: they are broadcast, and no key of the shuffled rest is frequent
+    hot = groups.filter(large).select("key", *[F.col(c).alias(f"hot_{c}") for c in ("keep_id", "keep_row", "group_size")])
+    marked = again.join(F.broadcast(hot), "key", "left")
+    in_large = marked.filter("hot_group_size is not null").select(
+        "doc_id", "key", "row", *[F.col(f"hot_{c}").alias(c) for c in ("keep_id", "keep_row", "group_size")])
+    in_small = marked.filter("hot_group_size is null").select("doc_id", "key", "row").join(groups.filter(~large), "key")
+    repeated = in_large.unionByName(in_small).select(
+        "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.col("key").alias("text_sha256"))
     alone = tested.filter(~F.col("maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), F.col("key").alias("text_sha256"))
