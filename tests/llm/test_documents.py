@@ -195,6 +195,35 @@ def test_model_probabilities_add_up():
     assert sum(rest) + 0.1 / 10 ** vocab.rest_norm == pytest.approx(1)
 
 
+def test_words_beyond_the_classes_follow_their_context(spark):
+    """400 pairs a_i b_i of like frequency: b_i is likelier after its own a_i, and all entries add up to 1."""
+    words = [f"{x}{i}".encode() for i in range(400) for x in "ab"]
+    vocab = language_model.Vocabulary(words, np.full(800, 100), 127, 80_400, 900, np.array([[400, 100]]))
+    start = language_model.train(np.empty(0, np.int64), np.empty(0, np.int64), 128)
+    m = language_model.word_model(vocab, start)
+    rng = np.random.default_rng(1)
+    squares, touches = np.zeros(len(m.p), np.float32), np.zeros(len(m.p), np.float32)
+    after = np.array([301, 501, 701])
+    before = m.log10(after - 1, after - 1, after) - m.log10(after - 1, after + 1, after)
+    for _ in range(300):
+        a = 2 * rng.integers(0, 400, 1000)
+        language_model.learn(m, a, a, a + 1, squares, touches, rng)
+    own, other = m.log10(after - 1, after - 1, after), m.log10(after - 1, after - 101, after)
+    assert np.all(np.abs(before) < 1e-6) and np.all(own > other)
+    for two, one in ((300, 300), (5, 800), (799, 0)):
+        assert (10 ** m.log10(np.full(801, two), np.full(801, one), np.arange(801))).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_the_vocabulary_grows_with_the_corpus(spark):
+    sizes = []
+    for n in (500, 2000):
+        counts = spark.range(n).select(F.concat(F.lit("w"), "id").alias("word"), F.when(F.col("id") % 2 == 0, 20).otherwise(3).cast("long").alias("n"))
+        vocab = language_model.vocabulary(counts)
+        assert len(vocab.words) == n // 2 and vocab.counts.sum() + vocab.buckets[:, 0].sum() == vocab.n and vocab.buckets[:, 1].sum() == n // 2
+        sizes.append(vocab.entries)
+    assert sizes[1] > 3 * sizes[0]
+
+
 def test_mixing(docs, rows):
     got = mixing.mix_plan(docs).collect()
     size, target = brute.mix_targets(rows)

@@ -4,19 +4,25 @@ Tokens are the lower-cased (A-Z) words of a text and one end.  Documents whose
 crc32(doc_id as text) mod 10 is 0 are held out; counts and the model come from
 all others, every token of them.
 
-The model predicts a class of the next token from the classes of the two before it:
-score(w | u, v) = (r_u C_1 + r_v C_2) . q_w + b_w.  The ``CLASSES - 1`` most
-frequent words are classes of their own, the rest share one, in which a word
-has its smoothed share of the counts (0.1 added to each, one more for unknown
-words); so probabilities of all tokens, unknown included, add up to 1.
-
-Training: the class trigrams of all training text are counted by Spark; at most
-CLASSES**3 counts come to the driver, whatever the corpus, and hold all that
-the objective needs.  The noise samples of noise-contrastive estimation are
-taken at their expected number, which leaves nothing to chance.  In use,
-products of batches of contexts with all output vectors are normalised in full.
-
-Words: the ``LOOKUP`` most frequent go to the tasks with their counts; the words of
+Every word seen at least ``LEAST`` times is an entry with an input and an output vector of
+its own; the words below it share hashed entries, one for ``SHARED`` different words, in which a word
+has its smoothed share of the counts (0.1 added to each, one more for unknown words).
+So the vectors grow with the corpus.  The score of an entry or node w after the entries u and v is
+score(w | u, v) = (r_u C_1 + r_v C_2) . q_w + b_w.
+
+Probabilities are normalised in full, level by level and each by context: over the
+``CLASSES - 1`` most frequent words and one class of all others; in that class over groups of
+entries of like frequency; in a group over its entries.  So probabilities of all
+tokens, unknown included, add up to 1.
+
+Training is noise-contrastive estimation in two steps.  The class trigrams of all training text are
+counted by Spark (CLASSES**3 counts at most); from them come C_1, C_2 and the starting
+vectors.  Then all vectors learn from every training token: in ``ROUNDS`` rounds, each over its
+share of the documents, the tasks take the model, train it on batches of their own text with noise
+samples at each level (for an entry from its group), and send what changed of the rows they
+touched; the changes are averaged by touches in Spark.
+
+Words: the entries go to the tasks with their counts; the words of
 a text beyond them are joined to the table of all counts, so every count is exact.
 
 Defined results: null and empty texts are the end alone; a null doc_id is held
@@ -26,9 +32,10 @@ probabilities are 1; an empty table gives an empty result; other columns don't m
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +49,18 @@ from .common import materialize
 from .textwindows import in_chunks, texts_of
 
 CLASSES = 128
-LOOKUP = 1 << 18
+LEAST = 16
+SHARED = 64
+ROUNDS = 2
 WIDTH = 16
 NOISE = 10
 STEPS = 150
+BATCH = 4096
+DRAWN = 32
+DRAWN_INSIDE = 3
+BLOCK = 4096
+RATE = 0.05
+CALM = 1.0
 ADDED = 0.1
 END = b""
 
@@ -84,17 +99,22 @@ def word_counts(training: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """The most frequent words, by count; the first ``head`` are classes of their own."""
+    """The words with vectors of their own, by count; the first ``head`` are classes of their own. The other words share the ``buckets``."""
     words: list[bytes]
     counts: np.ndarray
     head: int
     n: int
     different: int
+    buckets: np.ndarray = field(default_factory=lambda: np.zeros((1, 2), np.int64))  # of each the tokens and the different words
 
     @property
     def classes(self) -> int:
         return self.head + 1
 
+    @property
+    def entries(self) -> int:
+        return len(self.words) + len(self.buckets)
+
     @property
     def base_norm(self) -> float:
         return float(np.log10(self.n + ADDED * (self.different + 1)))
@@ -104,44 +124,66 @@ class Vocabulary:
         rest = self.n - int(self.counts[:self.head].sum())
         return float(np.log10(rest + ADDED * (self.different - self.head + 1)))
 
+    @property
+    def bucket_norms(self) -> np.ndarray:
+        return np.log10(self.buckets[:, 0] + ADDED * (self.buckets[:, 1] + 1))
+
+    def ranks(self) -> Ranks:
+        return Ranks(self.words, len(self.buckets))
 
-def vocabulary(counts: DataFrame, classes: int = CLASSES, lookup: int = LOOKUP) -> Vocabulary:
+
+def vocabulary(counts: DataFrame, classes: int = CLASSES, least: int = LEAST, lookup: int | None = None) -> Vocabulary:
+    """All words seen ``least`` times or more (the ``lookup`` most frequent of them, if given)."""
     n, different = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.col("n").desc(), "word").limit(lookup).toArrow()  # at most ``lookup`` rows
-    words = [w.encode() for w in top["word"].to_pylist()]
-    c = top["n"].to_numpy()
-    return Vocabulary(words, c, min(classes - 1, len(words)), n or 0, different)
+    top = counts.filter(F.col("n") >= least).orderBy(F.col("n").desc(), "word")
+    top = (top if lookup is None else top.limit(lookup)).toArrow()
+    words, c = top["word"].to_pylist(), top["n"].to_numpy()
+    rest = counts
+    if words:
+        rest = counts.filter((F.col("n") < int(c[-1])) | (F.col("n") == int(c[-1])) & (F.col("word") > words[-1]))
+    buckets = np.zeros((1 + (different - len(words)) // SHARED, 2), np.int64)
+    at = F.crc32(F.col("word").cast("binary")) % len(buckets)
+    found = rest.groupBy(at.alias("at")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).toArrow()  # a row per bucket
+    buckets[found["at"].to_numpy()] = np.stack([found["n"].to_numpy(), found["words"].to_numpy()], axis=1)
+    return Vocabulary([w.encode() for w in words], c, min(classes - 1, len(words)), n or 0, different, buckets)
 
 
 class Ranks(dict):
+    """The entry of a word: its rank, or the bucket of its hash after all ranks."""
+
+    def __init__(self, words: list[bytes], buckets: int):
+        super().__init__(zip(words, range(len(words)), strict=True))
+        self.words, self.buckets = len(words), buckets
+
     def __missing__(self, word: bytes) -> int:
-        return -1
+        return self.words + zlib.crc32(word) % self.buckets
 
 
-def _classes(rank: np.ndarray, counts: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each token its class and the classes of the two before it; before a text stands the end's class."""
-    own = np.where((rank >= 0) & (rank < vocab.head), rank, vocab.head)
-    end = vocab.words.index(END) if END in vocab.words[:vocab.head] else vocab.head
+def _contexts(rank: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each token the two before it; before a text stands the end."""
     start = np.cumsum(counts) - counts
-    one, two = np.empty_like(own), np.empty_like(own)
-    one[1:], two[2:] = own[:-1], own[:-2]
+    one, two = np.empty_like(rank), np.empty_like(rank)
+    one[1:], two[2:] = rank[:-1], rank[:-2]
     one[start], two[start] = end, end
-    two[np.minimum(start + 1, len(own) - 1)[counts > 1]] = end
-    return own, one, two
+    two[np.minimum(start + 1, len(rank) - 1)[counts > 1]] = end
+    return one, two
+
+
+def _ranked(texts: list[bytes], ranks: Ranks) -> Iterator[tuple[int, list[list[bytes]], np.ndarray, np.ndarray]]:
+    """Per chunk: the first text's number, the texts' tokens, the number of each and the entries of all."""
+    for a, b in in_chunks(texts):
+        found = [tokens(t) for t in texts[a:b]]
+        counts = np.array([len(x) for x in found])
+        yield a, found, counts, np.fromiter((r for x in found for r in map(ranks.__getitem__, x)), np.int64, counts.sum())
 
 
 def _count_trigrams(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     vocab: Vocabulary = shared.value
-    ranks = Ranks(zip(vocab.words[:vocab.head], range(vocab.head), strict=True))
-    k = vocab.classes
+    ranks, k = Ranks(vocab.words[:vocab.head], 1), vocab.classes
     total = np.zeros(k ** 3, np.int64)
     for batch in batches:
-        texts = texts_of(batch.column(0))
-        for a, b in in_chunks(texts):
-            found = [tokens(t) for t in texts[a:b]]
-            counts = np.array([len(x) for x in found])
-            rank = np.fromiter((r for x in found for r in map(ranks.__getitem__, x)), np.int64, counts.sum())
-            own, one, two = _classes(rank, counts, vocab)
+        for _, _, counts, own in _ranked(texts_of(batch.column(0)), ranks):
+            one, two = _contexts(own, counts, ranks[END])
             total += np.bincount((two * k + one) * k + own, minlength=k ** 3)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["code", "n"])
@@ -207,6 +249,213 @@ def train(code: np.ndarray, n: np.ndarray, k: int, width: int = WIDTH, noise: in
     return model
 
 
+# --- all entries ------------------------------------------------------------
+
+@dataclass
+class WordModel:
+    """Vectors of all entries. Rows of ``p``: inputs of the entries, outputs of the classes, the groups and the entries; the last column is the bias."""
+    p: np.ndarray
+    c1: np.ndarray
+    c2: np.ndarray
+    head: int
+    bounds: np.ndarray     # the first entry of each group, and the end
+    class_p: np.ndarray    # noise
+    group_p: np.ndarray
+
+    @property
+    def entries(self) -> int:
+        return int(self.bounds[-1])
+
+    @property
+    def first_class(self) -> int:
+        return self.entries
+
+    @property
+    def first_group(self) -> int:
+        return self.entries + self.head + 1
+
+    @property
+    def first_entry(self) -> int:
+        return self.first_group + len(self.bounds) - 1
+
+    def hidden(self, two: np.ndarray, one: np.ndarray) -> np.ndarray:
+        return self.p[two, :-1] @ self.c2 + self.p[one, :-1] @ self.c1
+
+    def groups(self, entry: np.ndarray) -> np.ndarray:
+        """Of entries beyond the head."""
+        return np.searchsorted(self.bounds, entry, "right") - 1
+
+    def _log(self, h: np.ndarray, first: int, end: int, own: np.ndarray) -> np.ndarray:
+        """Natural log of the probability of node ``own`` among the nodes first..end after each context."""
+        out = np.empty(len(h), np.float32)
+        q = np.ascontiguousarray(self.p[first:end, :-1].T)
+        size = max(1, (1 << 20) // (end - first))
+        for a in range(0, len(h), size):
+            s = h[a:a + size] @ q + self.p[first:end, -1]
+            mine = s[np.arange(len(s)), own[a:a + size]]
+            top = s.max(axis=1, keepdims=True)
+            s -= top
+            out[a:a + size] = mine - top[:, 0] - np.log(np.exp(s, out=s).sum(axis=1))
+        return out
+
+    def log10(self, two: np.ndarray, one: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        """Normalised log10 probability of each entry after its context."""
+        h = self.hidden(two, one)
+        out = self._log(h, self.first_class, self.first_group, np.minimum(entry, self.head)).astype(np.float64)
+        rest = np.flatnonzero(entry >= self.head)
+        if len(rest):
+            group = self.groups(entry[rest])
+            order = np.argsort(group, kind="stable")
+            rest, group = rest[order], group[order]
+            h = h[rest]
+            more = self._log(h, self.first_group, self.first_entry, group)
+            at = np.searchsorted(group, np.arange(len(self.bounds)))
+            for g in np.flatnonzero(np.diff(at)):
+                x, a, b = slice(at[g], at[g + 1]), self.bounds[g], self.bounds[g + 1]
+                more[x] += self._log(h[x], self.first_entry + a, self.first_entry + b, entry[rest[x]] - a)
+            out[rest] += more
+        return out / np.log(10)
+
+
+def grouped(counts: np.ndarray, head: int) -> np.ndarray:
+    """Bounds of the groups of the entries from ``head`` on, so that all have like sums of root counts."""
+    root = np.cumsum(np.sqrt(counts[head:] + 1.0))
+    n = int(np.ceil(np.sqrt(len(root)) / 2))
+    first = np.searchsorted(root, root[-1] * np.arange(n) / n, "right")
+    return head + np.unique(np.append(first, len(root)))
+
+
+def word_model(vocab: Vocabulary, classes: LogBilinear) -> WordModel:
+    """The model before it learns more than classes: entries beyond the head are used as their class, and by their counts in it."""
+    counts = np.concatenate([vocab.counts, vocab.buckets[:, 0]])
+    head, n, width = vocab.head, vocab.entries, classes.r.shape[1]
+    bounds = grouped(counts, head)
+    smooth = counts + ADDED
+    group_n = np.add.reduceat(smooth, bounds[:-1])
+    class_p = np.append(smooth[:head], smooth[head:].sum())
+    p = np.zeros((2 * n + head + len(bounds), width + 1), np.float32)
+    p[:n, :-1] = classes.r[np.minimum(np.arange(n), head)]
+    p[n:n + head + 1] = np.concatenate([classes.q, classes.b[:, None]], axis=1)
+    p[n + head + 1:n + head + len(bounds), -1] = np.log(group_n / group_n.sum())
+    p[n + head + len(bounds) + head:, -1] = np.log(smooth[head:] / np.repeat(group_n, np.diff(bounds)))
+    return WordModel(p, classes.c1, classes.c2, head, bounds, class_p / class_p.sum(), group_n / group_n.sum())
+
+
+def learn(m: WordModel, two: np.ndarray, one: np.ndarray, entry: np.ndarray, squares: np.ndarray, touches: np.ndarray, rng, rate: float = RATE) -> None:
+    """A step of noise-contrastive estimation over a batch of tokens, by Adagrad for each row of ``m.p``; the biases stay at the counts."""
+    p, h = m.p, m.hidden(two, one)
+    gh = np.zeros_like(h)
+    rows, grads = [], []
+
+    def add(row: np.ndarray, g: np.ndarray, h: np.ndarray) -> None:
+        rows.append(row)
+        grads.append(g[:, None] * h)
+
+    def level(first: int, noise_p: np.ndarray, own: np.ndarray, h: np.ndarray) -> np.ndarray:
+        drawn = rng.choice(len(noise_p), DRAWN, p=noise_p)
+        asked = np.log(NOISE * noise_p).astype(np.float32)
+        mine, noise = p[first + own], p[first + drawn]
+        true = 1 / (1 + np.exp((h * mine[:, :-1]).sum(axis=1) + mine[:, -1] - asked[own]))
+        false = NOISE / DRAWN / (1 + np.exp(asked[drawn] - h @ noise[:, :-1].T - noise[:, -1]))
+        add(first + own, true, h)
+        rows.append(first + drawn)
+        grads.append(-false.T @ h)
+        return true[:, None] * mine[:, :-1] - false @ noise[:, :-1]
+
+    gh += level(m.first_class, m.class_p, np.minimum(entry, m.head), h)
+    rest = np.flatnonzero(entry >= m.head)
+    if len(rest):
+        own, inner = entry[rest], h[rest]
+        group = m.groups(own)
+        gh[rest] += level(m.first_group, m.group_p, group, inner)
+        # inside a group the noise is uniform: its entries are about as frequent
+        first, size = m.bounds[group], m.bounds[group + 1] - m.bounds[group]
+        asked = np.log(DRAWN_INSIDE / size).astype(np.float32)
+        for j in range(1 + DRAWN_INSIDE):
+            x = own if j == 0 else first + (rng.random(len(rest)) * size).astype(np.int64)
+            v = p[m.first_entry + x]
+            chance = 1 / (1 + np.exp(asked - (inner * v[:, :-1]).sum(axis=1) - v[:, -1]))
+            g = 1 - chance if j == 0 else -chance
+            add(m.first_entry + x, g, inner)
+            gh[rest] += g[:, None] * v[:, :-1]
+    for row, c in ((one, m.c1), (two, m.c2)):
+        rows.append(row)
+        grads.append(gh @ c.T)
+    row, grad = np.concatenate(rows), np.concatenate(grads)
+    order = np.argsort(row, kind="stable")
+    row = row[order]
+    at = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+    grad, row = np.add.reduceat(grad[order], at), row[at]
+    squares[row] += (grad * grad).mean(axis=1)
+    touches[row] += np.diff(np.append(at, len(order)))
+    p[row, :-1] += rate * grad / np.sqrt(squares[row] + CALM)[:, None]
+
+
+_CHANGES = "block int, rows binary, touches binary, changes binary"
+
+
+def _block(block: int, rows: np.ndarray, touches: np.ndarray, changes: np.ndarray) -> pa.RecordBatch:
+    """Changes go as half floats, three digits of a step."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (
+            rows.astype(np.int32), touches.astype(np.float32), changes.astype(np.float16)))], ["block", "rows", "touches", "changes"])
+
+
+def _learn(batches: Iterator[pa.RecordBatch], shared, seed: int) -> Iterator[pa.RecordBatch]:
+    """What a task's text changes, by blocks of rows: touches and changes. Biases never change."""
+    vocab, before = shared.value
+    ranks = vocab.ranks()
+    m = WordModel(before.p.copy(), before.c1, before.c2, before.head, before.bounds, before.class_p, before.group_p)
+    squares, touches = np.zeros(len(m.p), np.float32), np.zeros(len(m.p), np.float32)
+    rng = np.random.default_rng((seed, TaskContext.get().partitionId()))
+    for batch in batches:
+        for _, _, counts, entry in _ranked(texts_of(batch.column(0)), ranks):
+            one, two = _contexts(entry, counts, ranks[END])
+            for a in range(0, len(entry), BATCH):
+                x = slice(a, a + BATCH)
+                learn(m, two[x], one[x], entry[x], squares, touches, rng)
+    for block in range(0, -(-len(m.p) // BLOCK)):
+        rows = block * BLOCK + np.flatnonzero(touches[block * BLOCK:(block + 1) * BLOCK])
+        if len(rows):
+            yield _block(block, rows, touches[rows], m.p[rows, :-1] - before.p[rows, :-1])
+
+
+def _averaged(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by block: one row per block, with the changes averaged by touches."""
+    def out():
+        at = np.flatnonzero(touches)
+        return _block(block, block * BLOCK + at, touches[at], total[at] / touches[at, None])
+
+    block = None
+    for batch in batches:
+        for b, rows, t, changes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if b != block:
+                if block is not None:
+                    yield out()
+                block, total, touches = b, np.zeros((BLOCK, width), np.float32), np.zeros(BLOCK, np.float32)
+            at, t = np.frombuffer(rows, np.int32) - b * BLOCK, np.frombuffer(t, np.float32)
+            total[at] += np.frombuffer(changes, np.float16).reshape(-1, width) * t[:, None]
+            touches[at] += t
+    if block is not None:
+        yield out()
+
+
+def train_words(training: DataFrame, vocab: Vocabulary, m: WordModel, rounds: int = ROUNDS) -> WordModel:
+    """Training of all vectors over the partitions of the text; each document is in one round."""
+    sc, width = training.sparkSession.sparkContext, m.p.shape[1] - 1
+    for i in range(rounds):
+        shared = sc.broadcast((vocab, m))
+        mine = training.filter(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == i).select("text")
+        changes = (mine.mapInArrow(lambda b, shared=shared, i=i: _learn(b, shared, i), _CHANGES)
+                   .repartition("block").sortWithinPartitions("block").mapInArrow(lambda b: _averaged(b, width), _CHANGES)).toArrow()
+        p = m.p.copy()
+        for rows, x in zip(changes["rows"].to_pylist(), changes["changes"].to_pylist(), strict=True):
+            p[np.frombuffer(rows, np.int32), :-1] += np.frombuffer(x, np.float16).reshape(-1, width)
+        m = WordModel(p, m.c1, m.c2, m.head, m.bounds, m.class_p, m.group_p)
+        shared.unpersist()
+    return m
+
+
 # --- scoring ----------------------------------------------------------------
 
 _PARTS = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rare array<string>"
@@ -214,27 +463,20 @@ _PARTS = "row long, doc_id long, held_out boolean, n_tokens long, known long, ba
 
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     vocab, model = shared.value
-    ranks = Ranks(zip(vocab.words, range(len(vocab.words)), strict=True))
-    logs = np.append(np.log10(vocab.counts + ADDED), 0.0)  # the last for rank -1: added by the join
-    k, row = vocab.classes, TaskContext.get().partitionId() << 40
+    ranks, words = vocab.ranks(), len(vocab.words)
+    logs = np.append(np.log10(vocab.counts + ADDED), np.zeros(len(vocab.buckets)))  # of words in buckets: added by the join
+    shares = np.append(np.zeros(words), vocab.bucket_norms)
+    row = TaskContext.get().partitionId() << 40
     for batch in batches:
-        texts = texts_of(batch.column(1))
-        for a, b in in_chunks(texts):
-            found = [tokens(t) for t in texts[a:b]]
-            counts = np.array([len(x) for x in found])
+        for a, found, counts, entry in _ranked(texts_of(batch.column(1)), ranks):
             start = np.cumsum(counts) - counts
-            rank = np.fromiter((r for x in found for r in map(ranks.__getitem__, x)), np.int64, counts.sum())
-            own, one, two = _classes(rank, counts, vocab)
-            context, at = np.unique(two * k + one, return_inverse=True)
-            log_class = model.log10(context // k, context % k)[at, own].astype(np.float64)
-            in_rest = own == vocab.head
-            log_word = logs[rank]
-            base = np.add.reduceat(log_word, start) - counts * vocab.base_norm
-            score = np.add.reduceat(log_class + np.where(in_rest, log_word - vocab.rest_norm, 0.0), start)
-            known = np.add.reduceat((rank >= 0).astype(np.int64), start)
+            one, two = _contexts(entry, counts, ranks[END])
+            base = np.add.reduceat(logs[entry], start) - counts * vocab.base_norm
+            score = np.add.reduceat(model.log10(two, one, entry) - shares[entry], start)
+            known = np.add.reduceat((entry < words).astype(np.int64), start)
             rare = [[w.decode() for w in x if w not in ranks] if n < c else []
                     for x, n, c in zip(found, known.tolist(), counts.tolist(), strict=True)]
-            size = b - a
+            size = len(found)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + size)), batch.column(0).slice(a, size), batch.column(2).slice(a, size),
                  pa.array(counts.astype(np.int64)), pa.array(known), pa.array(base), pa.array(score),
@@ -243,18 +485,19 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
             row += size
 
 
-def score_documents(docs: DataFrame, classes: int = CLASSES, lookup: int = LOOKUP) -> DataFrame:
+def score_documents(docs: DataFrame, classes: int = CLASSES, lookup: int | None = None) -> DataFrame:
     """A row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
     training = rows.filter(~F.col("held_out"))
     counts = word_counts(training)
-    vocab = vocabulary(counts, classes, lookup)
+    vocab = vocabulary(counts, classes, lookup=lookup)
     small = spark.sparkContext.broadcast(Vocabulary(vocab.words[:vocab.head], vocab.counts[:vocab.head], vocab.head, vocab.n, vocab.different))
     trigrams = (training.select("text").mapInArrow(lambda b: _count_trigrams(b, small), "code int, n long")
                 .groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").toArrow())  # classes**3 rows at most
-    model = train(trigrams["code"].to_numpy().astype(np.int64), trigrams["n"].to_numpy(), vocab.classes)
+    start = train(trigrams["code"].to_numpy().astype(np.int64), trigrams["n"].to_numpy(), vocab.classes)
+    model = train_words(training, vocab, word_model(vocab, start))
     shared = spark.sparkContext.broadcast((vocab, model))
     parts = materialize(rows.mapInArrow(lambda b: _score(b, shared), _PARTS), "score-parts")
     rare = parts.select("row", F.explode("rare").alias("word")).join(counts, "word", "left")
