@@ -357,3 +357,25 @@ def test_boosted_trees_learn_the_check():
     score = lambda c: sum(personal_data.value(t, c) for t in trees)
     assert limits[0] == limits[2] == math.inf
     assert [score(c) >= limits[c["kind"]] for c, _, _ in cells] == [True, False, False, True, False]
+
+
+def test_context_decides_over_looser_spans(spark):
+    """Long matches after "card" pass the check, the others fail: so of two like looser spans only the one in context is taken."""
+    right, wrong = "4111 1111 1111 1111", "4111 1111 1111 1112"
+    lines = [(i, f"pay by card {right} now") for i in range(200)] + [(200 + i, f"serial code {wrong} here") for i in range(200)]
+    lines += [(900, "pay by card 4111.1111.1111.1111 now"), (901, "serial code 4111.1111.1111.1111 here")]
+    found = personal_data.find_personal_data(spark.createDataFrame(lines, "doc_id int, text string"))
+    got = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in found.filter("doc_id >= 900").collect()}
+    assert got == {900: [personal_data.KINDS.index("card")], 901: []}
+
+
+def test_wider_generators_propose(spark):
+    want = {"2001:db8::1": "ip", "fe80::": "ip", "::1": "ip", "1:2:3:4:5:6:7:8": "ip", "555 123 4567": "phone", "0049 30 1234567": "phone",
+            "030 1234567": "phone", "0171-234 5678": "phone", "3782.822463.10005": "card"}
+    df = spark.createDataFrame([(x, f"see {x} there") for x in want], "x string, text string")
+    rows = df.select("x", personal_data.proposals(F.col("text")).alias("p")).collect()
+    for r in rows:
+        kind = personal_data.KINDS.index(want[r["x"]])
+        assert (kind, 4, 4 + len(r["x"])) in [(p["kind"], p["start"], p["end"]) for p in r["p"] if not p["proposed"]], r["x"]
+    odd = spark.createDataFrame([("a::b::c",), ("std::vector",), ("1:2:3",)], "text string")
+    assert not [p for r in odd.select(personal_data.proposals(F.col("text")).alias("p")).collect() for p in r["p"] if p["kind"] == 1]

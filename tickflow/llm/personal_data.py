@@ -6,13 +6,13 @@
 2. Base spans are the base pattern's matches that pass their check (parts at most
    255, Luhn, digit counts).  They are always redacted.
 3. Boosted trees learn from all base matches of the corpus, with the check's outcome as
-   label, which format and context go with personal data.  All features are small integers, so
+   label, which format and context go with personal data.  The check itself is no feature.  All features are small integers, so
    the corpus is summed up in at most ``CELLS`` cells; trees of depth two
    are fitted to the cells on the driver and become one expression.
 4. A threshold for each kind is calibrated on the labelled matches: the lowest
    score at which at least ``PRECISION`` of the matches at or above it are right.  A
-   looser proposal is redacted when its score reaches its kind's threshold and it overlaps no
-   base span of its kind.  Without right matches of a kind nothing is added to it.
+   looser proposal is redacted when its score reaches its kind's threshold, it passes its check (cards: Luhn)
+   and it overlaps no base span of its kind.  Without right matches of a kind nothing is added to it.
 
 The patterns only add possessive quantifiers and look-behinds to the contract's,
 which changes no match and keeps the search linear on very long runs.
@@ -45,13 +45,16 @@ BASE = {
 }
 LOOSE = {
     "email": rf"(?<![{_LOCAL}])[{_LOCAL}]++\x20?[\[({{](?:at|AT)[\])}}]\x20?[A-Za-z0-9-]++(?:\x20?(?:[\[({{](?:dot|DOT)[\])}}]|\.)\x20?[A-Za-z0-9-]++)++",
-    "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
-    "card": r"(?<![0-9])[0-9]{4}(?:[./_][0-9]{4}){3}(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z-])",
+    "ip": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+          r"|(?=[0-9A-Fa-f:]*+(?![0-9A-Za-z:]))(?=(?:[0-9A-Fa-f]*+:){2,7}+[0-9A-Fa-f]*+(?![0-9A-Fa-f:]))"
+          r"(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![0-9A-Za-z:])",
+    "card": r"(?<![0-9])(?:[0-9]{4}(?:[./_][0-9]{4}){3}|[0-9]{4}[./_][0-9]{6}[./_][0-9]{4,5})(?![0-9])",
+    "phone": r"(?<![0-9A-Za-z+.-])(?:(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}"
+             r"|00[1-9][0-9]{0,2}(?:[\x20./-]?[0-9]{2,4}){2,4}|0[1-9][0-9]{1,4}[\x20/-][0-9]{2,4}(?:[\x20-]?[0-9]{2,4}){1,2})(?![0-9A-Za-z-])",
 }
 #: A text without this has no match of the kind.
-NEEDS = {"email": "@|[(\\[{](?:at|AT)[)\\]}]", "ip": "[0-9][.]|:[0-9A-Fa-f]", "card": "[0-9]{4}|[0-9][\\x20-][0-9]",
-         "phone": "[+][0-9]|[0-9][.)-]"}
+NEEDS = {"email": "@|[(\\[{](?:at|AT)[)\\]}]", "ip": "[0-9][.]|:[0-9A-Fa-f]|[0-9A-Fa-f]:", "card": "[0-9]{4}|[0-9][\\x20-][0-9]",
+         "phone": "[+][0-9]|[0-9][.)\\x20/-]|00[1-9]"}
 #: Words before a span that speak for its kind.
 CONTEXT = {"email": "mail|contact|write|kontakt|correo", "ip": "addr|host|server|ip", "card": "card|visa|karte|carte|tarjeta|pay",
            "phone": "phone|call|tel|fax|mobile|numero"}
@@ -117,10 +120,9 @@ def described(kind: str, base: bool, m: Column) -> Column:
     digits = F.regexp_replace(m["found"], "[^0-9]", "")
     n = F.length(digits)
     ok = passes(kind, m["found"])
-    if base:
-        check = F.lit(2) if kind in ("email", "phone") else ok.cast("int")
-    else:
-        check = F.when(F.length(digits).between(13, 19), luhn(digits)).otherwise(False).cast("int") if kind == "card" else F.lit(2)
+    check = F.lit(2)  # the check is the label: the same for all base matches, or it alone would split them
+    if not base and kind == "card":
+        check = F.when(F.when(n.between(13, 19), luhn(digits)).otherwise(False), 2).otherwise(0)
     count = F.when(n == 0, 0).when(n < 4, 1).when(n < 9, 2).when(n < 13, 3).when(n < 20, 4).otherwise(5)
     return F.struct(
         F.lit(KINDS.index(kind)).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), F.lit(base).alias("proposed"),
@@ -250,7 +252,7 @@ def selected(found: Column, trees: list[Tree], limits: list[float]) -> Column:
         def add(base: Column) -> Column:
             def accepted(p: Column) -> Column:
                 free = ~F.exists(base, lambda b: (b["kind"] == p["kind"]) & (b["start"] < p["end"]) & (p["start"] < b["end"]))
-                return ~p["proposed"] & free & (score(trees, p) >= F.element_at(limit_of, p["kind"] + 1))
+                return ~p["proposed"] & free & (p["check"] > 0) & (score(trees, p) >= F.element_at(limit_of, p["kind"] + 1))
 
             both = F.concat(base, F.filter(all_, accepted))
             return F.sort_array(F.transform(both, lambda p: F.struct(p["kind"], p["start"], p["end"], p["base"])))
