@@ -1,12 +1,6 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-SF = "/root/testdata/sf0.001"
-LONG = " ".join(f"w{i % 977} x{i % 13}" for i in range(15_000)) + "\n" + "again and again\n" * 300
+from llm_cases import LONG, SF
 
 
 @pytest.fixture(scope="session")

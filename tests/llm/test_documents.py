@@ -8,7 +8,7 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
-from conftest import SF
+from llm_cases import SF
 from pyspark.sql import functions as F
 
 from tickflow.llm import exact_dedup, language_model, mixing, ngram_join, packing, personal_data, quality, substrings

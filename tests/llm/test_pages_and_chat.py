@@ -2,7 +2,7 @@
 
 import brute
 import pytest
-from conftest import SF
+from llm_cases import SF
 from pyspark.sql import functions as F
 
 from tickflow.llm import chat, queries, url_rules

@@ -4,7 +4,7 @@ from collections import Counter
 
 import brute
 import pytest
-from conftest import SF
+from llm_cases import SF
 from pyspark.sql import functions as F
 
 import corpus_pipeline
