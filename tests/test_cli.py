@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from tickflow import cli
 from tickflow.session import scratch_path
 from tickflow.sources import fixtures as fx

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_ORACLE
+from sf_dirs import SF_ORACLE
 from tickflow.operators import ingest, validate
 from tickflow.sources import fixtures as fx
 

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from oracle_compare import compare, duck
 from tickflow import oracle
 from tickflow.queries import QUERIES

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from tickflow.queries import QUERIES
 
 BATCH = sorted(n for n in QUERIES if not n.startswith("stream"))

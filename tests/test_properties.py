@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from tickflow.functions.timeutil import default_as_of
 from tickflow.operators import marts
 from tickflow.plans import incremental, sequential, sinks

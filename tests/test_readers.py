@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from tickflow.operators import ingest, marts
 from tickflow.session import scratch_path
 from tickflow.sources import fixtures as fx

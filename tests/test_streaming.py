@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from tickflow.session import scratch_path
 from tickflow.sources import fixtures as fx
 from tickflow.streaming import ingest as sing
