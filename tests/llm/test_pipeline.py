@@ -50,4 +50,4 @@ def test_run_gives_the_last_stage(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     last = dict(stages)["packing"]
     assert Counter(map(tuple, got.select("doc_id", "start", "ids_crc32").collect())) == Counter(map(tuple, last.select("doc_id", "start", "ids_crc32").collect()))
-    assert len(queries.QUERIES) == 10
+    assert len(queries.QUERIES) == 13

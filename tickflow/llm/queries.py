@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, language_model, mixing, ngram_join, packing, personal_data, quality, substrings, url_rules
-from .common import sha256_hex, table
+from . import (best_fit, chat, exact_dedup, language_model, mixing, ngram_join, packing, personal_data, prefix_trie, quality, spelling,
+               substrings, url_rules)
+from .common import materialize, sha256_hex, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,13 +62,36 @@ def op10_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return best_fit.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = materialize(prefix_trie.ordered_turns(table(spark, sf_dir, "conversations")), "turns")
+    nodes, ends = prefix_trie.prefix_trie(*prefix_trie.with_shared_starts(turns))
+    columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]
+    several = (F.col("n_convs") > 1) & (F.col("n_ends") > 0)
+    hashed = nodes.filter(several).join(prefix_trie.ends_hash(ends), prefix_trie.NODE)
+    own = F.when(F.col("n_ends") > 0, F.col("conv_id").cast("string")).otherwise(F.lit(""))
+    return hashed.select(*columns, "ends_sha256").unionByName(nodes.filter(~several).select(*columns, sha256_hex(own).alias("ends_sha256")))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_exact_dedup, op3_personal_data, op4_ngram_join, op5_language_model, op6_mixing, op7_substring_dedup, op8_packing, op9_url_rules, op10_chat_rotation)}
+    op1_quality_rules, op2_exact_dedup, op3_personal_data, op4_ngram_join, op5_language_model, op6_mixing, op7_substring_dedup, op8_packing, op9_url_rules, op10_chat_rotation,
+    op11_best_fit_packing, op12_prefix_trie, op13_spelling_variants)}
 
 #: DuckDB SQL of the queries that SQL can express. Hashed n-grams, tokenizers, models and hash orders
-#: (1, 3, 5, 6, 8) are tested against brute force instead.
+#: (1, 3, 5, 6, 8, 11) are tested against brute force instead.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"[x FOR x IN string_split_regex({}, '[\x20\x09-\x0D]+') IF x <> '']"
+#: The unsigned crc32 of {0}, the upper-case hex of some bytes: a bit at a time.
+_CRC32 = """xor(list_reduce([4294967295::BIGINT] || [('0x' || substr({0}, 2 * i + 1, 2))::BIGINT FOR i IN range(length({0}) // 2)],
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
 _RULES = ", ".join(f"('{r.name}', '{r.name.partition('/')[0]}', '/{r.name.partition('/')[2]}', '{r.verdict}')" for r in url_rules.BASE_RULES)
 _SPAM = ", ".join(f"('{r.name}', '{r.literals[0]}', '{r.verdict}')" for r in url_rules.SPAM_RULES)
 
@@ -123,4 +147,33 @@ SELECT conv_id, segment, 0::BIGINT AS part, speaker, count(*) AS n_turns, count(
        string_agg(head || body || chr(10), '' ORDER BY turn NULLS FIRST, role, said) AS text,
        string_agg(start::BIGINT || ':' || (start + length(body))::BIGINT, ',' ORDER BY turn NULLS FIRST, role, said) FILTER (own) AS targets
 FROM p GROUP BY conv_id, segment, speaker""",
+    "op12_prefix_trie": f"""
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p,
+                  {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS s FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT c, list(s ORDER BY p) AS s FROM t GROUP BY c),
+h AS (SELECT c, s, {_CRC32.format("hex(encode(c::VARCHAR))")} % 6 AS h FROM k),
+q AS (SELECT h.c, coalesce(k.s[1:h.h], []) || h.s[h.h + 1:] AS s FROM h LEFT JOIN k ON k.c = h.c - h.c % 100),
+x AS (SELECT c, u.d, s[1:u.d] AS key, len(s) AS n FROM q, unnest(range(0, len(s) + 1)) u(d)),
+n AS (SELECT key, d, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(c, ',' ORDER BY c) FILTER (n = d), '') AS ends,
+             CASE WHEN d > 0 THEN length(key[d].text) ELSE 0 END AS chars FROM x GROUP BY key, d),
+ch AS (SELECT key[1:d - 1] AS key, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+b AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch USING (key, d)),
+sub AS (SELECT key[1:u.d] AS key, u.d, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * chars) AS saved
+        FROM b, unnest(range(0, b.d + 1)) u(d) GROUP BY ALL)
+SELECT b.conv_id, b.d AS depth, p.conv_id AS parent_conv_id, b.n_convs, b.n_children, sub.n_leaves, sub.saved::BIGINT AS saved_tokens, sha256(b.ends) AS ends_sha256
+FROM b JOIN sub USING (key, d) LEFT JOIN n p ON p.d = b.d - 1 AND p.key = b.key[1:b.d - 1]""",
+    "op13_spelling_variants": f"""
+WITH RECURSIVE r AS (SELECT unnest(regexp_extract_all({_LOWER}, '[A-Za-z\u00C0-\u00FF]{{7,}}')) AS run, coalesce(doc_id::VARCHAR, '') AS doc FROM documents),
+o AS (SELECT run, doc, count(*) AS n FROM r GROUP BY ALL),
+h AS (SELECT run, n, {_CRC32.format("hex(encode(doc || ':' || run))")} AS h FROM o),
+a AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM a WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+d AS (SELECT word, n, t.i, substr(word, 1, t.i) || substr(word, t.i + 2) AS less FROM w, unnest(range(length(word))) t(i)),
+p AS (SELECT a.word, b.word AS other, b.n FROM d a JOIN d b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+      UNION SELECT d.word, w.word, w.n FROM d JOIN w ON d.less = w.word UNION SELECT w.word, d.word, d.n FROM d JOIN w ON d.less = w.word),
+m AS (SELECT word, count(*) AS n_near, max(n) AS best_n FROM p GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n FROM w LEFT JOIN m USING (word)),
+g AS (SELECT f.*, (SELECT min(other) FROM p WHERE p.word = f.word AND p.n = f.form_n) AS form FROM f),
+z AS (SELECT word, word AS root FROM g UNION SELECT z.word, g.form FROM z JOIN g ON g.word = z.root WHERE g.form IS NOT NULL)
+SELECT g.word, g.form, z.root, g.n, g.n_near, g.form_n FROM g JOIN z ON z.word = g.word JOIN g e ON e.word = z.root WHERE e.form IS NULL""",
 }
