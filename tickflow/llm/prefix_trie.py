@@ -17,8 +17,7 @@ first 64 code points, for the order of turns with one number).  Order and
 running sums within a conversation go by stretches of 4096 turn numbers, with
 the totals of the stretches before, so a very long conversation is spread over
 tasks.  Counts are partial aggregates; children of the few nodes that hold more
-than 1/2000 of the shared rows meet them by broadcast (fewer than 2000 rows a
-depth-independent bound), all other keys are small.  The sketch has 64 MB at
+than 1/2000 of the shared rows meet them by broadcast (fewer than 2000 rows), all other keys are small.  The sketch has 64 MB at
 most: beyond some 100 million prefixes more of them are shuffled, as digests,
 and the result stays the same.
 
@@ -176,7 +175,7 @@ def prefix_trie(steps: DataFrame, conversations: DataFrame, max_width: int = cou
     out.insert(4, "parent_conv_id")
     many = groups.filter("n_convs > 1 and n_ends > 0").select(*NODE)
     ends = shared.filter("last").select(*NODE, "conv_id").join(many, NODE, "left_semi")
-    return named.select(*out).unionByName(rest.select(*out)), ends
+    return materialize(named.select(*out).unionByName(rest.select(*out)), "trie"), ends
 
 
 def _with_parents(nodes: DataFrame, groups: DataFrame, n_rows: int) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tickflow.session import ship_package
 
-from .common import ascii_lower, let, materialize
+from .common import ascii_lower, materialize
 from .fm_index import FmIndex
 
 MIN_LENGTH = 7
@@ -51,19 +51,17 @@ _FOUND = "word string, n long, n_near long, best_n long, best string"
 
 def word_counts(docs: DataFrame, altered: int = ALTERED, min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT) -> DataFrame:
     """(word, n): runs of letters, A-Z lower-cased, one in ``altered`` with a code point deleted, by a hash of document and run."""
-    runs = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(f"[A-Za-z\\u00C0-\\u00FF]{{{min_length},}}"), F.lit(0))
+    runs = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(f"[a-z\\u00C0-\\u00FF]{{{min_length},}}+"), F.lit(0))
     found = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc"), F.explode(runs).alias("run"))
     return (found.select(_altered(F.col("doc"), F.col("run"), altered).alias("word")).filter(F.length("word") >= min_length)
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count))
 
 
 def _altered(doc: Column, run: Column, one_in: int) -> Column:
-    def cut(h: Column) -> Column:
-        at = F.pmod(h, F.length(run)).cast("int")
-        less = F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))
-        return F.when(F.pmod(h, F.lit(one_in)) == 0, less).otherwise(run)
-
-    return let(F.crc32(F.concat(doc, F.lit(":"), run)), cut)
+    h = F.crc32(F.concat(doc, F.lit(":"), run))
+    at = F.pmod(h, F.length(run)).cast("int")
+    less = F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))
+    return F.when(F.pmod(h, F.lit(one_in)) == 0, less).otherwise(run)
 
 
 def _entries(words: DataFrame, min_length: int) -> DataFrame:
