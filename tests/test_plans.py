@@ -7,6 +7,11 @@ import pytest
 from sf_dirs import SF_SMALL
 from tickflow.queries import QUERIES
 
+def marts_plan(stg):
+    from tickflow.operators import marts
+    return marts.price_events(stg, bucket="adaptive")._jdf.queryExecution().executedPlan().toString()
+
+
 BATCH = sorted(n for n in QUERIES if not n.startswith("stream"))
 
 
@@ -22,11 +27,18 @@ def test_no_python_in_batch_plans(spark, name):
         assert node not in p, (name, node)
 
 
-@pytest.mark.parametrize("name", ["price_events", "price_jumps", "alert_timeline"])
-def test_ordered_scans_are_bucketed(spark, name):
-    p = plan(spark, name)
+def test_bucketed_scan_windows_per_bucket(spark):
+    p = plan(spark, "price_events_bucketed")
     # the per-row window is fed by a hash exchange on (keys..., bucket)
-    assert re.search(r"hashpartitioning\([^)]*_seq_bucket#\d+, \d+\)", p), name
+    assert re.search(r"hashpartitioning\([^)]*_seq_bucket#\d+, \d+\)", p)
+
+
+@pytest.mark.parametrize("name", ["price_events", "price_jumps", "alert_timeline", "ingest_idle_time", "api_idle_time"])
+def test_ordered_scans_have_no_window(spark, name):
+    # rows are sorted by ranges and written with what they carry; nothing is windowed by an
+    # instrument, and nothing meets in a single partition
+    p = plan(spark, name)
+    assert "Window" not in p and "SinglePartition" not in p and "BroadcastHashJoin [_range#" in p, p
 
 
 def test_time_bounds_reach_the_scan(spark):
@@ -75,7 +87,8 @@ def test_adaptive_bucket_joins_broadcast_the_counted_hot_sets(spark):
     try:
         for k in keys:
             spark.conf.set(k, "-1")
-        p = plan(spark, "price_events")
+        from tickflow import queries as Q
+        p = marts_plan(Q._stg(spark, SF_SMALL))
     finally:
         for k, v in saved.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

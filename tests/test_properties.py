@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sf_dirs import SF_SMALL
 from tickflow.functions.timeutil import default_as_of
 from tickflow.operators import marts
-from tickflow.plans import incremental, sequential, sinks
+from tickflow.plans import incremental, ranges, sequential, sinks
 from tickflow.session import scratch_path
 from tickflow.sources import fixtures as fx
 
@@ -45,6 +45,62 @@ def test_bucketed_running_max_equals_global(spark, stg):
     assert _rows(got.select(*expect.columns)) == _rows(expect)
 
 
+ODD_TICKS = [("a", None, None, 5, 1.0), ("a", None, 3, 6, None), ("a", "x", 1, 1, 2.0), ("a", "x", 1, 1, 2.5), ("a", "x", 1, 2, None), (None, "x", 9, 1, 4.0),
+             (None, "x", 10, 1, float("nan")), ("b", "", -5, 1, 7.0), ("b", "", None, 1, 3.0)]
+
+
+@pytest.fixture(scope="module")
+def hot_ticks(spark):
+    """One key with most of the rows, many of them at the same time, then single rows, nulls and repeated rows."""
+    hot = spark.range(6000).selectExpr("if(id % 3 < 2, 'hot', concat('k', id % 700)) as k1", "'s' as k2", "if(id % 2 = 0, 7, id % 50) as t",
+                                       "(id * 7919) % 6007 as i", "if(id % 11 = 0, null, cast((id * 31) % 997 as double)) as v")
+    odd = spark.createDataFrame(ODD_TICKS, "k1 string, k2 string, t bigint, i bigint, v double")
+    return hot.unionByName(odd).withColumn("ts", F.timestamp_micros(F.col("t") * 1_000_000).cast("timestamp_ntz"))
+
+
+@pytest.mark.parametrize("partitions", ["1", "3", "40"])
+def test_lag_by_ranges_equals_global_lag(spark, hot_ticks, partitions):
+    df = hot_ticks.dropDuplicates(["k1", "k2", "ts", "i"])
+    w = Window.partitionBy("k1", "k2").orderBy(F.asc_nulls_first("ts"), F.asc_nulls_first("i"))
+    expect = df.select("*", F.lag("v").over(w).alias("prev_v"), F.lag("ts").over(w).alias("prev_ts"))
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ranges.with_lag(df, ["k1", "k2"], ["ts", "i"], ["v", "ts"])
+        per = spark.read.parquet(got.inputFiles()[0].rsplit("/", 1)[0]).filter("k1 = 'hot'").groupBy(ranges.PART).count().count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(map(str, got.select(*expect.columns).collect())) == sorted(map(str, expect.collect()))
+    assert per > int(partitions) // 3      # the hot key lies in many ranges
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("partitions", ["1", "3", "40"])
+def test_running_max_by_ranges_equals_global(spark, hot_ticks, partitions):
+    df = hot_ticks.dropDuplicates(["k1", "k2", "ts", "i"]).filter("v is null or not isnan(v)").withColumn(
+        "w", F.timestamp_micros(F.col("v").cast("bigint")).cast("timestamp_ntz"))
+    w = Window.partitionBy("k1", "k2").orderBy(F.asc_nulls_first("ts"), F.asc_nulls_first("i")).rowsBetween(Window.unboundedPreceding, 0)
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for col in ("v", "w"):
+            got = ranges.with_running_max(df, ["k1", "k2"], ["ts", "i"], col, "top")
+            expect = df.withColumn("top", F.max(col).over(w))
+            assert sorted(map(str, got.select(*expect.columns).collect())) == sorted(map(str, expect.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_ranges_of_nothing(spark, hot_ticks):
+    none = hot_ticks.limit(0)
+    assert ranges.with_lag(none, ["k1"], ["ts"], ["v"]).count() == 0
+    assert ranges.with_running_max(none, [], ["ts"], "v", "top").count() == 0
+
+
 def test_latest_two_branch_equals_single_pass(spark):
     ev = fx.read_events(spark, SF_SMALL)
     stg = marts.stg_raw_prices(fx.ticks_stale_instrument(ev))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tickflow import dims
 from tickflow.functions.numeric import dround
 from tickflow.functions.timeutil import minus, round_seconds, trunc, ts_lit
-from tickflow.plans import sequential
+from tickflow.plans import ranges, sequential
 from tickflow.session import checkpoint_root
 
 STG_COLUMNS = [
@@ -137,16 +137,17 @@ def classify_move_join(df: DataFrame, thresholds: DataFrame, pct: str = "pct_cha
     return j.withColumn("event_type", label).drop("extreme", "large", "medium")
 
 
-def price_events(stg: DataFrame, since=None, bucket="adaptive", keep_normal: bool = False) -> DataFrame:
+def price_events(stg: DataFrame, since=None, bucket=None, keep_normal: bool = False) -> DataFrame:
     """Significant moves between consecutive ticks of an instrument.
 
-    ``lag`` over (commodity, symbol) ordered by (event_ts, event_id), computed
-    with the bucketed plan of ``plans.sequential``; gap guard ``< 30 min``.
+    ``lag`` over (commodity, symbol) ordered by (event_ts, event_id), computed by
+    ranges (``plans.ranges``), or with clock buckets (``plans.sequential``) when
+    ``bucket`` is given; gap guard ``< 30 min``.
     """
     df = stg if since is None else stg.filter(F.col("event_ts") >= ts_lit(since))
     base = df.select("commodity", "symbol", "event_ts", "event_id", "price")
-    lagged = sequential.with_lag(base, ["commodity", "symbol"], ["event_ts", "event_id"],
-                                 ["price", "event_ts"], bucket=bucket)
+    scan = (["commodity", "symbol"], ["event_ts", "event_id"], ["price", "event_ts"])
+    lagged = ranges.with_lag(base, *scan) if bucket is None else sequential.with_lag(base, *scan, bucket=bucket)
     pct = F.when(F.col("prev_price").isNotNull() & (F.col("prev_price") != 0),
                  (F.col("price") - F.col("prev_price")) / F.col("prev_price"))
     gap_ok = (F.col("event_ts") - F.col("prev_event_ts")) < F.expr(

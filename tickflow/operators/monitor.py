@@ -272,29 +272,24 @@ def evaluate_rules(metrics: DataFrame, rules: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ alert timeline
 
-def alert_timeline(samples: DataFrame, rules: DataFrame, bucket="adaptive") -> DataFrame:
+def alert_timeline(samples: DataFrame, rules: DataFrame) -> DataFrame:
     """State per evaluation: normal / pending / firing / resolved.
 
     A rule fires once its condition has held for ``for_seconds`` since the
     first breached sample of the current run of breached samples (gaps and
     islands).  Run starts come from ``lag`` and the run start of each row
-    from a running max, both via the bucketed plan in ``plans.sequential``.
+    from a running max, both by ranges (``plans.ranges``).
     """
-    from tickflow.plans import sequential
-    r = samples.join(F.broadcast(rules.select("rule_uid", "op", "threshold", "no_data_state",
-                                              "for_seconds")), "rule_uid")
+    from tickflow.plans import ranges
+    r = samples.join(rules.select("rule_uid", "op", "threshold", "no_data_state", "for_seconds"), "rule_uid")
     breached = F.when(F.col("value").isNull(), F.col("no_data_state") == "Alerting") \
         .otherwise(_breach(F.col("value"), F.col("op"), F.col("threshold")))
     s = r.select("rule_uid", "ts", "value", "for_seconds", breached.alias("breached"))
-    # one bucket column for both ordered passes
-    s = sequential.add_bucket(s, ["rule_uid"], "ts", bucket, name="_tl_bucket")
-    lagged = sequential.with_lag(s, ["rule_uid"], ["ts"], ["breached", "ts"],
-                                 bucket=F.col("_tl_bucket"))
+    lagged = ranges.with_lag(s, ["rule_uid"], ["ts"], ["breached", "ts"])
     starts = lagged.withColumn(
         "start_ts", F.when(F.col("breached") & ~F.coalesce(F.col("prev_breached"), F.lit(False)),
                            F.col("ts")))
-    runs = sequential.with_running_max(starts, ["rule_uid"], ["ts"], "start_ts", "island_start",
-                                       bucket=F.col("_tl_bucket"))
+    runs = ranges.with_running_max(starts, ["rule_uid"], ["ts"], "start_ts", "island_start")
     held = seconds_between("ts", "island_start") >= F.col("for_seconds")
     prev_held = seconds_between("prev_ts", "island_start") >= F.col("for_seconds")
     state = (F.when(F.col("breached") & held, "firing")
@@ -309,13 +304,13 @@ def idle_time(df: DataFrame, ts_col: str, tie_col: str, cycle_seconds: int = 360
 
     ``max_gap_seconds`` is the longest gap ending that day, ``idle_gaps`` the
     number of gaps longer than one cycle and ``idle_seconds`` their excess
-    over the cycle.  The global ordered scan is split into adaptive clock
-    buckets (``plans.sequential``): only the one-row-per-bucket summary is
-    ordered as a whole.
+    over the cycle.  The one order over all rows is range-partitioned
+    (``plans.ranges``): no task holds more than its range, and no window runs over
+    the whole.  (Session windows would lose the longest gap of a day without idle time.)
     """
-    from tickflow.plans import sequential
+    from tickflow.plans import ranges
     base = df.select(F.col(ts_col).alias("_t"), F.col(tie_col).alias("_k"))
-    lagged = sequential.with_lag(base, [], ["_t", "_k"], ["_t"], bucket="adaptive")
+    lagged = ranges.with_lag(base, [], ["_t", "_k"], ["_t"])
     gap = seconds_between("_t", "prev__t")
     return (lagged.filter(F.col("prev__t").isNotNull())
             .groupBy(trunc("day", "_t").alias("day"))

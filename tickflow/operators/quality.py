@@ -16,16 +16,15 @@ from pyspark.sql import functions as F
 from tickflow import dims
 from tickflow.functions.numeric import dround
 from tickflow.functions.timeutil import minus, seconds_between, ts_lit
-from tickflow.plans import sequential
+from tickflow.plans import ranges
 
 
 # ------------------------------------------------------------------ W2
 
-def price_jumps(minute: DataFrame, bucket="adaptive") -> DataFrame:
+def price_jumps(minute: DataFrame) -> DataFrame:
     """Minute-to-minute jumps beyond the per-symbol sanity limit (strict >)."""
     base = minute.select("commodity", "symbol", "minute_bucket", "last_price")
-    lagged = sequential.with_lag(base, ["commodity", "symbol"], ["minute_bucket"],
-                                 ["last_price"], bucket=bucket)
+    lagged = ranges.with_lag(base, ["commodity", "symbol"], ["minute_bucket"], ["last_price"])
     pct = F.when(F.col("prev_last_price").isNull() | (F.col("prev_last_price") == 0), F.lit(None)) \
         .otherwise(F.abs(F.col("last_price") - F.col("prev_last_price")) / F.col("prev_last_price"))
     limit = None
