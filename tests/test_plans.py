@@ -55,8 +55,26 @@ def test_time_bounds_reach_the_scan(spark):
     assert "LessThan(ts," in older._jdf.queryExecution().executedPlan().toString()
 
 
-def test_insert_new_broadcasts_batch_keys(spark):
-    p = plan(spark, "insert_new")
+def test_insert_new_reads_the_buckets_of_its_ids_only(spark):
+    from pyspark.sql import functions as F
+
+    from tickflow.plans import id_table
+    from tickflow.session import scratch_path
+    ids = id_table.IdTable(scratch_path(spark, "t-ids"), buckets=64)
+    stored = spark.range(5000).select(F.col("id").cast("string").alias("event_id"), F.lit("2024-01-01").cast("date").alias("event_date"))
+    ids.build(stored, F.col("event_date"))
+    batch = spark.createDataFrame([("17", 0, 1), ("x", 0, 2), ("4999", 0, 3)], "event_id string, kafka_partition int, kafka_offset long")
+    got = id_table.new_rows(batch, ids)
+    assert [r["event_id"] for r in got.collect()] == ["x"]
+    p = got._jdf.queryExecution().executedPlan().toString()
+    touched = {b for b, _, _ in ids.touched(batch)}
+    listed = re.search(r"PartitionFilters: \[bucket#\d+ IN \(([0-9,]+)\)", p)
+    assert {int(b) for b in listed[1].split(",")} == touched and len(touched) <= 3
+    assert "PushedFilters: [IsNotNull(id_hash), GreaterThanOrEqual(id_hash," in p
+
+
+def test_insert_new_scan_broadcasts_batch_keys(spark):
+    p = plan(spark, "insert_new_scan")
     assert "LeftSemi" in p and "BroadcastExchange" in p
 
 

@@ -84,6 +84,58 @@ def test_compaction_keeps_ids_unique_and_replay_inserts_nothing(spark):
     assert spark.read.parquet(cfg.fact_path).count() == len(before)
 
 
+def test_ids_under_other_dates_are_conflicts_and_fold(spark):
+    """A later batch brings stored ids with other dates: none is inserted, before and after the ids are folded."""
+    cfg = _cfg(spark)
+    cfg.id_buckets = 4
+    fn = sing.MicroBatchWriter(spark, cfg, "q5")
+    b = _batch(spark)
+    for i in range(3):
+        fn(b.filter(F.col("kafka_partition") == i), i)
+    n = spark.read.parquet(cfg.fact_path).count()
+    moved = b.withColumn("event_ts", F.col("event_ts") + F.expr("INTERVAL 3 DAYS")).withColumn("kafka_offset", F.col("kafka_offset") + 50_000_000)
+    fn(moved, 3)
+    assert spark.read.parquet(cfg.fact_path).count() == n
+    ids = fn.id_table()
+    assert ids.fold(spark, most=1) == [0, 1, 2, 3] and ids.fold(spark, most=1) == []
+    stored = spark.read.parquet(ids.path)
+    assert stored.count() == n == stored.select("event_id").distinct().count()
+    fn(moved, 4)
+    fn(b.filter(F.col("kafka_partition") == 1), 1)          # a replay after the fold
+    assert spark.read.parquet(cfg.fact_path).count() == n
+
+
+def test_the_table_of_ids_is_made_from_stored_facts(spark):
+    cfg = _cfg(spark)
+    fn = sing.MicroBatchWriter(spark, cfg, "q6")
+    b = _batch(spark)
+    fn(b.filter(F.col("kafka_partition") == 0), 0)
+    from tickflow.plans import sinks
+    sinks.delete_path(spark, fn.id_table().path)
+    fn(b, 1)
+    got = spark.read.parquet(cfg.fact_path)
+    assert got.count() == got.select("event_id").distinct().count()
+    assert spark.read.parquet(fn.id_table().path).count() == got.count()
+
+
+def test_ids_are_forgotten_with_their_facts(spark):
+    from tickflow.plans import sinks
+    cfg = _cfg(spark)
+    fn = sing.MicroBatchWriter(spark, cfg, "q7")
+    b = _batch(spark)
+    fn(b, 0)
+    cutoff = "2024-01-15 07:00:00"
+    sinks.apply_retention(spark, cfg.fact_path, "event_ts", cutoff, "event_date")
+    facts = spark.read.parquet(cfg.fact_path)
+    fn.id_table().forget(facts, "2024-01-15")
+    ids = spark.read.parquet(fn.id_table().path)
+    assert sorted(r[0] for r in ids.select("event_id").collect()) == sorted(r[0] for r in facts.select("event_id").collect())
+    n = facts.count()
+    fn(b, 1)      # ids whose facts are gone may come again
+    again = spark.read.parquet(cfg.fact_path)
+    assert again.count() > n and again.count() == again.select("event_id").distinct().count()
+
+
 def test_latest_fold_is_idempotent_and_equals_batch_mart(spark):
     from tickflow.operators import marts
     from tickflow.plans import sinks

@@ -973,6 +973,7 @@ def all_sql() -> dict[str, str]:
         "price_responses": PRICE_RESPONSES,
         "api_call_classes": API_CALL_CLASSES,
         "insert_new": INSERT_NEW,
+        "insert_new_scan": INSERT_NEW,
         "upsert_minute": UPSERT_MINUTE,
         "retention": RETENTION,
         "minute_last_price_ties": MINUTE_LAST_PRICE_TIES,

@@ -30,7 +30,7 @@ class IdTable:
     """``buckets`` is fixed when the table is made: the folder's own list of buckets is not asked for it."""
 
     path: str
-    buckets: int = 256
+    buckets: int = 16
     key: str = "event_id"
     date: str = "event_date"
 
@@ -42,8 +42,7 @@ class IdTable:
         return rows.withColumn("id_hash", h).withColumn("bucket", F.pmod(h, F.lit(self.buckets)).cast("int"))
 
     def exists(self, spark: SparkSession) -> bool:
-        fs, p = sinks._fs(spark, self.path)
-        return fs.exists(p)
+        return sinks.path_exists(spark, self.path) and bool(sinks._leaf_dirs(spark, self.path) - {""})
 
     def write(self, rows: DataFrame, token: str) -> None:
         """Stores the ids of ``rows`` (id and date columns) under a token, in place of what the token held."""
@@ -63,18 +62,53 @@ class IdTable:
         per = self._hashed(ids.select(self.key)).groupBy("bucket").agg(F.min("id_hash").alias("lo"), F.max("id_hash").alias("hi"))
         return sorted(map(tuple, per.collect()))
 
-    def hits(self, ids: DataFrame, token: str | None = None) -> DataFrame:
-        """The stored (id, date) of any of ``ids``, other than those stored under ``token``."""
+    def hits(self, ids: DataFrame, token: str | None = None, fact_path: str | None = None) -> DataFrame:
+        """The stored (id, date) of any of ``ids``.
+
+        A replay must not take its own rows for conflicts: ids under ``token`` don't count for dates
+        whose facts still lie under that token (a compacted date's do count).
+        """
         spark = ids.sparkSession
         touched = self.touched(ids)
-        stored = spark.read.parquet(self.path).filter(F.col("bucket").isin([b for b, _, _ in touched]))
-        if token is not None:
-            stored = stored.filter(F.col("batch_token") != token)
+        table = spark.read.parquet(self.path)
+        stored = table.filter(F.col("bucket").isin([b for b, _, _ in touched]))
         if touched:  # bounds over all buckets reach the row groups' statistics
             stored = stored.filter(F.col("id_hash").between(min(lo for _, lo, _ in touched), max(hi for _, _, hi in touched)))
+        own = self._own_dates(table, token, fact_path)
+        if own:
+            stored = stored.filter(~((F.col("batch_token") == token) & F.col(self.date).isin(own)))
         probe = self._hashed(ids.select(self.key)).select("bucket", "id_hash", self.key)
         return stored.join(probe, ["bucket", "id_hash", self.key], "left_semi").select(self.key, self.date)
 
+    def _own_dates(self, table: DataFrame, token: str | None, fact_path: str | None) -> list:
+        """Dates that an earlier run of the batch has stored facts under; none unless this is a replay."""
+        if token is None:
+            return []
+        dates = [r[0] for r in table.filter(F.col("batch_token") == token).select(self.date).distinct().collect()]  # dates of one batch
+        if fact_path is None:
+            return dates
+        return [d for d in dates if sinks.path_exists(table.sparkSession, f"{fact_path}/{self.date}={d}/batch_token={token}")]
+
+    def forget(self, facts: DataFrame, upto: str) -> None:
+        """After retention: of the ids dated up to ``upto`` only those stay whose facts do (K8).
+
+        What stays is written before what goes is removed, so a break-off forgets nothing that is stored.
+        """
+        spark = facts.sparkSession
+        ids = spark.read.parquet(self.path)
+        old = F.col(self.date) <= F.lit(upto).cast("date")
+        there = facts.filter(old).select(F.col(self.key).cast("string").alias(self.key))
+        kept = ids.filter(~old).unionByName(ids.filter(old).join(there, self.key, "left_semi").select(*ids.columns))
+        staging = scratch_path(spark, "ids-kept")
+        kept.repartition("bucket").sortWithinPartitions("bucket", "batch_token", "id_hash").write.partitionBy("bucket", "batch_token").parquet(staging)
+        leaves = sinks._leaf_dirs(spark, staging) - {""}
+        if leaves:
+            (spark.read.parquet(staging).repartition("bucket").sortWithinPartitions("bucket", "batch_token", "id_hash").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch_token").parquet(self.path))
+        for leaf in sinks._leaf_dirs(spark, self.path) - leaves - {""}:
+            sinks.delete_path(spark, f"{self.path}/{leaf}")
+        sinks.delete_path(spark, staging)
+
     def fold(self, spark: SparkSession, most: int = 32) -> list[int]:
         """Merges the tokens of every bucket that holds more than ``most``; returns those buckets.
 
@@ -104,7 +138,8 @@ class IdTable:
         return sorted(crowded)
 
 
-def new_rows(batch: DataFrame, ids: IdTable, token: str | None = None, order=("kafka_partition", "kafka_offset")) -> DataFrame:
+def new_rows(batch: DataFrame, ids: IdTable, token: str | None = None, fact_path: str | None = None,
+             order=("kafka_partition", "kafka_offset")) -> DataFrame:
     """Rows of ``batch`` whose id is stored nowhere yet, whatever date it is stored under; the first row of each id."""
     first = sinks.dedupe(batch, [ids.key], list(order))
-    return first.join(ids.hits(first, token).select(ids.key), ids.key, "left_anti")
+    return first.join(ids.hits(first, token, fact_path).select(ids.key), ids.key, "left_anti")

@@ -124,6 +124,11 @@ def append_log(df: DataFrame, path: str, date_col: str | None = None) -> None:
     w.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Removes a folder of intermediate data."""
     fs, p = _fs(spark, path)

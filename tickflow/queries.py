@@ -17,7 +17,8 @@ from tickflow import session as tsession
 from tickflow.functions import calendar, ids
 from tickflow.functions.timeutil import default_as_of, minus, trunc, ts_lit
 from tickflow.operators import dashboards, ingest, marts, monitor, quality, validate
-from tickflow.plans import incremental, sinks
+from tickflow.plans import id_table, incremental, sinks
+from tickflow.plans.id_table import IdTable
 from tickflow.session import scratch_path
 from tickflow.sources import fixtures as fx
 from tickflow.sources import readers
@@ -211,7 +212,16 @@ FACT_COLUMNS = ["event_id", "commodity", "symbol", "price", "currency", "event_t
 
 def q_insert_new(spark, sf_dir):
     """Replayed batch -> rows not yet stored (stored = every 4th tick, every 8th under
-    another date than the batch's)."""
+    another date than the batch's), by the bucketed table of the stored ids."""
+    shift = F.when(F.col("event_id").cast("bigint") % 8 == 0, 1).otherwise(0)
+    target = _stg(spark, sf_dir).filter(F.col("event_id").cast("bigint") % 4 == 0)
+    ids = IdTable(scratch_path(spark, "stored-ids"))
+    ids.build(target, F.date_add(F.to_date("event_ts"), shift))
+    return id_table.new_rows(_good(spark, sf_dir, fx.replayed_payloads), ids).select(*FACT_COLUMNS)
+
+
+def q_insert_new_scan(spark, sf_dir):
+    """The same without a table of ids: the facts' whole id column is scanned."""
     shift = F.when(F.col("event_id").cast("bigint") % 8 == 0, 1).otherwise(0)
     target = (_stg(spark, sf_dir).filter(F.col("event_id").cast("bigint") % 4 == 0)
               .withColumn("event_date", F.date_add(F.to_date("event_ts"), shift)))
@@ -572,6 +582,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_responses": q_price_responses,
     "api_call_classes": q_api_call_classes,
     "insert_new": q_insert_new,
+    "insert_new_scan": q_insert_new_scan,
     "upsert_minute": q_upsert_minute,
     "retention": q_retention,
     "minute_last_price_ties": q_minute_last_price_ties,
