@@ -30,6 +30,8 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import ascii_lower
+
 MAX_BROADCAST = 100_000
 
 
@@ -82,7 +84,7 @@ def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
 
 
 def url_tokens(target: Column) -> Column:
-    return F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all(F.lower(target), F.lit("[a-z0-9]+"), 0)))
+    return F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all(ascii_lower(target), F.lit("[a-z0-9]+"), 0)))
 
 
 def rule_index(rules: DataFrame, tokens: DataFrame) -> DataFrame:
