@@ -159,15 +159,21 @@ def judge_url(url, spam):
     return host, path, None, "block" if token & spam else "allow"
 
 
-def rotations(turns, segment=64):
-    """{(conv_id, segment, speaker): (turns, text, [masked texts])} of (conv_id, turn, role, text)."""
+def rotations(turns, part=512):
+    """{(conv_id, part, speaker): (turns, text, [masked texts])} of (conv_id, turn, role, text)."""
     by = {}
-    for c, n, r, t in set(turns):
-        by.setdefault((c, None if n is None else n // segment), set()).add((n, "unknown" if r is None else r, (t or "").replace("<|im_", "< |im_")))
+    for c, n, r, t in turns:
+        by.setdefault(c, []).append((n, "unknown" if r is None else r, (t or "").replace("<|im_", "< |im_")))
     out = {}
-    for (c, s), said in by.items():
+    for c, said in by.items():
         said = sorted(said, key=lambda x: (x[0] is not None, x[0] or 0, x[1].encode(), x[2].encode()))
+        scene = [x for x in said[:part] if x[1] == "system"]
         for who in {r for _, r, _ in said} - {"system"}:
-            text = "".join(f"<|im_start|>{'assistant' if r == who else r if r == 'system' else 'user name=' + r}\n{t}<|im_end|>\n" for _, r, t in said)
-            out[c, s, who] = (len(said), text, [t + "<|im_end|>" for _, r, t in said if r == who])
+            for at in range(0, len(said), part):
+                here = said[at:at + part]
+                text = ""
+                for _, r, t in (scene if at else []) + here:
+                    name = "user name=" + r.replace("<|im_", "< |im_").replace("\r", " ").replace("\n", " ")
+                    text += f"<|im_start|>{'assistant' if r == who else r if r == 'system' else name}\n{t}<|im_end|>\n"
+                out[c, at // part, who] = (len(here), text, [t + "<|im_end|>" for _, r, t in here if r == who])
     return out

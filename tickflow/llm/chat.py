@@ -13,52 +13,72 @@ participant.
 assistant's words and the end marker after them.  Markers inside a turn's own
 text are written "< |im_" so that no text can open or close a turn.
 
-Dialogues are rendered in segments of ``SEGMENT`` turn numbers, so a dialogue of
-any length is spread over many rows and tasks; one with more rows than that
-under the same turn numbers is split again, into parts by hash.  A participant
-gets the segments they speak in: others would have an empty mask.
-
-Defined results: a turn repeated in full counts once; turns are ordered by
-number (null first, as number null in segment null), then speaker and text;
-a null text is empty; turns with a null conversation id are one dialogue; a
-null role is the participant "unknown"; an empty table gives an empty result;
-other columns don't matter.
+A dialogue is rendered whole: every participant gets a view of every turn, also
+of those before they join.  A view of more than ``PART`` turns goes over several rows,
+parts of PART consecutive turns, so no row and no task grows with a dialogue;
+each later part opens with the system turns of the first, which set its scene, and
+these are not counted again.
+
+Defined results: a turn repeated in full is a turn like others; turns are ordered by
+number (null first), then speaker and text; a null text is empty; turns with a
+null conversation id are one dialogue; a null role is the participant
+"unknown"; markers and line breaks in a role can open no turn either (they are
+written "< |im_" and as spaces); a dialogue of system turns alone has no view; an empty
+table gives an empty result; other columns don't matter.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SEGMENT = 64
+PART = 512
+#: Turn numbers are ranked in stretches of 2**12, so a long dialogue is ranked by many tasks.
+STRETCH_BITS = 12
 START, END = "<|im_start|>", "<|im_end|>"
 
 
-def rotate(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    """A row per dialogue segment and participant in it: conv_id, segment, part, speaker, n_turns, n_targets, text, targets."""
-    said = F.replace(F.coalesce("text", F.lit("")), F.lit("<|im_"), F.lit("< |im_"))
-    rows = turns.select("conv_id", F.floor(F.col("turn") / segment).alias("segment"), "turn",
-                        F.coalesce("role", F.lit("unknown")).alias("role"), said.alias("said")).distinct()
-    crowds = (rows.groupBy("conv_id", "segment").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 2 * segment)
-              .select(F.col("conv_id").alias("c"), F.col("segment").alias("s"), F.ceil(F.col("n") / segment).alias("parts")))
-    split = rows.join(crowds, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("segment").eqNullSafe(F.col("s")), "left")
-    part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("turn", "role", "said"), F.col("parts")))
-    dialogue = (split.groupBy("conv_id", "segment", part.cast("long").alias("part"))
-                .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "said"))).alias("turns")))
-    people = F.array_distinct(F.filter(F.transform("turns", lambda t: t["role"]), lambda r: r != "system"))
-    views = dialogue.withColumn("speaker", F.explode(people))
-    done = views.withColumn("view", render(F.col("turns"), F.col("speaker")))
+def _escaped(text: Column) -> Column:
+    return F.replace(text, F.lit("<|im_"), F.lit("< |im_"))
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Adds ``place``, a turn's number in its dialogue from 0: within stretches by a window, the stretches before by their counts."""
+    stretch = F.coalesce(F.shiftright(F.col("turn").cast("long"), STRETCH_BITS), F.lit(-(1 << 60)))
+    rows = rows.withColumn("stretch", stretch)
+    inside = Window.partitionBy("conv_id", "stretch").orderBy(F.asc_nulls_first("turn"), "role", "said")
+    earlier = Window.partitionBy("conv_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    before = (rows.groupBy("conv_id", "stretch").agg(F.count(F.lit(1)).alias("n"))
+              .select(F.col("conv_id").alias("c"), F.col("stretch").alias("s"), F.sum("n").over(earlier).alias("before")).filter("before is not null"))
+    ranked = rows.withColumn("rank", F.row_number().over(inside).cast("long") - 1)
+    met = ranked.join(before, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("stretch") == F.col("s")), "left")
+    return met.select("conv_id", "role", "said", (F.col("rank") + F.coalesce("before", F.lit(0))).alias("place"))
+
+
+def rotate(turns: DataFrame, part: int = PART) -> DataFrame:
+    """A row per dialogue, part and participant: conv_id, part, speaker, n_turns, n_targets, text, targets."""
+    rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("role"), _escaped(F.coalesce("text", F.lit(""))).alias("said"))
+    people = rows.filter("role <> 'system'").select(F.col("conv_id").alias("c"), F.col("role").alias("speaker")).distinct()
+    parts = (_placed(rows).groupBy("conv_id", F.floor(F.col("place") / part).alias("part"))
+             .agg(F.sort_array(F.collect_list(F.struct("place", "role", "said"))).alias("turns")))  # at most ``part`` turns
+    system = F.filter("turns", lambda t: t["role"] == "system")
+    scene = parts.filter("part = 0").select(F.col("conv_id").alias("s"), system.alias("scene")).filter(F.size("scene") > 0)
+    first = parts.filter("part = 0").withColumn("scene", F.slice("turns", 1, 0))
+    later = parts.filter("part > 0").join(scene, F.col("conv_id").eqNullSafe(F.col("s")), "left").drop("s").withColumn(
+        "scene", F.coalesce("scene", F.slice("turns", 1, 0)))
+    views = first.unionByName(later).join(people, F.col("conv_id").eqNullSafe(F.col("c")))
+    own = F.filter("turns", lambda t: t["role"] == F.col("speaker"))
+    done = views.withColumn("view", render(F.concat("scene", "turns"), F.col("speaker")))
     return done.select(
-        "conv_id", "segment", "part", "speaker", F.size("turns").cast("long").alias("n_turns"),
-        F.size("view.spans").cast("long").alias("n_targets"), F.col("view.text").alias("text"),
-        F.array_join("view.spans", ",").alias("targets"))
+        "conv_id", "part", "speaker", F.size("turns").cast("long").alias("n_turns"), F.size(own).cast("long").alias("n_targets"),
+        F.col("view.text").alias("text"), F.array_join("view.spans", ",").alias("targets"))
 
 
 def render(turns: Column, speaker: Column) -> Column:
     """A struct of the text and the spans that ``speaker`` says, of an array of (turn, role, said)."""
     def head(t: Column) -> Column:
         who = (F.when(t["role"] == speaker, F.lit("assistant")).when(t["role"] == "system", F.lit("system"))
-               .otherwise(F.concat(F.lit("user name="), t["role"])))
+               .otherwise(F.concat(F.lit("user name="), F.translate(_escaped(t["role"]), "\r\n", "  "))))
         return F.concat(F.lit(START), who, F.lit("\n"))
 
     parts = F.transform(turns, lambda t: F.struct(

@@ -135,18 +135,21 @@ SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict, p.verdict, 'allo
        CASE WHEN b.rule IS NULL THEN p.rule END AS pattern_rule
 FROM u LEFT JOIN b USING (r) LEFT JOIN p USING (r)""",
     "op10_chat_rotation": f"""
-WITH t AS (SELECT DISTINCT conv_id, floor(turn / {chat.SEGMENT})::BIGINT AS segment, turn, coalesce(role, 'unknown') AS role,
-                  replace(coalesce(text, ''), '<|im_', '< |im_') AS said FROM conversations),
-s AS (SELECT DISTINCT conv_id, segment, role AS speaker FROM t WHERE role <> 'system'),
-v AS (SELECT t.*, s.speaker, t.role = s.speaker AS own, '<|im_start|>' || CASE WHEN t.role = s.speaker THEN 'assistant'
-             WHEN t.role = 'system' THEN 'system' ELSE 'user name=' || t.role END || chr(10) AS head, said || '<|im_end|>' AS body
-      FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.segment IS NOT DISTINCT FROM s.segment),
-p AS (SELECT *, sum(length(head) + length(body) + 1) OVER (
-             PARTITION BY conv_id, segment, speaker ORDER BY turn NULLS FIRST, role, said) - length(body) - 1 AS start FROM v)
-SELECT conv_id, segment, 0::BIGINT AS part, speaker, count(*) AS n_turns, count(*) FILTER (own) AS n_targets,
-       string_agg(head || body || chr(10), '' ORDER BY turn NULLS FIRST, role, said) AS text,
-       string_agg(start::BIGINT || ':' || (start + length(body))::BIGINT, ',' ORDER BY turn NULLS FIRST, role, said) FILTER (own) AS targets
-FROM p GROUP BY conv_id, segment, speaker""",
+WITH t AS (SELECT conv_id, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|im_', '< |im_') AS said, row_number() OVER (
+             PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), replace(coalesce(text, ''), '<|im_', '< |im_')) - 1 AS place FROM conversations),
+s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+n AS (SELECT DISTINCT conv_id, place // {chat.PART} AS part FROM t),
+p AS (SELECT conv_id, place // {chat.PART} AS part, false AS scene, place, role, said FROM t
+      UNION ALL SELECT n.conv_id, n.part, true, place, role, said FROM t JOIN n ON t.conv_id IS NOT DISTINCT FROM n.conv_id
+      WHERE n.part > 0 AND t.place < {chat.PART} AND t.role = 'system'),
+v AS (SELECT p.*, s.speaker, p.role = s.speaker AS own, '<|im_start|>' || CASE WHEN p.role = s.speaker THEN 'assistant' WHEN p.role = 'system' THEN 'system'
+             ELSE 'user name=' || translate(replace(p.role, '<|im_', '< |im_'), chr(13) || chr(10), '  ') END || chr(10) AS head, said || '<|im_end|>' AS body
+      FROM p JOIN s ON p.conv_id IS NOT DISTINCT FROM s.conv_id),
+w AS (SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, part, speaker ORDER BY scene DESC, place) - length(body) - 1 AS start FROM v)
+SELECT conv_id, part, speaker, count(*) FILTER (NOT scene) AS n_turns, count(*) FILTER (own) AS n_targets,
+       string_agg(head || body || chr(10), '' ORDER BY scene DESC, place) AS text,
+       coalesce(string_agg(start::BIGINT || ':' || (start + length(body))::BIGINT, ',' ORDER BY scene DESC, place) FILTER (own), '') AS targets
+FROM w GROUP BY conv_id, part, speaker""",
     "op12_prefix_trie": f"""
 WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p,
                   {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS s FROM conversations WHERE conv_id IS NOT NULL),
