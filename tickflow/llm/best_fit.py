@@ -107,6 +107,7 @@ def _pack_partition(batches: Iterator[pa.RecordBatch], spec, capacity: int, open
             if len(rows) >= 20_000:
                 yield _batch(rows)
                 rows = []
+    words.forget()
     yield _batch(rows)
 
 

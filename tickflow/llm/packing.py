@@ -109,6 +109,11 @@ class WordEncoder(dict):
         self[raw] = out
         return out
 
+    def forget(self) -> None:
+        """Drops what was seen: workers live on between tasks and stages, and their memory with them."""
+        self.clear()
+        self.pieces.clear()
+
     def encode(self, text: bytes) -> bytes:
         return b"".join(map(self.__getitem__, text.split()))
 
@@ -200,7 +205,7 @@ class Packer:
 
 
 def encoder(spec: str) -> WordEncoder:
-    """One encoder per worker process and tokenizer, kept between tasks."""
+    """One encoder per worker process and tokenizer, kept between tasks; what it has seen goes with each task."""
     if spec not in _CACHE:
         _CACHE.clear()
         _CACHE[spec] = WordEncoder(spec)
@@ -217,6 +222,7 @@ def _pack_partition(batches: Iterator[pa.RecordBatch], spec, capacity: int, piec
             if len(packer.rows) >= 20_000:
                 yield packer.take()
     packer.flush()
+    words.forget()
     yield packer.take()
 
 
