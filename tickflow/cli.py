@@ -1,8 +1,9 @@
 """Command-line jobs over stored tables (one Spark application per invocation).
 
     python -m tickflow ingest  --root R --source-format kafka --bootstrap host:9092
-    python -m tickflow marts   --root R [--as-of TS]
-    python -m tickflow checks  --root R [--as-of TS]
+    python -m tickflow compact --root R [--as-of TS]
+    python -m tickflow marts   --root R [--as-of TS] [--rebuild-emptied]
+    python -m tickflow checks  --root R [--as-of TS] [--results P]
     python -m tickflow alerts  --root R [--as-of TS]
     python -m tickflow retention --root R [--days 90] [--as-of TS]
     python -m tickflow api-calls    --root R --input P [--format json]   # -> api_calls
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from tickflow.functions.timeutil import minus, ts_lit
 from tickflow.operators import ingest, marts, monitor, quality
 from tickflow.plans import incremental, sinks
+from tickflow.plans.id_table import IdTable
 from tickflow.session import build_session
 from tickflow.sources import readers
 from tickflow.streaming import ingest as sing
@@ -96,7 +98,7 @@ def run_marts(spark: SparkSession, a) -> dict:
     out = {}
     for name, (factory, keys, bucket, lookback) in MART_SPECS.items():
         out[name] = incremental.run(spark, factory(a.as_of), stg, _path(a.root, name), keys, bucket,
-                                    lookback, a.as_of)
+                                    lookback, a.as_of, empty_fallback=None if a.rebuild_emptied else incremental.EMPTY_FALLBACK)
     state = sinks.published(spark, _path(a.root, "latest_prices_state"))
     latest = marts.latest_view(state) if state is not None else marts.latest_prices(stg, a.as_of)
     sinks.publish(latest, _path(a.root, "mart_latest_prices"))
@@ -121,6 +123,9 @@ def run_checks(spark: SparkSession, a) -> DataFrame:
     saved = spark.read.parquet(_path(a.root, "check_results")).filter(F.col("run_ts_utc") == ts_lit(a.as_of))
     summary = quality.summarise(saved, environment=a.environment)
     sinks.append_log(summary, _path(a.root, "test_runs"))
+    if a.results:   # run documents of another test runner
+        runs = quality.document_runs(quality.read_test_documents(spark, a.results), a.environment)
+        sinks.append_log(runs.select(*summary.columns), _path(a.root, "test_runs"))
     return summary
 
 
@@ -130,7 +135,7 @@ def run_alerts(spark: SparkSession, a) -> DataFrame:
         df = _table(spark, a.root, name)
         return df if df is not None else spark.createDataFrame([], schema)
     raw = t("raw_prices", "commodity string, ingest_ts timestamp_ntz, event_ts timestamp_ntz")
-    metrics = monitor.metric_snapshot(
+    metrics = monitor.metric_results(spark, monitor.metric_queries(
         a.as_of, raw=raw,
         calls=t("api_calls", "ts_utc timestamp_ntz, ok boolean"),
         dlq=t("dead_letter_events", "ts_utc timestamp_ntz"),
@@ -139,12 +144,12 @@ def run_alerts(spark: SparkSession, a) -> DataFrame:
         runs=t("test_runs", "run_ts_utc timestamp_ntz, status string"),
         backups=t("backup_log", "backup_ts timestamp_ntz, status string"),
         latest=t("mart_latest_prices", "last_timestamp timestamp_ntz"),
-        group_id=a.group_id, topic=a.topic)
+        group_id=a.group_id, topic=a.topic))
     ev = monitor.evaluate_rules(metrics, monitor.rules_df(spark)).withColumn("ts", ts_lit(a.as_of))
     sinks.append_log(ev, _path(a.root, "alert_evaluations"))
     # the state of each rule follows from all its evaluations: a condition fires once it has held long enough
     stored = spark.read.schema(ev.schema).parquet(_path(a.root, "alert_evaluations"))
-    sinks.publish(monitor.alert_timeline(stored.select("rule_uid", "ts", "value"), monitor.rules_df(spark)),
+    sinks.publish(monitor.alert_timeline(stored.select("rule_uid", "ts", "value", "error"), monitor.rules_df(spark)),
                   _path(a.root, "alert_states"))
     return ev
 
@@ -184,10 +189,25 @@ def run_retention(spark: SparkSession, a) -> dict:
     for name, col in LOG_TABLES.items():
         if incremental._exists(spark, _path(a.root, name)):
             done[name] = sinks.apply_retention(spark, _path(a.root, name), col, cutoff)
+    ids = IdTable(_path(a.root, "raw_prices_ids"))
+    if ids.exists(spark):   # ids whose facts are gone may come again
+        ids.forget(spark.read.parquet(_path(a.root, "raw_prices")), str(cutoff)[:10])
     return done
 
 
-JOBS = {"ingest": run_ingest, "marts": run_marts, "checks": run_checks, "alerts": run_alerts,
+def run_compact(spark: SparkSession, a) -> dict:
+    """Folds the facts of closed dates (before the day of ``as_of``) and crowded buckets of the table of ids."""
+    path = _path(a.root, "raw_prices")
+    if not sinks.path_exists(spark, path):
+        return {}
+    fs, root = sinks._fs(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    closed = [n.partition("=")[2] for n in names if n.startswith("event_date=") and n.partition("=")[2] < str(a.as_of)[:10]]
+    ids = IdTable(_path(a.root, "raw_prices_ids"))
+    return {"dates": sinks.compact(spark, path, dates=closed), "buckets": ids.fold(spark) if ids.exists(spark) else []}
+
+
+JOBS = {"ingest": run_ingest, "compact": run_compact, "marts": run_marts, "checks": run_checks, "alerts": run_alerts,
         "retention": run_retention, "api-calls": run_api_calls, "lag": run_lag, "alert-events": run_alert_events}
 
 
@@ -217,8 +237,11 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--topic", default="prices")
         if name in ("alerts", "lag"):
             s.add_argument("--group-id", default="tick_ingest")
+        if name == "marts":
+            s.add_argument("--rebuild-emptied", action="store_true")
         if name == "checks":
             s.add_argument("--environment", default="dev")
+            s.add_argument("--results", default=None)
         if name == "retention":
             s.add_argument("--days", type=int, default=90)
     return p

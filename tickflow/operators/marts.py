@@ -127,9 +127,9 @@ def classify_move(symbol: Column, pct: Column) -> Column:
 
 
 def classify_move_join(df: DataFrame, thresholds: DataFrame, pct: str = "pct_change") -> DataFrame:
-    """Data-driven form: thresholds come from a (small, broadcast) table."""
+    """Data-driven form: thresholds come from a table, however large."""
     a = F.abs(F.col(pct))
-    j = df.join(F.broadcast(thresholds), "symbol", "left")
+    j = df.join(thresholds, "symbol", "left")
     label = (F.when(a >= F.col("extreme"), dims.EXTREME)
              .when(a >= F.col("large"), dims.LARGE)
              .when(a >= F.col("medium"), dims.MEDIUM)
@@ -137,7 +137,8 @@ def classify_move_join(df: DataFrame, thresholds: DataFrame, pct: str = "pct_cha
     return j.withColumn("event_type", label).drop("extreme", "large", "medium")
 
 
-def price_events(stg: DataFrame, since=None, bucket=None, keep_normal: bool = False) -> DataFrame:
+def price_events(stg: DataFrame, since=None, bucket=None, keep_normal: bool = False,
+                 thresholds: DataFrame | None = None) -> DataFrame:
     """Significant moves between consecutive ticks of an instrument.
 
     ``lag`` over (commodity, symbol) ordered by (event_ts, event_id), computed by
@@ -148,18 +149,22 @@ def price_events(stg: DataFrame, since=None, bucket=None, keep_normal: bool = Fa
     base = df.select("commodity", "symbol", "event_ts", "event_id", "price")
     scan = (["commodity", "symbol"], ["event_ts", "event_id"], ["price", "event_ts"])
     lagged = ranges.with_lag(base, *scan) if bucket is None else sequential.with_lag(base, *scan, bucket=bucket)
+    return moves_between(lagged, keep_normal, thresholds)
+
+
+def moves_between(lagged: DataFrame, keep_normal: bool = False, thresholds: DataFrame | None = None) -> DataFrame:
+    """Moves of ticks that carry the tick before them (prev_price, prev_event_ts); classes by a table of thresholds if given."""
     pct = F.when(F.col("prev_price").isNotNull() & (F.col("prev_price") != 0),
                  (F.col("price") - F.col("prev_price")) / F.col("prev_price"))
     gap_ok = (F.col("event_ts") - F.col("prev_event_ts")) < F.expr(
         f"INTERVAL {dims.MOVE_GAP_MINUTES} MINUTES")
-    out = (lagged.withColumn("pct_change", pct)
-           .filter(F.col("prev_price").isNotNull() & gap_ok)
-           .select("commodity", "symbol", "prev_event_ts", "event_ts",
-                   round_seconds("event_ts", "prev_event_ts").alias("time_gap_seconds"),
-                   F.col("price").alias("current_price"),
-                   "prev_price",
-                   dround(F.col("pct_change") * 100, 4).alias("price_change_pct"),
-                   classify_move(F.col("symbol"), F.col("pct_change")).alias("event_type")))
+    near = lagged.withColumn("pct_change", pct).filter(F.col("prev_price").isNotNull() & gap_ok)
+    classed = (near.withColumn("event_type", classify_move(F.col("symbol"), F.col("pct_change"))) if thresholds is None
+               else classify_move_join(near, thresholds))
+    out = classed.select("commodity", "symbol", "prev_event_ts", "event_ts",
+                         round_seconds("event_ts", "prev_event_ts").alias("time_gap_seconds"),
+                         F.col("price").alias("current_price"), "prev_price",
+                         dround(F.col("pct_change") * 100, 4).alias("price_change_pct"), "event_type")
     return out if keep_normal else out.filter(F.col("event_type") != dims.NORMAL)
 
 

@@ -8,6 +8,9 @@ rule evaluator joins against the (small, fixed) rule table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -211,63 +214,107 @@ RULES = [
 ]
 RULE_SCHEMA = ("rule_uid string, metric string, op string, threshold double, severity string, "
                "no_data_state string, for_seconds int")
+# Fixed value: the state of every rule whose metric fails.
+EXEC_ERR_STATE = "Alerting"
 
 
 def rules_df(spark: SparkSession) -> DataFrame:
-    return F.broadcast(spark.createDataFrame(RULES, RULE_SCHEMA))
+    return F.broadcast(spark.createDataFrame(RULES, RULE_SCHEMA).withColumn("exec_err_state", F.lit(EXEC_ERR_STATE)))
 
 
 def _one(df: DataFrame, metric: str, value_col: str) -> DataFrame:
     return df.select(F.lit(metric).alias("metric"), F.col(value_col).cast("double").alias("value"))
 
 
-def metric_snapshot(as_of, raw: DataFrame, calls: DataFrame, dlq: DataFrame, lag_log: DataFrame,
-                    runs: DataFrame, backups: DataFrame, latest: DataFrame,
-                    group_id: str, topic: str) -> DataFrame:
-    """Long (metric, value) frame of every rule's scalar query at ``as_of``."""
-    pm = pipeline_metrics(raw, as_of).select(
-        F.coalesce(F.col("time_since_last_ingest_seconds"), F.lit(EMPTY_FRESHNESS))
-        .alias("time_since_last_ingest_seconds"),
-        F.coalesce(F.col("btc_events_last_20m"), F.lit(0)).alias("btc_events_last_20m"))
-    am = api_metrics(calls, as_of, 18)
-    dl = dlq.filter(F.col("ts_utc") >= minus(as_of, "15 minutes")).agg(
-        F.count(F.lit(1)).alias("v"))
-    lag = lag_latest(lag_log.filter(F.col("ts_utc") <= ts_lit(as_of))) \
-        .filter((F.col("group_id") == group_id) & (F.col("topic") == topic))
+def metric_queries(as_of, raw: DataFrame, calls: DataFrame, dlq: DataFrame, lag_log: DataFrame,
+                   runs: DataFrame, backups: DataFrame, latest: DataFrame,
+                   group_id: str, topic: str) -> dict[str, Callable[[], DataFrame]]:
+    """Every rule's scalar query at ``as_of``, by metric; each is built when it is called."""
     from tickflow.operators.quality import failed_runs
-    fr = failed_runs(runs, as_of, 35).agg(F.count(F.lit(1)).alias("v"))
-    bk = freshness_seconds(backups.filter(F.col("status") == "OK"), "backup_ts", as_of)
-    lp = freshness_seconds(latest, "last_timestamp", as_of)
-    parts = [
-        _one(pm, "time_since_last_ingest_seconds", "time_since_last_ingest_seconds"),
-        _one(pm, "btc_events_last_20m", "btc_events_last_20m"),
-        _one(am, "errors_18m", "errors_18m"),
-        _one(dl, "dlq_events_last_15m", "v"),
-        _one(lag, "total_lag", "total_lag"),
-        _one(lag, "max_partition_lag", "max_partition_lag"),
-        _one(fr, "test_failures_35m", "v"),
-        _one(bk, "backup_age_seconds", "seconds"),
-        _one(lp, "latest_prices_age_seconds", "seconds"),
-    ]
+
+    def health(name: str, empty: int) -> DataFrame:
+        return _one(pipeline_metrics(raw, as_of).select(F.coalesce(F.col(name), F.lit(empty)).alias("v")), name, "v")
+
+    def lag(name: str) -> DataFrame:
+        latest_lag = lag_latest(lag_log.filter(F.col("ts_utc") <= ts_lit(as_of)))
+        return _one(latest_lag.filter((F.col("group_id") == group_id) & (F.col("topic") == topic)), name, name)
+
+    def count(df: DataFrame, name: str) -> DataFrame:
+        return _one(df.agg(F.count(F.lit(1)).alias("v")), name, "v")
+
+    return {
+        "time_since_last_ingest_seconds": lambda: health("time_since_last_ingest_seconds", EMPTY_FRESHNESS),
+        "btc_events_last_20m": lambda: health("btc_events_last_20m", 0),
+        "errors_18m": lambda: _one(api_metrics(calls, as_of, 18), "errors_18m", "errors_18m"),
+        "dlq_events_last_15m": lambda: count(dlq.filter(F.col("ts_utc") >= minus(as_of, "15 minutes")), "dlq_events_last_15m"),
+        "total_lag": lambda: lag("total_lag"),
+        "max_partition_lag": lambda: lag("max_partition_lag"),
+        "test_failures_35m": lambda: count(failed_runs(runs, as_of, 35), "test_failures_35m"),
+        "backup_age_seconds": lambda: _one(freshness_seconds(backups.filter(F.col("status") == "OK"), "backup_ts", as_of), "backup_age_seconds", "seconds"),
+        "latest_prices_age_seconds": lambda: _one(freshness_seconds(latest, "last_timestamp", as_of), "latest_prices_age_seconds", "seconds"),
+    }
+
+
+def metric_snapshot(as_of, **tables) -> DataFrame:
+    """Long (metric, value) frame of all metrics in one query: one that fails, fails them all."""
+    parts = [query() for query in metric_queries(as_of, **tables).values()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def metric_results(spark: SparkSession, queries: dict[str, Callable[[], DataFrame]], at_once: int = 4) -> DataFrame:
+    """(metric, value, error): each metric's query runs by itself, so a failing one costs its own value only.
+
+    A query gives one row at most.  Without a row the metric has no data; with an error, the
+    first line of what went wrong.
+    """
+    def result(name: str) -> list[tuple]:
+        try:
+            return [(name, r["value"], None) for r in queries[name]().collect()]
+        except Exception as failure:  # whatever it is, it is this metric's state
+            return [(name, None, str(failure).strip().split("\n")[0][:500] or type(failure).__name__)]
+
+    with ThreadPoolExecutor(at_once) as pool:
+        rows = [row for found in pool.map(result, queries) for row in found]
+    return spark.createDataFrame(rows, "metric string, value double, error string")
+
+
 def _breach(value, op, threshold) -> F.Column:
     return (F.when(op == "gt", value > threshold).when(op == "lt", value < threshold)
             .when(op == "ge", value >= threshold).when(op == "le", value <= threshold)
             .when(op == "eq", value == threshold))
 
 
+def _breached(failed) -> F.Column:
+    """A metric that failed, or has no value, resolves by the rule's state for that."""
+    return (F.when(failed, F.col("exec_err_state") == "Alerting")
+            .when(F.col("value").isNull(), F.col("no_data_state") == "Alerting")
+            .otherwise(_breach(F.col("value"), F.col("op"), F.col("threshold"))))
+
+
 def evaluate_rules(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     """(rule_uid, metric, value, breached, severity); a metric with no row is
-    'no data' and resolves by the rule's no-data state."""
+    'no data' and resolves by the rule's no-data state.
+
+    Metrics with an ``error`` column (``metric_results``) add ``error`` and ``state``: Error, NoData,
+    Alerting or Normal; a failed metric resolves by the rule's state for execution errors.
+    """
     j = rules.join(metrics, "metric", "left")
-    breached = F.when(F.col("value").isNull(), F.col("no_data_state") == "Alerting") \
-        .otherwise(_breach(F.col("value"), F.col("op"), F.col("threshold")))
-    return j.select("rule_uid", "metric", "value", breached.alias("breached"), "severity")
+    columns = ["rule_uid", "metric", "value"]
+    if "error" not in metrics.columns:
+        return j.select(*columns, _breached(F.lit(False)).alias("breached"), "severity")
+    breached = _breached(F.col("error").isNotNull())
+    state = (F.when(F.col("error").isNotNull(), "Error").when(F.col("value").isNull(), "NoData")
+             .when(breached, "Alerting").otherwise("Normal"))
+    return j.select(*columns, breached.alias("breached"), "severity", "error", state.alias("state"))
+
+
+def grouped_alerts(evaluated: DataFrame, by: str = "rule_uid") -> DataFrame:
+    """Notifications: the breached evaluations of one group and severity as one row (alert grouping, severity routes)."""
+    return (evaluated.filter("breached").groupBy(by, "severity")
+            .agg(F.count(F.lit(1)).alias("alerts"), F.max("value").alias("max_value")))
 
 
 # ------------------------------------------------------------------ alert timeline
@@ -281,9 +328,8 @@ def alert_timeline(samples: DataFrame, rules: DataFrame) -> DataFrame:
     from a running max, both by ranges (``plans.ranges``).
     """
     from tickflow.plans import ranges
-    r = samples.join(rules.select("rule_uid", "op", "threshold", "no_data_state", "for_seconds"), "rule_uid")
-    breached = F.when(F.col("value").isNull(), F.col("no_data_state") == "Alerting") \
-        .otherwise(_breach(F.col("value"), F.col("op"), F.col("threshold")))
+    r = samples.join(rules.select("rule_uid", "op", "threshold", "no_data_state", "exec_err_state", "for_seconds"), "rule_uid")
+    breached = _breached(F.col("error").isNotNull() if "error" in samples.columns else F.lit(False))
     s = r.select("rule_uid", "ts", "value", "for_seconds", breached.alias("breached"))
     lagged = ranges.with_lag(s, ["rule_uid"], ["ts"], ["breached", "ts"])
     starts = lagged.withColumn(

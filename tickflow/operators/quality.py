@@ -8,6 +8,7 @@ once for all its row-level checks instead of once per check.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -187,10 +188,36 @@ def default_specs() -> dict[str, list[Check]]:
 
 # ------------------------------------------------------------------ test runs
 
-def read_test_results(spark: SparkSession, path: str) -> DataFrame:
-    """A run-results JSON document -> one row per result."""
-    doc = spark.read.option("multiLine", True).json(path)
-    return doc.select(F.explode("results").alias("r")).select("r.*")
+TEST_DOCUMENT = ("metadata struct<generated_at: string>, "
+                 "results array<struct<unique_id: string, status: string, failures: bigint>>, _broken string")
+
+
+def read_test_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Run-results JSON documents, one per file: (file, run_ts_utc, results, broken).
+
+    A file that is no such document is a row with ``broken`` set and no results; its time, like
+    that of a document without one, is the file's.
+    """
+    docs = (spark.read.schema(TEST_DOCUMENT).option("multiLine", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_broken").json(path))
+    at = F.try_to_timestamp(F.col("metadata.generated_at"))
+    results = F.coalesce("results", F.array().cast("array<struct<unique_id: string, status: string, failures: bigint>>"))
+    return docs.select(F.col("_metadata.file_path").alias("file"),
+                       F.coalesce(at, F.col("_metadata.file_modification_time")).cast("timestamp_ntz").alias("run_ts_utc"),
+                       results.alias("results"), (F.col("_broken").isNotNull() | F.col("results").isNull()).alias("broken"))
+
+
+def document_runs(documents: DataFrame, environment: str = "dev", keep: Sequence[str] = ()) -> DataFrame:
+    """A test run per document (S8 to A16): counts by status; a broken document is a failed run with one error."""
+    def n(status: str) -> Column:
+        return F.size(F.filter("results", lambda r: r["status"] == status))
+
+    broken = F.col("broken").cast("int")
+    bad = broken + n("error") + n("fail")
+    status = F.when(bad > 0, RUN_FAIL).when(n("warn") > 0, RUN_WARN).otherwise(RUN_PASS)
+    return documents.select(
+        *keep, "run_ts_utc", F.lit(environment).alias("environment"), status.alias("status"), F.size("results").alias("total"),
+        *[(n(s) + broken if s == "error" else n(s)).alias(s) for s in TEST_STATUSES], "broken")
 
 
 # Per-test statuses and run statuses.

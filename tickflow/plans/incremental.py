@@ -35,9 +35,9 @@ def _newest_partition(spark: SparkSession, path: str, partition_col: str) -> str
 
 
 def lower_bound(spark: SparkSession, target_path: str, bucket_col: str, lookback: str, as_of,
-                partition_col: str = "bucket_date"):
-    """max(bucket) - lookback, or as_of - 7 days for an empty mart, or None
-    when the mart does not exist yet (full build).
+                partition_col: str = "bucket_date", empty_fallback: str | None = EMPTY_FALLBACK):
+    """max(bucket) - lookback, or as_of - ``empty_fallback`` for an emptied mart
+    (None: all of the source again), or None when the mart does not exist yet (full build).
 
     ``max(bucket)`` is read from the newest date partition only.
     """
@@ -46,30 +46,30 @@ def lower_bound(spark: SparkSession, target_path: str, bucket_col: str, lookback
     newest = _newest_partition(spark, target_path, partition_col)
     m = None
     if newest is not None:
-        m = scalar(spark.read.parquet(target_path).filter(F.col(partition_col) == F.lit(newest)),
+        m = scalar(sinks.read_mart(spark, target_path).filter(F.col(partition_col) == F.lit(newest)),
                    F.max(bucket_col))
     if m is None:
-        return scalar(spark.range(1), minus(as_of, EMPTY_FALLBACK))
+        return None if empty_fallback is None else scalar(spark.range(1), minus(as_of, empty_fallback))
     return scalar(spark.range(1), minus(m, lookback))
 
 
 def run(spark: SparkSession, model: Callable[[DataFrame, object], DataFrame], source: DataFrame,
         target_path: str, keys: Sequence[str], bucket_col: str, lookback: str, as_of,
         partition_col: str = "bucket_date", replace_slice: bool = False,
-        source_date_col: str = "event_date") -> dict:
+        source_date_col: str = "event_date", empty_fallback: str | None = EMPTY_FALLBACK) -> dict:
     """One incremental (or first full) build of ``model`` into ``target_path``.
 
     ``replace_slice=True`` drops stored rows inside the recomputed range that
     the new slice no longer produces (e.g. an event reclassified as NORMAL by
     a late tick); the default keeps them, as a keyed merge does.
     """
-    since = lower_bound(spark, target_path, bucket_col, lookback, as_of, partition_col)
+    since = lower_bound(spark, target_path, bucket_col, lookback, as_of, partition_col, empty_fallback)
     if since is not None and source_date_col in source.columns:
         # the slice bound on event time, restated on the source's date partitions
         source = source.filter(F.col(source_date_col) >= F.to_date(F.lit(since).cast("timestamp_ntz")))
     new = model(source, since).withColumn(partition_col, F.to_date(bucket_col))
     if since is None:
-        new.write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
+        sinks.write_mart(new, target_path, partition_col)
     else:
         sinks.upsert(spark, new, target_path, keys, partition_col,
                      replace_from=(bucket_col, since) if replace_slice else None)

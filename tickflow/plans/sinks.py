@@ -19,10 +19,12 @@ and no lakehouse jar.  The guarantees of the original pipeline map as follows:
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickflow.session import scratch_path
 
@@ -168,6 +170,57 @@ def publish(df: DataFrame, path: str) -> None:
             delete_path(spark, f"{path}/v{v}")
 
 
+# --- marts whose columns may change: the current schema lies beside the data, files keep the columns they were written with
+
+SCHEMA_FILE = "_mart_schema.json"
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The recorded columns of a mart, None for a table without a record."""
+    fs, p = _fs(spark, f"{path}/{SCHEMA_FILE}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return T.StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def record_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    fs, p = _fs(spark, f"{path}/{SCHEMA_FILE}")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(schema.json().encode()))
+    finally:
+        out.close()
+
+
+def read_mart(spark: SparkSession, path: str) -> DataFrame:
+    """A mart with its current columns: rows written before a column came have NULL there, dropped columns are not seen.
+
+    No file footers are merged: the recorded schema is given to the reader.
+    """
+    schema = stored_schema(spark, path)
+    return spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
+
+
+def write_mart(df: DataFrame, path: str, partition_col: str) -> None:
+    """A mart's first or full build."""
+    df.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    record_schema(df.sparkSession, path, df.schema)
+
+
+def synced_schema(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The columns of ``new``; a column of both must keep its type."""
+    kinds = {f.name: f.dataType for f in old.fields}
+    changed = [f"{f.name}: {kinds[f.name].simpleString()} -> {f.dataType.simpleString()}"
+               for f in new.fields if f.name in kinds and kinds[f.name] != f.dataType]
+    if changed:
+        raise ValueError(f"stored columns cannot change their type, rebuild the mart: {', '.join(changed)}")
+    return T.StructType([T.StructField(f.name, f.dataType) for f in new.fields])
+
+
 SWAP_MARKER = "_SWAP_IN_PROGRESS"
 DONE_MARKER = "_LAST_COMPLETED_RUN"
 
@@ -206,7 +259,7 @@ def read_consistent(spark: SparkSession, path: str, timeout_s: float = 600.0,
         if _time.time() > deadline:
             raise TimeoutError(f"{path}: a partition swap is still in progress")
         _time.sleep(poll_s)
-    return spark.read.parquet(path)
+    return read_mart(spark, path)
 
 
 def upsert(spark: SparkSession, new: DataFrame, target_path: str, keys: Sequence[str],
@@ -218,7 +271,8 @@ def upsert(spark: SparkSession, new: DataFrame, target_path: str, keys: Sequence
     ``column >= bound`` is replaced by the slice.  ``new`` is computed once and staged;
     the touched partitions are read from the staged copy, merged with the
     stored rows of those partitions only, staged again, and swapped into the
-    target with dynamic partition overwrite.
+    target with dynamic partition overwrite.  The mart's columns follow ``new``: a new
+    column is NULL in rows stored before it came, one that ``new`` no longer has is dropped.
     """
     keys = list(keys)
     staged_new = scratch_path(spark, "upsert-new")
@@ -229,20 +283,21 @@ def upsert(spark: SparkSession, new: DataFrame, target_path: str, keys: Sequence
     if not touched:
         delete_path(spark, staged_new)
         return
-    fresh = spark.read.parquet(staged_new)
-    existing = spark.read.parquet(target_path).filter(
-        F.col(partition_col).cast("string").isin(touched))
+    stored = read_mart(spark, target_path)
+    schema = synced_schema(stored.schema, new.schema)
+    fresh = spark.read.schema(schema).parquet(staged_new)
+    existing = stored.filter(F.col(partition_col).cast("string").isin(touched))
     if replace_from is not None:
         col, bound = replace_from
         from tickflow.functions.timeutil import ts_lit
         existing = existing.filter(~(F.col(col) >= ts_lit(bound)))
-    merged = existing.join(fresh.select(*keys), keys, "left_anti") \
-        .unionByName(fresh, allowMissingColumns=True)
+    merged = fresh.unionByName(existing.join(fresh.select(*keys), keys, "left_anti"), allowMissingColumns=True).select(*new.columns)
     staging = scratch_path(spark, "upsert-staging")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
     with swap_guard(spark, target_path):
-        (spark.read.parquet(staging).write.mode("overwrite")
+        (spark.read.schema(schema).parquet(staging).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target_path))
+        record_schema(spark, target_path, schema)
     for done in (staged_new, staging):
         delete_path(spark, done)
 

@@ -24,6 +24,8 @@ from tickflow.sources import fixtures as fx
 from tickflow.sources import readers
 from tickflow.streaming import ingest as sing
 from tickflow.streaming import marts as smarts
+from tickflow.streaming import ordered as sordered
+from tickflow.streaming import progress as sprogress
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +81,11 @@ def q_price_events(spark, sf_dir):
     return marts.price_events(_stg(spark, sf_dir))
 
 
+def q_price_events_join(spark, sf_dir):
+    """Move classes by thresholds from a table."""
+    return marts.price_events(_stg(spark, sf_dir), thresholds=dims.thresholds_df(spark))
+
+
 def q_price_jumps(spark, sf_dir):
     return quality.price_jumps(marts.minute_last_price(_stg(spark, sf_dir, fx.ticks_spiked)))
 
@@ -249,7 +256,7 @@ def q_upsert_minute(spark, sf_dir):
     incremental.run(spark, incremental.minute_model, arr.filter(F.col("arrival_ts") < ts_lit(UPSERT_CUTOFF)),
                     path, keys, "minute_bucket", "30 minutes", as_of)
     incremental.run(spark, incremental.minute_model, arr, path, keys, "minute_bucket", "30 minutes", as_of)
-    return spark.read.parquet(path).select("commodity", "symbol", "minute_bucket", "last_price", "n",
+    return sinks.read_mart(spark, path).select("commodity", "symbol", "minute_bucket", "last_price", "n",
                                            "min_price", "max_price")
 
 
@@ -262,6 +269,20 @@ def q_price_events_ties(spark, sf_dir):
     return marts.price_events(_stg(spark, sf_dir, fx.ticks_minute_ties))
 
 
+def q_upsert_new_column(spark, sf_dir):
+    """The minute mart built without ``n``; the next build has ``n`` and ``price_range`` and no ``min_price``: the mart's columns follow."""
+    arr = _arrivals(spark, sf_dir)
+    path = scratch_path(spark, "mart_minute_changed")
+    keys = ["commodity", "symbol", "minute_bucket"]
+    as_of = _as_of(spark, sf_dir)
+    incremental.run(spark, lambda src, since: marts.minute_last_price(src, since).drop("n"),
+                    arr.filter(F.col("arrival_ts") < ts_lit(UPSERT_CUTOFF)), path, keys, "minute_bucket", "30 minutes", as_of)
+    incremental.run(spark, lambda src, since: marts.minute_last_price(src, since)
+                    .withColumn("price_range", F.col("max_price") - F.col("min_price")).drop("min_price"),
+                    arr, path, keys, "minute_bucket", "30 minutes", as_of)
+    return sinks.read_mart(spark, path).drop("bucket_date")
+
+
 def q_upsert_price_events(spark, sf_dir):
     """Events mart: full build over arrivals before the cutoff, then an
     incremental run with the 2-hour lookback (first slice row has no
@@ -385,18 +406,49 @@ def q_test_run_summary(spark, sf_dir):
     return quality.summarise(fx.test_results(_events(spark, sf_dir)))
 
 
-def q_alert_rules(spark, sf_dir):
+def _metric_tables(spark, sf_dir) -> dict:
     ev = _events(spark, sf_dir)
     as_of = _as_of(spark, sf_dir)
     stg = _stg(spark, sf_dir)
-    metrics = monitor.metric_snapshot(
-        as_of, raw=stg, calls=fx.api_calls(ev), dlq=_bad(spark, sf_dir),
-        lag_log=fx.kafka_lag_log(ev), runs=quality.summarise(fx.test_results(ev)),
-        backups=fx.backup_log(ev), latest=marts.latest_prices(stg, as_of),
-        group_id=fx.CONSUMER_GROUP, topic=fx.TOPIC)
+    return dict(raw=stg, calls=fx.api_calls(ev), dlq=_bad(spark, sf_dir),
+                lag_log=fx.kafka_lag_log(ev), runs=quality.summarise(fx.test_results(ev)),
+                backups=fx.backup_log(ev), latest=marts.latest_prices(stg, as_of),
+                group_id=fx.CONSUMER_GROUP, topic=fx.TOPIC)
+
+
+def q_alert_rules(spark, sf_dir):
+    metrics = monitor.metric_snapshot(_as_of(spark, sf_dir), **_metric_tables(spark, sf_dir))
     return monitor.evaluate_rules(metrics, monitor.rules_df(spark))
 
 
+def q_alert_rules_error(spark, sf_dir):
+    """The same while the backup log cannot be read: its rule fires by its error state, the ten others are evaluated."""
+    tables = _metric_tables(spark, sf_dir)
+    broken = F.raise_error(F.lit("backup log is unreadable")).cast("string")
+    tables["backups"] = tables["backups"].withColumn("status", F.when(F.col("backup_ts").isNotNull(), broken).otherwise(F.col("status")))
+    results = monitor.metric_results(spark, monitor.metric_queries(_as_of(spark, sf_dir), **tables))
+    return monitor.evaluate_rules(results, monitor.rules_df(spark)).drop("error")
+
+
+def _write_test_documents(spark, sf_dir) -> str:
+    """A run-results document per day, that of every 7th day broken off in the middle."""
+    path = scratch_path(spark, "test-documents")
+    results = fx.test_results(_events(spark, sf_dir)).withColumn("day", F.to_date("run_ts_utc"))
+    result = F.struct("unique_id", "status", F.lit(0).cast("bigint").alias("failures"))
+    days = results.groupBy("day").agg(F.collect_list(result).alias("results"))
+    text = F.to_json(F.struct(F.struct(F.concat(F.col("day").cast("string"), F.lit("T12:00:00Z")).alias("generated_at")).alias("metadata"), "results"))
+    cut = F.when(F.dayofmonth("day") % 7 == 0, F.substring(text, F.lit(1), F.floor(F.length(text) / 2).cast("int"))).otherwise(text)
+    days.select("day", cut.alias("value")).write.partitionBy("day").text(path)
+    return path
+
+
+def q_test_documents(spark, sf_dir):
+    """Run-results documents as test runs, each by its folder's day; a broken one is a failed run."""
+    docs = quality.read_test_documents(spark, _write_test_documents(spark, sf_dir) + "/*/*.txt")
+    day = F.regexp_extract("file", "day=([0-9-]+)", 1).cast("date").alias("day")
+    return quality.document_runs(docs, keep=["file"]).select(day, "environment", "status", "total", *quality.TEST_STATUSES, "broken")
+
+
 def q_alert_timeline(spark, sf_dir):
     return monitor.alert_timeline(fx.alert_samples(_events(spark, sf_dir)), monitor.rules_df(spark))
 
@@ -492,6 +544,71 @@ def q_streaming_moves(spark, sf_dir):
     return _run_to_table(smarts.moves(_tick_stream(spark, sf_dir)), "stream-moves", spark)
 
 
+PIECES = 4
+
+
+def _in_pieces(spark, sf_dir, late: str, by_date: bool = False) -> tuple[str, DataFrame]:
+    """Ticks as files of ``PIECES`` equal spans of time, oldest first; ticks with ``late`` come with the next span, or
+    with ``by_date`` (under their event dates) with the last."""
+    stg = _stg(spark, sf_dir)
+    bounds = stg.agg(F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi")).first()
+    span = (F.unix_micros(ts_lit(bounds["hi"]).cast("timestamp")) - F.unix_micros(ts_lit(bounds["lo"]).cast("timestamp"))) / PIECES + 1
+    place = (F.unix_micros(F.col("event_ts").cast("timestamp")) - F.unix_micros(ts_lit(bounds["lo"]).cast("timestamp"))) / span
+    piece = F.floor(place)
+    moved = F.when(F.expr(late), F.lit(PIECES - 1) if by_date else F.least(piece + (place - piece > 0.95).cast("int"), F.lit(PIECES - 1))).otherwise(piece)
+    rows = fx.materialize(stg.withColumn("piece", moved.cast("int")), "tick-pieces")
+    path = scratch_path(spark, "tick-files")
+    for i in range(PIECES):
+        mine = rows.filter(F.col("piece") == i).drop("piece")
+        if by_date:
+            mine.withColumn("event_date", F.to_date("event_ts")).repartition("event_date").write.mode("append").partitionBy("event_date").parquet(path)
+        else:
+            if i == PIECES - 1:  # a tick of no instrument, two days on, lets the watermark pass all others
+                clock = mine.limit(1).withColumn("event_ts", ts_lit(bounds["hi"]) + F.expr("INTERVAL 2 DAYS")).withColumn("symbol", F.lit("CLOCK"))
+                mine.coalesce(1).write.mode("append").parquet(path)
+                mine = clock
+            mine.coalesce(1).write.mode("append").parquet(path)
+    return path, stg
+
+
+def q_streaming_moves_late(spark, sf_dir):
+    """Moves over several micro-batches, every 5th tick of a span's last twentieth coming one batch late."""
+    path, stg = _in_pieces(spark, sf_dir, "cast(event_id as bigint) % 5 = 0")
+    stream = spark.readStream.schema(stg.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return _run_to_table(sordered.moves_in_order(stream, "1 day"), "stream-moves-late", spark)
+
+
+def q_streaming_hourly_late(spark, sf_dir):
+    """The hourly mart kept by a stream over the fact table, every 20th tick coming with the last files, days late."""
+    path, _ = _in_pieces(spark, sf_dir, "cast(event_id as bigint) % 20 = 0", by_date=True)
+    mart = scratch_path(spark, "hourly-mart")
+    files = len(spark.read.parquet(path).inputFiles())
+    sordered.start_hours(spark, path, mart, scratch_path(spark, "hourly-ckpt"), as_of=_as_of(spark, sf_dir),
+                         max_files=-(-files // PIECES), available_now=True).awaitTermination()
+    return sinks.read_mart(spark, mart).drop("bucket_date")
+
+
+def q_ingest_progress(spark, sf_dir):
+    """What the ingest stream reports of itself over several micro-batches."""
+    n = 2 * PIECES
+    src = scratch_path(spark, "progress-source")
+    fx.raw_payloads(_events(spark, sf_dir)).repartition(n).write.parquet(src)
+    rows = spark.read.parquet(src).count()
+    cfg = sing.IngestConfig(
+        fact_path=scratch_path(spark, "fact-p"), dlq_path=scratch_path(spark, "dlq-p"), metrics_path=scratch_path(spark, "metrics-p"),
+        checkpoint=scratch_path(spark, "ckpt-p"), source_format="parquet", source_path=src, max_per_trigger=2, available_now=True)
+    log = sprogress.ProgressLog(most=rows)
+    spark.streams.addListener(log)
+    try:
+        sing.start_ingest(spark, cfg, "tick_ingest_progress").awaitTermination()
+        log.ended.wait(120)
+    finally:
+        spark.streams.removeListener(log)
+    p = log.take(spark)
+    return p.agg(F.count(F.lit(1)).alias("batches"), *[F.sum(c).alias(c) for c in ("input_rows", "good_rows", "bad_rows")],
+                 F.count_if("over_limit").alias("over_limit"))
+
+
 def _ingest_files(spark) -> int:
     # files per write of the replay source: the session's shuffle parallelism,
     # so no single task writes a whole slice
@@ -564,6 +681,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_prices": q_latest_prices,
     "latest_prices_single_pass": q_latest_prices_single_pass,
     "price_events": q_price_events,
+    "price_events_join": q_price_events_join,
     "price_jumps": q_price_jumps,
     "validate_ticks": q_validate_ticks,
     "kafka_envelope": q_kafka_envelope,
@@ -587,6 +705,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retention": q_retention,
     "minute_last_price_ties": q_minute_last_price_ties,
     "price_events_ties": q_price_events_ties,
+    "upsert_new_column": q_upsert_new_column,
     "upsert_price_events": q_upsert_price_events,
     "upsert_volatility": q_upsert_volatility,
     "health_metrics": q_health_metrics,
@@ -604,6 +723,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_results": q_quality_results,
     "test_run_summary": q_test_run_summary,
     "alert_rules": q_alert_rules,
+    "alert_rules_error": q_alert_rules_error,
+    "test_documents": q_test_documents,
     "alert_timeline": q_alert_timeline,
     "alert_payloads": q_alert_payloads,
     "price_statistics": q_price_statistics,
@@ -620,6 +741,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "streaming_hourly": q_streaming_hourly,
     "streaming_dedup": q_streaming_dedup,
     "streaming_moves": q_streaming_moves,
+    "streaming_moves_late": q_streaming_moves_late,
+    "streaming_hourly_late": q_streaming_hourly_late,
+    "ingest_progress": q_ingest_progress,
     "stream_ingest": q_stream_ingest,
     "stream_latest_prices": q_stream_latest_prices,
     "ingest_metrics": q_ingest_metrics,
