@@ -50,7 +50,10 @@ def test_jobs_end_to_end(spark):
     values = {r["rule_uid"]: r["value"] for r in ev_rows}
     assert values["kafka_lag_warn_gt_50"] is not None and values["api_errors_18m_ge_1"] is not None
     assert cli._table(spark, root, "alert_states").count() == 11
+    folded = cli.run_compact(spark, SimpleNamespace(**base))
+    assert folded["dates"] and spark.read.parquet(f"{root}/raw_prices").count() == n_raw
     done = cli.run_retention(spark, SimpleNamespace(**base, days=7))
     kept = spark.read.parquet(f"{root}/raw_prices")
     assert kept.filter(F.col("event_ts") < F.lit("2024-01-24 00:00:00").cast("timestamp_ntz")).count() == 0
+    assert sorted(r[0] for r in spark.read.parquet(f"{root}/raw_prices_ids").select("event_id").collect()) == sorted(r[0] for r in kept.select("event_id").collect())
     assert "raw_prices" in done

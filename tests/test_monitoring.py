@@ -184,12 +184,34 @@ def test_summarise_status_rule(spark):
     assert got == {"r1": ("WARN", 2), "r2": ("PASS", 1), "r3": ("FAIL", 2), "r4": ("PASS", 1)}
 
 
-def test_read_test_results(spark, tmp_path):
-    p = tmp_path / "run_results.json"
-    p.write_text(json.dumps({"results": [{"unique_id": "a", "status": "pass"},
-                                         {"unique_id": "b", "status": "fail"}]}))
-    rows = quality.read_test_results(spark, str(p)).collect()
-    assert sorted(r["status"] for r in rows) == ["fail", "pass"]
+def test_test_documents(spark, tmp_path):
+    run = {"metadata": {"generated_at": "2024-03-01T10:00:00Z"}, "results": [{"unique_id": "a", "status": "pass"}, {"unique_id": "b", "status": "warn"}]}
+    bodies = {"good": json.dumps(run, indent=2), "cut": json.dumps(run)[:60], "empty_results": json.dumps({"results": []}),
+              "no_results": json.dumps({"metadata": {}}), "failed": json.dumps({**run, "results": [{"status": "fail"}]})}
+    for name, body in bodies.items():
+        (tmp_path / f"{name}.json").write_text(body)
+    docs = quality.read_test_documents(spark, str(tmp_path))
+    got = {r["file"].rsplit("/", 1)[1][:-5]: (r["status"], r["total"], r["warn"], r["error"], r["fail"], r["broken"])
+           for r in quality.document_runs(docs, keep=["file"]).collect()}
+    assert got == {"good": ("WARN", 2, 1, 0, 0, False), "cut": ("FAIL", 0, 0, 1, 0, True), "empty_results": ("PASS", 0, 0, 0, 0, False),
+                   "no_results": ("FAIL", 0, 0, 1, 0, True), "failed": ("FAIL", 1, 0, 0, 1, False)}
+    assert docs.filter("run_ts_utc is null").isEmpty()
+
+
+def test_a_failing_metric_costs_its_own_value_only(spark):
+    def boom():
+        raise RuntimeError("no such table\nmore")
+    one = spark.createDataFrame([("total_lag", 60.0)], "metric string, value double")
+    queries = {"total_lag": lambda: one, "errors_18m": boom, "backup_age_seconds": lambda: one.limit(0),
+               "max_partition_lag": lambda: one.select("metric", F.raise_error(F.lit("late")).cast("double").alias("value"))}
+    res = monitor.metric_results(spark, queries)
+    assert {r["metric"] for r in res.filter("error is not null").collect()} == {"errors_18m", "max_partition_lag"}
+    ev = {r["rule_uid"]: (r["breached"], r["state"]) for r in monitor.evaluate_rules(res, monitor.rules_df(spark)).collect()}
+    assert ev["kafka_lag_warn_gt_50"] == (True, "Alerting") and ev["kafka_lag_crit_gt_500"] == (False, "Normal")
+    assert ev["api_errors_18m_ge_1"] == (True, "Error") and ev["kafka_partition_lag_warn_gt_30"] == (True, "Error")
+    assert ev["backup_stale_25h"] == (True, "NoData") and ev["dlq_events_last_15m_gt_0"] == (False, "NoData")
+    grouped = monitor.grouped_alerts(monitor.evaluate_rules(res, monitor.rules_df(spark)), "metric").collect()
+    assert {(r["metric"], r["severity"]): r["alerts"] for r in grouped}[("errors_18m", "critical")] == 1
 
 
 def test_lag_can_count_dlq_offsets_as_processed(spark):

@@ -178,6 +178,32 @@ def test_upsert_replaces_keys_and_keeps_others(spark):
     assert got == {"k1": 1, "k2": 20, "k3": 3, "k4": 40}
 
 
+def test_mart_columns_follow_the_model(spark):
+    path = scratch_path(spark, "t-mart")
+    rows = lambda cols, *r: spark.createDataFrame(list(r), cols)
+    sinks.write_mart(rows("k string, v int, d string", ("k1", 1, "a"), ("k2", 2, "a"), ("k3", 3, "b")), path, "d")
+    sinks.upsert(spark, rows("k string, v int, w double, d string", ("k2", 20, 0.5, "a")), path, ["k"], "d")
+    assert {(r["k"], r["v"], r["w"]) for r in sinks.read_mart(spark, path).collect()} == {("k1", 1, None), ("k2", 20, 0.5), ("k3", 3, None)}
+    sinks.upsert(spark, rows("k string, w double, d string", ("k3", 7.0, "b")), path, ["k"], "d")
+    got = sinks.read_mart(spark, path)
+    assert got.columns == ["k", "w", "d"]
+    assert {(r["k"], r["w"]) for r in got.collect()} == {("k1", None), ("k2", 0.5), ("k3", 7.0)}
+    with pytest.raises(ValueError, match="w: double -> string"):
+        sinks.upsert(spark, rows("k string, w string, d string", ("k3", "x", "b")), path, ["k"], "d")
+
+
+def test_an_emptied_mart_can_be_rebuilt_whole(spark, stg):
+    as_of = default_as_of(stg)
+    path = scratch_path(spark, "t-emptied")
+    model = incremental.minute_model(stg, None).withColumn("bucket_date", F.to_date("minute_bucket"))
+    for fallback, n in (("7 days", None), (None, model.count())):
+        sinks.write_mart(model.limit(0), path, "bucket_date")
+        incremental.run(spark, incremental.minute_model, stg, path, ["commodity", "symbol", "minute_bucket"], "minute_bucket", "30 minutes", as_of,
+                        empty_fallback=fallback)
+        got = sinks.read_mart(spark, path).count()
+        assert got == n if n else 0 < got < model.count()
+
+
 def test_threshold_join_form_equals_literal_chain(spark, stg):
     """J7 (data-driven thresholds) classifies exactly like P16 (literal chain)."""
     from tickflow import dims

@@ -98,7 +98,7 @@ def run_marts(spark: SparkSession, a) -> dict:
     out = {}
     for name, (factory, keys, bucket, lookback) in MART_SPECS.items():
         out[name] = incremental.run(spark, factory(a.as_of), stg, _path(a.root, name), keys, bucket,
-                                    lookback, a.as_of, empty_fallback=None if a.rebuild_emptied else incremental.EMPTY_FALLBACK)
+                                    lookback, a.as_of, empty_fallback=None if getattr(a, "rebuild_emptied", False) else incremental.EMPTY_FALLBACK)
     state = sinks.published(spark, _path(a.root, "latest_prices_state"))
     latest = marts.latest_view(state) if state is not None else marts.latest_prices(stg, a.as_of)
     sinks.publish(latest, _path(a.root, "mart_latest_prices"))
@@ -123,7 +123,7 @@ def run_checks(spark: SparkSession, a) -> DataFrame:
     saved = spark.read.parquet(_path(a.root, "check_results")).filter(F.col("run_ts_utc") == ts_lit(a.as_of))
     summary = quality.summarise(saved, environment=a.environment)
     sinks.append_log(summary, _path(a.root, "test_runs"))
-    if a.results:   # run documents of another test runner
+    if getattr(a, "results", None):   # run documents of another test runner
         runs = quality.document_runs(quality.read_test_documents(spark, a.results), a.environment)
         sinks.append_log(runs.select(*summary.columns), _path(a.root, "test_runs"))
     return summary

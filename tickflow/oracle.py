@@ -929,6 +929,13 @@ SELECT rule_uid, metric, CASE WHEN metric <> 'backup_age_seconds' THEN value END
 FROM ({ALERT_RULES}) evaluated
 """
 
+ALERT_STREAM = f"""
+SELECT source, severity, alert_uid, alert_title, state, dashboard_uid, panel_id, org_id,
+       translate(raw_payload, chr(13) || chr(10), '  ') AS raw_payload,
+       sum(CASE WHEN payload_id % 5 = 0 THEN 2 ELSE 1 END)::BIGINT AS alerts, 2::BIGINT AS runs, 2::BIGINT AS most_runs
+FROM ({ALERT_PAYLOADS}) flat GROUP BY ALL
+"""
+
 INGEST_PROGRESS = q("""
 SELECT 4::BIGINT AS batches, count(*) AS input_rows, count(*) FILTER (WHERE error_reason IS NULL) AS good_rows,
        count(*) FILTER (WHERE error_reason IS NOT NULL) AS bad_rows, 0::BIGINT AS over_limit FROM validated
@@ -1044,6 +1051,7 @@ def all_sql() -> dict[str, str]:
         "streaming_moves_late": PRICE_EVENTS,
         "streaming_hourly_late": PRICE_VOLATILITY_1H,
         "ingest_progress": INGEST_PROGRESS,
+        "alert_stream": ALERT_STREAM,
         "source_freshness": SOURCE_FRESHNESS,
         "ingest_idle_time": INGEST_IDLE_TIME,
         "api_idle_time": API_IDLE_TIME,

@@ -22,6 +22,7 @@ from tickflow.plans.id_table import IdTable
 from tickflow.session import scratch_path
 from tickflow.sources import fixtures as fx
 from tickflow.sources import readers
+from tickflow.streaming import alerts as salerts
 from tickflow.streaming import ingest as sing
 from tickflow.streaming import marts as smarts
 from tickflow.streaming import ordered as sordered
@@ -609,6 +610,25 @@ def q_ingest_progress(spark, sf_dir):
                  F.count_if("over_limit").alias("over_limit"))
 
 
+def q_alert_stream(spark, sf_dir):
+    """Payload files as a stream, every 5th line twice in its file; run again with nothing new, and from the start beside it."""
+    path, out = scratch_path(spark, "alert-files"), scratch_path(spark, "alert-events")
+    lines = fx.alert_payloads(_events(spark, sf_dir))
+    lines = lines.select("payload_id", F.translate("body", "\r\n", "  ").alias("value"))
+    twice = F.when(F.col("payload_id") % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    lines.withColumn("copy", F.explode(twice)).repartition(PIECES, "payload_id").select("value").write.text(path)
+    checkpoint = scratch_path(spark, "alert-ckpt")
+    for ckpt in (checkpoint, checkpoint, scratch_path(spark, "alert-ckpt-again")):
+        salerts.start_alerts(spark, path, out, ckpt, max_files=1, available_now=True).awaitTermination()
+    stored = spark.read.parquet(out)
+    by_run = stored.groupBy(F.regexp_extract("batch_token", "^(.*)-[0-9]+$", 1).alias("run"), *[c for c in stored.columns if c not in ("batch_token", "received_ts")])
+    rows = by_run.agg(F.count(F.lit(1)).alias("n")).drop("run")
+    # two runs with the same payload ids: each row stands under both
+    both = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("runs"))
+    return both.groupBy(*[c for c in both.columns if c not in ("payload_id", "n", "runs")]).agg(
+        F.sum("n").alias("alerts"), F.min("runs").alias("runs"), F.max("runs").alias("most_runs"))
+
+
 def _ingest_files(spark) -> int:
     # files per write of the replay source: the session's shuffle parallelism,
     # so no single task writes a whole slice
@@ -744,6 +764,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "streaming_moves_late": q_streaming_moves_late,
     "streaming_hourly_late": q_streaming_hourly_late,
     "ingest_progress": q_ingest_progress,
+    "alert_stream": q_alert_stream,
     "stream_ingest": q_stream_ingest,
     "stream_latest_prices": q_stream_latest_prices,
     "ingest_metrics": q_ingest_metrics,

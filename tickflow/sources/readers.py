@@ -36,22 +36,30 @@ def read_watermarks(spark: SparkSession, path: str, fmt: str = "json") -> DataFr
     return spark.read.schema(WATERMARK_SCHEMA).format(fmt).load(path)
 
 
-def read_alert_payloads(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Alert webhook bodies, one JSON document per line.
+def alert_lines(lines: DataFrame) -> DataFrame:
+    """(file, received_ts, body) of text lines, batch or stream, from their files' metadata."""
+    return lines.select(F.col("_metadata.file_path").alias("file"),
+                        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("received_ts"), F.col("value").alias("body"))
 
-    Returns ``(payload_id, received_ts, body)``; ``payload_id`` is derived from the
-    file and the row's number in the read, so equal lines are different payloads.
-    A stream cannot number its rows: there equal lines of a file share an id.
-    Non-object bodies are rejected later by ``ingest.flatten_alerts``.
+
+def number_payloads(lines: DataFrame) -> DataFrame:
+    """``(payload_id, received_ts, body)``: the n equal lines of a file are n payloads, numbered 1 to n.
+
+    A line's id is the hash of its file, body and number; equal lines can be told apart by
+    nothing else, so the ids are the same however a file is split and whenever it is read
+    again.  Lines are counted before the shuffle: one repeated very often is one row there.
+    """
+    counted = lines.groupBy("file", "body").agg(F.min("received_ts").alias("received_ts"), F.count(F.lit(1)).alias("n"))
+    each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    return each.select(F.xxhash64("file", "body", "copy").alias("payload_id"), "received_ts", "body")
+
+
+def read_alert_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """Alert webhook bodies, one JSON document per line (S7): ``(payload_id, received_ts, body)``.
+
+    Non-object bodies are rejected later by ``ingest.flatten_alerts``.  ``streaming.alerts`` is the stream.
     """
-    if streaming:
-        raw = spark.readStream.text(path)
-    else:
-        raw = spark.read.text(path)
-    return raw.select(
-        F.xxhash64(F.input_file_name(), F.col("value") if streaming else F.monotonically_increasing_id()).alias("payload_id"),
-        F.current_timestamp().cast("timestamp_ntz").alias("received_ts"),
-        F.col("value").alias("body"))
+    return number_payloads(alert_lines(spark.read.text(path)))
 
 
 def write_kafka(rows: DataFrame, bootstrap_servers: str, topic: str) -> None:
