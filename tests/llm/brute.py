@@ -149,14 +149,16 @@ def base_spans(text):
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
-def judge_url(url, spam):
+def judge_url(url, spam, phrases=(), endings=()):
     m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
     host, path = (m[1].translate(UPPER), m[2]) if m else ("", "")
     fits = [(len(h + p), h + p, v) for h, p, v in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
     if fits:
         return host, path, max(fits)[1], max(fits)[2]
-    token = set(re.findall("[a-z0-9]+", (host + path).translate(UPPER)))
-    return host, path, None, "block" if token & spam else "allow"
+    runs = list(re.finditer("[a-z0-9]+", (host + path).translate(UPPER)))
+    pairs = {(a[0], b[0]) for a, b in zip(runs, runs[1:]) if b.start() - a.end() <= 3}
+    bad = {r[0] for r in runs} & set(spam) or pairs & set(phrases) or any(path.translate(UPPER).endswith("." + e) for e in endings)
+    return host, path, None, "block" if bad else "allow"
 
 
 def rotations(turns, part=512):

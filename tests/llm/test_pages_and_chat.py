@@ -9,7 +9,10 @@ from tickflow.llm import chat, queries, url_rules
 
 URLS = [None, "", "no scheme", "http://", "HTTP://A.Example.ORG/es/x", "http://example.org/en/1", "http://example.org/en/17?x#y", "http://example.org",
         "http://x.com/fr/", "http://x.com/de", "http://x.com/de/#a", "http://fr.com.net/fr/", "http://notexample.org/es/", "https://best-casino.net/a",
-        "http://casinos.net/", "http://a.net/b/POKER/", "http://u:p@a.org/?q", "http://a.org/x://b.com/de/", "http://com/de/", "http://a.net/casino?x"]
+        "http://casinos.net/", "http://a.net/b/POKER/", "http://u:p@a.org/?q", "http://a.org/x://b.com/de/", "http://com/de/", "http://a.net/casino?x",
+        "http://www.cheap-pills.example.com/de/1", "http://cheap.pills.net/", "http://a.net/cheap/../Pills", "http://a.net/cheap/..../pills", "http://a.net/cheap/x/pills",
+        "http://casino.win.net/", "http://a.net/get/Setup.EXE", "http://a.net/setup.exe?v=1", "http://setup.exe/", "http://a.net/setup.exe/x", "http://a.net/x.zip\n", "http://a.net/\nx.zip"]
+LISTS = ({r.literals[0] for r in url_rules.SPAM_RULES}, {r.literals for r in url_rules.PHRASE_RULES}, {r.literals[0] for r in url_rules.FILE_RULES})
 
 
 @pytest.fixture(scope="module")
@@ -20,11 +23,10 @@ def pages(spark):
 
 
 def test_url_rules(pages):
-    spam = {r.literals[0] for r in url_rules.SPAM_RULES}
     base = {r.name for r in url_rules.BASE_RULES}
     got = sorted(((r["page_id"], r["host"], r["path"], r["rule"] if r["rule"] in base else None, r["verdict"])
                   for r in url_rules.judge_urls(pages, url_rules.RULES).collect()), key=str)
-    want = sorted(((r["page_id"], *brute.judge_url(r["url"], spam)) for r in pages.collect()), key=str)
+    want = sorted(((r["page_id"], *brute.judge_url(r["url"], *LISTS)) for r in pages.collect()), key=str)
     assert got == want
     assert url_rules.judge_urls(pages.limit(0), url_rules.RULES).count() == 0
 
@@ -38,6 +40,17 @@ def test_rules_are_filed_under_their_rarest_token(spark, pages):
     assert {r["page_id"]: r["verdict"] for r in url_rules.judge_urls(odd, rules).collect()} == {1: "block", 2: "allow"}
 
 
+def test_phrases_are_fetched_by_their_rarer_word(spark):
+    """The frequent word of a phrase fetches no rule: only URLs with the rarer one run the expression."""
+    rows = [(i, f"http://a.net/free/{i}") for i in range(50)] + [(90, "http://free-bets.net/"), (91, "http://bets.net/free")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    rule = [url_rules.phrase_rule("free", "bets")]
+    tokens = df.select(F.explode(url_rules.url_tokens(F.concat(*url_rules.host_and_path(F.col("url"))), False)).alias("token"))
+    assert [r["token"] for r in url_rules.rule_index(url_rules.rule_table(spark, rule), tokens).collect()] == ["bets"]
+    assert tokens.filter("token = ''").count() == 0
+    assert {r["page_id"] for r in url_rules.judge_urls(df, rule).collect() if r["verdict"] == "block"} == {90}
+
+
 def test_pattern_literals_are_whole_tokens():
     assert url_rules.prefix_rule("example.org", "/en/1", "block").literals == ("example", "org", "en")
     assert url_rules.prefix_rule("com", "/fr/", "allow").literals == ("com", "fr")
@@ -82,9 +95,8 @@ def test_whoever_joins_late_sees_the_whole_dialogue(turns):
 def test_urls_fold_ascii_letters_only(spark):
     kelvin = "http://a.net/casino\u212a/"
     df = spark.createDataFrame([(1, kelvin), (2, "http://a.net/CASINO/"), (3, "http://a.net/" + "x/" * 200_000 + "poker")], "page_id long, url string")
-    spam = {r.literals[0] for r in url_rules.SPAM_RULES}
     got = {r["page_id"]: r["verdict"] for r in url_rules.judge_urls(df, url_rules.RULES).collect()}
-    assert got == {r["page_id"]: brute.judge_url(r["url"], spam)[3] for r in df.collect()} == {1: "block", 2: "block", 3: "block"}
+    assert got == {r["page_id"]: brute.judge_url(r["url"], *LISTS)[3] for r in df.collect()} == {1: "block", 2: "block", 3: "block"}
 
 
 @pytest.mark.parametrize("name", sorted(set(queries.ORACLE_SQL) - {"op12_prefix_trie", "op13_spelling_variants"}))

@@ -93,7 +93,7 @@ _WORDS = r"[x FOR x IN string_split_regex({}, '[\x20\x09-\x0D]+') IF x <> '']"
 _CRC32 = """xor(list_reduce([4294967295::BIGINT] || [('0x' || substr({0}, 2 * i + 1, 2))::BIGINT FOR i IN range(length({0}) // 2)],
     lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
 _RULES = ", ".join(f"('{r.name}', '{r.name.partition('/')[0]}', '/{r.name.partition('/')[2]}', '{r.verdict}')" for r in url_rules.BASE_RULES)
-_SPAM = ", ".join(f"('{r.name}', '{r.literals[0]}', '{r.verdict}')" for r in url_rules.SPAM_RULES)
+_PATTERNS = ", ".join(f"('{r.name}', '{r.pattern.removeprefix('(?i)')}', '{r.verdict}')" for r in url_rules.PATTERN_RULES)
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": f"""
@@ -123,14 +123,14 @@ a AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept FROM k G
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN a USING (r)""",
     "op9_url_rules": f"""
-WITH rules(rule, rule_host, rule_path, verdict) AS (VALUES {_RULES}), spam(rule, word, verdict) AS (VALUES {_SPAM}),
+WITH rules(rule, rule_host, rule_path, verdict) AS (VALUES {_RULES}), patterns(rule, pattern, verdict) AS (VALUES {_PATTERNS}),
 u AS (SELECT row_number() OVER () AS r, page_id,
              translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
 b AS (SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM u JOIN rules
       ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY r),
-p AS (SELECT r, (arg_max(spam, (length(rule), rule))).rule AS rule, 'block' AS verdict FROM u JOIN spam
-      ON regexp_matches(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(^|[^a-z0-9])' || word || '([^a-z0-9]|$)') GROUP BY r)
+p AS (SELECT r, arg_max(rule, (length(rule), rule)) AS rule, 'block' AS verdict FROM u JOIN patterns
+      ON regexp_matches(translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), pattern) GROUP BY r)
 SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict, p.verdict, 'allow') AS verdict,
        CASE WHEN b.rule IS NULL THEN p.rule END AS pattern_rule
 FROM u LEFT JOIN b USING (r) LEFT JOIN p USING (r)""",

@@ -5,7 +5,8 @@ every URL it matches has among its own tokens (lower-case runs of a-z and
 0-9 in host and path).  One pass over all URLs counts the rules' tokens; each
 rule is filed under its rarest one.  A URL's tokens fetch the rules filed
 under them, and only those run their regular expressions.  Rules without
-literal tokens are filed under the empty token, which every URL has.
+literal tokens are filed under the empty token, which every URL is given when
+there are such rules.
 
 URLs are judged once each: pages with the same URL share the verdict, so a
 very frequent URL is one row until the last join, which Spark can split.
@@ -22,6 +23,7 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 import string
@@ -55,6 +57,17 @@ def label_rule(word: str, verdict: str = "block") -> Rule:
     return Rule(f"*{word}*", f"(?i)(?:^|[^a-z0-9]){re.escape(word)}(?:[^a-z0-9]|$)", verdict, (word,))
 
 
+def phrase_rule(first: str, second: str, verdict: str = "block") -> Rule:
+    """Fits URLs with the two words as neighbouring tokens, one to three other characters between them."""
+    return Rule(f"*{first} {second}*", f"(?i)(?:^|[^a-z0-9]){re.escape(first)}[^a-z0-9]{{1,3}}{re.escape(second)}(?:[^a-z0-9]|$)",
+                verdict, (first, second))
+
+
+def file_rule(ending: str, verdict: str = "block") -> Rule:
+    """Fits URLs whose path ends with ``.ending``."""
+    return Rule(f"*.{ending}", rf"(?i)/(?s:.*)[.]{re.escape(ending)}\z", verdict, (ending,))
+
+
 #: Prefix rules of the contract: fixed values.
 BASE_RULES = [
     prefix_rule("org", "/", "allow"),
@@ -67,7 +80,21 @@ BASE_RULES = [
 SPAM_RULES = [label_rule(w) for w in (
     "betting", "casino", "escort", "jackpot", "lottery", "poker", "porn", "roulette", "sex", "slots",
     "torrent", "viagra", "warez", "xxx")]
-RULES = [*BASE_RULES, *SPAM_RULES]
+#: Neighbouring words that mark a site though each alone is harmless: any of the left with any of the right.
+PHRASES = [
+    (("best", "buy", "cheap", "discount", "free", "instant", "online", "order"),
+     ("bets", "cialis", "credits", "essays", "followers", "likes", "loans", "meds", "pharmacy", "pills", "replica", "spins", "watches")),
+    (("casino", "jackpot", "lottery", "poker", "slots"), ("bonus", "club", "games", "online", "win")),
+    (("adult", "sexy"), ("cam", "cams", "chat", "dating", "video", "videos", "x")),
+    (("ad", "ads", "click", "popup"), ("farm", "network", "server", "serving", "track", "tracker", "tracking")),
+    (("doorway", "link", "seo", "spam"), ("exchange", "farm", "farms", "network", "wheel")),
+    (("free", "full", "nulled"), ("crack", "download", "keygen", "serial", "torrents")),
+]
+PHRASE_RULES = [phrase_rule(a, b) for left, right in PHRASES for a, b in itertools.product(left, right)]
+#: Paths that end in a program or an archive, not a page.
+FILE_RULES = [file_rule(e) for e in ("7z", "apk", "bin", "deb", "dmg", "exe", "iso", "jar", "msi", "rar", "rpm", "zip")]
+PATTERN_RULES = [*SPAM_RULES, *PHRASE_RULES, *FILE_RULES]
+RULES = [*BASE_RULES, *PATTERN_RULES]
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -83,8 +110,10 @@ def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
     return spark.range(1).select(F.explode(rows).alias("r")).select("r.*")
 
 
-def url_tokens(target: Column) -> Column:
-    return F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all(ascii_lower(target), F.lit("[a-z0-9]+"), 0)))
+def url_tokens(target: Column, empty: bool) -> Column:
+    """The distinct tokens of a URL, with ``empty`` also the one of rules without literals."""
+    own = F.regexp_extract_all(ascii_lower(target), F.lit("[a-z0-9]+"), 0)
+    return F.array_distinct(F.concat(F.array(F.lit("")), own) if empty else own)
 
 
 def rule_index(rules: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -103,7 +132,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], default: str = "allow") -> D
     spark = pages.sparkSession
     host, path = host_and_path(F.col("url"))
     urls = pages.select("url").distinct().withColumn("target", F.concat(host, path))
-    spread = urls.select("url", "target", F.explode(url_tokens(F.col("target"))).alias("token"))
+    spread = urls.select("url", "target", F.explode(url_tokens(F.col("target"), not all(r.literals for r in rules))).alias("token"))
     index = rule_index(rule_table(spark, rules), spread.select("token"))
     if len(rules) <= MAX_BROADCAST:
         index = F.broadcast(index)
