@@ -379,3 +379,51 @@ def test_wider_generators_propose(spark):
         assert (kind, 4, 4 + len(r["x"])) in [(p["kind"], p["start"], p["end"]) for p in r["p"] if not p["proposed"]], r["x"]
     odd = spark.createDataFrame([("a::b::c",), ("std::vector",), ("1:2:3",)], "text string")
     assert not [p for r in odd.select(personal_data.proposals(F.col("text")).alias("p")).collect() for p in r["p"] if p["kind"] == 1]
+
+
+NAMED = [("email", "reach {} soon", "ann.{}(at)site{}.org"), ("email", "please write {} now", "ann{} at site{} dot com"), ("email", "contact {} here", "ann{}%40site{}.net"),
+         ("email", "mail {} today", "jos\u00e9{}@caf\u00e9{}.fr"), ("ip", "host {} down", "fe80::{}:{}"), ("ip", "server {} up", "10[.]0[.]{}[.]{}"),
+         ("phone", "tel: {} now", "55501{:03d}{:03d}"), ("phone", "call {} now", "(555) {:03d}-4{:03d}"), ("account", "account {} closed", "73950{:03d}28{:03d}461"),
+         ("secret", 'api_key = "{}" ok', "zQ8k{:03d}mLw{:03d}xPv"), ("secret", "sum {} done", "9f86d081884c7d659a2feaa0c55a{:03d}{:03d}fb2411e")]
+ORDINARY = ["on 20240131{:02d}15{:02d}", "stamp 1706{:03d}115{:03d} ms", "book 978316{:03d}8{:03d}0", "about 7{:03d}{:03d}000000 units", "password: tomorrow or later",
+            "token: transformers", "at noon dot {} {}", "see a::b or std::vector", "rule 1.2.{}.{}.9.400", "version {}.{}", "from {} to {}", "+0 12 34 {:03d} {:03d}"]
+
+
+def test_precision_and_recall_of_added_spans(spark):
+    """Looser spans with known truth among ordinary numbers and words; what is added is measured, base spans aside."""
+    lines, truth = [], set()
+    for i in range(20):
+        lines += [(len(lines) + k, f"mail me{i}@host{i}.com, call +1 (555) 010-9{i:03d}, server 10.0.0.{i}, card 4539 1488 0343 6467") for k in range(3)]
+        for kind, line, form in NAMED:
+            value = form.format(i + 11, i + 41)
+            lines.append((len(lines), line.format(value)))
+            truth.add((lines[-1][0], kind, line.index("{}"), line.index("{}") + len(value)))
+        for line in ORDINARY:
+            lines.append((len(lines), line.format(i + 11, i + 31)))
+    found = personal_data.find_personal_data(spark.createDataFrame(lines, "doc_id int, text string")).collect()
+    added = {(r["doc_id"], personal_data.KINDS[s["kind"]], s["start"], s["end"]) for r in found for s in r["spans"] if not s["base"]}
+    text = dict(lines)
+    assert len(added & truth) >= 0.95 * len(truth), [text[t[0]] for t in sorted(truth - added)][:5]
+    assert len(added & truth) >= 0.95 * len(added), [(text[t[0]], t) for t in sorted(added - truth)][:5]
+
+
+def test_secrets_and_account_numbers_of_real_text(spark):
+    """Every value after "token =" in the table's own prose is added, and no text without long numbers, addresses or keys gets a span."""
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    got = {(r["doc_id"], r["text"]): r["spans"] for r in df.join(personal_data.find_personal_data(df), "doc_id").collect()}
+    for (_, t), spans in got.items():
+        secret = {(s["start"], s["end"]) for s in spans if s["kind"] == personal_data.KINDS.index("secret")}
+        assert {m.span(1) for m in re.finditer('(?i)token = "([0-9a-f]{40})"', t or "")} <= secret
+        assert spans == [] or re.search(r"[0-9]{4}|@|[0-9][.][0-9]|[+][0-9]|[0-9a-fA-F]{32}", t)
+
+
+def test_context_changes_the_verdict_on_real_text(spark):
+    """The table's own prose with numbers put in: identifiers after "account", time stamps elsewhere. Of two like numbers the one in context goes."""
+    prose = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) between 100 and 4000").orderBy("doc_id").limit(90).collect()]
+    prose = [re.sub(r"[0-9@]", "x", t) for t in prose]
+    lines = [(i, f"{t} account 7395{i:04d}2846 {t}") for i, t in enumerate(prose[:44])]
+    lines += [(100 + i, f"{t} logged 20240131{i % 24:02d}15 {t}") for i, t in enumerate(prose[44:88])]
+    lines += [(900, f"{prose[0]} account 739577772846 {prose[1]}"), (901, f"{prose[0]} logged 739577772846 {prose[1]}")]
+    found = personal_data.find_personal_data(spark.createDataFrame(lines, "doc_id int, text string"))
+    got = {r["doc_id"]: [personal_data.KINDS[s["kind"]] for s in r["spans"]] for r in found.filter("doc_id >= 900").collect()}
+    assert got == {900: ["account"], 901: []}

@@ -1,18 +1,23 @@
 """Personal data: generators propose spans, boosted trees and calibrated thresholds select redactions.
 
 1. Generators.  For each kind (email, ip, card, phone) the base pattern proposes
-   spans, and looser patterns propose more: masked addresses, IPv6, cards grouped by other
-   characters, national phone numbers.  Proposals may overlap.
+   spans, and several looser patterns propose more: masked, spelled and accented addresses, IPv6 and defanged
+   addresses, cards grouped by other characters, national phone numbers and numbers after "tel".  Two more kinds
+   have looser patterns only: account (runs of 12 to 19 digits) and secret (values of keys, tokens and
+   passwords, long hexadecimal runs, keys with well-known beginnings).  Proposals may overlap.
 2. Base spans are the base pattern's matches that pass their check (parts at most
    255, Luhn, digit counts).  They are always redacted.
-3. Boosted trees learn from all base matches of the corpus, with the check's outcome as
-   label, which format and context go with personal data.  The check itself is no feature.  All features are small integers, so
+3. Every proposal gets a verdict (``right``) from a test of its digits or letters that no
+   feature shows: the host ends in letters, the parts are at most 255, Luhn, no leading zero,
+   a number that is no time stamp, book number, round number or run of like digits, a value that mixes letters and digits.
+   Boosted trees learn from the verdicts on all proposals of the corpus which format and
+   context go with personal data.  All features are small integers, so
    the corpus is summed up in at most ``CELLS`` cells; trees of depth two
    are fitted to the cells on the driver and become one expression.
-4. A threshold for each kind is calibrated on the labelled matches: the lowest
-   score at which at least ``PRECISION`` of the matches at or above it are right.  A
-   looser proposal is redacted when its score reaches its kind's threshold, it passes its check (cards: Luhn)
-   and it overlaps no base span of its kind.  Without right matches of a kind nothing is added to it.
+4. A threshold for each kind is calibrated on the same proposals: the lowest
+   score at which at least ``PRECISION`` of those at or above it are right.  A
+   looser proposal is redacted when its score reaches its kind's threshold, its verdict is right
+   and it overlaps no base span of its kind (account, secret: of any kind).  Without right proposals of a kind nothing is added to it.
 
 The patterns only add possessive quantifiers and look-behinds to the contract's,
 which changes no match and keeps the search linear on very long runs.
@@ -31,8 +36,9 @@ from pyspark.sql import functions as F
 
 from .common import let, materialize
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone", "account", "secret")
 PRECISION = 0.98
+SLACK = 1e-6  # scores as near as this are one: sums of the same values differ in their last bits
 ROUNDS = 20
 RATE = 0.5
 
@@ -43,21 +49,40 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+_WORD = r"\p{L}\p{N}._%+-"
+_VALUE = "A-Za-z0-9+/_.~-"
+_NAME = "(?i:key|token|secret|passwd|password|pwd|passphrase|credential)"
 LOOSE = {
-    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]++\x20?[\[({{](?:at|AT)[\])}}]\x20?[A-Za-z0-9-]++(?:\x20?(?:[\[({{](?:dot|DOT)[\])}}]|\.)\x20?[A-Za-z0-9-]++)++",
-    "ip": r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
-          r"|(?=[0-9A-Fa-f:]*+(?![0-9A-Za-z:]))(?=(?:[0-9A-Fa-f]*+:){2,7}+[0-9A-Fa-f]*+(?![0-9A-Fa-f:]))"
-          r"(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![0-9A-Za-z:])",
-    "card": r"(?<![0-9])(?:[0-9]{4}(?:[./_][0-9]{4}){3}|[0-9]{4}[./_][0-9]{6}[./_][0-9]{4,5})(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z+.-])(?:(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}"
-             r"|00[1-9][0-9]{0,2}(?:[\x20./-]?[0-9]{2,4}){2,4}|0[1-9][0-9]{1,4}[\x20/-][0-9]{2,4}(?:[\x20-]?[0-9]{2,4}){1,2})(?![0-9A-Za-z-])",
+    "email": (
+        rf"(?<![{_LOCAL}])[{_LOCAL}]++\x20?[\[({{](?:at|AT)[\])}}]\x20?[A-Za-z0-9-]++(?:\x20?(?:[\[({{](?:dot|DOT)[\])}}]|\.)\x20?[A-Za-z0-9-]++)++",
+        rf"(?<![{_LOCAL}])[{_LOCAL}]++\x20(?:at|AT)\x20[A-Za-z0-9-]++(?:\x20(?:dot|DOT)\x20[A-Za-z0-9-]++)++",
+        r"(?<![A-Za-z0-9._+-])[A-Za-z0-9._+-]++%40[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+        rf"(?<![{_WORD}])[{_WORD}]++@[\p{{L}}\p{{N}}-]++(?:\.[\p{{L}}\p{{N}}-]++)++"),
+    "ip": (
+        r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+        r"|(?=[0-9A-Fa-f:]*+(?![0-9A-Za-z:]))(?=(?:[0-9A-Fa-f]*+:){2,7}+[0-9A-Fa-f]*+(?![0-9A-Fa-f:]))"
+        r"(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![0-9A-Za-z:])",
+        r"(?<![0-9])[0-9]{1,3}(?:(?:\[\.\]|\(\.\))[0-9]{1,3}){3}(?![0-9])"),
+    "card": (r"(?<![0-9])(?:[0-9]{4}(?:[./_][0-9]{4}){3}|[0-9]{4}[./_][0-9]{6}[./_][0-9]{4,5})(?![0-9])",),
+    "phone": (
+        r"(?<![0-9A-Za-z+.-])(?:(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}"
+        r"|00[1-9][0-9]{0,2}(?:[\x20./-]?[0-9]{2,4}){2,4}|0[1-9][0-9]{1,4}[\x20/-][0-9]{2,4}(?:[\x20-]?[0-9]{2,4}){1,2})(?![0-9A-Za-z-])",
+        r"(?<![0-9])(?=[0-9]{9})(?<=(?i:tel|phone|fax|mobile)[.:]?\x20{0,2})[0-9]{9,15}(?![0-9])"),
+    "account": (r"(?<![0-9A-Za-z.,_/+-])[0-9]{12,19}(?![0-9A-Za-z_/-]|[.,][0-9])",),
+    "secret": (
+        rf"(?<![{_VALUE}])(?=[{_VALUE}]{{8}})(?<={_NAME}[\"']?\x20{{0,2}}[:=]\x20{{0,2}}[\"']?)[{_VALUE}]++={{0,2}}",
+        r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])",
+        r"(?<![0-9A-Za-z])(?:A[KS]IA[0-9A-Z]{16}|gh[opsu]_[0-9A-Za-z]{36}|xox[abprs]-[0-9A-Za-z-]{10,100}"
+        r"|eyJ[0-9A-Za-z_-]{10,2000}\.[0-9A-Za-z_-]{10,2000}\.[0-9A-Za-z_-]{10,2000})(?![0-9A-Za-z_-])"),
 }
 #: A text without this has no match of the kind.
-NEEDS = {"email": "@|[(\\[{](?:at|AT)[)\\]}]", "ip": "[0-9][.]|:[0-9A-Fa-f]|[0-9A-Fa-f]:", "card": "[0-9]{4}|[0-9][\\x20-][0-9]",
-         "phone": "[+][0-9]|[0-9][.)\\x20/-]|00[1-9]"}
+NEEDS = {"email": r"@|[(\[{](?:at|AT)[)\]}]|%40|\x20(?:dot|DOT)\x20", "ip": r"[0-9][.]|:[0-9A-Fa-f]|[0-9A-Fa-f]:|[0-9][\[(]\.",
+         "card": "[0-9]{4}|[0-9][\\x20-][0-9]", "phone": "[+][0-9]|[0-9][.)\\x20/-]|00[1-9]|[0-9]{9}", "account": "[0-9]{12}",
+         "secret": rf"{_NAME}[\"']?\x20{{0,2}}[:=]|[0-9a-f]{{32}}|[0-9A-F]{{32}}|A[KS]IA[0-9A-Z]|gh[opsu]_|xox[abprs]-|eyJ"}
 #: Words before a span that speak for its kind.
 CONTEXT = {"email": "mail|contact|write|kontakt|correo", "ip": "addr|host|server|ip", "card": "card|visa|karte|carte|tarjeta|pay",
-           "phone": "phone|call|tel|fax|mobile|numero"}
+           "phone": "phone|call|tel|fax|mobile|numero", "account": "account|konto|cuenta|compte|customer|kunde|passport|member",
+           "secret": "key|token|secret|pass|auth|bearer"}
 
 #: Feature: number of values.
 FEATURES = {"digits": 6, "marks": 4, "left": 3, "right": 3, "context": 2, "check": 3}
@@ -115,21 +140,51 @@ def _edge(c: Column) -> Column:
     return F.when((c == "") | c.rlike(r"\s"), 0).when(c.rlike(r"[\p{L}\p{N}]"), 2).otherwise(1)
 
 
+def identifier(digits: Column) -> Column:
+    """Whether a long number may name somebody: no time stamp, book number, round number, run of like digits or count-up."""
+    dated = r"^(?:19|20)[0-9]{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12][0-9]|3[01])(?:[01][0-9]|2[0-3])[0-5][0-9](?:[0-5][0-9][0-9]{0,5})?$"
+    return ~digits.rlike(rf"{dated}|^1[0-9]{{12}}$|^97[89][0-9]{{10}}$|0{{6}}$|([0-9])\1{{6}}|01234567|12345678|98765432|87654321")
+
+
+def plausible(kind: str, found: Column) -> Column:
+    """The verdict on a proposal that the trees learn from: by its digits and letters, which are no features."""
+    digits = F.regexp_replace(found, "[^0-9]", "")
+    if kind == "email":
+        return found.rlike(r"[\p{L}]{2,}$")
+    if kind == "ip":
+        return (found.contains(":") & found.rlike("[0-9]")) | passes("ip", F.regexp_replace(found, r"[\[\]()]", ""))
+    if kind == "card":
+        return passes("card", found)
+    if kind == "phone":
+        return passes("phone", found) & ~found.rlike(r"^\+0")
+    if kind == "account":
+        return identifier(digits)
+    letters = F.length(F.regexp_replace(found, "[^A-Za-z]", ""))
+    return (letters >= 2) & (F.length(digits) >= 2) & (F.size(F.array_distinct(F.split(found, ""))) >= 8)
+
+
+def second_check(kind: str, found: Column) -> Column:
+    """A test of the value that does not decide the verdict: 0 fails, 2 passes, 1 for kinds without one."""
+    if kind == "ip":
+        return F.when(found.rlike(r"^[0-9](?:\.[0-9]){3}$"), 0).otherwise(2)  # as short as a version number
+    if kind == "account":
+        return F.when(luhn(found), 2).otherwise(0)
+    if kind == "secret":
+        return F.when(found.rlike("[./]"), 0).otherwise(2)  # as a file or package
+    return F.lit(1)
+
+
 def described(kind: str, base: bool, m: Column) -> Column:
-    """A proposal with its features."""
-    digits = F.regexp_replace(m["found"], "[^0-9]", "")
-    n = F.length(digits)
-    ok = passes(kind, m["found"])
-    check = F.lit(2)  # the check is the label: the same for all base matches, or it alone would split them
-    if not base and kind == "card":
-        check = F.when(F.when(n.between(13, 19), luhn(digits)).otherwise(False), 2).otherwise(0)
-    count = F.when(n == 0, 0).when(n < 4, 1).when(n < 9, 2).when(n < 13, 3).when(n < 20, 4).otherwise(5)
+    """A proposal with its features; ``proposed``: by the base pattern, ``base``: and redacted for that."""
+    n = F.length(F.regexp_replace(m["found"], "[^0-9]", "")) if kind != "secret" else F.length(m["found"])
+    size = F.when(n == 0, 0).when(n < 4, 1).when(n < 9, 2).when(n < 13, 3).when(n < 20, 4).otherwise(5)
     return F.struct(
         F.lit(KINDS.index(kind)).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), F.lit(base).alias("proposed"),
-        (ok if base else F.lit(False)).alias("base"), count.alias("digits"),
+        (passes(kind, m["found"]) if base else F.lit(False)).alias("base"), plausible(kind, m["found"]).alias("right_kind"),
+        size.alias("digits"),
         F.least(F.size(F.array_distinct(F.split(F.regexp_replace(m["found"], "[A-Za-z0-9]", ""), ""))) - 1, F.lit(3)).alias("marks"),
         _edge(F.right(m["before"], F.lit(1))).alias("left"), _edge(m["after"]).alias("right"),
-        F.lower(m["before"]).rlike(CONTEXT[kind]).cast("int").alias("context"), check.alias("check"))
+        F.lower(m["before"]).rlike(CONTEXT[kind]).cast("int").alias("context"), second_check(kind, m["found"]).alias("check"))
 
 
 def _described_all(kind: str, base: bool, text: Column, pattern: str) -> Column:
@@ -141,8 +196,9 @@ def proposals(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     out = []
     for kind in KINDS:
-        per_kind = [_described_all(kind, base, text, patterns[kind]) for base, patterns in ((True, BASE), (False, LOOSE))]
-        out.append(F.when(text.rlike(NEEDS[kind]), F.concat(*per_kind)))
+        generators = [(True, BASE[kind])] if kind in BASE else []
+        generators += [(False, p) for p in LOOSE[kind]]
+        out.append(F.when(text.rlike(NEEDS[kind]), F.concat(*[_described_all(kind, base, text, p) for base, p in generators])))
     return F.flatten(F.filter(F.array(*out), lambda x: x.isNotNull()))
 
 
@@ -215,9 +271,9 @@ def thresholds(cells: list[tuple[dict, int, int]], trees: list[Tree], precision:
         best, n, right = math.inf, 0, 0
         for i, (s, a, b) in enumerate(rows):
             n, right = n + a, right + b
-            last = i + 1 == len(rows) or rows[i + 1][0] < s
+            last = i + 1 == len(rows) or rows[i + 1][0] < s - SLACK
             if last and right and right >= precision * n:
-                best = s
+                best = s - SLACK
         out.append(best)
     return out
 
@@ -236,11 +292,15 @@ def score(trees: list[Tree], p: Column) -> Column:
 # --- the operator -----------------------------------------------------------
 
 def feature_cells(proposed: DataFrame) -> list[tuple[dict, int, int]]:
-    """(features, matches, right matches) of all base matches, in at most CELLS cells."""
+    """(features, matches, right matches) of all proposals, in at most CELLS cells.
+
+    Digit runs that are too short or too long for a card say nothing of cards and are left out.
+    """
     names = ["kind", *FEATURES]
-    rows = (proposed.select(F.explode("proposals").alias("p")).filter("p.proposed")
+    learned = (F.col("p.kind") != KINDS.index("card")) | (F.col("p.digits") == 4)
+    rows = (proposed.select(F.explode("proposals").alias("p")).filter(learned)
             .groupBy(*[F.col(f"p.{n}").alias(n) for n in names])
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("p.base").cast("long")).alias("good")).collect())
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("p.right_kind").cast("long")).alias("good")).collect())
     return sorted(((({n: r[n] for n in names}, r["n"], r["good"])) for r in rows), key=lambda x: tuple(x[0].values()))
 
 
@@ -251,11 +311,12 @@ def selected(found: Column, trees: list[Tree], limits: list[float]) -> Column:
     def chosen(all_: Column) -> Column:
         def add(base: Column) -> Column:
             def accepted(p: Column) -> Column:
-                free = ~F.exists(base, lambda b: (b["kind"] == p["kind"]) & (b["start"] < p["end"]) & (p["start"] < b["end"]))
-                return ~p["proposed"] & free & (p["check"] > 0) & (score(trees, p) >= F.element_at(limit_of, p["kind"] + 1))
+                free = ~F.exists(base, lambda b: ((b["kind"] == p["kind"]) | (p["kind"] >= len(BASE)))
+                                 & (b["start"] < p["end"]) & (p["start"] < b["end"]))
+                return ~p["proposed"] & free & p["right_kind"] & (score(trees, p) >= F.element_at(limit_of, p["kind"] + 1))
 
             both = F.concat(base, F.filter(all_, accepted))
-            return F.sort_array(F.transform(both, lambda p: F.struct(p["kind"], p["start"], p["end"], p["base"])))
+            return F.sort_array(F.array_distinct(F.transform(both, lambda p: F.struct(p["kind"], p["start"], p["end"], p["base"]))))
 
         return let(F.filter(all_, lambda p: p["base"]), add)
 

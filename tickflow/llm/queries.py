@@ -25,9 +25,10 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["base"])
     kinds = F.transform(base, lambda s: s["kind"])
     counts = [F.size(F.filter(kinds, personal_data.is_kind(k))).cast("long").alias(f"n_{name}")
-              for k, name in enumerate(personal_data.KINDS)]
+              for k, name in enumerate(personal_data.BASE)]
     return found.select("doc_id", *counts, sha256_hex(personal_data.listed(base)).alias("base_sha256"),
-                        personal_data.listed(F.col("spans")).alias("spans"))
+                        personal_data.listed(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"),
+                        (F.size("spans") - F.size(base)).cast("long").alias("n_added"))
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
