@@ -171,6 +171,34 @@ def test_substrings_with_a_full_filter(docs, rows, monkeypatch):
     assert counted(got.drop("kept_text").collect()) == Counter(brute.without_repeats(rows))
 
 
+def test_substrings_joined_over_stretches(docs, rows):
+    got = substrings.remove_repeats(docs, stretch=4)
+    assert counted(got.drop("kept_text").collect()) == Counter(brute.without_repeats(rows))
+
+
+def _keyed(spark, texts):
+    return spark.createDataFrame([(100 + i, i, t) for i, t in enumerate(texts)], "key long, doc long, text string")
+
+
+@pytest.mark.parametrize("stretch", [1, 7, 64, 4096])
+def test_paths_go_on_over_stretches(spark, stretch):
+    shared = " ".join(f"p{i}" for i in range(300))
+    keyed = _keyed(spark, ["x y " + shared, "u " + shared + " v " + shared, "w " * 40, "w " * 30, "w " * 90])
+    got = {tuple(r) for r in substrings.repeated_paths(keyed, stretch=stretch).select(
+        "key", "at", "windows", "source", "source_at", "source_windows").collect()}
+    assert got == {(101, 1, 288, 100, 2, 288), (101, 302, 288, 100, 2, 288), (103, 0, 18, 102, 0, 1), (104, 0, 78, 102, 0, 1)}
+
+
+def test_only_words_found_at_the_source_are_cut(spark):
+    words = [f"q{i}" for i in range(40)]
+    keyed = _keyed(spark, [" ".join(words), "a " + " ".join(words)])
+    paths = spark.createDataFrame([(101, 1, 28, 100, 0, 28), (101, 1, 28, 100, 1, 27), (101, 0, 28, 100, 0, 1)],
+                                  "key long, at long, windows long, source long, source_at long, source_windows long")
+    checked = substrings.with_source_digests(paths, keyed).collect()
+    text = ["a".encode(), *(w.encode() for w in words)]
+    assert {(r["at"], r["source_at"]): substrings._verified(text, r.asDict(), 13) for r in checked} == {(1, 0): True, (1, 1): False, (0, 0): False}
+
+
 def test_base_language_model(docs, rows):
     got = language_model.score_documents(docs, lookup=300).collect()  # most words take the join
     want = brute.base_scores(rows)

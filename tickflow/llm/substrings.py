@@ -12,16 +12,24 @@ smallest (doc_id, position).
 2. Repeated edges: windows that pass the filter are sorted by their 96-bit hash.
    The first row of a run is the edge's first source; every other row in another
    document is a repeat.  A false positive of the filter is a run of one.
-3. Compaction: in each document consecutive repeats whose sources are consecutive
-   too form one nonbranching path; where document and source part, or the edge's
-   first source is another document, the path ends.  A path is one row:
-   its place, its length and its source's coordinates.
-4. The paths of each document are joined to it and cut out.  A Bloom filter of
-   the documents that have paths lets all others pass without a shuffle.
+3. Compaction: repeats of a document that follow each other, from sources that follow
+   each other too, are edges through a node with one way in and one way out. They are
+   compacted within stretches of ``STRETCH`` windows first; pieces that end and begin at a
+   stretch's border in the same node (place, source, place in the source) are joined there, and
+   the chains they form are followed to their heads by pointer doubling. Where document and source
+   part, or the edge's first source is another document, the path ends.  A path is one
+   row: its place, its length and its source's coordinates.
+4. Verification: the words at a path's source coordinates are read from the source's
+   text, and their digest (128-bit BLAKE2b) goes to the path.  A path is cut only where the document's own
+   words have that digest, so no hash of step 1 or 2 decides alone that words go.
+5. The paths of each document are joined to it and cut out.  Bloom filters of the
+   documents that have paths, and of their sources, let all others pass without a shuffle.
 
 An edge that follows itself (one word over and over) is one row for as long as it
 does, so even an edge in every document is a small part of the rows sorted; the
-rows of an edge are read as a stream and never held whole.
+rows of an edge are read as a stream and never held whole.  Such a row is a path of its own,
+whose source is one window.  Per document Spark collects its paths (one per start at most) and
+the spans asked of it as a source (one per start and length at most).
 
 Defined results: null and empty texts have no words; documents shorter than
 a window keep all; a null doc_id counts as larger than any; rows of the same
@@ -48,6 +56,8 @@ from .textwindows import WordHashes, hashed, in_chunks, text_numbers, texts_of,
 WINDOW = 13
 SEED_WORDS = 5
 LAST = (1 << 63) - 1
+#: Windows of a document that are compacted in one group; a longer path goes on over joins.
+STRETCH = 4096
 
 
 def _windows(texts: list[bytes], words: WordHashes, k: int):
@@ -77,7 +87,8 @@ def _minimizers(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([pa.array(m[new].view(np.int64)), pa.array(docs[a + t[new]])], ["m", "doc"])
 
 
-_EDGES = "hash long, extra int, doc long, textkey int, at int, run int"
+_EDGES = "hash long, extra int, doc long, key long, at int, run int"
+_REPEATS = "key long, at int, run int, source long, source_at int"
 
 
 def _candidate_edges(batches: Iterator[pa.RecordBatch], k: int, bits) -> Iterator[pa.RecordBatch]:
@@ -98,7 +109,7 @@ def _candidate_edges(batches: Iterator[pa.RecordBatch], k: int, bits) -> Iterato
             t = a + text[i]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(edge.view(np.int64)), pa.array(extra), pa.array(docs[t]), pa.array(keys[t]),
-                 pa.array(at[i].astype(np.int32)), pa.array(run)], ["hash", "extra", "doc", "textkey", "at", "run"])
+                 pa.array(at[i].astype(np.int32)), pa.array(run)], ["hash", "extra", "doc", "key", "at", "run"])
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,50 +126,122 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         same[1:] = ~new[1:] & (doc[1:] == doc[:-1]) & (key[1:] == key[:-1]) & (at[1:] == at[:-1])
         goes_on = edge == (h[0], x[0])
         first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        source_doc, source_at = doc[first], at[first]
+        source_doc, source_key, source_at = doc[first], key[first], at[first]
         if goes_on:
             head = first == 0
-            source_doc[head], source_at[head] = source
+            source_doc[head], source_key[head], source_at[head] = source
             same[0] = last == (doc[0], key[0], at[0])
-        edge, source, last = (h[-1], x[-1]), (source_doc[-1], source_at[-1]), (doc[-1], key[-1], at[-1])
+        edge, source, last = (h[-1], x[-1]), (source_doc[-1], source_key[-1], source_at[-1]), (doc[-1], key[-1], at[-1])
         out = np.flatnonzero((doc != source_doc) & ~same)
-        yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in (doc, key, at, run, source_doc, source_at)],
-                                         ["doc", "textkey", "at", "run", "source_doc", "source_at"])
-
-
-def repeated_paths(docs: DataFrame, k: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
-    """A row per path: doc, textkey, at, windows, source_doc, source_at. ``docs``: doc (long, not null), text, textkey."""
+        yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in (key, at, run, source_key, source_at)],
+                                         ["key", "at", "run", "source", "source_at"])
+
+
+def _pieces(repeats: DataFrame, stretch: int) -> DataFrame:
+    """Nonbranching pieces within stretches of a document: key, at, windows, source, source_at, source_windows."""
+    by = Window.partitionBy("key", "stretch").orderBy("at")
+    before = F.lag(F.struct("at", "run", "source", "source_at")).over(by)
+    linked = ((before["run"] == 1) & (F.col("run") == 1) & (before["at"] + 1 == F.col("at"))
+              & (before["source"] == F.col("source")) & (before["source_at"] + 1 == F.col("source_at")))
+    in_stretch = repeats.withColumn("stretch", F.floor(F.col("at") / stretch))
+    return (in_stretch.withColumn("linked", linked).withColumn("piece", F.sum(F.when(F.col("linked"), 0).otherwise(1)).over(by))
+            .groupBy("key", "stretch", "piece").agg(
+                F.min("at").cast("long").alias("at"), F.sum("run").alias("windows"), F.min("source").alias("source"),
+                F.min("source_at").cast("long").alias("source_at"),
+                F.when(F.max("run") > 1, F.lit(1).cast("long")).otherwise(F.sum("run")).alias("source_windows"))
+            .drop("stretch", "piece"))
+
+
+def _joined_over_borders(pieces: DataFrame, stretch: int) -> DataFrame:
+    """Pieces joined at the nodes they share on the borders of stretches; ``pieces`` is a written table."""
+    plain = pieces.filter(F.col("windows") == F.col("source_windows"))
+    end = F.col("at") + F.col("windows")
+    ends = plain.filter(end % stretch == 0).select(
+        "key", end.alias("at"), "source", (F.col("source_at") + F.col("windows")).alias("source_at"), F.col("at").alias("to"))
+    starts = plain.filter((F.col("at") > 0) & (F.col("at") % stretch == 0)).select("key", "at", "source", "source_at", "windows")
+    links = materialize(starts.join(ends, ["key", "at", "source", "source_at"]).select("key", "at", "to", "windows"), "links")
+    if links.isEmpty():
+        return pieces
+    while True:  # each round doubles the distance a link goes back; a head has no link
+        further = links.select("key", F.col("at").alias("to"), F.col("to").alias("head"))
+        moved = materialize(links.join(further, ["key", "to"], "left"), "links")
+        links = moved.select("key", "at", F.coalesce("head", "to").alias("to"), "windows")
+        if moved.filter(F.col("head").isNotNull()).isEmpty():
+            break
+    more = links.groupBy("key", F.col("to").alias("at")).agg(F.sum("windows").alias("more"))
+    longer = F.coalesce("more", F.lit(0))
+    return (pieces.join(links.select("key", "at"), ["key", "at"], "left_anti").join(more, ["key", "at"], "left")
+            .select("key", "at", (F.col("windows") + longer).alias("windows"), "source", "source_at",
+                    (F.col("source_windows") + longer).alias("source_windows")))
+
+
+def repeated_paths(docs: DataFrame, k: int = WINDOW, max_words: int = MAX_WORDS, stretch: int = STRETCH) -> DataFrame:
+    """A row per path: key, at, windows, source (a key), source_at, source_windows (one for a window that follows itself).
+
+    ``docs``: doc (long, not null), text, key (long, of document and text).
+    """
     spark = docs.sparkSession
     ship_package(spark)
     found = docs.select("doc", "text").mapInArrow(lambda b: _minimizers(b, k), "m long, doc long")
     again = found.groupBy("m").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select(F.col("m").alias("key"))
     bits = spark.sparkContext.broadcast(key_filter(again, max_words))
-    edges = docs.select("doc", "text", "textkey").mapInArrow(lambda b: _candidate_edges(b, k, bits), _EDGES)
-    repeats = (edges.repartition("hash").sortWithinPartitions("hash", "extra", "doc", "textkey", "at")
-               .mapInArrow(_repeats, "doc long, textkey int, at int, run int, source_doc long, source_at int"))
-    by = Window.partitionBy("doc", "textkey").orderBy("at")
-    before = F.lag(F.struct("at", "run", "source_doc", "source_at")).over(by)
-    linked = ((before["at"] + before["run"] == F.col("at")) & (before["source_doc"] == F.col("source_doc"))
-              & (before["source_at"] + before["run"] == F.col("source_at")))
-    return (repeats.withColumn("linked", linked).withColumn("path", F.sum(F.when(F.col("linked"), 0).otherwise(1)).over(by))
-            .groupBy("doc", "textkey", "path").agg(
-                F.min("at").alias("at"), F.sum("run").alias("windows"), F.min("source_doc").alias("source_doc"),
-                F.min("source_at").alias("source_at")).drop("path"))
+    edges = docs.select("doc", "text", "key").mapInArrow(lambda b: _candidate_edges(b, k, bits), _EDGES)
+    repeats = edges.repartition("hash").sortWithinPartitions("hash", "extra", "doc", "key", "at").mapInArrow(_repeats, _REPEATS)
+    return _joined_over_borders(materialize(_pieces(repeats, stretch), "pieces"), stretch)
+
+
+def _digest(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
+_DIGESTS = "source long, source_at long, source_windows long, digest binary"
+
+
+def _source_digests(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for key, text, starts, counts in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)),
+                                             batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            words = text.split()
+            digests = [_digest(words[s:s + c + k - 1]) for s, c in zip(starts, counts, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key] * len(starts), pa.int64()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests, pa.binary())],
+                [x.split()[0] for x in _DIGESTS.split(", ")])
+
+
+def with_source_digests(paths: DataFrame, docs: DataFrame, k: int = WINDOW) -> DataFrame:
+    """``paths`` with the digest of the words at their source coordinates. ``docs``: key, text."""
+    spans = materialize(paths.select("source", "source_at", "source_windows").distinct(), "spans")
+    bits = docs.sparkSession.sparkContext.broadcast(key_filter(spans.select(F.col("source").alias("key")).distinct()))
+    asked = spans.groupBy(F.col("source").alias("key")).agg(F.collect_list(F.struct("source_at", "source_windows")).alias("spans"))
+    texts = docs.select("key", "text")
+    sources = texts.mapInArrow(lambda b: _others(b, bits), texts.schema).join(asked, "key").select(
+        "key", "text", F.col("spans.source_at").alias("starts"), F.col("spans.source_windows").alias("counts"))
+    digests = materialize(sources.mapInArrow(lambda b: _source_digests(b, k), _DIGESTS).distinct(), "digests")
+    return paths.join(digests, ["source", "source_at", "source_windows"])
 
 
 _KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
+def _verified(words: list[bytes], path: dict, k: int) -> bool:
+    """Whether the path's words are those at its source; a window that follows itself is one word over and over."""
+    at, end = path["at"], path["at"] + path["windows"] + k - 1
+    if end > len(words) or _digest(words[at:at + path["source_windows"] + k - 1]) != path["digest"]:
+        return False
+    return path["windows"] == path["source_windows"] or words[at:end] == [words[at]] * (end - at)
+
+
 def _kept(doc_ids: pa.Array, texts: list[bytes], paths: list, k: int, with_text: bool) -> pa.RecordBatch:
-    """Rows of _KEPT; ``paths``: for each text None or its paths' starts and window counts."""
+    """Rows of _KEPT; ``paths``: for each text None or its paths."""
     n_words, n_removed, digest, kept_text = [], [], [], []
-    for text, path in zip(texts, paths, strict=True):
+    for text, found in zip(texts, paths, strict=True):
         words = text.split()
         n_words.append(len(words))
-        if path is not None:
+        if found is not None:
             keep = np.ones(len(words), bool)
-            for s, c in zip(*path, strict=True):
-                keep[s:s + c + k - 1] = False
+            for path in found:
+                if _verified(words, path, k):
+                    keep[path["at"]:path["at"] + path["windows"] + k - 1] = False
             words = [words[i] for i in np.flatnonzero(keep)]
         kept = b" ".join(words)
         n_removed.append(n_words[-1] - len(words))
@@ -171,15 +254,14 @@ def _kept(doc_ids: pa.Array, texts: list[bytes], paths: list, k: int, with_text:
 
 def _cut(batches: Iterator[pa.RecordBatch], k: int, with_text: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        paths = [None if s is None else (s, c) for s, c in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-        yield _kept(batch.column(0), texts_of(batch.column(1)), paths, k, with_text)
+        yield _kept(batch.column(0), texts_of(batch.column(1)), batch.column(2).to_pylist(), k, with_text)
 
 
 def _whole(batches: Iterator[pa.RecordBatch], bits, k: int, with_text: bool) -> Iterator[pa.RecordBatch]:
-    """The documents that have no path for sure (key: column 4)."""
+    """The documents that have no path for sure."""
     for batch in batches:
         rest = pa.RecordBatch.from_arrays(batch.columns, batch.schema.names).filter(pa.array(~_maybe(batch, bits)))
-        yield _kept(rest.column(0), texts_of(rest.column(2)), [None] * rest.num_rows, k, with_text)
+        yield _kept(rest.column(1), texts_of(rest.column(2)), [None] * rest.num_rows, k, with_text)
 
 
 def _others(batches: Iterator[pa.RecordBatch], bits) -> Iterator[pa.RecordBatch]:
@@ -188,19 +270,18 @@ def _others(batches: Iterator[pa.RecordBatch], bits) -> Iterator[pa.RecordBatch]
 
 
 def _maybe(batch: pa.RecordBatch, bits) -> np.ndarray:
-    return maybe_in(batch.column(4).to_numpy(zero_copy_only=False).view(np.uint64), bits.value)
+    """By the documents' keys, column 0."""
+    return maybe_in(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits.value)
 
 
-def remove_repeats(docs: DataFrame, k: int = WINDOW, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, k: int = WINDOW, with_text: bool = False, stretch: int = STRETCH) -> DataFrame:
     """A row per document: doc_id, n_words, n_removed, kept_sha256, kept_text (null unless asked for)."""
-    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    keyed = keyed.withColumn("textkey", F.hash("text"))
-    key = F.xxhash64("doc", "textkey").alias("key")
-    paths = materialize(repeated_paths(keyed, k), "paths")
-    bits = docs.sparkSession.sparkContext.broadcast(key_filter(paths.select(key).distinct()))
-    keyed = keyed.select("doc_id", "doc", "text", "textkey", key)
+    doc, text = F.coalesce("doc_id", F.lit(LAST)), F.coalesce("text", F.lit(""))
+    keyed = docs.select(F.xxhash64(doc, text).alias("key"), "doc_id", text.alias("text"), doc.alias("doc"))
+    paths = materialize(with_source_digests(repeated_paths(keyed, k, stretch=stretch), keyed, k), "paths")
+    bits = docs.sparkSession.sparkContext.broadcast(key_filter(paths.select("key").distinct()))
+    keyed = keyed.drop("doc")
     whole = keyed.mapInArrow(lambda b: _whole(b, bits, k, with_text), _KEPT)
-    paths = paths.groupBy("doc", "textkey").agg(F.collect_list(F.struct("at", "windows")).alias("paths"))
-    joined = keyed.mapInArrow(lambda b: _others(b, bits), keyed.schema).join(paths, ["doc", "textkey"], "left").select(
-        "doc_id", "text", F.col("paths.at").alias("starts"), F.col("paths.windows").alias("counts"))
+    found = paths.groupBy("key").agg(F.collect_list(F.struct("at", "windows", "source_windows", "digest")).alias("paths"))
+    joined = keyed.mapInArrow(lambda b: _others(b, bits), keyed.schema).join(found, "key", "left").select("doc_id", "text", "paths")
     return whole.unionAll(joined.mapInArrow(lambda b: _cut(b, k, with_text), _KEPT))
