@@ -189,6 +189,21 @@ def test_paths_go_on_over_stretches(spark, stretch):
     assert got == {(101, 1, 288, 100, 2, 288), (101, 302, 288, 100, 2, 288), (103, 0, 18, 102, 0, 1), (104, 0, 78, 102, 0, 1)}
 
 
+def test_a_hot_edge_is_dealt_over_many_parts(spark, monkeypatch):
+    line = " ".join(f"p{i}" for i in range(13))
+    keyed = _keyed(spark, [f"a{i} {line} b{i}" for i in range(500)] + [f"c{i % 40} " * 13 for i in range(80)])
+    hot_line = lambda: {r["key"]: (r["source"], r["source_at"]) for r in substrings.repeated_paths(keyed).filter("key < 600").collect()}
+    want = {100 + i: (100, 1) for i in range(1, 500)}
+    assert hot_line() == want
+    found = []
+    hot_edges = substrings._hot_edges
+    monkeypatch.setattr(substrings, "_hot_edges", lambda *a: found.append(hot_edges(*a)) or found[-1])
+    monkeypatch.setattr(substrings, "HOT", 4)
+    assert hot_line() == want and [len(f.hash) for f in found] == [1]  # the line alone: a third of all and more
+    monkeypatch.setattr(substrings, "HOT", 0)
+    assert hot_line() == want and [len(f.hash) for f in found] == [1, 0]
+
+
 def test_only_words_found_at_the_source_are_cut(spark):
     words = [f"q{i}" for i in range(40)]
     keyed = _keyed(spark, [" ".join(words), "a " + " ".join(words)])

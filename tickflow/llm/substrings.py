@@ -12,6 +12,9 @@ smallest (doc_id, position).
 2. Repeated edges: windows that pass the filter are sorted by their 96-bit hash.
    The first row of a run is the edge's first source; every other row in another
    document is a repeat.  A false positive of the filter is a run of one.
+   Hot edges (more often than one in ``HOT`` repeated minimizers, the most frequent ``HOT_EDGES`` of
+   them) are counted and given their first source beforehand, in a table of that size
+   at most; so their rows can be dealt over ``SALTS`` parts. All others are sorted whole.
 3. Compaction: repeats of a document that follow each other, from sources that follow
    each other too, are edges through a node with one way in and one way out. They are
    compacted within stretches of ``STRETCH`` windows first; pieces that end and begin at a
@@ -56,6 +59,9 @@ from .textwindows import WordHashes, hashed, in_chunks, text_numbers, texts_of,
 WINDOW = 13
 SEED_WORDS = 5
 LAST = (1 << 63) - 1
+HOT = 1024
+HOT_EDGES = 4096
+SALTS = 4096
 #: Windows of a document that are compacted in one group; a longer path goes on over joins.
 STRETCH = 4096
 
@@ -87,32 +93,81 @@ def _minimizers(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([pa.array(m[new].view(np.int64)), pa.array(docs[a + t[new]])], ["m", "doc"])
 
 
-_EDGES = "hash long, extra int, doc long, key long, at int, run int"
+_HOT_COUNTS = "hash long, extra int, doc long, key long, at int, n long"
+_EDGES = "hash long, extra int, doc long, key long, at int, run int, salt int"
 _REPEATS = "key long, at int, run int, source long, source_at int"
 
 
-def _candidate_edges(batches: Iterator[pa.RecordBatch], k: int, bits) -> Iterator[pa.RecordBatch]:
+def _edge_hashes(h: np.ndarray, i: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The 64 and 31 bits that name the windows at ``i``."""
+    extra = window_hashes(h * np.uint64(0xD6E8FEB86659FD93) ^ (h >> np.uint64(31)), k)[i]
+    return window_hashes(h, k)[i].view(np.int64), (extra >> np.uint64(33)).astype(np.int32)
+
+
+class HotEdges:
+    """The first sources of the edges found most often, sorted by hash; one edge a hash."""
+
+    def __init__(self, rows: pa.Table):
+        cols = [rows[c].to_numpy() for c in ("hash", "extra", "doc", "key", "at")]
+        _, one = np.unique(cols[0], return_index=True)
+        self.hash, self.extra, self.doc, self.key, self.at = (c[one] for c in cols)
+
+    def find(self, edge: np.ndarray, extra: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the edges are hot, and those edges' places here."""
+        if not len(self.hash):
+            return np.zeros(len(edge), bool), np.empty(0, np.int64)
+        place = np.minimum(np.searchsorted(self.hash, edge), len(self.hash) - 1)
+        hot = (self.hash[place] == edge) & (self.extra[place] == extra)
+        return hot, place[hot]
+
+
+def _hot_counts(batches: Iterator[pa.RecordBatch], k: int, minimizers: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The windows with a hot minimizer, counted within a chunk of texts, with their first source there."""
     words = WordHashes()
     for batch in batches:
-        docs = batch.column(0).to_numpy(zero_copy_only=False)
-        keys = batch.column(2).to_numpy(zero_copy_only=False)
+        docs, keys = (batch.column(j).to_numpy(zero_copy_only=False) for j in (0, 2))
+        for a, text, at, inside, least, h in _windows(texts_of(batch.column(1)), words, k):
+            i = inside[np.isin(least[inside], minimizers)]
+            edge, extra = _edge_hashes(h, i, k)
+            doc, key, place = docs[a + text[i]], keys[a + text[i]], at[i].astype(np.int32)
+            order = np.lexsort((place, key, doc, extra, edge))
+            edge, extra, doc, key, place = (c[order] for c in (edge, extra, doc, key, place))
+            first = np.flatnonzero(np.append(True, (edge[1:] != edge[:-1]) | (extra[1:] != extra[:-1])))[:len(edge)]
+            n = np.diff(np.append(first, len(edge)))
+            yield pa.RecordBatch.from_arrays([pa.array(c[first]) for c in (edge, extra, doc, key, place)] + [pa.array(n.astype(np.int64))],
+                                             [x.split()[0] for x in _HOT_COUNTS.split(", ")])
+
+
+def _hot_edges(docs: DataFrame, again: DataFrame, k: int) -> HotEdges:
+    """``again``: repeated minimizers (key) and the number of their documents (n), a written table."""
+    total = again.agg(F.sum("n")).first()[0] or 0
+    hot = again.filter(F.col("n") * HOT > total).select("key").toArrow()["key"].to_numpy().view(np.uint64)  # under HOT of them
+    counts = docs.select("doc", "text", "key").mapInArrow(lambda b: _hot_counts(b, k, hot), _HOT_COUNTS)
+    edges = (counts.groupBy("hash", "extra").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "key", "at")).alias("first"))
+             .filter(F.col("n") * HOT > total).orderBy(F.desc("n"), "hash", "extra").limit(HOT_EDGES))
+    return HotEdges(edges.select("hash", "extra", "first.*").toArrow() if len(hot) else pa.schema(
+        [(c, pa.int64()) for c in ("hash", "extra", "doc", "key", "at")]).empty_table())
+
+
+def _candidate_edges(batches: Iterator[pa.RecordBatch], k: int, bits, hot) -> Iterator[pa.RecordBatch]:
+    words = WordHashes()
+    for batch in batches:
+        docs, keys = (batch.column(j).to_numpy(zero_copy_only=False) for j in (0, 2))
         for a, text, at, inside, least, h in _windows(texts_of(batch.column(1)), words, k):
             i = inside[maybe_in(least[inside], bits.value)]
-            edge = window_hashes(h, k)[i]
-            extra = window_hashes(h * np.uint64(0xD6E8FEB86659FD93) ^ (h >> np.uint64(31)), k)[i]
-            extra = (extra >> np.uint64(33)).astype(np.int32)
+            edge, extra = _edge_hashes(h, i, k)
             # one word over and over repeats the same window at once: one row for the run
             new = np.ones(len(i), bool)
             new[1:] = (edge[1:] != edge[:-1]) | (extra[1:] != extra[:-1]) | (i[1:] != i[:-1] + 1) | (text[i[1:]] != text[i[:-1]])
             run = np.diff(np.append(np.flatnonzero(new), len(i))).astype(np.int32)
             edge, extra, i = edge[new], extra[new], i[new]
-            t = a + text[i]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(edge.view(np.int64)), pa.array(extra), pa.array(docs[t]), pa.array(keys[t]),
-                 pa.array(at[i].astype(np.int32)), pa.array(run)], ["hash", "extra", "doc", "key", "at", "run"])
+            doc, key, place = docs[a + text[i]], keys[a + text[i]], at[i].astype(np.int32)
+            salt = np.where(hot.value.find(edge, extra)[0], (key + place) % SALTS + 1, 0).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (edge, extra, doc, key, place, run, salt)],
+                                             [x.split()[0] for x in _EDGES.split(", ")])
 
 
-def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _repeats(batches: Iterator[pa.RecordBatch], hot) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by edge, document and position: those in another document than the edge's first source."""
     edge = source = last = None
     for batch in batches:
@@ -124,14 +179,17 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[1:] = (h[1:] != h[:-1]) | (x[1:] != x[:-1])
         same = np.zeros(n, bool)  # the same place of a repeated row
         same[1:] = ~new[1:] & (doc[1:] == doc[:-1]) & (key[1:] == key[:-1]) & (at[1:] == at[:-1])
-        goes_on = edge == (h[0], x[0])
-        first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        source_doc, source_key, source_at = doc[first], key[first], at[first]
-        if goes_on:
-            head = first == 0
-            source_doc[head], source_key[head], source_at[head] = source
+        first = np.flatnonzero(new)
+        sources = [c[first] for c in (doc, key, at)]
+        is_hot, place = hot.value.find(h[first], x[first])
+        for c, known in zip(sources, (hot.value.doc, hot.value.key, hot.value.at), strict=True):
+            c[is_hot] = known[place]
+        if edge == (h[0], x[0]):
+            for c, value in zip(sources, source, strict=True):
+                c[0] = value
             same[0] = last == (doc[0], key[0], at[0])
-        edge, source, last = (h[-1], x[-1]), (source_doc[-1], source_key[-1], source_at[-1]), (doc[-1], key[-1], at[-1])
+        edge, source, last = (h[-1], x[-1]), [c[-1] for c in sources], (doc[-1], key[-1], at[-1])
+        source_doc, source_key, source_at = (c[np.cumsum(new) - 1] for c in sources)
         out = np.flatnonzero((doc != source_doc) & ~same)
         yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in (key, at, run, source_key, source_at)],
                                          ["key", "at", "run", "source", "source_at"])
@@ -183,10 +241,13 @@ def repeated_paths(docs: DataFrame, k: int = WINDOW, max_words: int = MAX_WORDS,
     spark = docs.sparkSession
     ship_package(spark)
     found = docs.select("doc", "text").mapInArrow(lambda b: _minimizers(b, k), "m long, doc long")
-    again = found.groupBy("m").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select(F.col("m").alias("key"))
+    again = materialize(found.groupBy(F.col("m").alias("key")).agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n"))
+                        .filter("a < b").select("key", "n"), "minimizers")
     bits = spark.sparkContext.broadcast(key_filter(again, max_words))
-    edges = docs.select("doc", "text", "key").mapInArrow(lambda b: _candidate_edges(b, k, bits), _EDGES)
-    repeats = edges.repartition("hash").sortWithinPartitions("hash", "extra", "doc", "key", "at").mapInArrow(_repeats, _REPEATS)
+    hot = spark.sparkContext.broadcast(_hot_edges(docs, again, k))
+    edges = docs.select("doc", "text", "key").mapInArrow(lambda b: _candidate_edges(b, k, bits, hot), _EDGES)
+    repeats = (edges.repartition("hash", "salt").sortWithinPartitions("hash", "extra", "doc", "key", "at")
+               .mapInArrow(lambda b: _repeats(b, hot), _REPEATS))
     return _joined_over_borders(materialize(_pieces(repeats, stretch), "pieces"), stretch)
 
 
