@@ -100,8 +100,12 @@ _REPEATS = "key long, at int, run int, source long, source_at int"
 
 def _edge_hashes(h: np.ndarray, i: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The 64 and 31 bits that name the windows at ``i``."""
-    extra = window_hashes(h * np.uint64(0xD6E8FEB86659FD93) ^ (h >> np.uint64(31)), k)[i]
-    return window_hashes(h, k)[i].view(np.int64), (extra >> np.uint64(33)).astype(np.int32)
+    other = h * np.uint64(0xD6E8FEB86659FD93) ^ (h >> np.uint64(31))
+    if 8 * len(i) < len(h):  # few: only theirs are reckoned
+        edge, extra = window_hashes(h, k, i), window_hashes(other, k, i)
+    else:
+        edge, extra = window_hashes(h, k)[i], window_hashes(other, k)[i]
+    return edge.view(np.int64), (extra >> np.uint64(33)).astype(np.int32)
 
 
 class HotEdges:
@@ -124,10 +128,13 @@ class HotEdges:
 def _hot_counts(batches: Iterator[pa.RecordBatch], k: int, minimizers: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The windows with a hot minimizer, counted within a chunk of texts, with their first source there."""
     words = WordHashes()
+    low = np.zeros(1 << 16, bool)
+    low[minimizers & np.uint64(0xFFFF)] = True
     for batch in batches:
         docs, keys = (batch.column(j).to_numpy(zero_copy_only=False) for j in (0, 2))
         for a, text, at, inside, least, h in _windows(texts_of(batch.column(1)), words, k):
-            i = inside[np.isin(least[inside], minimizers)]
+            i = inside[low[least[inside] & np.uint64(0xFFFF)]]
+            i = i[np.isin(least[i], minimizers)]
             edge, extra = _edge_hashes(h, i, k)
             doc, key, place = docs[a + text[i]], keys[a + text[i]], at[i].astype(np.int32)
             order = np.lexsort((place, key, doc, extra, edge))

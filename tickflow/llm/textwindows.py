@@ -49,12 +49,12 @@ def hashed(texts: list[bytes], words: WordHashes) -> tuple[np.ndarray, np.ndarra
     return (np.concatenate(parts) if parts else np.empty(0, np.uint64)), counts
 
 
-def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """The hash of each k consecutive words (also across texts: mask those by the texts' bounds)."""
-    n = max(0, len(words) - k + 1)
+def window_hashes(words: np.ndarray, k: int, at: np.ndarray | None = None) -> np.ndarray:
+    """The hash of each k consecutive words, or of those that start ``at`` (also across texts: mask those by the texts' bounds)."""
+    n = max(0, len(words) - k + 1) if at is None else len(at)
     h = np.zeros(n, np.uint64)
     for j in range(k):
-        h = h * _MULTIPLIER + words[j:j + n]
+        h = h * _MULTIPLIER + (words[j:j + n] if at is None else words[at + j])
     h ^= h >> np.uint64(29)
     h *= _FINAL
     h ^= h >> np.uint64(32)
