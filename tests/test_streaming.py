@@ -269,3 +269,43 @@ def test_moves_of_several_batches_with_late_ticks(spark):
     got = spark.read.parquet(out)
     assert got.filter("time_gap_seconds < 0").isEmpty()
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, marts.price_events(stg).select(*got.columns).collect()))
+
+
+def test_moves_in_order_are_kept_by_slices_of_time(spark):
+    """Ticks at the borders of slices, at equal times and a batch late give the batch mart; no instrument is one group."""
+    from datetime import datetime, timedelta
+
+    from tickflow.operators import marts
+    from tickflow.streaming import ordered
+    day, hours = datetime(2024, 1, 1), ordered._SLICE_US / 3.6e9
+    at = sorted({day + timedelta(hours=i * hours, seconds=s) for i in range(9) for s in (-1800, -1799, -60, 0, 0.000001, 1, 1739, 1740)})
+    rows = [(f"e{i}{k}", "bitcoin", "BTC/USD", 60000.0 + 700 * ((i * 7 + k) % 5), t) for i, t in enumerate(at) for k in range(2)]
+    stg = spark.createDataFrame(rows, "event_id string, commodity string, symbol string, price double, event_ts timestamp_ntz")
+    sliced = ordered.in_slices(stg.withColumn("us", F.unix_micros(F.col("event_ts").cast("timestamp"))))
+    assert sliced.select("commodity", "symbol", "slice").distinct().count() >= 9
+    src, out, ckpt = (scratch_path(spark, n) for n in ("t-ordered-src", "t-ordered", "t-ordered-ckpt"))
+    n = len(rows)
+    clock = [("z", "none", "CLOCK", 1.0, day + timedelta(days=9))]
+    late = rows[n // 2 - 9:n // 2:2]
+    for part in ([r for r in rows[:n // 2] if r not in late], rows[n // 2:] + late, clock):
+        spark.createDataFrame(part, stg.schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(stg.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (ordered.moves_in_order(stream, "1 day").writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    want = marts.price_events(stg).select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and not want.isEmpty()
+
+
+def test_source_files_of_a_span_grow_with_its_rows(spark, monkeypatch):
+    """A span's ticks are written by several tasks, and each micro-batch still takes one span."""
+    from tickflow import queries
+    monkeypatch.setattr(queries, "FILE_ROWS", 100)
+    path, stg, files = queries._in_pieces(spark, SF_SMALL, "cast(event_id as bigint) % 5 = 0")
+    assert files > 1
+    stored = spark.read.parquet(path)
+    assert len(stored.inputFiles()) == queries.PIECES * files + 1
+    assert stored.filter("symbol <> 'CLOCK'").count() == stg.count()
+    got, want = queries.q_streaming_moves_late(spark, SF_SMALL), queries.q_price_events(spark, SF_SMALL)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))

@@ -546,11 +546,13 @@ def q_streaming_moves(spark, sf_dir):
 
 
 PIECES = 4
+#: Rows of a source file about; the files of a micro-batch grow in number with the input.
+FILE_ROWS = 100_000
 
 
-def _in_pieces(spark, sf_dir, late: str, by_date: bool = False) -> tuple[str, DataFrame]:
-    """Ticks as files of ``PIECES`` equal spans of time, oldest first; ticks with ``late`` come with the next span, or
-    with ``by_date`` (under their event dates) with the last."""
+def _in_pieces(spark, sf_dir, late: str, by_date: bool = False) -> tuple[str, DataFrame, int]:
+    """Ticks as files of ``PIECES`` equal spans of time, oldest first, and the number of files of a span; ticks with
+    ``late`` come with the next span, or with ``by_date`` (under their event dates) with the last."""
     stg = _stg(spark, sf_dir)
     bounds = stg.agg(F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi")).first()
     span = (F.unix_micros(ts_lit(bounds["hi"]).cast("timestamp")) - F.unix_micros(ts_lit(bounds["lo"]).cast("timestamp"))) / PIECES + 1
@@ -559,6 +561,14 @@ def _in_pieces(spark, sf_dir, late: str, by_date: bool = False) -> tuple[str, Da
     moved = F.when(F.expr(late), F.lit(PIECES - 1) if by_date else F.least(piece + (place - piece > 0.95).cast("int"), F.lit(PIECES - 1))).otherwise(piece)
     rows = fx.materialize(stg.withColumn("piece", moved.cast("int")), "tick-pieces")
     path = scratch_path(spark, "tick-files")
+    most = max((r["count"] for r in rows.groupBy("piece").count().collect()), default=0)  # a row per piece
+    files = max(1, -(-most // FILE_ROWS))
+
+    def write_span(span_rows: DataFrame, i: int) -> None:
+        span_rows.repartition(files).write.mode("append").parquet(path)
+        for _ in range((i + 1) * files - len(spark.read.parquet(path).inputFiles())):  # a trigger takes as many files of every span
+            span_rows.limit(0).coalesce(1).write.mode("append").parquet(path)
+
     for i in range(PIECES):
         mine = rows.filter(F.col("piece") == i).drop("piece")
         if by_date:
@@ -566,22 +576,23 @@ def _in_pieces(spark, sf_dir, late: str, by_date: bool = False) -> tuple[str, Da
         else:
             if i == PIECES - 1:  # a tick of no instrument, two days on, lets the watermark pass all others
                 clock = mine.limit(1).withColumn("event_ts", ts_lit(bounds["hi"]) + F.expr("INTERVAL 2 DAYS")).withColumn("symbol", F.lit("CLOCK"))
-                mine.coalesce(1).write.mode("append").parquet(path)
-                mine = clock
-            mine.coalesce(1).write.mode("append").parquet(path)
-    return path, stg
+                write_span(mine, i)
+                clock.coalesce(1).write.mode("append").parquet(path)
+            else:
+                write_span(mine, i)
+    return path, stg, files
 
 
 def q_streaming_moves_late(spark, sf_dir):
     """Moves over several micro-batches, every 5th tick of a span's last twentieth coming one batch late."""
-    path, stg = _in_pieces(spark, sf_dir, "cast(event_id as bigint) % 5 = 0")
-    stream = spark.readStream.schema(stg.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    path, stg, files = _in_pieces(spark, sf_dir, "cast(event_id as bigint) % 5 = 0")
+    stream = spark.readStream.schema(stg.schema).option("maxFilesPerTrigger", files).parquet(path)
     return _run_to_table(sordered.moves_in_order(stream, "1 day"), "stream-moves-late", spark)
 
 
 def q_streaming_hourly_late(spark, sf_dir):
     """The hourly mart kept by a stream over the fact table, every 20th tick coming with the last files, days late."""
-    path, _ = _in_pieces(spark, sf_dir, "cast(event_id as bigint) % 20 = 0", by_date=True)
+    path, *_ = _in_pieces(spark, sf_dir, "cast(event_id as bigint) % 20 = 0", by_date=True)
     mart = scratch_path(spark, "hourly-mart")
     files = len(spark.read.parquet(path).inputFiles())
     sordered.start_hours(spark, path, mart, scratch_path(spark, "hourly-ckpt"), as_of=_as_of(spark, sf_dir),

@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -27,40 +28,69 @@ from tickflow.session import ship_package
 
 _PAIRS = "commodity string, symbol string, prev_us long, us long, price double, prev_price double"
 _TICK = "us long, event_id string, price double"
+_BATCH = pa.schema([("us", pa.int64()), ("event_id", pa.string()), ("price", pa.float64())])
 _GAP_US = dims.MOVE_GAP_MINUTES * 60 * 1_000_000
+_SLICE_US = 6 * _GAP_US
+
+
+def in_slices(ticks: DataFrame) -> DataFrame:
+    """Each tick under the ``slice`` (its start, in us) it lies in; one of a slice's last ``MOVE_GAP_MINUTES``
+    also under the next slice, whose first tick it may precede."""
+    start = lambda us: us - F.pmod(us, F.lit(_SLICE_US))
+    us = F.col("us")
+    return ticks.withColumn("slice", F.explode(F.array_distinct(F.array(start(us), start(us + F.lit(_GAP_US))))))
+
+
+def _pack(ticks: pd.DataFrame) -> tuple[bytes]:
+    """Ticks as one list entry of the state."""
+    return (pa.RecordBatch.from_pandas(ticks, _BATCH, preserve_index=False).serialize().to_pybytes(),)
 
 
 class _InOrder(StatefulProcessor):
-    """Emits each tick with the one before it, once the watermark has passed both."""
+    """Emits each tick of a slice with the one before it, once the watermark has passed both."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", _TICK)
-        self.waiting = handle.getListState("waiting", _TICK)
+        self.waiting = handle.getListState("waiting", "ticks binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for ticks in rows:
             if len(ticks):
-                self.waiting.appendList(list(zip(ticks["us"].tolist(), ticks["event_id"].tolist(), ticks["price"].tolist(), strict=True)))
+                self.waiting.appendValue(_pack(ticks[_BATCH.names]))
                 self.handle.registerTimer(int(ticks["us"].min()) // 1000 + 1)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed_us = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted(self.waiting.get())
-        ready = [t for t in waiting if t[0] <= passed_us]
-        if not ready:
-            return iter([])
-        later = waiting[len(ready):]
-        if later:
-            self.waiting.put(later)
-            self.handle.registerTimer(later[0][0] // 1000 + 1)
-        else:
+        commodity, symbol, start = key
+        passed_us, end_us = timerValues.getCurrentWatermarkInMs() * 1000, int(start) + _SLICE_US
+        batches = [pa.ipc.read_record_batch(pa.py_buffer(ticks), _BATCH) for ticks, in self.waiting.get()]
+        waiting = pa.Table.from_batches(batches, _BATCH).to_pandas().sort_values(_BATCH.names, ignore_index=True)
+        n = int((waiting["us"] <= passed_us).sum())
+        ticks, later = waiting[:n], waiting[n:]
+        if n and len(later):
+            self.waiting.put([_pack(later)])
+        elif n:
             self.waiting.clear()
-        ticks = [*([tuple(self.last.get())] if self.last.exists() else []), *ready]
-        self.last.update(ticks[-1])
-        pairs = [(*key, a[0], b[0], b[2], a[2]) for a, b in zip(ticks, ticks[1:]) if b[0] - a[0] < _GAP_US]
-        return iter([pd.DataFrame(pairs, columns=[c.split()[0] for c in _PAIRS.split(", ")])] if pairs else [])
+        if n and self.last.exists():
+            ticks = pd.concat([pd.DataFrame([tuple(self.last.get())], columns=_BATCH.names), ticks], ignore_index=True)
+        if len(later):
+            self.handle.registerTimer(int(later["us"].iloc[0]) // 1000 + 1)
+        elif passed_us >= end_us:
+            self.last.clear()
+        else:
+            self.handle.registerTimer(end_us // 1000)
+        if not n:
+            return iter([])
+        if len(later) or passed_us < end_us:
+            us, event_id, price = ticks.iloc[-1]
+            self.last.update((int(us), event_id, float(price)))
+        before = ticks.shift(1)
+        found = (ticks["us"] >= int(start)) & (ticks["us"] - before["us"] < _GAP_US)
+        if not found.any():
+            return iter([])
+        return iter([pd.DataFrame({"commodity": commodity, "symbol": symbol, "prev_us": before["us"][found].astype("int64"), "us": ticks["us"][found],
+                                   "price": ticks["price"][found], "prev_price": before["price"][found]})])
 
     def close(self) -> None:
         pass
@@ -69,13 +99,14 @@ class _InOrder(StatefulProcessor):
 def moves_in_order(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
     """Streaming W1 with late ticks: the moves between consecutive ticks, for ticks up to ``delay`` late.
 
-    A move is emitted once the watermark has passed its tick.  Per instrument the state holds
-    the ticks of one delay; a trigger reads those of the instruments it wakes.
+    A move is emitted once the watermark has passed its tick.  The state holds the ticks of one
+    delay, per instrument and slice of time; a trigger reads those of the slices it wakes.  Only ticks less than
+    ``MOVE_GAP_MINUTES`` apart make a move, so a slice needs no more of the one before than its end.
     """
     ship_package(stream.sparkSession)
     ticks = stream.select("commodity", "symbol", F.col("event_ts").cast("timestamp").alias("event_ts"), "event_id", "price")
-    ticks = ticks.withColumn("us", F.unix_micros("event_ts")).withWatermark("event_ts", delay)
-    pairs = ticks.groupBy("commodity", "symbol").transformWithStateInPandas(_InOrder(), _PAIRS, "Append", "EventTime")
+    ticks = in_slices(ticks.withColumn("us", F.unix_micros("event_ts"))).withWatermark("event_ts", delay)
+    pairs = ticks.groupBy("commodity", "symbol", "slice").transformWithStateInPandas(_InOrder(), _PAIRS, "Append", "EventTime")
     at = {c: F.timestamp_micros(F.col(u)).cast("timestamp_ntz").alias(c) for c, u in (("event_ts", "us"), ("prev_event_ts", "prev_us"))}
     return marts.moves_between(pairs.select("commodity", "symbol", *at.values(), "price", "prev_price"))
 
