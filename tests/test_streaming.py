@@ -309,3 +309,15 @@ def test_source_files_of_a_span_grow_with_its_rows(spark, monkeypatch):
     assert stored.filter("symbol <> 'CLOCK'").count() == stg.count()
     got, want = queries.q_streaming_moves_late(spark, SF_SMALL), queries.q_price_events(spark, SF_SMALL)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+
+
+def test_files_of_a_progress_batch_grow_with_the_rows(spark, monkeypatch):
+    """The number of micro-batches stays, the files of each follow the input."""
+    from tickflow import queries
+    seen, start = [], sing.start_ingest
+    monkeypatch.setattr(queries, "FILE_ROWS", 50)
+    monkeypatch.setattr(sing, "start_ingest", lambda s, cfg, name: seen.append(cfg) or start(s, cfg, name))
+    row = queries.q_ingest_progress(spark, SF_SMALL).first()
+    n = fx.read_events(spark, SF_SMALL).count()
+    assert seen[0].max_per_trigger == -(-n // (50 * queries.PIECES)) > 2
+    assert (row["batches"], row["input_rows"], row["over_limit"]) == (queries.PIECES, n, 0)

@@ -602,13 +602,14 @@ def q_streaming_hourly_late(spark, sf_dir):
 
 def q_ingest_progress(spark, sf_dir):
     """What the ingest stream reports of itself over several micro-batches."""
-    n = 2 * PIECES
+    events = _events(spark, sf_dir)
+    rows = events.count()
+    files = max(2, -(-rows // (PIECES * FILE_ROWS)))
     src = scratch_path(spark, "progress-source")
-    fx.raw_payloads(_events(spark, sf_dir)).repartition(n).write.parquet(src)
-    rows = spark.read.parquet(src).count()
+    fx.raw_payloads(events).repartition(files * PIECES).write.parquet(src)
     cfg = sing.IngestConfig(
         fact_path=scratch_path(spark, "fact-p"), dlq_path=scratch_path(spark, "dlq-p"), metrics_path=scratch_path(spark, "metrics-p"),
-        checkpoint=scratch_path(spark, "ckpt-p"), source_format="parquet", source_path=src, max_per_trigger=2, available_now=True)
+        checkpoint=scratch_path(spark, "ckpt-p"), source_format="parquet", source_path=src, max_per_trigger=files, available_now=True)
     log = sprogress.ProgressLog(most=rows)
     spark.streams.addListener(log)
     try:
