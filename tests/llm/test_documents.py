@@ -297,6 +297,18 @@ def test_the_mix_itself(docs, rows):
     assert used == +taken
 
 
+def test_the_query_counts_the_words_of_the_mixed_texts(spark, docs, no_docs, tmp_path, monkeypatch):
+    """op6_mixing runs the mix: every row of its own plan, equal rows apart, words counted in the texts as cut."""
+    from tickflow.llm import queries
+    docs.union(docs.limit(3)).write.parquet(f"{tmp_path}/documents.parquet")
+    stored = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    runs, mixed_uses = [], mixing.mixed_uses
+    monkeypatch.setattr(mixing, "mixed_uses", lambda *a, **k: runs.append(1) or mixed_uses(*a, **k))
+    got = queries.op6_mixing(spark, str(tmp_path))
+    assert runs and counted(map(tuple, got.collect())) == counted(map(tuple, mixing.mix_plan(stored).collect()))
+    assert mixing.mix_digest(no_docs).count() == 0
+
+
 def test_schedule_inverts_its_integral(spark):
     df = spark.range(101).select((F.col("id") / 100).alias("u"), F.explode(F.array(F.lit(-0.5), F.lit(0.0), F.lit(0.5))).alias("a"))
     t = mixing.position(F.col("u") * 1000, F.lit(1000), F.col("a"))

@@ -79,19 +79,27 @@ def _same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
-def plan(rows: DataFrame, goals: DataFrame, n_rows: int) -> DataFrame:
-    """``rows`` with source_size, target, slope, goal (words), start (words before it in its stream), passes, extra, taken."""
-    ranges = max(1, -(-n_rows // RANGE))
-    place = F.shiftrightunsigned("key", 33) * F.lit(ranges).cast("long")
-    rows = rows.withColumn("bucket", F.shiftright(place, 31))
-    goals = goals.select(F.col("source").alias("s"), "source_size", "target", "slope", F.round("target").cast("long").alias("goal"))
-    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
-    before = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), (F.sum("n").over(
-        Window.partitionBy("source").orderBy("bucket")) - F.col("n")).alias("before"))
-    before = before.join(goals.withColumnRenamed("s", "g"), _same(F.col("s"), F.col("g")))
-    order = Window.partitionBy("source", "bucket").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    out = (rows.withColumn("within", F.coalesce(F.sum("size").over(order), F.lit(0)))
-           .join(before, _same(F.col("source"), F.col("s")) & (F.col("bucket") == F.col("b")))
+def plan(rows: DataFrame, goals: DataFrame, narrow: DataFrame) -> DataFrame:
+    """``rows`` with source_size, target, slope, goal (words), bucket and nth (its place in the stream), start (words before
+    it there), passes, extra, taken; ``narrow`` holds their sources, sizes and keys.
+
+    ``rows`` are shuffled once: the running sum and the join use the same keys, null sources told apart by one of their own.
+    """
+    ranges = max(1, -(-narrow.count() // RANGE))
+    stretch = ["no_source", "of_source", "bucket"]
+
+    def placed(df: DataFrame) -> DataFrame:
+        place = F.shiftrightunsigned("key", 33) * F.lit(ranges).cast("long")
+        return df.withColumns({"no_source": F.isnull("source"), "of_source": F.coalesce("source", F.lit("")), "bucket": F.shiftright(place, 31)})
+
+    goals = goals.select(F.col("source").alias("g"), "source_size", "target", "slope", F.round("target").cast("long").alias("goal"))
+    sums = placed(narrow).groupBy("source", *stretch).agg(F.sum("size").alias("n"))
+    before = sums.withColumn("before", F.sum("n").over(Window.partitionBy("source").orderBy("bucket")) - F.col("n"))
+    before = before.join(goals, _same(F.col("source"), F.col("g"))).drop("source", "n", "g")
+    order = Window.partitionBy(*stretch).orderBy("key", "size")
+    out = (placed(rows).withColumn("within", F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+           .withColumn("nth", F.row_number().over(order))
+           .join(before, stretch)
            .withColumn("start", F.col("before") + F.col("within")))
     size = F.col("source_size")
     passes = F.when(size > 0, F.floor(F.col("goal") / size)).otherwise(0)
@@ -99,7 +107,7 @@ def plan(rows: DataFrame, goals: DataFrame, n_rows: int) -> DataFrame:
     extra = F.greatest(F.lit(0), F.least(left - F.col("start"), F.col("size")))
     return (out.withColumn("passes", passes).withColumn("extra", extra)
             .withColumn("taken", F.col("passes") * F.col("size") + F.col("extra"))
-            .drop("s", "b", "g", "before", "within", "bucket"))
+            .drop("no_source", "of_source", "before", "within"))
 
 
 def position(words_before: Column, goal: Column, slope: Column) -> Column:
@@ -109,12 +117,13 @@ def position(words_before: Column, goal: Column, slope: Column) -> Column:
     return F.when(slope == 0, u).otherwise((F.sqrt(b * b + 4 * slope * u) - b) / (2 * slope))
 
 
-def uses(planned: DataFrame) -> DataFrame:
-    """A row per pass that takes words of a document: all columns, ``words_taken`` and ``position``."""
+def uses(planned: DataFrame, unused: bool = False) -> DataFrame:
+    """A row per pass that takes words of a document: all columns, ``words_taken`` and ``position``; with ``unused`` also one,
+    without a ``use``, for each document that no pass takes words of."""
     partly = F.when(F.col("extra") > 0, F.array(F.col("passes"))).otherwise(F.array().cast("array<bigint>"))
     whole = F.when((F.col("passes") > 0) & (F.col("size") > 0), F.sequence(F.lit(0).cast("long"), F.col("passes") - 1)).otherwise(
         F.array().cast("array<bigint>"))
-    each = planned.withColumn("use", F.explode(F.concat(whole, partly)))
+    each = planned.withColumn("use", (F.explode_outer if unused else F.explode)(F.concat(whole, partly)))
     return (each.withColumn("words_taken", F.when(F.col("use") < F.col("passes"), F.col("size")).otherwise(F.col("extra")))
             .withColumn("position", position(F.col("use") * F.col("source_size") + F.col("start"), F.col("goal"), F.col("slope"))))
 
@@ -122,22 +131,39 @@ def uses(planned: DataFrame) -> DataFrame:
 def mix_plan(docs: DataFrame) -> DataFrame:
     """A row per document: doc_id, size, source_size, target, taken, first_position."""
     rows = materialize(sizes(docs, docs["doc_id"].alias("doc_id")), "mix-sizes")
-    out = plan(rows, targets(rows), rows.count())
+    out = plan(rows, targets(rows), rows)
     first = F.when(F.col("taken") > 0, position(F.col("start"), F.col("goal"), F.col("slope")))
     return out.select("doc_id", "size", "source_size", "target", "taken", first.alias("first_position"))
 
 
+def mixed_uses(docs: DataFrame, unused: bool = False) -> DataFrame:
+    """The uses in training order, with the columns of ``docs`` under ``r``; the text of one used in part is cut after the words taken."""
+    narrow = materialize(sizes(docs), "mix-sizes")
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("r")
+    used = uses(plan(sizes(docs, row), targets(narrow), narrow), unused)
+    head = F.array_join(F.slice(words(F.col("r.text")), F.lit(1), F.col("words_taken").cast("int")), " ")
+    text = F.when(F.col("words_taken") < F.col("size"), head).otherwise(F.col("r.text"))
+    mixed = used.withColumn("r", F.col("r").withField("text", text))
+    return mixed.repartitionByRange("position", "key", "use").sortWithinPartitions("position", "key", "use")
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """The mix itself in training order: the columns of ``docs``, a row for each time a document is used.
 
     A document used in part, one per source, has its text cut after the words taken.
     """
-    names = docs.columns
-    narrow = materialize(sizes(docs), "mix-sizes")
-    row = F.struct(*[docs[f"`{c}`"] for c in names]).alias("r")
-    used = uses(plan(sizes(docs, row), targets(narrow), narrow.count()))
-    head = F.array_join(F.slice(words(F.col("r.text")), F.lit(1), F.col("words_taken").cast("int")), " ")
-    text = F.when(F.col("words_taken") < F.col("size"), head).otherwise(F.col("r.text"))
-    mixed = used.select("position", "key", "use", F.col("r").withField("text", text).alias("r"))
-    return (mixed.repartitionByRange("position", "key", "use").sortWithinPartitions("position", "key", "use")
-            .select(*[F.col(f"r.`{c}`").alias(c) for c in names]))
+    return mixed_uses(docs).select(*[F.col(f"r.`{c}`").alias(c) for c in docs.columns])
+
+
+def mix_digest(docs: DataFrame) -> DataFrame:
+    """What the mix takes of each document: doc_id, size, source_size, target, taken (words counted in the mixed texts), first_position.
+
+    Equal rows stay apart by their places in the stream.
+    """
+    mixed = mixed_uses(docs.select("doc_id", "text", "source"), unused=True)
+    words_in = F.when(F.col("use").isNotNull(), F.size(words(F.col("r.text")))).otherwise(0).cast("long")
+    narrow = mixed.select("source", "bucket", "nth", F.col("r.doc_id").alias("doc_id"), "size", "source_size", "target",
+                          words_in.alias("words_in"), F.when(F.col("use").isNotNull(), F.col("position")).alias("position"))
+    first = [F.first(c).alias(c) for c in ("doc_id", "size", "source_size", "target")]
+    each = narrow.groupBy("source", "bucket", "nth").agg(*first, F.sum("words_in").alias("taken"), F.min("position").alias("first_position"))
+    return each.select("doc_id", "size", "source_size", "target", "taken", "first_position")
