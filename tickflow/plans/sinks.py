@@ -284,6 +284,9 @@ def upsert(spark: SparkSession, new: DataFrame, target_path: str, keys: Sequence
         delete_path(spark, staged_new)
         return
     stored = read_mart(spark, target_path)
+    if stored_schema(spark, target_path) is None:  # folder names have no type of their own, what is read from them is a guess
+        typed = T.StructType([new.schema[f.name] if f.name == partition_col else f for f in stored.schema.fields])
+        stored = spark.read.schema(typed).parquet(target_path)
     schema = synced_schema(stored.schema, new.schema)
     fresh = spark.read.schema(schema).parquet(staged_new)
     existing = stored.filter(F.col(partition_col).cast("string").isin(touched))
