@@ -281,6 +281,7 @@ def test_moves_in_order_are_kept_by_slices_of_time(spark):
     at = sorted({day + timedelta(hours=i * hours, seconds=s) for i in range(9) for s in (-1800, -1799, -60, 0, 0.000001, 1, 1739, 1740)})
     rows = [(f"e{i}{k}", "bitcoin", "BTC/USD", 60000.0 + 700 * ((i * 7 + k) % 5), t) for i, t in enumerate(at) for k in range(2)]
     stg = spark.createDataFrame(rows, "event_id string, commodity string, symbol string, price double, event_ts timestamp_ntz")
+    rows += [("e", "bitcoin", "BTC/USD", 1.0, None), ("f", "bitcoin", "BTC/USD", 2.0, None)]
     sliced = ordered.in_slices(stg.withColumn("us", F.unix_micros(F.col("event_ts").cast("timestamp"))))
     assert sliced.select("commodity", "symbol", "slice").distinct().count() >= 9
     src, out, ckpt = (scratch_path(spark, n) for n in ("t-ordered-src", "t-ordered", "t-ordered-ckpt"))

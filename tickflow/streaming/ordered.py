@@ -101,11 +101,11 @@ def moves_in_order(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
 
     A move is emitted once the watermark has passed its tick.  The state holds the ticks of one
     delay, per instrument and slice of time; a trigger reads those of the slices it wakes.  Only ticks less than
-    ``MOVE_GAP_MINUTES`` apart make a move, so a slice needs no more of the one before than its end.
+    ``MOVE_GAP_MINUTES`` apart make a move, so a slice needs no more of the one before than its end; one without a time makes none.
     """
     ship_package(stream.sparkSession)
     ticks = stream.select("commodity", "symbol", F.col("event_ts").cast("timestamp").alias("event_ts"), "event_id", "price")
-    ticks = in_slices(ticks.withColumn("us", F.unix_micros("event_ts"))).withWatermark("event_ts", delay)
+    ticks = in_slices(ticks.withColumn("us", F.unix_micros("event_ts")).filter(F.col("us").isNotNull())).withWatermark("event_ts", delay)
     pairs = ticks.groupBy("commodity", "symbol", "slice").transformWithStateInPandas(_InOrder(), _PAIRS, "Append", "EventTime")
     at = {c: F.timestamp_micros(F.col(u)).cast("timestamp_ntz").alias(c) for c, u in (("event_ts", "us"), ("prev_event_ts", "prev_us"))}
     return marts.moves_between(pairs.select("commodity", "symbol", *at.values(), "price", "prev_price"))
