@@ -7,6 +7,7 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import SF
 from pyspark.sql import functions as F
@@ -257,6 +258,38 @@ def test_words_beyond_the_classes_follow_their_context(spark):
         assert (10 ** m.log10(np.full(801, two), np.full(801, one), np.arange(801))).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_tokens_are_those_of_python():
+    texts = ["A  b\x0bC\x1cd\u00a0\u00c4e", "", None, " \t\r\n\x0c", "x", " \u2003y\x85z "]
+    want = [(t or "").encode().lower().split() + [b""] for t in texts]
+    counts, found = language_model.tokens(pa.array(texts))
+    assert counts.tolist() == [len(w) for w in want] and [x.encode() for x in found.to_pylist()] == sum(want, [])
+    assert [(a, len(c)) for a, c in language_model._chunks(pa.array(texts), 14)] == [(0, 3), (3, 2), (5, 1)]
+
+
+def test_the_entries_of_words(spark):
+    ranks = language_model.Ranks([b"", b"the", b"a"], 7)
+    words = ["a", "zebra", "", "the", "yak", "zebra"]
+    known = {"": 0, "the": 1, "a": 2}
+    assert ranks.of(pa.array(words)).tolist() == [known.get(w, 3 + zlib.crc32(w.encode()) % 7) for w in words] and ranks.end == 0
+
+
+def test_the_model_of_a_short_corpus_is_learnt_by_one_task(spark):
+    """A task sends a row of changes for each row it touches, so it has to have some text for each row of the model."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{j}" for j in rng.integers(0, 100, 20))) for i in range(100)]
+    scores = [{r["doc_id"]: r["score"] for r in language_model.score_documents(
+        spark.createDataFrame(spark.sparkContext.parallelize(rows, n), "doc_id long, text string")).collect()} for n in (1, 8)]
+    assert scores[0] == pytest.approx(scores[1], rel=1e-6)
+
+
+def test_sums_of_runs_of_vectors():
+    rng = np.random.default_rng(2)
+    v, at = rng.normal(size=(50, 16)).astype(np.float32), np.array([0, 1, 2, 30, 31, 49])
+    assert np.allclose(language_model._sums(v, at), np.add.reduceat(v, at), atol=1e-5)
+    key = rng.integers(0, 9, 50)
+    assert language_model._order(key).tolist() == np.argsort(key, kind="stable").tolist()
+
+
 def test_the_vocabulary_grows_with_the_corpus(spark):
     sizes = []
     for n in (500, 2000):

@@ -11,16 +11,17 @@ So the vectors grow with the corpus.  The score of an entry or node w after the
 score(w | u, v) = (r_u C_1 + r_v C_2) . q_w + b_w.
 
 Probabilities are normalised in full, level by level and each by context: over the
-``CLASSES - 1`` most frequent words and one class of all others; in that class over groups of
-entries of like frequency; in a group over its entries.  So probabilities of all
-tokens, unknown included, add up to 1.
+``CLASSES - 1`` most frequent words and one class of all others; in that class over sections; in
+a section over groups of entries of like frequency; in a group over its entries.  So probabilities
+of all tokens, unknown included, add up to 1, and a token costs the third root of the entries.
 
 Training is noise-contrastive estimation in two steps.  The class trigrams of all training text are
 counted by Spark (CLASSES**3 counts at most); from them come C_1, C_2 and the starting
 vectors.  Then all vectors learn from every training token: in ``ROUNDS`` rounds, each over its
 share of the documents, the tasks take the model, train it on batches of their own text with noise
 samples at each level (for an entry from its group), and send what changed of the rows they
-touched; the changes are averaged by touches in Spark.
+touched; the changes are averaged by touches in Spark. A task has at least ``TOKENS_A_ROW`` tokens for
+each row of the model, so the changes sent are a fixed share of the text at most.
 
 Words: the entries go to the tasks with their counts; the words of
 a text beyond them are joined to the table of all counts, so every count is exact.
@@ -33,12 +34,12 @@ probabilities are 1; an empty table gives an empty result; other columns don't m
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +47,6 @@ from pyspark.sql import functions as F
 from tickflow.session import ship_package
 
 from .common import materialize
-from .textwindows import in_chunks, texts_of
 
 CLASSES = 128
 LEAST = 16
@@ -63,32 +63,41 @@ RATE = 0.05
 CALM = 1.0
 ADDED = 0.1
 END = b""
+TOKENS_A_ROW = 8
+CHUNK = 3_000_000
+SLICE = 1 << 19
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
-def tokens(text: bytes) -> list[bytes]:
-    out = text.lower().split()  # of bytes: A-Z only
-    out.append(END)
-    return out
+def tokens(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The number of tokens of each text, and the tokens of all in turn."""
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))  # A-Z and the six separators only
+    empty = pc.equal(texts, "")
+    ended = pc.binary_join_element_wise(texts, pc.if_else(empty, "", " "), "")  # the empty word after the last separator is the end
+    found = pc.ascii_split_whitespace(ended)
+    return found.value_lengths().to_numpy().astype(np.int64), found.flatten()
 
 
-# --- counts -----------------------------------------------------------------
+def _chunks(texts: pa.Array, most: int = CHUNK) -> Iterator[tuple[int, pa.Array]]:
+    """Pieces of at most so many bytes, one text at least, each with its first text's number."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    a = 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, "right")))
+        yield a, texts.slice(a, b - a)
+        a = b
 
-def _count_words(batches: Iterator[pa.RecordBatch], most: int = 300_000) -> Iterator[pa.RecordBatch]:
-    def out():
-        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()).cast(pa.string()), pa.array(list(found.values()), pa.int64())], ["word", "n"])
 
-    found: Counter = Counter()
+# --- counts -----------------------------------------------------------------
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for text in texts_of(batch.column(0)):
-            found.update(tokens(text))
-            if len(found) > most:
-                yield out()
-                found.clear()
-    yield out()
+        for _, texts in _chunks(batch.column(0), 16_000_000):
+            found = tokens(texts)[1].value_counts()
+            yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], ["word", "n"])
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -148,15 +157,22 @@ def vocabulary(counts: DataFrame, classes: int = CLASSES, least: int = LEAST, lo
     return Vocabulary([w.encode() for w in words], c, min(classes - 1, len(words)), n or 0, different, buckets)
 
 
-class Ranks(dict):
-    """The entry of a word: its rank, or the bucket of its hash after all ranks."""
+class Ranks:
+    """The entries of words: a word's rank, or the bucket of its hash after all ranks."""
 
     def __init__(self, words: list[bytes], buckets: int):
-        super().__init__(zip(words, range(len(words)), strict=True))
+        self.names = pa.array(words, pa.binary()).cast(pa.string())
         self.words, self.buckets = len(words), buckets
-
-    def __missing__(self, word: bytes) -> int:
-        return self.words + zlib.crc32(word) % self.buckets
+        self.end = int(self.of(pa.array([END.decode()]))[0])
+
+    def of(self, words: pa.Array) -> np.ndarray:
+        rank = pc.index_in(words, value_set=self.names.cast(words.type))
+        out = rank.fill_null(self.words).to_numpy(zero_copy_only=False).astype(np.int64)
+        if rank.null_count:
+            rest = words.filter(rank.is_null()).dictionary_encode()
+            bucket = np.fromiter((zlib.crc32(w) % self.buckets for w in rest.dictionary.cast(pa.binary()).to_pylist()), np.int64)
+            out[out == self.words] += bucket[rest.indices.to_numpy()]
+        return out
 
 
 def _contexts(rank: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -169,12 +185,11 @@ def _contexts(rank: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarra
     return one, two
 
 
-def _ranked(texts: list[bytes], ranks: Ranks) -> Iterator[tuple[int, list[list[bytes]], np.ndarray, np.ndarray]]:
-    """Per chunk: the first text's number, the texts' tokens, the number of each and the entries of all."""
-    for a, b in in_chunks(texts):
-        found = [tokens(t) for t in texts[a:b]]
-        counts = np.array([len(x) for x in found])
-        yield a, found, counts, np.fromiter((r for x in found for r in map(ranks.__getitem__, x)), np.int64, counts.sum())
+def _ranked(texts: pa.Array, ranks: Ranks) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
+    """Per chunk: the first text's number, the tokens of all its texts, the number of each text and the entries of all."""
+    for a, chunk in _chunks(texts):
+        counts, found = tokens(chunk)
+        yield a, found, counts, ranks.of(found)
 
 
 def _count_trigrams(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
@@ -182,8 +197,8 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Re
     ranks, k = Ranks(vocab.words[:vocab.head], 1), vocab.classes
     total = np.zeros(k ** 3, np.int64)
     for batch in batches:
-        for _, _, counts, own in _ranked(texts_of(batch.column(0)), ranks):
-            one, two = _contexts(own, counts, ranks[END])
+        for _, _, counts, own in _ranked(batch.column(0), ranks):
+            one, two = _contexts(own, counts, ranks.end)
             total += np.bincount((two * k + one) * k + own, minlength=k ** 3)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["code", "n"])
@@ -251,16 +266,44 @@ def train(code: np.ndarray, n: np.ndarray, k: int, width: int = WIDTH, noise: in
 
 # --- all entries ------------------------------------------------------------
 
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", a, b)
+
+
+def _rows(vectors: np.ndarray, row: np.ndarray) -> np.ndarray:
+    return np.take(vectors, row, axis=0, mode="clip")  # much faster than vectors[row]; no row is out of bounds
+
+
+def _sums(vectors: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The sum of each run of vectors, by the runs' first rows."""
+    size = np.diff(np.append(at, len(vectors)))
+    out = _rows(vectors, at)
+    several = np.flatnonzero(size > 1)
+    if len(several):
+        own = size[several]
+        rest = _rows(vectors, np.flatnonzero(np.repeat(size > 1, size)))
+        out[several] = np.add.reduceat(rest.view(np.complex64), np.cumsum(own) - own).view(np.float32)  # a pair of floats at once
+    return out
+
+
+def _order(key: np.ndarray) -> np.ndarray:
+    """A stable order by ``key``, by a sort of numbers."""
+    bits = max(1, int(len(key) - 1).bit_length())
+    return np.sort((key.astype(np.int64) << bits) | np.arange(len(key))) & ((1 << bits) - 1)
+
+
 @dataclass
 class WordModel:
-    """Vectors of all entries. Rows of ``p``: inputs of the entries, outputs of the classes, the groups and the entries; the last column is the bias."""
+    """Vectors of all entries. Rows of ``p``: inputs of the entries, outputs of the classes, the sections, the groups and the entries; ``bias`` of each."""
     p: np.ndarray
+    bias: np.ndarray
     c1: np.ndarray
     c2: np.ndarray
     head: int
     bounds: np.ndarray     # the first entry of each group, and the end
+    sections: np.ndarray   # the first group of each section, and the end
     class_p: np.ndarray    # noise
-    group_p: np.ndarray
+    section_p: np.ndarray
 
     @property
     def entries(self) -> int:
@@ -271,124 +314,173 @@ class WordModel:
         return self.entries
 
     @property
-    def first_group(self) -> int:
+    def first_section(self) -> int:
         return self.entries + self.head + 1
 
+    @property
+    def first_group(self) -> int:
+        return self.first_section + len(self.sections) - 1
+
     @property
     def first_entry(self) -> int:
         return self.first_group + len(self.bounds) - 1
 
     def hidden(self, two: np.ndarray, one: np.ndarray) -> np.ndarray:
-        return self.p[two, :-1] @ self.c2 + self.p[one, :-1] @ self.c1
+        h = _rows(self.p, two) @ self.c2
+        h += _rows(self.p, one) @ self.c1
+        return h
 
     def groups(self, entry: np.ndarray) -> np.ndarray:
         """Of entries beyond the head."""
-        return np.searchsorted(self.bounds, entry, "right") - 1
+        return np.take(np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds)), entry - self.head)
+
+    def _score(self, h: np.ndarray, row: np.ndarray) -> np.ndarray:
+        return _dots(h, _rows(self.p, row)) + np.take(self.bias, row)
 
-    def _log(self, h: np.ndarray, first: int, end: int, own: np.ndarray) -> np.ndarray:
-        """Natural log of the probability of node ``own`` among the nodes first..end after each context."""
+    def _log_sums(self, h: np.ndarray, first: int, end: int) -> np.ndarray:
+        """Of each context the log of the sum of exp(score) over the nodes first..end."""
+        q, b = np.ascontiguousarray(self.p[first:end].T), self.bias[first:end]
+        most = float(np.sqrt(_dots(h, h).max() * (q * q).sum(axis=0).max()))  # no score without bias is larger
         out = np.empty(len(h), np.float32)
-        q = np.ascontiguousarray(self.p[first:end, :-1].T)
-        size = max(1, (1 << 20) // (end - first))
+        size, share = max(1, (1 << 17) // (end - first)), np.exp(b)
         for a in range(0, len(h), size):
-            s = h[a:a + size] @ q + self.p[first:end, -1]
-            mine = s[np.arange(len(s)), own[a:a + size]]
-            top = s.max(axis=1, keepdims=True)
-            s -= top
-            out[a:a + size] = mine - top[:, 0] - np.log(np.exp(s, out=s).sum(axis=1))
+            s = h[a:a + size] @ q
+            if most < 60:
+                out[a:a + size] = np.log(np.exp(s, out=s) @ share)
+            else:
+                s += b
+                top = s.max(axis=1)
+                s -= top[:, None]
+                out[a:a + size] = top + np.log(np.exp(s, out=s).sum(axis=1))
+        return out
+
+    def _inside(self, h: np.ndarray, own: np.ndarray, parent: np.ndarray, bounds: np.ndarray, first: int) -> np.ndarray:
+        """Log probability of each node ``own`` among the children of its parent; rows are sorted by parent."""
+        out = self._score(h, first + own)
+        at = np.searchsorted(parent, np.arange(len(bounds)))
+        for g in np.flatnonzero(np.diff(at)):
+            x = slice(at[g], at[g + 1])
+            out[x] -= self._log_sums(h[x], first + bounds[g], first + bounds[g + 1])
         return out
 
     def log10(self, two: np.ndarray, one: np.ndarray, entry: np.ndarray) -> np.ndarray:
         """Normalised log10 probability of each entry after its context."""
+        return np.concatenate([self._log10(two[a:a + SLICE], one[a:a + SLICE], entry[a:a + SLICE]) for a in range(0, len(entry), SLICE)] or [np.empty(0)])
+
+    def _log10(self, two: np.ndarray, one: np.ndarray, entry: np.ndarray) -> np.ndarray:
         h = self.hidden(two, one)
-        out = self._log(h, self.first_class, self.first_group, np.minimum(entry, self.head)).astype(np.float64)
+        out = (self._score(h, self.first_class + np.minimum(entry, self.head))
+               - self._log_sums(h, self.first_class, self.first_section)).astype(np.float64)
         rest = np.flatnonzero(entry >= self.head)
         if len(rest):
             group = self.groups(entry[rest])
-            order = np.argsort(group, kind="stable")
+            order = _order(group)
             rest, group = rest[order], group[order]
-            h = h[rest]
-            more = self._log(h, self.first_group, self.first_entry, group)
-            at = np.searchsorted(group, np.arange(len(self.bounds)))
-            for g in np.flatnonzero(np.diff(at)):
-                x, a, b = slice(at[g], at[g + 1]), self.bounds[g], self.bounds[g + 1]
-                more[x] += self._log(h[x], self.first_entry + a, self.first_entry + b, entry[rest[x]] - a)
-            out[rest] += more
+            section = np.searchsorted(self.sections, group, "right") - 1
+            h = _rows(h, rest)
+            out[rest] += (self._score(h, self.first_section + section) - self._log_sums(h, self.first_section, self.first_group)
+                          + self._inside(h, group, section, self.sections, self.first_group)
+                          + self._inside(h, entry[rest], group, self.bounds, self.first_entry))
         return out / np.log(10)
 
 
-def grouped(counts: np.ndarray, head: int) -> np.ndarray:
-    """Bounds of the groups of the entries from ``head`` on, so that all have like sums of root counts."""
+def grouped(counts: np.ndarray, head: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the groups of the entries from ``head`` on, so that all have like sums of root counts, and bounds of the sections of the groups."""
     root = np.cumsum(np.sqrt(counts[head:] + 1.0))
-    n = int(np.ceil(np.sqrt(len(root)) / 2))
-    first = np.searchsorted(root, root[-1] * np.arange(n) / n, "right")
-    return head + np.unique(np.append(first, len(root)))
+    n = int(np.ceil(len(root) ** (1 / 3) * 0.75))
+    first = np.searchsorted(root, root[-1] * np.arange(n * n) / (n * n), "right")
+    bounds = head + np.unique(np.append(first, len(root)))
+    return bounds, np.unique((len(bounds) - 1) * np.arange(n + 1) // n)
 
 
 def word_model(vocab: Vocabulary, classes: LogBilinear) -> WordModel:
     """The model before it learns more than classes: entries beyond the head are used as their class, and by their counts in it."""
     counts = np.concatenate([vocab.counts, vocab.buckets[:, 0]])
     head, n, width = vocab.head, vocab.entries, classes.r.shape[1]
-    bounds = grouped(counts, head)
+    bounds, sections = grouped(counts, head)
     smooth = counts + ADDED
     group_n = np.add.reduceat(smooth, bounds[:-1])
+    section_n = np.add.reduceat(group_n, sections[:-1])
     class_p = np.append(smooth[:head], smooth[head:].sum())
-    p = np.zeros((2 * n + head + len(bounds), width + 1), np.float32)
-    p[:n, :-1] = classes.r[np.minimum(np.arange(n), head)]
-    p[n:n + head + 1] = np.concatenate([classes.q, classes.b[:, None]], axis=1)
-    p[n + head + 1:n + head + len(bounds), -1] = np.log(group_n / group_n.sum())
-    p[n + head + len(bounds) + head:, -1] = np.log(smooth[head:] / np.repeat(group_n, np.diff(bounds)))
-    return WordModel(p, classes.c1, classes.c2, head, bounds, class_p / class_p.sum(), group_n / group_n.sum())
+    section, group = n + head + 1, n + head + len(sections)
+    entry = group + len(bounds) - 1
+    p, bias = np.zeros((entry + n, width), np.float32), np.zeros(entry + n, np.float32)
+    p[:n] = classes.r[np.minimum(np.arange(n), head)]
+    p[n:section], bias[n:section] = classes.q, classes.b
+    bias[section:group] = np.log(section_n / section_n.sum())
+    bias[group:entry] = np.log(group_n / np.repeat(section_n, np.diff(sections)))
+    bias[entry + head:] = np.log(smooth[head:] / np.repeat(group_n, np.diff(bounds)))
+    return WordModel(p, bias, classes.c1, classes.c2, head, bounds, sections, class_p / class_p.sum(), section_n / section_n.sum())
 
 
 def learn(m: WordModel, two: np.ndarray, one: np.ndarray, entry: np.ndarray, squares: np.ndarray, touches: np.ndarray, rng, rate: float = RATE) -> None:
     """A step of noise-contrastive estimation over a batch of tokens, by Adagrad for each row of ``m.p``; the biases stay at the counts."""
-    p, h = m.p, m.hidden(two, one)
-    gh = np.zeros_like(h)
-    rows, grads = [], []
-
-    def add(row: np.ndarray, g: np.ndarray, h: np.ndarray) -> None:
+    beyond = entry >= m.head
+    order = np.concatenate([np.flatnonzero(beyond), np.flatnonzero(~beyond)])  # so that slices do for the tokens beyond the head
+    two, one, entry, rest = two[order], one[order], entry[order], slice(0, np.count_nonzero(beyond))
+    p, h, n = m.p, m.hidden(two, one), len(entry)
+    rows, sources, factors = [], [], []  # the gradient of a row is the sum of its factors times the vectors of their sources
+    vectors = [h]
+
+    def add(row: np.ndarray, source: np.ndarray, factor: np.ndarray) -> None:
         rows.append(row)
-        grads.append(g[:, None] * h)
+        sources.append(source)
+        factors.append(factor)
+
+    def add_vectors(row: np.ndarray, more: np.ndarray) -> None:
+        start = sum(map(len, vectors))
+        vectors.append(more)
+        add(row, np.arange(start, start + len(more)), np.ones(len(more), np.float32))
 
-    def level(first: int, noise_p: np.ndarray, own: np.ndarray, h: np.ndarray) -> np.ndarray:
+    def level(first: int, noise_p: np.ndarray, own: np.ndarray, h: np.ndarray, source: np.ndarray) -> np.ndarray:
         drawn = rng.choice(len(noise_p), DRAWN, p=noise_p)
         asked = np.log(NOISE * noise_p).astype(np.float32)
-        mine, noise = p[first + own], p[first + drawn]
-        true = 1 / (1 + np.exp((h * mine[:, :-1]).sum(axis=1) + mine[:, -1] - asked[own]))
-        false = NOISE / DRAWN / (1 + np.exp(asked[drawn] - h @ noise[:, :-1].T - noise[:, -1]))
-        add(first + own, true, h)
-        rows.append(first + drawn)
-        grads.append(-false.T @ h)
-        return true[:, None] * mine[:, :-1] - false @ noise[:, :-1]
-
-    gh += level(m.first_class, m.class_p, np.minimum(entry, m.head), h)
-    rest = np.flatnonzero(entry >= m.head)
-    if len(rest):
-        own, inner = entry[rest], h[rest]
-        group = m.groups(own)
-        gh[rest] += level(m.first_group, m.group_p, group, inner)
-        # inside a group the noise is uniform: its entries are about as frequent
-        first, size = m.bounds[group], m.bounds[group + 1] - m.bounds[group]
+        mine, noise = _rows(p, first + own), p[first + drawn]
+        true = 1 / (1 + np.exp(_dots(h, mine) + np.take(m.bias, first + own) - np.take(asked, own)))
+        false = h @ noise.T
+        np.subtract(asked[drawn] - m.bias[first + drawn], false, out=false)
+        np.exp(false, out=false)
+        false += 1
+        np.divide(np.float32(NOISE / DRAWN), false, out=false)
+        add(first + own, source, true)
+        add_vectors(first + drawn, -false.T @ h)
+        return true[:, None] * mine - false @ noise
+
+    def inside(first: int, bounds: np.ndarray, parent: np.ndarray, own: np.ndarray, h: np.ndarray, source: np.ndarray) -> np.ndarray:
+        # inside a parent the noise is uniform: its children are about as frequent
+        start, size = bounds[parent], bounds[parent + 1] - bounds[parent]
         asked = np.log(DRAWN_INSIDE / size).astype(np.float32)
-        for j in range(1 + DRAWN_INSIDE):
-            x = own if j == 0 else first + (rng.random(len(rest)) * size).astype(np.int64)
-            v = p[m.first_entry + x]
-            chance = 1 / (1 + np.exp(asked - (inner * v[:, :-1]).sum(axis=1) - v[:, -1]))
-            g = 1 - chance if j == 0 else -chance
-            add(m.first_entry + x, g, inner)
-            gh[rest] += g[:, None] * v[:, :-1]
+        drawn = start + (rng.random((DRAWN_INSIDE, len(own)), np.float32) * size.astype(np.float32)).astype(np.int64)
+        x = first + np.concatenate([own[None], np.minimum(drawn, start + size - 1)])
+        v = _rows(p, x)
+        g = -1 / (1 + np.exp(asked - np.einsum("jik,ik->ji", v, h) - np.take(m.bias, x)))
+        g[0] += 1
+        add(x.ravel(), np.tile(source, len(x)), g.ravel())
+        return np.einsum("ji,jik->ik", g, v)
+
+    gh = level(m.first_class, m.class_p, np.minimum(entry, m.head), h, np.arange(n))
+    if rest.stop:
+        own, inner, which = entry[rest], h[rest], np.arange(rest.stop)
+        group = np.searchsorted(m.bounds, own, "right") - 1
+        section = np.searchsorted(m.sections, group, "right") - 1
+        gh[rest] += (level(m.first_section, m.section_p, section, inner, which)
+                     + inside(m.first_group, m.sections, section, group, inner, which)
+                     + inside(m.first_entry, m.bounds, group, own, inner, which))
     for row, c in ((one, m.c1), (two, m.c2)):
-        rows.append(row)
-        grads.append(gh @ c.T)
-    row, grad = np.concatenate(rows), np.concatenate(grads)
-    order = np.argsort(row, kind="stable")
+        add_vectors(row, gh @ c.T)
+    row = np.concatenate(rows)
+    order = _order(row)
     row = row[order]
+    grad = _rows(np.concatenate(vectors), np.concatenate(sources)[order])
+    grad *= np.concatenate(factors)[order, None]
     at = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-    grad, row = np.add.reduceat(grad[order], at), row[at]
-    squares[row] += (grad * grad).mean(axis=1)
+    grad, row = _sums(grad, at), row[at]
+    squares[row] += _dots(grad, grad) / grad.shape[1]
     touches[row] += np.diff(np.append(at, len(order)))
-    p[row, :-1] += rate * grad / np.sqrt(squares[row] + CALM)[:, None]
+    grad *= (rate / np.sqrt(squares[row] + CALM))[:, None]
+    grad += _rows(p, row)
+    whole = f"V{p.strides[0]}"
+    p.view(whole)[row] = grad.view(whole)  # a row at once
 
 
 _CHANGES = "block int, rows binary, touches binary, changes binary"
@@ -405,19 +497,19 @@ def _learn(batches: Iterator[pa.RecordBatch], shared, seed: int) -> Iterator[pa.
     """What a task's text changes, by blocks of rows: touches and changes. Biases never change."""
     vocab, before = shared.value
     ranks = vocab.ranks()
-    m = WordModel(before.p.copy(), before.c1, before.c2, before.head, before.bounds, before.class_p, before.group_p)
+    m = replace(before, p=before.p.copy())
     squares, touches = np.zeros(len(m.p), np.float32), np.zeros(len(m.p), np.float32)
     rng = np.random.default_rng((seed, TaskContext.get().partitionId()))
     for batch in batches:
-        for _, _, counts, entry in _ranked(texts_of(batch.column(0)), ranks):
-            one, two = _contexts(entry, counts, ranks[END])
+        for _, _, counts, entry in _ranked(batch.column(0), ranks):
+            one, two = _contexts(entry, counts, ranks.end)
             for a in range(0, len(entry), BATCH):
                 x = slice(a, a + BATCH)
                 learn(m, two[x], one[x], entry[x], squares, touches, rng)
     for block in range(0, -(-len(m.p) // BLOCK)):
         rows = block * BLOCK + np.flatnonzero(touches[block * BLOCK:(block + 1) * BLOCK])
         if len(rows):
-            yield _block(block, rows, touches[rows], m.p[rows, :-1] - before.p[rows, :-1])
+            yield _block(block, rows, touches[rows], m.p[rows] - before.p[rows])
 
 
 def _averaged(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -442,16 +534,17 @@ def _averaged(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
 
 def train_words(training: DataFrame, vocab: Vocabulary, m: WordModel, rounds: int = ROUNDS) -> WordModel:
     """Training of all vectors over the partitions of the text; each document is in one round."""
-    sc, width = training.sparkSession.sparkContext, m.p.shape[1] - 1
+    sc, width = training.sparkSession.sparkContext, m.p.shape[1]
+    learners = max(1, vocab.n // (rounds * TOKENS_A_ROW * len(m.p)))
     for i in range(rounds):
         shared = sc.broadcast((vocab, m))
-        mine = training.filter(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == i).select("text")
+        mine = training.filter(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == i).select("text").coalesce(learners)
         changes = (mine.mapInArrow(lambda b, shared=shared, i=i: _learn(b, shared, i), _CHANGES)
                    .repartition("block").sortWithinPartitions("block").mapInArrow(lambda b: _averaged(b, width), _CHANGES)).toArrow()
         p = m.p.copy()
         for rows, x in zip(changes["rows"].to_pylist(), changes["changes"].to_pylist(), strict=True):
-            p[np.frombuffer(rows, np.int32), :-1] += np.frombuffer(x, np.float16).reshape(-1, width)
-        m = WordModel(p, m.c1, m.c2, m.head, m.bounds, m.class_p, m.group_p)
+            p[np.frombuffer(rows, np.int32)] += np.frombuffer(x, np.float16).reshape(-1, width)
+        m = replace(m, p=p)
         shared.unpersist()
     return m
 
@@ -468,19 +561,18 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
     shares = np.append(np.zeros(words), vocab.bucket_norms)
     row = TaskContext.get().partitionId() << 40
     for batch in batches:
-        for a, found, counts, entry in _ranked(texts_of(batch.column(1)), ranks):
+        for a, found, counts, entry in _ranked(batch.column(1), ranks):
             start = np.cumsum(counts) - counts
-            one, two = _contexts(entry, counts, ranks[END])
+            one, two = _contexts(entry, counts, ranks.end)
             base = np.add.reduceat(logs[entry], start) - counts * vocab.base_norm
             score = np.add.reduceat(model.log10(two, one, entry) - shares[entry], start)
             known = np.add.reduceat((entry < words).astype(np.int64), start)
-            rare = [[w.decode() for w in x if w not in ranks] if n < c else []
-                    for x, n, c in zip(found, known.tolist(), counts.tolist(), strict=True)]
-            size = len(found)
+            ends = np.append(0, np.cumsum(counts - known)).astype(np.int32)
+            rare = pa.ListArray.from_arrays(ends, found.filter(pa.array(entry >= words)).cast(pa.string()))
+            size = len(counts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + size)), batch.column(0).slice(a, size), batch.column(2).slice(a, size),
-                 pa.array(counts.astype(np.int64)), pa.array(known), pa.array(base), pa.array(score),
-                 pa.array(rare, pa.list_(pa.string()))],
+                 pa.array(counts), pa.array(known), pa.array(base), pa.array(score), rare],
                 [x.split()[0] for x in _PARTS.split(", ")])
             row += size
 
