@@ -185,9 +185,9 @@ def _contexts(rank: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarra
     return one, two
 
 
-def _ranked(texts: pa.Array, ranks: Ranks) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
+def _ranked(texts: pa.Array, ranks: Ranks, most: int = CHUNK) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
     """Per chunk: the first text's number, the tokens of all its texts, the number of each text and the entries of all."""
-    for a, chunk in _chunks(texts):
+    for a, chunk in _chunks(texts, most):
         counts, found = tokens(chunk)
         yield a, found, counts, ranks.of(found)
 
@@ -197,7 +197,7 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Re
     ranks, k = Ranks(vocab.words[:vocab.head], 1), vocab.classes
     total = np.zeros(k ** 3, np.int64)
     for batch in batches:
-        for _, _, counts, own in _ranked(batch.column(0), ranks):
+        for _, _, counts, own in _ranked(batch.column(0), ranks, 8_000_000):
             one, two = _contexts(own, counts, ranks.end)
             total += np.bincount((two * k + one) * k + own, minlength=k ** 3)
     at = np.flatnonzero(total)
@@ -337,10 +337,10 @@ class WordModel:
     def _score(self, h: np.ndarray, row: np.ndarray) -> np.ndarray:
         return _dots(h, _rows(self.p, row)) + np.take(self.bias, row)
 
-    def _log_sums(self, h: np.ndarray, first: int, end: int) -> np.ndarray:
-        """Of each context the log of the sum of exp(score) over the nodes first..end."""
+    def _log_sums(self, h: np.ndarray, first: int, end: int, longest: float) -> np.ndarray:
+        """Of each context (of at most that squared length) the log of the sum of exp(score) over the nodes first..end."""
         q, b = np.ascontiguousarray(self.p[first:end].T), self.bias[first:end]
-        most = float(np.sqrt(_dots(h, h).max() * (q * q).sum(axis=0).max()))  # no score without bias is larger
+        most = float(np.sqrt(longest * (q * q).sum(axis=0).max()))  # no score without bias is larger
         out = np.empty(len(h), np.float32)
         size, share = max(1, (1 << 17) // (end - first)), np.exp(b)
         for a in range(0, len(h), size):
@@ -354,13 +354,13 @@ class WordModel:
                 out[a:a + size] = top + np.log(np.exp(s, out=s).sum(axis=1))
         return out
 
-    def _inside(self, h: np.ndarray, own: np.ndarray, parent: np.ndarray, bounds: np.ndarray, first: int) -> np.ndarray:
+    def _inside(self, h: np.ndarray, own: np.ndarray, parent: np.ndarray, bounds: np.ndarray, first: int, longest: float) -> np.ndarray:
         """Log probability of each node ``own`` among the children of its parent; rows are sorted by parent."""
         out = self._score(h, first + own)
         at = np.searchsorted(parent, np.arange(len(bounds)))
         for g in np.flatnonzero(np.diff(at)):
             x = slice(at[g], at[g + 1])
-            out[x] -= self._log_sums(h[x], first + bounds[g], first + bounds[g + 1])
+            out[x] -= self._log_sums(h[x], first + bounds[g], first + bounds[g + 1], longest)
         return out
 
     def log10(self, two: np.ndarray, one: np.ndarray, entry: np.ndarray) -> np.ndarray:
@@ -369,8 +369,9 @@ class WordModel:
 
     def _log10(self, two: np.ndarray, one: np.ndarray, entry: np.ndarray) -> np.ndarray:
         h = self.hidden(two, one)
+        longest = float(_dots(h, h).max())
         out = (self._score(h, self.first_class + np.minimum(entry, self.head))
-               - self._log_sums(h, self.first_class, self.first_section)).astype(np.float64)
+               - self._log_sums(h, self.first_class, self.first_section, longest)).astype(np.float64)
         rest = np.flatnonzero(entry >= self.head)
         if len(rest):
             group = self.groups(entry[rest])
@@ -378,9 +379,9 @@ class WordModel:
             rest, group = rest[order], group[order]
             section = np.searchsorted(self.sections, group, "right") - 1
             h = _rows(h, rest)
-            out[rest] += (self._score(h, self.first_section + section) - self._log_sums(h, self.first_section, self.first_group)
-                          + self._inside(h, group, section, self.sections, self.first_group)
-                          + self._inside(h, entry[rest], group, self.bounds, self.first_entry))
+            out[rest] += (self._score(h, self.first_section + section) - self._log_sums(h, self.first_section, self.first_group, longest)
+                          + self._inside(h, group, section, self.sections, self.first_group, longest)
+                          + self._inside(h, entry[rest], group, self.bounds, self.first_entry, longest))
         return out / np.log(10)
 
 
@@ -564,8 +565,8 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
         for a, found, counts, entry in _ranked(batch.column(1), ranks):
             start = np.cumsum(counts) - counts
             one, two = _contexts(entry, counts, ranks.end)
-            base = np.add.reduceat(logs[entry], start) - counts * vocab.base_norm
-            score = np.add.reduceat(model.log10(two, one, entry) - shares[entry], start)
+            base = np.add.reduceat(np.take(logs, entry), start) - counts * vocab.base_norm
+            score = np.add.reduceat(model.log10(two, one, entry) - np.take(shares, entry), start)
             known = np.add.reduceat((entry < words).astype(np.int64), start)
             ends = np.append(0, np.cumsum(counts - known)).astype(np.int32)
             rare = pa.ListArray.from_arrays(ends, found.filter(pa.array(entry >= words)).cast(pa.string()))
