@@ -4,6 +4,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import brute
 import numpy as np
@@ -12,7 +13,8 @@ import pytest
 from llm_cases import SF
 from pyspark.sql import functions as F
 
-from tickflow.llm import exact_dedup, language_model, mixing, ngram_join, packing, personal_data, quality, substrings
+from tickflow.llm import components, exact_dedup, language_model, mixing, ngram_join, packing, personal_data, quality, substrings
+from tickflow.session import scratch_path
 
 
 def counted(rows):
@@ -142,6 +144,47 @@ def test_large_family_over_blocks(spark, monkeypatch):
     assert counted(got.select("doc_id", "n_shingles", "component_id").collect()) == Counter(brute.components(rows))
 
 
+def _on_disk(spark):
+    """Bytes of shuffle files and of tables below the checkpoint folder."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    blocks = sum(files.apply(i).length() for i in range(files.size()))
+    root = Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    return blocks + sum(f.stat().st_size for f in root.rglob("*") if f.is_file())
+
+
+@pytest.mark.parametrize("every", [40, 12])  # copies that link, and copies that share much and do not
+def test_near_copies_leave_little_on_disk(spark, every):
+    """Sets of which all have near copies: neither all pairs of copies nor all sets are written."""
+    rng, rows = np.random.default_rng(every), []
+    for family in range(40):
+        base = [f"f{family}w{x}" for x in rng.integers(0, 10**6, 300)]
+        for copy in range(24):
+            w = [f"{x}c{copy}" if i % every == copy % every else x for i, x in enumerate(base)]
+            rows.append((100 * family + copy, " ".join(w), None))
+    size = sum(len(t) for _, t, _ in rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    before = _on_disk(spark)
+    got = Counter(map(tuple, ngram_join.near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect()))
+    assert _on_disk(spark) - before < size
+    assert got == Counter(brute.components(rows))
+
+
+@pytest.mark.parametrize("few", [0, 1 << 18])
+def test_components_on_the_driver_and_in_rounds(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW", few)
+    rng = np.random.default_rng(3)
+    edges = [*map(tuple, rng.integers(-400, 400, (300, 2)).tolist()), *((i, i + 1) for i in range(1000, 1060)), (5, 5)]
+    label = {}
+    for u, v in edges:
+        label.setdefault(u, u), label.setdefault(v, v)
+    for _ in edges:
+        for u, v in edges:
+            label[u] = label[v] = min(label[u], label[v])
+    got = components.connected(spark.createDataFrame(edges, "u long, v long")).collect()
+    apart = {x for e in edges if e[0] != e[1] for x in e}
+    assert Counter(map(tuple, got)) == Counter((x, label[x]) for x in apart)
+
+
 def test_prefix_tree_finds_all_links():
     rng = np.random.default_rng(5)
     sets = []
