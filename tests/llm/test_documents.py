@@ -4,17 +4,15 @@ import math
 import re
 import zlib
 from collections import Counter
-from pathlib import Path
 
 import brute
 import numpy as np
 import pyarrow as pa
 import pytest
-from llm_cases import SF
+from llm_cases import SF, on_disk
 from pyspark.sql import functions as F
 
 from tickflow.llm import components, exact_dedup, language_model, mixing, ngram_join, packing, personal_data, quality, substrings
-from tickflow.session import scratch_path
 
 
 def counted(rows):
@@ -144,14 +142,6 @@ def test_large_family_over_blocks(spark, monkeypatch):
     assert counted(got.select("doc_id", "n_shingles", "component_id").collect()) == Counter(brute.components(rows))
 
 
-def _on_disk(spark):
-    """Bytes of shuffle files and of tables below the checkpoint folder."""
-    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
-    blocks = sum(files.apply(i).length() for i in range(files.size()))
-    root = Path(scratch_path(spark, "x").removeprefix("file:")).parent
-    return blocks + sum(f.stat().st_size for f in root.rglob("*") if f.is_file())
-
-
 @pytest.mark.parametrize("every", [40, 12])  # copies that link, and copies that share much and do not
 def test_near_copies_leave_little_on_disk(spark, every):
     """Sets of which all have near copies: neither all pairs of copies nor all sets are written."""
@@ -163,9 +153,9 @@ def test_near_copies_leave_little_on_disk(spark, every):
             rows.append((100 * family + copy, " ".join(w), None))
     size = sum(len(t) for _, t, _ in rows)
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
-    before = _on_disk(spark)
+    before = on_disk(spark)
     got = Counter(map(tuple, ngram_join.near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect()))
-    assert _on_disk(spark) - before < size
+    assert on_disk(spark) - before < size
     assert got == Counter(brute.components(rows))
 
 

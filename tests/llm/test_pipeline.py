@@ -4,7 +4,7 @@ from collections import Counter
 
 import brute
 import pytest
-from llm_cases import SF
+from llm_cases import SF, on_disk
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -45,6 +45,21 @@ def test_stages_keep_what_they_must(spark, stages):
     assert all(abs(taken[s] - target[s]) <= 1 for s in size)
 
 
+def test_near_copies_of_a_stage_leave_little_on_disk(spark):
+    """Stage 3 on texts that all have near copies: what stays is the shuffle of the rows themselves."""
+    rows = []
+    for family in range(40):
+        for copy in range(24):
+            words = [f"g{family * i * i % 99991}c{copy}" if i % 100 == copy else f"g{family * i * i % 99991}_{i}" for i in range(300)]
+            rows.append((1000 * family + copy, " ".join(words), "en", "src0", 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    before = on_disk(spark)
+    got = corpus_pipeline.near_copies(spark, docs, SF).collect()
+    grown = on_disk(spark) - before
+    assert sorted(r["doc_id"] for r in got) == [1000 * family for family in range(40)]
+    assert grown < 1.25 * sum(len(r[1]) for r in rows), grown / sum(len(r[1]) for r in rows)
+
+
 def test_run_gives_the_last_stage(spark, stages):
     from tickflow.llm import queries
     got = corpus_pipeline.run(spark, SF)
